@@ -10,7 +10,8 @@ from cleartab.operators import columns, ingest, ordered, publish, relational, sl
 from cleartab.queries import query, table
 from cleartab.sources.listing import table_counts
 
-YEAR = F.year("o_orderdate")
+def _year():
+    return F.year("o_orderdate")
 
 
 @query("ensure_columns_union", """
@@ -25,7 +26,7 @@ def ensure_columns_union(spark, folder):
 
 def _with_source(spark, folder):
     return table(spark, folder, "orders").select(
-        "o_orderkey", "o_totalprice", F.concat(F.lit("ORD"), YEAR.cast("string"), F.lit(".dbc")).alias(LINEAGE))
+        "o_orderkey", "o_totalprice", F.concat(F.lit("ORD"), _year().cast("string"), F.lit(".dbc")).alias(LINEAGE))
 
 
 _REPLACED = """
@@ -144,7 +145,7 @@ _PLAN = """SELECT CASE WHEN n_year >= {split} THEN strftime(o_orderdate, '%Y%m')
 
 
 def _plan(spark, folder, split):
-    return slices.slice_plan(table(spark, folder, "orders"), YEAR, F.month("o_orderdate"), split)
+    return slices.slice_plan(table(spark, folder, "orders"), _year(), F.month("o_orderdate"), split)
 
 
 @query("slice_plan", _PLAN.format(split=2250))
@@ -284,9 +285,9 @@ SELECT year, data_file, dict_file, CASE WHEN dict_file IS NULL THEN 'data_only'
 def pair_by_year(spark, folder):
     orders = table(spark, folder, "orders")
     year = F.date_format("o_orderdate", "yyyy")
-    data = orders.filter(YEAR != 1997).select(
+    data = orders.filter(_year() != 1997).select(
         F.concat(F.lit("pnvd_"), F.lower("o_orderstatus"), year, F.lit(".csv")).alias("name"))
-    books = orders.filter(YEAR < 2000).select(F.concat(F.lit("pnvd_dict_"), year, F.lit(".xlsx")).alias("name"))
+    books = orders.filter(_year() < 2000).select(F.concat(F.lit("pnvd_dict_"), year, F.lit(".xlsx")).alias("name"))
     return ingest.pair_by_year(data, books)
 
 
