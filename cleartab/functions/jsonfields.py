@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cleartab.functions.text import try_integer
+from cleartab.functions.text import full_match, try_integer
 
 NESTING = 4
 """Levels of arrays inside arrays that are searched; ``deeper_than`` tells
@@ -26,44 +26,70 @@ def unquote(col: Column) -> Column:
     return F.trim(col, F.lit('"'))
 
 
-def _elements(col: Column) -> Column:
-    """The elements of a JSON array as raw JSON texts; a bare object counts as an
-    array of one and anything unreadable as none."""
+_MAPS = "array<map<string,string>>"
+_SCALAR = 'null|true|false|-?[0-9][0-9.eE+-]*|".*"'
+
+
+def _elements(text: Column) -> Column:
+    """The elements of a JSON array as texts; null when it is no array."""
+    return F.from_json(text, "array<string>")
+
+
+def _inner(elements: Column) -> Column:
+    """The elements of all arrays among the elements."""
+    nested = F.filter(elements, lambda e: e.startswith("["))
+    none = F.array().cast("array<string>")
+    return F.flatten(F.transform(nested, lambda e: F.coalesce(_elements(e), none)))
+
+
+def _as_maps(elements: Column) -> Column:
+    objects = F.filter(elements, lambda e: e.startswith("{"))
+    return F.transform(objects, lambda e: F.from_json(e, "map<string,string>"))
+
+
+def json_objects(col: Column, nesting: int = NESTING) -> Column:
+    """All objects of a JSON array that may hold arrays, as maps of texts: outer
+    objects first, then level by level. A bare object counts as an array of one,
+    any other scalar as none; text that is no JSON gives null.
+
+    A flat array of objects, by far the usual case, is parsed in one go; only
+    the others are taken apart.
+    """
     text = F.trim(col)
     array = F.when(text.startswith("["), text).when(
         text.startswith("{"), F.concat(F.lit("["), text, F.lit("]")))
-    parsed = F.from_json(array, "array<string>")
-    return F.coalesce(parsed, F.array().cast("array<string>"))
+    start = F.struct(_elements(array).alias("level"), F.array().cast(_MAPS).alias("found"))
+    mixed = F.reduce(
+        F.sequence(F.lit(1), F.lit(nesting)), start,
+        lambda s, _: F.struct(_inner(s["level"]).alias("level"),
+                              F.concat(s["found"], _as_maps(s["level"])).alias("found")),
+        lambda s: s["found"])
+    scalar = F.when(full_match(text, _SCALAR), F.array().cast(_MAPS))
+    return F.coalesce(F.from_json(array, _MAPS), mixed, scalar)
 
 
-def _inner(elements: Column) -> Column:
-    nested = F.filter(elements, lambda e: e.startswith("["))
-    return F.flatten(F.transform(nested, _elements))
+def values_of(objects: Column, key: str) -> Column:
+    """The texts under a key, from the objects that have it (a JSON null counts)."""
+    holders = F.filter(objects, lambda m: F.coalesce(F.map_contains_key(m, key), F.lit(False)))
+    return F.transform(holders, lambda m: F.try_element_at(m, F.lit(key)))
 
 
-def _with_key(elements: Column, key: str) -> Column:
-    return F.filter(elements, lambda e: F.coalesce(
-        e.startswith("{") & F.array_contains(F.json_object_keys(e), key), F.lit(False)))
+def integers_of(objects: Column, key: str) -> Column:
+    """The same values as whole numbers, null where they are none."""
+    return F.transform(values_of(objects, key), lambda x: try_integer(x, "int"))
 
 
 def json_values(col: Column, key: str, nesting: int = NESTING) -> Column:
-    """Text of ``key`` in every object of an array that may hold arrays: outer
-    objects first, then level by level. Null text gives null."""
-    levels = [_elements(col)]
-    for _ in range(nesting - 1):
-        levels.append(_inner(levels[-1]))
-    objects = F.concat(*[_with_key(level, key) for level in levels])
-    return F.when(col.isNotNull(), F.transform(objects, lambda e: json_text(e, key)))
+    return values_of(json_objects(col, nesting), key)
 
 
 def json_integers(col: Column, key: str, nesting: int = NESTING) -> Column:
-    """The same values as whole numbers, null where they are none."""
-    return F.transform(json_values(col, key, nesting), lambda x: try_integer(x, "int"))
+    return integers_of(json_objects(col, nesting), key)
 
 
 def deeper_than(col: Column, nesting: int = NESTING) -> Column:
     """True when arrays are nested beyond the searched levels."""
-    level = _elements(col)
+    level = _elements(F.trim(col))
     for _ in range(nesting - 1):
         level = _inner(level)
-    return F.exists(level, lambda e: e.startswith("["))
+    return F.coalesce(F.exists(level, lambda e: e.startswith("[")), F.lit(False))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,10 +15,15 @@ from cleartab.functions.codes import literal_map
 def marked_labels(options: Mapping[str, str], mark: str = "1") -> Column:
     """Sorted distinct labels of the option columns that hold the mark.
 
-    Nothing marked gives an empty list. A row's width bounds the list.
+    Sorting and merging columns of one label happen on the option list, once, so
+    a row only drops the labels it lacks. Nothing marked gives an empty list.
     """
-    hits = [F.when(F.col(column) == mark, F.lit(label)) for column, label in options.items()]
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(*hits))))
+    columns: dict[str, list[str]] = {}
+    for column, label in options.items():
+        columns.setdefault(label, []).append(column)
+    hits = [F.when(reduce(or_, [F.col(c) == mark for c in columns[label]]), F.lit(label))
+            for label in sorted(columns, key=str.encode)]
+    return F.array_compact(F.array(*hits))
 
 
 def list_size(col: Column) -> Column:

@@ -42,9 +42,12 @@ def learn_names(pairs: DataFrame, code: str = "code", name: str = "name") -> Dat
 
 
 def pairs_from_lists(df: DataFrame, codes: Column, names: Column) -> DataFrame:
-    """Code and name side by side, only from rows where both lists agree in length."""
-    rows = df.select(codes.alias("c"), names.alias("n")).filter(F.size("c") == F.size("n"))
-    return rows.select(F.inline(lists.zip_rows(F.col("c"), F.col("n"), ("code", "name"))))
+    """Code and name side by side, only from rows where both lists agree in length.
+    The test is part of the projection; as a filter it would be pushed below and
+    compute both lists twice."""
+    rows = df.select(codes.alias("c"), names.alias("n"))
+    pairs = lists.zip_rows(F.col("c"), F.col("n"), ("code", "name"))
+    return rows.select(F.inline(F.when(F.size("c") == F.size("n"), pairs)))
 
 
 @dataclass

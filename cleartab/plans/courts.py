@@ -10,7 +10,7 @@ from cleartab.functions import codes, dates, jsonfields, lists
 from cleartab.functions.text import try_integer
 from cleartab.operators import slices, versions
 from cleartab.operators.publish import publish
-from cleartab.session import stage
+from cleartab.session import Staging
 from cleartab.sources.text import read_ndjson
 
 
@@ -25,20 +25,27 @@ def latest_documents(raw: DataFrame) -> DataFrame:
     return versions.latest_version(raw, ["id"], [F.col("dataHoraUltimaAtualizacao").desc()])
 
 
+def with_subjects(documents: DataFrame) -> DataFrame:
+    """Subject codes and names as lists, from one parse of the raw text."""
+    parsed = documents.withColumn("__subjects", jsonfields.json_objects(F.col("assuntos")))
+    return parsed.select(
+        *documents.columns,
+        jsonfields.integers_of(F.col("__subjects"), "codigo").alias("__codes"),
+        jsonfields.values_of(F.col("__subjects"), "nome").alias("__labels"))
+
+
 def learn_subject_names(documents: DataFrame) -> DataFrame:
     """Names by subject code, from the documents whose lists agree in length."""
     return versions.learn_names(versions.pairs_from_lists(
-        documents, jsonfields.json_integers(F.col("assuntos"), "codigo"),
-        jsonfields.json_values(F.col("assuntos"), "nome")))
+        documents, F.col("__codes"), F.col("__labels")))
 
 
 def project(documents: DataFrame, names: versions.Names, last_year: int) -> DataFrame:
-    """The published columns. Subject codes and the date are computed once and
-    used by all columns that need them. With more names than a constant map may
+    """The published columns of documents ``with_subjects``. The date is computed
+    once and used by all columns that need it. With more names than a constant map may
     hold, ``documents`` must carry a unique ``__row``."""
     staged = documents.select(
         "*",
-        jsonfields.json_integers(F.col("assuntos"), "codigo").alias("__codes"),
         jsonfields.unquote(F.col("dataAjuizamento")).alias("__raw_date"),
         jsonfields.json_integer(F.col("classe"), "codigo").alias("__class"))
     staged = staged.select(
@@ -85,10 +92,11 @@ def project(documents: DataFrame, names: versions.Names, last_year: int) -> Data
     )
 
 
-def build(raw: DataFrame, last_year: int) -> DataFrame:
-    """Raw documents to the published table. The deduplicated documents are used
-    twice (names, projection), so they are staged once as Parquet."""
-    documents = stage(latest_documents(raw), "documents")
+def build(raw: DataFrame, last_year: int, area: Staging) -> DataFrame:
+    """Raw documents to the published table. The deduplicated and parsed documents
+    are used twice, so they are staged once as Parquet; learning the names then
+    reads only the two lists."""
+    documents = area.table(with_subjects(latest_documents(raw)), "documents")
     names = versions.Names.of(learn_subject_names(documents))
     if names.entries is None:
         # File and position identify a staged row, also after a task is repeated.
@@ -98,4 +106,5 @@ def build(raw: DataFrame, last_year: int) -> DataFrame:
 
 
 def run(spark: SparkSession, source: str, target: str, last_year: int) -> int:
-    return publish(build(read_ndjson(spark, source, book.FIELDS), last_year), target)
+    with Staging(spark) as area:
+        return publish(build(read_ndjson(spark, source, book.FIELDS), last_year, area), target)

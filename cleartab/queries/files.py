@@ -15,12 +15,13 @@ from cleartab.codebooks import mortality as death_book
 from cleartab.codebooks import notifications as form_book
 from cleartab.codebooks import survey as survey_book
 from cleartab.functions import jsonfields, lists
+from cleartab.functions.text import uniform_text
 from cleartab.operators import publish as sinks
 from cleartab.plans import (catalog, courts, geography, incremental, mortality, notifications,
                             raw_store, survey_dictionary, survey_fixed)
 from cleartab.queries import query, table
 from cleartab.queries.dbf_files import write_dbf
-from cleartab.session import staging_path
+from cleartab.session import Staging, staging_path
 from cleartab.sources import text as scans
 from cleartab.sources.dbf import read_dbf
 from cleartab.streaming import documents as stream
@@ -336,8 +337,7 @@ def job_notifications(spark, folder):
     rows = table(spark, folder, "orders").selectExpr(
         *[f"{e} AS `{c}`" for c, e in FORM.items() if c not in _ABSENT],
         f"'VIOLBR' || o_orderstatus || '.dbc' AS `{LINEAGE}`")
-    raw = incremental.from_parquet(spark, [written(rows, "forms")])
-    out = raw.transform(notifications.select_records).transform(notifications.project)
+    out = uniform_text(rows).transform(notifications.select_records).transform(notifications.project)
     return out.select(*[lists.join_list(F.col(c)).alias(c) if t.startswith("array") else F.col(c) for c, t in out.dtypes])
 
 
@@ -424,7 +424,7 @@ FROM dated d LEFT JOIN listed l ON l.orgao = d."orgaoJulgador"
 """)
 def job_courts(spark, folder):
     raw = scans.read_ndjson(spark, _write_documents(spark, folder), court_book.FIELDS)
-    return courts.build(raw, 2026)
+    return courts.build(raw, 2026, Staging(spark))
 
 
 _CHOSEN = f"""(SELECT * FROM (SELECT {_DOCUMENT_SQL} FROM orders)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cleartab.functions import codes, dates, text
 from cleartab.queries import query, table
-from cleartab.sources.text import slice_spans
+from cleartab.sources.text import slice_lines
 
 _DAY_TEXTS = """(SELECT o_orderkey, CASE o_orderkey % 7
     WHEN 0 THEN strftime(o_orderdate, '%Y%m%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d')
@@ -170,7 +170,7 @@ def fixed_width(spark, folder):
         F.when(key % 10 == 3, F.repeat(F.lit(" "), 14)).otherwise(
             F.lpad((key * 12345678 % 9999999999).cast("string"), 14, "0")))
     spans = {"id": (0, 8), "segment": (8, 20), "age": (20, 23), "weight": (23, 37)}
-    rows = table(spark, folder, "customer").select(line.alias("line")).select(*slice_spans(F.col("line"), spans))
+    rows = slice_lines(table(spark, folder, "customer").select(line.alias("line")), "line", spans)
     return rows.select("id", "segment", text.strip_leading_zeros(F.col("age")).alias("age"),
                        text.implied_decimals(F.col("weight")).alias("weight"))
 

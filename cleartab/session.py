@@ -26,6 +26,9 @@ def build(app: str = "cleartab", master: str | None = None, **conf: str) -> Spar
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
+        # Projections of some hundred expressions compile to methods the JVM will
+        # not optimise; past this size the interpreted projection is faster.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     for key, value in settings.items():
@@ -54,15 +57,29 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/cleartab/{uuid.uuid4().hex}/{name}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as a Parquet table in the shared folder and read it back.
+class Staging:
+    """Tables written once in the shared folder and read back.
 
-    Cuts the lineage with files that outlive any executor, keeps column pruning
-    for each later reader, and is the only form of caching the jobs rely on.
+    This cuts the lineage with files that outlive any executor, and keeps column
+    pruning for each later reader. As a context manager it removes its tables at
+    the end of the job.
     """
-    path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = staging_path(spark, "tables")
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def local_path(path: str) -> str | None:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cleartab import LINEAGE
@@ -17,24 +19,55 @@ MISSING_TEXTS = [
 ]
 
 
-def slice_spans(line: Column, spans: Mapping[str, tuple[int, int]]) -> list[Column]:
-    """Half-open character spans of a line as trimmed columns; missing -> ``''``."""
+BLOCK_GAP = 64
+"""Characters between two spans from which they are cut from separate blocks."""
+
+
+def _blocks(spans: Mapping[str, tuple[int, int]]) -> list[tuple[int, int]]:
+    """Stretches of the line that together hold all spans."""
+    blocks: list[tuple[int, int]] = []
+    for start, end in sorted(spans.values()):
+        if blocks and start - blocks[-1][1] < BLOCK_GAP:
+            blocks[-1] = (blocks[-1][0], max(end, blocks[-1][1]))
+        else:
+            blocks.append((start, end))
+    return blocks
+
+
+def slice_lines(lines: DataFrame, line: str, spans: Mapping[str, tuple[int, int]],
+                keep: Sequence[str] = ()) -> DataFrame:
+    """Half-open character spans of a line as trimmed columns; missing -> ``''``.
+    Lines that are blank in all spans are dropped.
+
+    Finding a position walks the text from its start, so a long line is first
+    cut into a few blocks and the columns are cut from these.
+    """
+    blocks = _blocks(spans)
+    block_of = {name: next(i for i, (a, b) in enumerate(blocks) if a <= start and end <= b)
+                for name, (start, end) in spans.items()}
+    cut = lines.select(*keep, *[F.substring(line, a + 1, b - a).alias(f"__b{i}")
+                                for i, (a, b) in enumerate(blocks)])
+    fields = cut.select(*keep, *[
+        strip(F.substring(f"__b{block_of[n]}", start - blocks[block_of[n]][0] + 1, end - start)).alias(n)
+        for n, (start, end) in spans.items()])
+    filled = fields.filter(reduce(or_, [F.col(f"`{n}`") != "" for n in spans]))
     out = []
     for name, (start, end) in spans.items():
-        text = strip(F.substring(line, start + 1, end - start))
-        out.append(F.when(text.isin(MISSING_TEXTS), F.lit("")).otherwise(text).alias(name))
-    return out
+        missing = [m for m in MISSING_TEXTS if 0 < len(m) <= end - start]
+        value = F.col(f"`{name}`")
+        out.append((F.when(value.isin(missing), F.lit("")).otherwise(value) if missing else value)
+                   .alias(name))
+    return filled.select(*keep, *out)
 
 
 def read_fixed_width(spark: SparkSession, path: str | Sequence[str],
                      spans: Mapping[str, tuple[int, int]], lineage: bool = False) -> DataFrame:
-    """One row per line that holds anything in its spans."""
+    """One row per line, optionally with the name of its file."""
     lines = spark.read.text(path if isinstance(path, str) else list(path))
-    columns = slice_spans(F.col("value"), spans)
-    if lineage:
-        columns.append(F.col("_metadata.file_name").alias(LINEAGE))
-    rows = lines.select(*columns)
-    return rows.filter(F.concat(*[F.col(f"`{c}`") for c in spans]) != "")
+    if not lineage:
+        return slice_lines(lines, "value", spans)
+    named = lines.select("value", F.col("_metadata.file_name").alias(LINEAGE))
+    return slice_lines(named, "value", spans, [LINEAGE])
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], separator: str = ";",
