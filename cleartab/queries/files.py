@@ -263,10 +263,10 @@ def _answers() -> dict[str, str]:
     """Form input: every column cycles through its answers with its own step."""
     out = {}
     for at, column in enumerate(notifications.INPUT_COLUMNS):
-        out[column] = (f"CASE ({_K} * 7 + {_K} % 13 * {at + 1}) % 9 WHEN 0 THEN '1' WHEN 3 THEN '2' WHEN 5 THEN '9' "
-                       f"WHEN 6 THEN '01' END")
+        out[column] = f"nullif(substr('1..2.9..1', CAST(({_K} * 7 + {_K} % 13 * {at + 1}) % 9 AS INT) + 1, 1), '.')"
     day = "replace(CAST(CAST(o_orderdate AS DATE) AS STRING), '-', '')"
     return out | {
+        "VIOL_MOTIV": f"CASE {_K} % 5 WHEN 0 THEN '01' WHEN 1 THEN '1' WHEN 2 THEN '03' WHEN 3 THEN '88' END",
         "CS_SEXO": f"CASE {_K} % 6 WHEN 0 THEN 'M' WHEN 1 THEN NULL ELSE 'F' END",
         "DT_NOTIFIC": f"CASE {_K} % 4 WHEN 0 THEN {day} WHEN 1 THEN '2000-05-10' WHEN 2 THEN '20000230' ELSE '1999' END",
         "DT_OCOR": f"CASE {_K} % 5 WHEN 0 THEN NULL WHEN 1 THEN '2001-01-01' ELSE {day} END",

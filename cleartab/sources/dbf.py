@@ -110,8 +110,10 @@ class _Reader(DataSourceReader):
         self.files, self.split = files, split
 
     def partitions(self) -> Sequence[InputPartition]:
+        # The reader is sent to every task; the list of files stays here.
+        files, self.files = self.files, []
         return [_Range(path, at, min(at + self.split, size))
-                for path, size in self.files for at in range(0, max(size, 1), self.split)]
+                for path, size in files for at in range(0, max(size, 1), self.split)]
 
     def read(self, part: _Range) -> Iterator[pa.RecordBatch]:
         with open_binary(part.path) as handle:
