@@ -33,19 +33,19 @@ def list_size(col: Column) -> Column:
 
 def join_list(col: Column, separator: str = ", ") -> Column:
     """Join skipping nulls; an empty or all-null list gives null."""
-    kept = F.array_compact(col)
-    return F.when(F.size(kept) > 0, F.array_join(kept, separator))
+    return F.when(F.exists(col, lambda x: x.isNotNull()), F.array_join(col, separator))
 
 
 def has_any(col: Column, wanted: Sequence) -> Column:
     """Overlap flag: nulls inside the list count as "no match", a null list as unknown."""
-    return F.arrays_overlap(F.array_compact(col), F.array(*[F.lit(w) for w in wanted]))
+    overlap = F.arrays_overlap(col, F.array(*[F.lit(w) for w in wanted]))
+    return F.when(col.isNotNull(), F.coalesce(overlap, F.lit(False)))
 
 
 def distinct_sorted_text(col: Column, separator: str = ", ") -> Column:
     """Distinct codes in their own order (numeric for numbers), as text."""
-    kept = F.array_sort(F.array_distinct(F.array_compact(col)))
-    return join_list(F.transform(kept, lambda x: x.cast("string")), separator)
+    ordered = F.sort_array(F.array_distinct(col))
+    return join_list(F.transform(ordered, lambda x: x.cast("string")), separator)
 
 
 def by_priority(codes: Column, priorities: Mapping[int, int], last: int = 99) -> Column:
@@ -55,11 +55,11 @@ def by_priority(codes: Column, priorities: Mapping[int, int], last: int = 99) ->
     first position and the work stays linear in the length of the list.
     """
     rank = literal_map(priorities)
-    firsts = F.array_distinct(F.array_compact(codes))
+    firsts = F.array_compact(F.array_distinct(codes))
     keyed = F.transform(firsts, lambda x, i: F.struct(
         F.coalesce(F.try_element_at(rank, x), F.lit(last)).alias("priority"),
         i.alias("position"), x.alias("code")))
-    return F.transform(F.array_sort(keyed), lambda s: s["code"])
+    return F.transform(F.sort_array(keyed), lambda s: s["code"])
 
 
 def named(codes: Column, names: Column, prefix: str) -> Column:
@@ -68,10 +68,10 @@ def named(codes: Column, names: Column, prefix: str) -> Column:
         F.try_element_at(names, x), F.concat(F.lit(prefix), x.cast("string"))))
 
 
-def zip_rows(left: Column, right: Column, names: tuple[str, str]) -> Column:
-    """Two lists side by side, the shorter padded with nulls; explode the result."""
-    return F.zip_with(left, right, lambda a, b: F.struct(
-        a.alias(names[0]), b.alias(names[1])))
+def unnest(left: Column, right: Column, names: tuple[str, str]) -> Column:
+    """Two lists unnested side by side into two columns, the shorter padded with
+    nulls; a null list gives no rows."""
+    return F.inline(F.arrays_zip(left, right)).alias(*names)
 
 
 def any_equal(columns: Sequence[str], value: str) -> Column:

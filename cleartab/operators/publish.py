@@ -160,6 +160,6 @@ def names_by_folder(sources: DataFrame) -> DataFrame:
     """Source names per folder in catalog order, joined by ``' | '``. The source
     catalog is a hand-kept list of a few entries."""
     return (sources.groupBy("folder")
-            .agg(F.array_sort(F.collect_list(F.struct("position", "name"))).alias("l"))
+            .agg(F.sort_array(F.collect_list(F.struct("position", "name"))).alias("l"))
             .select("folder", F.array_join(F.transform("l", lambda s: s["name"]), " | ")
                     .alias("names")))

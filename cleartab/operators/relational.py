@@ -17,11 +17,13 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
 
 
 def key_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.subtract(right)
+    """Distinct keys of the left only. Both sides are made distinct first, so a key
+    repeated a billion times crosses the shuffle once per task."""
+    return left.distinct().subtract(right.distinct())
 
 
 def key_intersection(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.intersect(right)
+    return left.distinct().intersect(right.distinct())
 
 
 def left_join_on(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -31,14 +33,14 @@ def left_join_on(left: DataFrame, right: DataFrame, left_key: str, right_key: st
 
 
 def in_codes(df: DataFrame, column: str, codes: DataFrame, code: str = "code") -> DataFrame:
-    """Rows whose code is in the set."""
-    keys = codes.select(F.col(code).alias("__code"))
+    """Rows whose code is in the set (made distinct before the join)."""
+    keys = codes.select(F.col(code).alias("__code")).distinct()
     return df.join(keys, F.col(column) == F.col("__code"), "left_semi")
 
 
 def not_in_codes(df: DataFrame, column: str, codes: DataFrame, code: str = "code") -> DataFrame:
     """Rows whose code is not in the set; a null code is kept."""
-    keys = codes.select(F.col(code).alias("__code"))
+    keys = codes.select(F.col(code).alias("__code")).distinct()
     return df.join(keys, F.col(column) == F.col("__code"), "left_anti")
 
 

@@ -35,10 +35,14 @@ def latest_version(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def learn_names(pairs: DataFrame, code: str = "code", name: str = "name") -> DataFrame:
-    """Smallest name per code. The minimum needs no distinct step first and is
-    combined before the shuffle."""
-    return (pairs.filter(F.col(code).isNotNull()).groupBy(code)
-            .agg(F.min(name).alias(name)))
+    """Smallest name per code.
+
+    Equal pairs are merged by hash before the shuffle, so the minimum (which
+    Spark takes over sorted rows when it is a text) sees few rows, and a code
+    that fills a third of them is spread by its names.
+    """
+    known = pairs.filter(F.col(code).isNotNull()).select(code, name).distinct()
+    return known.groupBy(code).agg(F.min(name).alias(name))
 
 
 def pairs_from_lists(df: DataFrame, codes: Column, names: Column) -> DataFrame:
@@ -46,8 +50,9 @@ def pairs_from_lists(df: DataFrame, codes: Column, names: Column) -> DataFrame:
     The test is part of the projection; as a filter it would be pushed below and
     compute both lists twice."""
     rows = df.select(codes.alias("c"), names.alias("n"))
-    pairs = lists.zip_rows(F.col("c"), F.col("n"), ("code", "name"))
-    return rows.select(F.inline(F.when(F.size("c") == F.size("n"), pairs)))
+    agree = F.size("c") == F.size("n")
+    return rows.select(lists.unnest(F.when(agree, F.col("c")), F.when(agree, F.col("n")),
+                                    ("code", "name")))
 
 
 @dataclass
@@ -87,6 +92,6 @@ def name_lists(df: DataFrame, key: str, codes: str, names: Names, prefix: str,
                                                                F.col("__code").cast("string")))))
     # One list per row of the input, no longer than the list it came from.
     joined = (decoded.groupBy(key)
-              .agg(F.array_sort(F.collect_list(F.struct("__pos", "name"))).alias("__l"))
+              .agg(F.sort_array(F.collect_list(F.struct("__pos", "name"))).alias("__l"))
               .select(key, lists.join_list(F.transform("__l", lambda s: s["name"])).alias(into)))
     return df.join(joined, key, "left")

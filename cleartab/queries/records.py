@@ -58,7 +58,7 @@ def flagship(spark, folder):
               .groupBy("l_orderkey", F.col("p_size").alias("code"))
               .agg(F.min("l_linenumber").alias("pos")))
     listed = (firsts.groupBy("l_orderkey")
-              .agg(F.array_sort(F.collect_list(F.struct("pos", "code"))).alias("l"))
+              .agg(F.sort_array(F.collect_list(F.struct("pos", "code"))).alias("l"))
               .select("l_orderkey", F.transform("l", lambda s: s["code"]).alias("codes")))
     ordered_codes = listed.withColumn("by_rank", lists.by_priority(F.col("codes"), PRIORITY))
     named = versions.name_lists(ordered_codes, "l_orderkey", "by_rank", names, "ASSUNTO ", "subjects")
@@ -271,8 +271,7 @@ def parallel_unnest(spark, folder):
     rows = table(spark, folder, "documents").select(
         F.transform(F.split("text", "\n"), F.length).alias("a"),
         F.transform(F.split("text", r"\. "), F.length).alias("b"))
-    zipped = lists.zip_rows(F.col("a"), F.col("b"), ("line", "sentence"))
-    return rows.select(F.inline(zipped)).distinct()
+    return rows.select(lists.unnest(F.col("a"), F.col("b"), ("line", "sentence"))).distinct()
 
 
 @query("learn_dictionary", """

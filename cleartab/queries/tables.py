@@ -174,7 +174,7 @@ def reconcile_counts(spark, folder):
     higher one counts."""
     orders = table(spark, folder, "orders").withColumn("unit", F.date_format("o_orderdate", "yyyy"))
     lines = table(spark, folder, "lineitem").filter("l_quantity > 1").select("l_orderkey")
-    loaded = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
+    loaded = relational.in_codes(orders, "o_orderkey", lines, "l_orderkey")
     counted = (orders.filter("o_orderdate < timestamp_ntz'2001-01-01 00:00:00'")
                .groupBy("unit").agg(F.count(F.lit(1)).alias("n")))
     observed = counted.select("unit", F.explode(F.array(F.col("n"), F.floor(F.col("n") / 2))).alias("n"))
