@@ -176,7 +176,7 @@ def multi_output(spark, folder):
 
 
 @query("catalog_files", """
-SELECT 'parties' AS folder, 'Customers | Suppliers' AS sources, 8 AS n_columns,
+SELECT 'parties' AS folder, 'Customers | Suppliers' AS sources, 8::BIGINT AS n_columns,
        (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier) AS n_rows, true AS sized
 UNION ALL SELECT 'goods', '(não mapeado)', 6, (SELECT count(*) FROM part), true
 """)

@@ -223,12 +223,11 @@ def text_clean(spark, folder):
 
 
 @query("slug", """
-SELECT conv_id, turn, coalesce(nullif(trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', '_', 'g'), '_'), ''),
-       'coluna') AS slug FROM conversations
+SELECT doc_id, coalesce(nullif(trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', '_', 'g'), '_'), ''),
+       'coluna') AS slug FROM documents
 """)
 def slug(spark, folder):
-    return table(spark, folder, "conversations").select(
-        "conv_id", "turn", text.slug(F.col("text")).alias("slug"))
+    return table(spark, folder, "documents").select("doc_id", text.slug(F.col("text")).alias("slug"))
 
 
 @query("normal_code", """
