@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterable
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
@@ -78,18 +79,34 @@ def _decompositions() -> tuple[str, str, dict[str, str]]:
     return "".join(source), "".join(target), several
 
 
-def slug(col: Column) -> Column:
-    """Accents off, lower case, every other run of characters -> ``_``."""
+def _character_class(characters: Iterable[str]) -> str:
+    """A regex class of ranges; one of many single characters is searched slowly."""
+    ranges: list[list[int]] = []
+    for point in sorted(map(ord, characters)):
+        if ranges and point == ranges[-1][1] + 1:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
+
+
+def fold_accents(col: Column) -> Column:
+    """Letters without their accents. Plain ASCII values are left as they are, and
+    the long chain of replacements runs only for rows that need it."""
     source, target, several = _decompositions()
     expanded = col
     for char, bare in several.items():
         expanded = F.replace(expanded, F.lit(char), F.lit(bare))
-    # The long chain of replacements runs only for rows that hold such a character.
-    whole = F.when(col.rlike("[" + "".join(several) + "]"), expanded).otherwise(col)
+    whole = F.when(col.rlike(_character_class(several)), expanded).otherwise(col)
     bare = F.regexp_replace(F.translate(whole, source, target), "\\p{M}+", "")
-    joined = F.regexp_replace(F.lower(bare), "[^a-z0-9]+", "_")
-    trimmed = F.trim(joined, F.lit("_"))
-    return F.when(trimmed == "", F.lit(_EMPTY_NAME)).otherwise(trimmed)
+    return F.when(col.rlike("[^\\x00-\\x7f]"), bare).otherwise(col)
+
+
+def slug(col: Column) -> Column:
+    """Accents off, lower case, every other run of characters -> ``_``."""
+    joined = F.regexp_replace(F.lower(fold_accents(col)), "[^a-z0-9]+", "_")
+    return F.coalesce(F.nullif(F.trim(joined, F.lit("_")), F.lit("")),
+                      F.when(col.isNotNull(), F.lit(_EMPTY_NAME)))
 
 
 def normal_code(col: Column, numeric: bool = False) -> Column:

@@ -1,4 +1,8 @@
-"""Slices of the raw court documents, and the check that all were loaded."""
+"""Slices of the raw court documents, and the check that all were loaded.
+
+All three steps look at the documents of one subset; ``chosen`` stages the
+columns they need, so the raw text is parsed once.
+"""
 
 from __future__ import annotations
 
@@ -9,26 +13,32 @@ from cleartab.codebooks import courts as book
 from cleartab.functions import dates, jsonfields
 from cleartab.operators import slices
 from cleartab.plans.courts import in_subset
+from cleartab.session import Staging
+
+
+def chosen(raw: DataFrame, subset: str, area: Staging) -> DataFrame:
+    rows = in_subset(raw, subset).select("id", "tribunal", "dataAjuizamento", "dataHoraUltimaAtualizacao")
+    return area.table(rows, f"chosen-{subset}")
 
 
-def planned_slices(raw: DataFrame, subset: str, last_year: int,
+def planned_slices(documents: DataFrame, last_year: int,
                    split: int = slices.MONTH_SPLIT) -> DataFrame:
-    """Year and month slices of one court's documents, by their parsed date."""
+    """Year and month slices by the parsed date."""
     date = dates.within_years(
         dates.date_three_formats(jsonfields.unquote(F.col("dataAjuizamento"))),
         book.FIRST_YEAR, last_year)
-    dated = in_subset(raw, subset).select(date.alias("d"))
+    dated = documents.select(date.alias("d"))
     return slices.slice_plan(dated, F.year("d"), F.month("d"), split)
 
 
-def residual_documents(raw: DataFrame, subset: str, covered: list[str],
+def residual_documents(documents: DataFrame, covered: list[str],
                        split: int = slices.RESIDUAL_SPLIT) -> DataFrame:
     """Documents outside all covered text ranges, with the slice each goes to."""
-    rows = in_subset(raw, subset).filter(slices.residual(F.col("dataAjuizamento"), covered))
+    rows = documents.filter(slices.residual(F.col("dataAjuizamento"), covered))
     return slices.residual_slices(
         rows, dates.timestamp_local(F.col("dataHoraUltimaAtualizacao")), split)
 
 
-def completeness(raw: DataFrame, subset: str, declared: DataFrame) -> DataFrame:
+def completeness(documents: DataFrame, declared: DataFrame) -> DataFrame:
     """Loaded against declared documents per court; ``declared(tribunal, n)``."""
-    return slices.reconcile(in_subset(raw, subset), declared, "tribunal")
+    return slices.reconcile(documents, declared, "tribunal")

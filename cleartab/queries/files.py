@@ -15,7 +15,6 @@ from cleartab.codebooks import mortality as death_book
 from cleartab.codebooks import notifications as form_book
 from cleartab.codebooks import survey as survey_book
 from cleartab.functions import jsonfields, lists
-from cleartab.functions.text import uniform_text
 from cleartab.operators import publish as sinks
 from cleartab.plans import (catalog, courts, geography, incremental, mortality, notifications,
                             raw_store, survey_dictionary, survey_fixed)
@@ -337,7 +336,7 @@ def job_notifications(spark, folder):
     rows = table(spark, folder, "orders").selectExpr(
         *[f"{e} AS `{c}`" for c, e in FORM.items() if c not in _ABSENT],
         f"'VIOLBR' || o_orderstatus || '.dbc' AS `{LINEAGE}`")
-    out = uniform_text(rows).transform(notifications.select_records).transform(notifications.project)
+    out = rows.transform(notifications.select_records).transform(notifications.project)
     return out.select(*[lists.join_list(F.col(c)).alias(c) if t.startswith("array") else F.col(c) for c, t in out.dtypes])
 
 
@@ -450,10 +449,11 @@ def job_raw_store(spark, folder):
     total = table(spark, folder, "orders").agg(F.count(F.lit(1)).alias("n"))
     declared = raw.select("tribunal").distinct().withColumn("n", total.scalar())
     zero = F.lit(0).cast("bigint")
-    units = raw_store.completeness(raw, "contexto_domestico", declared).withColumnsRenamed({"tribunal": "key"}).withColumn("kind", F.lit("unit"))
-    rest = (raw_store.residual_documents(raw, "contexto_domestico", ["2020"], split=100).groupBy(F.col("slice").alias("key"))
+    documents = raw_store.chosen(raw, "contexto_domestico", Staging(spark))
+    units = raw_store.completeness(documents, declared).withColumnsRenamed({"tribunal": "key"}).withColumn("kind", F.lit("unit"))
+    rest = (raw_store.residual_documents(documents, ["2020"], split=100).groupBy(F.col("slice").alias("key"))
             .agg(F.count(F.lit(1)).alias("n_loaded")).withColumns({"kind": F.lit("residual")}))
-    plan = (raw_store.planned_slices(raw, "contexto_domestico", 2026, split=400)
+    plan = (raw_store.planned_slices(documents, 2026, split=400)
             .select(F.col("slice").alias("key"), F.col("n").alias("n_loaded"), F.lit("slice").alias("kind")))
     more = rest.unionByName(plan).withColumns({"n_declared": zero, "diff": zero, "complete": F.lit(True)})
     return units.filter("n_loaded > 0").unionByName(more)
