@@ -15,23 +15,34 @@ NAME_LIMIT = 4096
 """Learned names up to this many are applied as one constant map."""
 
 
-def latest_version(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def latest_version(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
+                   scanned: bool = False) -> DataFrame:
     """One row per key: the first under ``order``, then by all other columns, so a
     tie never depends on how the data is split.
 
-    Rows with a null key are separate records and bypass the window; collapsing
-    them would lose rows and put them all into one task. The rank limit is
-    applied before the shuffle, so each map task sends at most one row per key.
+    Rows with a null key are separate records and all stay; collapsing them would
+    lose rows and put them all into one task. The rank limit is applied before
+    the shuffle, so each map task sends at most one row per key.
+
+    By default the null-key rows take their own branch, a second scan that a
+    columnar source mostly skips by its statistics. ``scanned`` says that ``df``
+    is read straight from files, whose row order is fixed: the rows are then
+    numbered instead, and text sources are read and parsed only once.
     """
     rest = [F.col(f"`{c}`").desc() for c, t in df.dtypes
             if c not in keys and not t.startswith("map")]
-    window = Window.partitionBy(*keys).orderBy(*order, *rest)
     unknown = F.lit(False)
     for key in keys:
         unknown = unknown | F.col(key).isNull()
-    ranked = (df.filter(~unknown).withColumn("__rank", F.row_number().over(window))
-              .filter("__rank = 1").drop("__rank"))
-    return ranked.unionAll(df.filter(unknown))
+
+    def first(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        window = Window.partitionBy(*by).orderBy(*order, *rest)
+        return rows.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
+
+    if scanned:
+        number = F.when(unknown, F.monotonically_increasing_id()).otherwise(F.lit(-1))
+        return first(df.withColumn("__number", number), [*keys, "__number"]).drop("__number")
+    return first(df.filter(~unknown), keys).unionAll(df.filter(unknown))
 
 
 def learn_names(pairs: DataFrame, code: str = "code", name: str = "name") -> DataFrame:

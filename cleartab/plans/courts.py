@@ -20,9 +20,10 @@ def in_subset(raw: DataFrame, subset: str) -> DataFrame:
     return raw.filter(slices.selected(subjects, book.SUBSETS[subset], book.NOT_WOMAN))
 
 
-def latest_documents(raw: DataFrame) -> DataFrame:
+def latest_documents(raw: DataFrame, scanned: bool = False) -> DataFrame:
     """The last version of each document; documents without id stay apart."""
-    return versions.latest_version(raw, ["id"], [F.col("dataHoraUltimaAtualizacao").desc()])
+    return versions.latest_version(raw, ["id"], [F.col("dataHoraUltimaAtualizacao").desc()],
+                                   scanned)
 
 
 def with_subjects(documents: DataFrame) -> DataFrame:
@@ -92,11 +93,11 @@ def project(documents: DataFrame, names: versions.Names, last_year: int) -> Data
     )
 
 
-def build(raw: DataFrame, last_year: int, area: Staging) -> DataFrame:
-    """Raw documents to the published table. The deduplicated and parsed documents
+def build(raw: DataFrame, last_year: int, area: Staging, scanned: bool = True) -> DataFrame:
+    """Raw documents, as ``read_ndjson`` gives them, to the published table. The deduplicated and parsed documents
     are used twice, so they are staged once as Parquet; learning the names then
     reads only the two lists."""
-    documents = area.table(with_subjects(latest_documents(raw)), "documents")
+    documents = area.table(with_subjects(latest_documents(raw, scanned)), "documents")
     names = versions.Names.of(learn_subject_names(documents))
     if names.entries is None:
         # File and position identify a staged row, also after a task is repeated.

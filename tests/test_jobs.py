@@ -264,3 +264,27 @@ def test_latest_version_keeps_null_ids(spark):
     df = spark.createDataFrame([("a", "1", "x"), ("a", "1", "y"), (None, "1", "p"), (None, "1", "p")], "id string, at string, v string")
     got = sorted((r.id or "", r.v) for r in versions.latest_version(df, ["id"], [F.col("at").desc()]).collect())
     assert got == [("", "p"), ("", "p"), ("a", "y")]
+
+
+def test_latest_version_in_one_pass(spark, tmp_path):
+    rows = [("a", "1", "x"), ("a", "2", "y"), ("b", "1", "z")] + [(None, "1", "p")] * 5
+    spark.createDataFrame(rows, "id string, at string, v string").repartition(3).write.json(str(tmp_path / "j"))
+    df = text.read_ndjson(spark, str(tmp_path / "j"), ["id", "at", "v"])
+    one = versions.latest_version(df, ["id"], [F.col("at").desc()], scanned=True)
+    assert one._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("FileScan") == 1
+    assert sorted((r.id or "", r.v) for r in one.collect()) == [("", "p")] * 5 + [("a", "y"), ("b", "z")]
+
+
+def test_unlisted_columns_and_late_arrivals(spark, tmp_path):
+    from cleartab.operators.columns import unlisted_columns
+    from cleartab.streaming import documents as stream
+
+    assert [r[0] for r in unlisted_columns(spark.range(1).withColumn("z", F.lit(1)), ["id"]).collect()] == ["z"]
+    paths = [str(tmp_path / n) for n in ("in", "store", "progress")]
+    args = (["id", "at"], ["id"], [F.col("at").desc()])
+    publish.append_ndjson(spark.createDataFrame([("a", "2"), ("b", "1")], "id string, at string"), paths[0])
+    stream.ingest(spark, *paths, *args)
+    stream.ingest(spark, *paths, *args)  # nothing new
+    publish.append_ndjson(spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "1")], "id string, at string"), paths[0])
+    stream.ingest(spark, *paths, *args)
+    assert sorted(tuple(r) for r in stream.current(spark, paths[1], *args).collect()) == [("a", "2"), ("b", "2"), ("c", "1")]
