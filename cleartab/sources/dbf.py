@@ -7,6 +7,7 @@ text, so files whose column types drift can be united.
 
 from __future__ import annotations
 
+import datetime
 import json
 import struct
 from collections.abc import Iterator, Sequence
@@ -71,10 +72,10 @@ def _float(text: str) -> str | None:
 
 
 def _date(text: str) -> str | None:
-    stamp = pd.to_datetime(text[:8], format="%Y%m%d", errors="coerce")
-    if stamp is pd.NaT or not text[:8].isdigit():
+    try:
+        return datetime.date(int(text[:4]), int(text[4:6]), int(text[6:8])).isoformat()
+    except ValueError:
         return None
-    return stamp.strftime("%Y-%m-%d")
 
 
 _TRUE, _FALSE = set("Tyt"), set("NnFf")

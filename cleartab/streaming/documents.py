@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cleartab.operators.versions import latest_version
 
@@ -27,7 +26,7 @@ def ingest(spark: SparkSession, source: str, store: str, checkpoint: str, fields
     schema = ", ".join(f"`{f}` string" for f in fields)
 
     def write(batch: DataFrame, number: int) -> None:
-        (latest_version(batch, keys, order).write.mode("overwrite")
+        (latest_version(batch, keys, order, scanned=True).write.mode("overwrite")
          .parquet(f"{store}/{BATCH}={number}"))
 
     query = (spark.readStream.schema(schema).json(source)
@@ -43,7 +42,3 @@ def current(spark: SparkSession, store: str, fields: Sequence[str], keys: Sequen
     schema = ", ".join([*(f"`{f}` string" for f in fields), f"{BATCH} bigint"])
     rows = spark.read.schema(schema).parquet(store).drop(BATCH)
     return latest_version(rows, keys, order)
-
-
-def by_update(column: str) -> list[Column]:
-    return [F.col(column).desc()]
