@@ -20,6 +20,7 @@ from cleartab.plans import (catalog, courts, geography, incremental, mortality,
                             raw_store, survey_dictionary, survey_fixed)
 from cleartab.queries import query, table
 from cleartab.queries.dbf_files import write_dbf
+from cleartab.queries.values import CALENDAR
 from cleartab.session import Staging, staging_path
 from cleartab.sources import text as scans
 from cleartab.sources.dbf import read_dbf
@@ -286,27 +287,49 @@ _FORM_SQL = ", ".join([*(f'{"NULL::VARCHAR" if c in _ABSENT else e} AS "{c}"' fo
                        "'VIOLBR' || o_orderstatus || '.dbc' AS _ARQUIVO_ORIGEM"])
 
 
-def _marks(book: dict) -> str:
-    options = ", ".join(f"CASE WHEN {c} = '1' THEN '{label}' END" for c, label in book.items())
-    return f"list_sort(list_distinct(list_filter([{options}], lambda x: x IS NOT NULL)))"
+_B = form_book
+# Output lists and the form columns that mark their labels.
+_MARKED = {"TIPOS_VIOLENCIA": _B.VIOLENCE_TYPE, "MEIOS_AGRESSAO": _B.MEANS, "TIPOS_VIOLENCIA_SEXUAL": _B.SEXUAL_TYPE,
+           "DEFICIENCIAS": _B.DISABILITY, "ENCAMINHAMENTOS": _B.REFERRAL, "VINCULOS_AGRESSOR": _B.RELATIONSHIP}
+_BOXES = list(dict.fromkeys([c for book in _MARKED.values() for c in book] + [*_B.INTIMATE_PARTNER, *_B.FAMILY, "VIOL_SEXU"]))
 
 
-def _marks_text(book: dict, name: str) -> str:
-    return f"list_aggregate({_marks(book)}, 'string_agg', ', ') AS {name}"
+def _values(rows) -> str:
+    return "VALUES " + ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
 
 
-def _any(columns: list[str]) -> str:
-    return " OR ".join(f"{c} = '1'" for c in columns)
+def _group(name: str, columns: list[str]) -> list[tuple[str, str]]:
+    return [(name, c) for c in columns]
 
 
-_B = form_book
-_DATE = "coalesce(CAST(try_strptime({c}, '%Y%m%d') AS DATE), TRY_CAST({c} AS DATE))"
-_NOTIFIED, _OCCURRED, _CLOSED = (_DATE.format(c=c) for c in ("DT_NOTIFIC", "DT_OCOR", "DT_ENCERRA"))
+# One row per form and ticked or answered box; lists and signs are then joins with what a box stands for.
+_FORMS = f"""
+WITH {CALENDAR},
+form AS MATERIALIZED (SELECT row_number() OVER () AS r, {_FORM_SQL} FROM orders),
+chosen AS MATERIALIZED (SELECT * FROM form WHERE CS_SEXO = 'F' AND LES_AUTOP IS DISTINCT FROM '1'
+  AND NDUPLIC IS DISTINCT FROM '2' AND NDUPLIC_N IS DISTINCT FROM '2'),
+box AS MATERIALIZED (SELECT r, item, mark FROM (SELECT r, {", ".join(_BOXES)} FROM chosen)
+  UNPIVOT (mark FOR item IN ({", ".join(_BOXES)}))),
+book(list, item, label) AS ({_values((n, c, label) for n, book in _MARKED.items() for c, label in book.items())}),
+listed AS (SELECT r, list, string_agg(label, ', ' ORDER BY label) AS labels, count(*) AS n
+  FROM (SELECT DISTINCT r, list, label FROM box JOIN book USING (item) WHERE mark = '1') GROUP BY r, list),
+sign(sign, item) AS ({_values(_group('partner', _B.INTIMATE_PARTNER) + _group('family', _B.FAMILY)
+                              + _group('gender', ['VIOL_SEXU', *_B.INTIMATE_PARTNER]))}),
+signed AS (SELECT r, count(*) FILTER (sign = 'partner' AND mark = '1') > 0 AS partner,
+  count(*) FILTER (sign = 'family' AND mark = '1') > 0 AS family,
+  count(*) FILTER (sign = 'gender' AND mark = '1') > 0 AS gender,
+  count(*) FILTER (sign = 'gender' AND mark IN ('1', '2')) > 0 AS told FROM box JOIN sign USING (item) GROUP BY r),
+f AS (SELECT chosen.*, n.d AS notified, o.d AS occurred, e.d AS closed FROM chosen
+  LEFT JOIN written n ON n.form = DT_NOTIFIC LEFT JOIN written o ON o.form = DT_OCOR LEFT JOIN written e ON e.form = DT_ENCERRA)"""
+
+
+def _listed(name: str) -> str:
+    return f"(SELECT labels FROM listed WHERE listed.r = f.r AND list = '{name}') AS {name}"
 
 
-@query("job_notifications", f"""
-SELECT {_NOTIFIED} AS DT_NOTIFICACAO, TRY_CAST(NU_ANO AS INTEGER) AS ANO_NOTIFICACAO, {_OCCURRED} AS DT_OCORRENCIA,
-  HORA_OCOR AS HORA_OCORRENCIA, {_OCCURRED} <= {_NOTIFIED} AS DATAS_CONSISTENTES, SG_UF_NOT AS UF_NOTIFICACAO,
+@query("job_notifications", f"""{_FORMS}
+SELECT notified AS DT_NOTIFICACAO, TRY_CAST(NU_ANO AS INTEGER) AS ANO_NOTIFICACAO, occurred AS DT_OCORRENCIA,
+  HORA_OCOR AS HORA_OCORRENCIA, occurred <= notified AS DATAS_CONSISTENTES, SG_UF_NOT AS UF_NOTIFICACAO,
   ID_MUNICIP AS COD_MUNICIPIO_NOTIFIC, {_label(_B.NOTIFYING_UNIT, 'TP_UNI_EXT', 'UNIDADE_NOTIFICADORA')},
   CASE WHEN regexp_full_match(NU_IDADE_N, '4[0-9]+') AND NU_IDADE_N[2:]::INTEGER <= 120 THEN NU_IDADE_N[2:]::INTEGER
        WHEN regexp_full_match(NU_IDADE_N, '[123][0-9]+') THEN 0 END AS IDADE_ANOS, NU_IDADE_N AS IDADE_CODIGO_ORIGEM,
@@ -318,19 +341,17 @@ SELECT {_NOTIFIED} AS DT_NOTIFICACAO, TRY_CAST(NU_ANO AS INTEGER) AS ANO_NOTIFIC
   SG_UF_OCOR AS UF_OCORRENCIA, ID_MN_OCOR AS COD_MUNICIPIO_OCOR, {_label(_B.ZONE, 'ZONA_OCOR', 'ZONA_OCORRENCIA')},
   {_label(_B.PLACE, 'LOCAL_OCOR', 'LOCAL_OCORRENCIA')}, {_label(_B.YES_NO, 'OUT_VEZES', 'VIOLENCIA_DE_REPETICAO')},
   {_label(_B.YES_NO_NA, 'LES_AUTOP', 'LESAO_AUTOPROVOCADA')}, {_label(_B.MOTIVE, 'VIOL_MOTIV', 'VIOLENCIA_MOTIVADA_POR')},
-  {_marks_text(_B.VIOLENCE_TYPE, 'TIPOS_VIOLENCIA')}, {_marks_text(_B.MEANS, 'MEIOS_AGRESSAO')},
-  {_marks_text(_B.SEXUAL_TYPE, 'TIPOS_VIOLENCIA_SEXUAL')}, {_marks_text(_B.DISABILITY, 'DEFICIENCIAS')},
-  {_marks_text(_B.REFERRAL, 'ENCAMINHAMENTOS')}, coalesce({_any(_B.INTIMATE_PARTNER)}, false) AS AGRESSOR_PARCEIRO_INTIMO,
-  coalesce({_any(_B.FAMILY)}, false) AS AGRESSOR_FAMILIAR,
-  CASE WHEN {_any(['VIOL_SEXU', *_B.INTIMATE_PARTNER])} OR VIOL_MOTIV IN ('1', '01') THEN 'SIM'
-       WHEN {" OR ".join(f"{c} IN ('1', '2')" for c in ['VIOL_SEXU', *_B.INTIMATE_PARTNER])} THEN 'NAO' END AS INDICIO_VIOLENCIA_GENERO,
+  {_listed('TIPOS_VIOLENCIA')}, {_listed('MEIOS_AGRESSAO')},
+  {_listed('TIPOS_VIOLENCIA_SEXUAL')}, {_listed('DEFICIENCIAS')},
+  {_listed('ENCAMINHAMENTOS')}, coalesce(partner, false) AS AGRESSOR_PARCEIRO_INTIMO,
+  coalesce(family, false) AS AGRESSOR_FAMILIAR,
+  CASE WHEN gender OR VIOL_MOTIV IN ('1', '01') THEN 'SIM' WHEN told THEN 'NAO' END AS INDICIO_VIOLENCIA_GENERO,
   {_label(_B.NUMBER_INVOLVED, 'NUM_ENVOLV', 'NUMERO_ENVOLVIDOS')}, {_label(_B.AGGRESSOR_SEX, 'AUTOR_SEXO', 'SEXO_AGRESSOR')},
   {_label(_B.AGGRESSOR_LIFE_STAGE, 'coalesce(CICL_VID, CICL_VID_AUTOR)', 'CICLO_VIDA_AGRESSOR')},
   {_label(_B.YES_NO, 'AUTOR_ALCO', 'AGRESSOR_SUSPEITA_ALCOOL')}, {_label(_B.YES_NO, 'REL_TRAB', 'VIOLENCIA_RELACIONADA_TRABALHO')},
-  CIRC_LESAO AS CID_CIRCUNSTANCIA_LESAO, {_CLOSED} AS DT_ENCERRAMENTO, _ARQUIVO_ORIGEM,
-  {_marks_text(_B.RELATIONSHIP, 'VINCULOS_AGRESSOR')}, len({_marks(_B.RELATIONSHIP)}) AS QTD_VINCULOS_AGRESSOR
-FROM (SELECT {_FORM_SQL} FROM orders)
-WHERE CS_SEXO = 'F' AND LES_AUTOP IS DISTINCT FROM '1' AND NDUPLIC IS DISTINCT FROM '2' AND NDUPLIC_N IS DISTINCT FROM '2'
+  CIRC_LESAO AS CID_CIRCUNSTANCIA_LESAO, closed AS DT_ENCERRAMENTO, _ARQUIVO_ORIGEM,
+  {_listed('VINCULOS_AGRESSOR')}, coalesce((SELECT n FROM listed WHERE listed.r = f.r AND list = 'VINCULOS_AGRESSOR'), 0) AS QTD_VINCULOS_AGRESSOR
+FROM f LEFT JOIN signed USING (r)
 """)
 def job_notifications(spark, folder):
     rows = table(spark, folder, "orders").selectExpr(
@@ -380,16 +401,18 @@ def _write_documents(spark, folder) -> str:
 
 _N = court_book
 _WITH_CASES = f"""
-WITH raw AS (SELECT {_DOCUMENT_SQL} FROM orders),
+WITH {CALENDAR}, raw AS (SELECT {_DOCUMENT_SQL} FROM orders),
 latest AS (SELECT * FROM raw QUALIFY id IS NULL OR row_number() OVER (PARTITION BY id ORDER BY "dataHoraUltimaAtualizacao" DESC) = 1),
 parsed AS (SELECT *, list_transform(json_extract(assuntos::JSON, '$..codigo'), lambda c: TRY_CAST(c AS INTEGER)) AS codes,
                   list_transform(json_extract(assuntos::JSON, '$..nome'), lambda n: n ->> '$') AS labels FROM latest),
 known AS (SELECT c, min(n) AS n FROM (SELECT unnest(codes) AS c, unnest(labels) AS n FROM parsed WHERE len(codes) = len(labels)) GROUP BY c),
-dated AS (SELECT *, CASE WHEN regexp_full_match("dataAjuizamento", '[0-9]{{14}}') THEN CAST(try_strptime("dataAjuizamento", '%Y%m%d%H%M%S') AS DATE)
-                         WHEN "dataAjuizamento" LIKE '%T%' THEN TRY_CAST("dataAjuizamento"[1:10] AS DATE)
-                         WHEN length("dataAjuizamento") BETWEEN 10 AND 13 THEN CAST(make_timestamp_ms("dataAjuizamento"::BIGINT) AS DATE) END AS day0,
-                 CASE WHEN length("numeroProcesso") = 20 AND "numeroProcesso"[10:13]::INTEGER BETWEEN 1990 AND 2026
-                      THEN "numeroProcesso"[10:13]::INTEGER END AS year0 FROM parsed)"""
+moment AS (SELECT DISTINCT "dataAjuizamento" AS m FROM parsed),
+placed AS (SELECT m, d FROM moment JOIN calendar ON compact = m[1:8] WHERE length(m) = 14 AND NOT regexp_matches(m, '[^0-9]')
+  UNION ALL SELECT m, d FROM moment JOIN calendar ON starts_with(m, iso || 'T')
+  UNION ALL SELECT m, d FROM moment JOIN calendar ON epoch(d) = CASE WHEN NOT regexp_matches(m, '[^0-9]')
+    AND length(m) BETWEEN 10 AND 13 THEN m::BIGINT // 86400000 * 86400 END),
+dated AS (SELECT parsed.*, d AS day0, CASE WHEN length("numeroProcesso") = 20 AND "numeroProcesso"[10:13]::INTEGER BETWEEN 1990 AND 2026
+                      THEN "numeroProcesso"[10:13]::INTEGER END AS year0 FROM parsed LEFT JOIN placed ON m = "dataAjuizamento")"""
 
 
 def _has(codes: list[int]) -> str:
@@ -403,7 +426,10 @@ listed AS (
         FROM (SELECT id, "orgaoJulgador" AS orgao, code, min(pos) AS pos FROM (
                 SELECT id, "orgaoJulgador", unnest(codes) AS code, generate_subscripts(codes, 1) AS pos FROM parsed)
               WHERE code IS NOT NULL GROUP BY ALL) u
-        LEFT JOIN known k ON k.c = u.code) GROUP BY ALL)
+        LEFT JOIN known k ON k.c = u.code) GROUP BY ALL),
+sorted AS (
+  SELECT orgao, string_agg(code::VARCHAR, ', ' ORDER BY code) AS code_text
+  FROM (SELECT DISTINCT "orgaoJulgador" AS orgao, unnest(codes) AS code FROM parsed) WHERE code IS NOT NULL GROUP BY orgao)
 SELECT d.id AS ID_DATAJUD, "numeroProcesso" AS NUMERO_PROCESSO, tribunal AS TRIBUNAL,
   {sql_map(_N.STATE_OF_COURT)}[tribunal] AS UF, grau AS GRAU,
   CASE WHEN year(day0) BETWEEN 1990 AND 2026 THEN day0 END AS DT_AJUIZAMENTO, "dataAjuizamento" AS DT_AJUIZAMENTO_ORIGEM,
@@ -411,7 +437,7 @@ SELECT d.id AS ID_DATAJUD, "numeroProcesso" AS NUMERO_PROCESSO, tribunal AS TRIB
   CASE WHEN DT_AJUIZAMENTO IS NOT NULL THEN 'DATA' WHEN year0 IS NOT NULL THEN 'NUMERO_PROCESSO' END AS ORIGEM_ANO_AJUIZAMENTO,
   TRY_CAST(classe::JSON ->> '$.codigo' AS BIGINT) AS COD_CLASSE, classe::JSON ->> '$.nome' AS CLASSE,
   len(codes) AS QTD_ASSUNTOS, len(codes) > 20 AS ASSUNTOS_IMPLAUSIVEL, l.names AS ASSUNTOS,
-  list_aggregate(list_sort(list_distinct(codes)), 'string_agg', ', ') AS COD_ASSUNTOS,
+  s.code_text AS COD_ASSUNTOS,
   {_has(_N.FEMICIDE)} AS TEM_FEMINICIDIO, {_has(_N.PROTECTIVE_BREACH)} AS TEM_DESCUMPRIMENTO_PROTETIVA,
   COD_CLASSE IN (1268, 12423) AS EH_MEDIDA_PROTETIVA, {_has(_N.DOMESTIC_CONTEXT)} AS TEM_CONTEXTO_DOMESTICO,
   {_has(_N.TYPIFIED)} AS TEM_VIOLENCIA_TIPIFICADA, {_has(_N.ATTEMPT)} AS TEM_CRIME_TENTADO,
@@ -419,7 +445,7 @@ SELECT d.id AS ID_DATAJUD, "numeroProcesso" AS NUMERO_PROCESSO, tribunal AS TRIB
   TRY_CAST("orgaoJulgador"::JSON ->> '$.codigo' AS BIGINT) AS COD_ORGAO_JULGADOR, 'Vara' AS ORGAO_JULGADOR,
   TRY_CAST("orgaoJulgador"::JSON ->> '$.codigoMunicipioIBGE' AS BIGINT) AS COD_MUNICIPIO_IBGE, 'Eletronico' AS FORMATO,
   TRY_CAST("nivelSigilo" AS INTEGER) AS NIVEL_SIGILO, TRY_CAST("dataHoraUltimaAtualizacao" AS TIMESTAMP) AS DT_ULTIMA_ATUALIZACAO
-FROM dated d LEFT JOIN listed l ON l.orgao = d."orgaoJulgador"
+FROM dated d LEFT JOIN listed l ON l.orgao = d."orgaoJulgador" LEFT JOIN sorted s ON s.orgao = d."orgaoJulgador"
 """)
 def job_courts(spark, folder):
     raw = scans.read_ndjson(spark, _write_documents(spark, folder), court_book.FIELDS)
@@ -524,7 +550,7 @@ SELECT {_survey_select(_S.SPANS_2019, _S.BOOKS_2019)},
          OR coalesce(raw_sex IN ('01', '02', '03'), false) AS parceiro_intimo
 FROM (SELECT {", ".join(f"{e} AS {c}" for c, e in INPUT_2019.items())}, psi_agressor AS raw_psi, fis_agressor AS raw_fis,
              sex_agressor AS raw_sex FROM customer)
-WHERE sexo = '2' AND ({_any(_S.ACTS_2019)})
+WHERE sexo = '2' AND '1' IN ({", ".join(_S.ACTS_2019)})
 """)
 def job_survey_2019(spark, folder):
     path = written(table(spark, folder, "customer").selectExpr(f"{_survey_line(_S.SPANS_2019, INPUT_2019)} AS value"), "pns19", "text")

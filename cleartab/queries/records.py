@@ -128,14 +128,15 @@ def lookup_broadcast(spark, folder):
 
 
 @query("multi_mark_list", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       list_aggregate(marks, 'string_agg', ', ') AS labels, len(marks) AS n_labels
-FROM (SELECT *, list_sort(list_distinct(list_filter([
-        CASE WHEN l_discount >= 0.05 THEN 'REDUCED' END,
-        CASE WHEN l_tax >= 0.06 THEN 'TAXED' END,
-        CASE WHEN l_quantity >= 40 THEN 'BULK' END,
-        CASE WHEN l_returnflag = 'R' THEN 'REDUCED' END], lambda x: x IS NOT NULL))) AS marks
-      FROM lineitem)
+WITH line AS MATERIALIZED (SELECT *, row_number() OVER () AS r FROM lineitem),
+mark AS (
+  SELECT r, 'REDUCED' AS label FROM line WHERE l_discount >= 0.05
+  UNION SELECT r, 'REDUCED' FROM line WHERE l_returnflag = 'R'
+  UNION SELECT r, 'TAXED' FROM line WHERE l_tax >= 0.06
+  UNION SELECT r, 'BULK' FROM line WHERE l_quantity >= 40),
+found AS (SELECT r, string_agg(label, ', ' ORDER BY label) AS labels, count(*) AS n FROM mark GROUP BY r)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, labels, coalesce(n, 0) AS n_labels
+FROM line LEFT JOIN found USING (r)
 """)
 def multi_mark_list(spark, folder):
     def mark(condition):
@@ -224,11 +225,17 @@ def _word_codes():
     return F.transform(F.split("text", " "), lambda w: F.when(F.length(w) <= 12, F.length(w)))
 
 
+# One row per word of a text, in order.
+_WORD_ROWS = """word AS (SELECT doc_id, unnest(codes) AS code, generate_subscripts(codes, 1) AS pos FROM coded)"""
+
+
 @query("list_codes_text", f"""
-SELECT doc_id, len(codes) AS n_codes, len(codes) > 400 AS implausible,
-       list_aggregate(list_sort(list_distinct(codes)), 'string_agg', ', ') AS code_text,
-       list_aggregate(list_filter(codes, lambda x: x > 11), 'string_agg', '|') AS long_text
-FROM (SELECT doc_id, {_WORDS_SQL} AS codes FROM documents)
+WITH coded AS (SELECT doc_id, {_WORDS_SQL} AS codes FROM documents), {_WORD_ROWS},
+short AS (SELECT doc_id, string_agg(code::VARCHAR, ', ' ORDER BY code) AS code_text
+          FROM (SELECT DISTINCT doc_id, code FROM word WHERE code IS NOT NULL) GROUP BY doc_id),
+long AS (SELECT doc_id, string_agg(code::VARCHAR, '|' ORDER BY pos) AS long_text FROM word WHERE code > 11 GROUP BY doc_id)
+SELECT doc_id, len(codes) AS n_codes, len(codes) > 400 AS implausible, code_text, long_text
+FROM coded LEFT JOIN short USING (doc_id) LEFT JOIN long USING (doc_id)
 """)
 def list_codes_text(spark, folder):
     rows = table(spark, folder, "documents").select("doc_id", _word_codes().alias("codes"))
@@ -242,14 +249,15 @@ def list_codes_text(spark, folder):
 
 
 @query("list_priority", f"""
-SELECT doc_id, list_has_any(codes, [11, 12]) AS has_long, list_has_any(codes, [99]) AS has_none,
-       list_aggregate(list_transform(list_sort(list_distinct(list_transform(
-           list_filter(codes, lambda x: x IS NOT NULL),
-           lambda x: [coalesce(MAP {{9: 10, 4: 20, 5: 20, 0: 30}}[x], 99),
-                      list_position(codes, x)]))),
-         lambda p: coalesce(MAP {{4: 'four', 5: 'five', 9: 'nine'}}[codes[p[2]]],
-                            'ASSUNTO ' || codes[p[2]])), 'string_agg', ', ') AS names
-FROM (SELECT doc_id, {_WORDS_SQL} AS codes FROM documents)
+WITH coded AS (SELECT doc_id, {_WORDS_SQL} AS codes FROM documents), {_WORD_ROWS},
+rule(code, rank) AS (VALUES (9, 10), (4, 20), (5, 20), (0, 30)),
+title(code, name) AS (VALUES (4, 'four'), (5, 'five'), (9, 'nine')),
+first AS (SELECT doc_id, code, min(pos) AS pos FROM word WHERE code IS NOT NULL GROUP BY doc_id, code),
+named AS (SELECT doc_id, string_agg(coalesce(name, 'ASSUNTO ' || code), ', ' ORDER BY coalesce(rank, 99), pos) AS names
+          FROM first LEFT JOIN rule USING (code) LEFT JOIN title USING (code) GROUP BY doc_id),
+seen AS (SELECT doc_id, count(*) FILTER (code IN (11, 12)) > 0 AS has_long, count(*) FILTER (code = 99) > 0 AS has_none
+         FROM word GROUP BY doc_id)
+SELECT doc_id, has_long, has_none, names FROM seen LEFT JOIN named USING (doc_id)
 """)
 def list_priority(spark, folder):
     rows = table(spark, folder, "documents").select("doc_id", _word_codes().alias("codes"))

@@ -25,9 +25,17 @@ def _day_texts(spark, folder):
     return table(spark, folder, "orders").select("o_orderkey", day.alias("day"))
 
 
+# Every day of the years in question with the ways to write it, to look texts up in.
+CALENDAR = """calendar AS (SELECT d::DATE AS d, strftime(d, '%Y%m%d') AS compact, strftime(d, '%Y-%m-%d') AS iso
+  FROM range(TIMESTAMP '1900-01-01', TIMESTAMP '2100-01-01', INTERVAL 1 DAY) AS days(d)),
+written AS (SELECT d, compact AS form FROM calendar UNION ALL SELECT d, iso FROM calendar)"""
+
+
 @query("date_two_formats", f"""
-SELECT o_orderkey, coalesce(CAST(try_strptime(day, '%Y%m%d') AS DATE), TRY_CAST(day AS DATE)) AS day
-FROM {_DAY_TEXTS}
+WITH {CALENDAR}
+SELECT o_orderkey, d AS day
+FROM (SELECT o_orderkey, regexp_replace(replace(day, '/', '-'), ' .*', '') AS form FROM {_DAY_TEXTS})
+LEFT JOIN written USING (form)
 """)
 def date_two_formats(spark, folder):
     return _day_texts(spark, folder).select(
@@ -35,10 +43,10 @@ def date_two_formats(spark, folder):
 
 
 @query("date_consistency", f"""
-SELECT o_orderkey, a <= b AS consistent FROM (
-  SELECT o_orderkey, coalesce(CAST(try_strptime(day, '%Y%m%d') AS DATE), TRY_CAST(day AS DATE)) AS a,
-         nullif(DATE '1998-06-15', CASE WHEN o_orderkey % 5 = 0 THEN DATE '1998-06-15' END) AS b
-  FROM {_DAY_TEXTS})
+WITH {CALENDAR}
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN d <= DATE '1998-06-15' END AS consistent
+FROM (SELECT o_orderkey, regexp_replace(replace(day, '/', '-'), ' .*', '') AS form FROM {_DAY_TEXTS})
+LEFT JOIN written USING (form)
 """)
 def date_consistency(spark, folder):
     limit = F.when(F.col("o_orderkey") % 5 != 0, F.lit("1998-06-15").cast("date"))
@@ -55,10 +63,17 @@ _MOMENTS = """(SELECT event_id, CASE event_id % 9
   lpad(event_id::VARCHAR, 9, '0') || (CASE WHEN event_id % 4 = 0 THEN 1950 ELSE 1995 + event_id % 25 END)
     || CASE WHEN event_id % 5 = 0 THEN '826000' ELSE '8260001' END AS number
   FROM events)"""
-_MOMENT_DATE = """CASE WHEN regexp_full_match(moment, '[0-9]{14}')
-      THEN CAST(try_strptime(moment, '%Y%m%d%H%M%S') AS DATE)
-    WHEN regexp_full_match(moment, '[0-9]{4}-[0-9]{2}-[0-9]{2}T.*') THEN TRY_CAST(substr(moment, 1, 10) AS DATE)
-    WHEN regexp_full_match(moment, '[0-9]{10,13}') THEN CAST(make_timestamp_ms(moment::BIGINT) AS DATE) END"""
+# The date of each moment, looked up: by all fourteen digits of a valid time, by the day before a T, or by the
+# day that a count of milliseconds falls into.
+_DATED = f"""WITH {CALENDAR}, moments AS (SELECT * FROM {_MOMENTS}),
+by_digits AS (SELECT event_id, d FROM moments JOIN calendar ON compact = substr(moment, 1, 8)
+  WHERE length(moment) = 14 AND substr(moment, 9, 2) < '24' AND substr(moment, 11, 2) < '60'
+    AND substr(moment, 13, 2) < '60' AND NOT regexp_matches(moment, '[^0-9]')),
+by_iso AS (SELECT event_id, d FROM moments JOIN calendar ON starts_with(moment, iso || 'T')),
+by_count AS (SELECT event_id, d FROM (SELECT event_id, moment::BIGINT // 86400000 AS n FROM moments
+  WHERE length(moment) BETWEEN 10 AND 13 AND NOT regexp_matches(moment, '[^0-9]')) JOIN calendar ON epoch(d) = n * 86400),
+dated AS (SELECT event_id, moment, number, d FROM moments LEFT JOIN (
+  SELECT * FROM by_digits UNION ALL SELECT * FROM by_iso UNION ALL SELECT * FROM by_count) USING (event_id))"""
 
 
 def _moments(spark, folder):
@@ -83,8 +98,8 @@ def _moments(spark, folder):
 
 
 @query("date_three_formats", f"""
-SELECT event_id, moment, CASE WHEN year(d) BETWEEN 1990 AND 2026 THEN d END AS day
-FROM (SELECT event_id, moment, {_MOMENT_DATE} AS d FROM {_MOMENTS})
+{_DATED}
+SELECT event_id, moment, CASE WHEN year(d) BETWEEN 1990 AND 2026 THEN d END AS day FROM dated
 """)
 def date_three_formats(spark, folder):
     day = dates.within_years(dates.date_three_formats(F.col("moment")), 1990, 2026)
@@ -92,13 +107,13 @@ def date_three_formats(spark, folder):
 
 
 @query("year_fallback", f"""
+{_DATED}
 SELECT event_id, coalesce(year(d), y)::BIGINT AS year,
        CASE WHEN d IS NOT NULL THEN 'DATA' WHEN y IS NOT NULL THEN 'NUMERO_PROCESSO' END AS origin
 FROM (SELECT event_id, CASE WHEN year(m) BETWEEN 1990 AND 2026 THEN m END AS d,
              CASE WHEN n BETWEEN 1990 AND 2026 THEN n END AS y
-      FROM (SELECT event_id, {_MOMENT_DATE} AS m,
-                   CASE WHEN regexp_full_match(number, '[0-9]{{20}}') THEN substr(number, 10, 4)::INTEGER END AS n
-            FROM {_MOMENTS}))
+      FROM (SELECT event_id, d AS m, CASE WHEN length(number) = 20 THEN substr(number, 10, 4)::INTEGER END AS n
+            FROM dated))
 """)
 def year_fallback(spark, folder):
     d, y = F.col("d"), F.col("y")
