@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 
 from cleartab.functions.text import full_match
 
-LITERAL_MAP_LIMIT = 64
-"""Entries up to which a literal map, searched one by one, beats a hash join."""
-
-
 def literal_map(book: Mapping) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(book.items())])
 
@@ -51,18 +47,11 @@ def lookup_table(df: DataFrame, column: str, book: DataFrame, code: str, label:
 
 
 def decode(df: DataFrame, books: Mapping[str, Mapping], missing: str = "keep") -> DataFrame:
-    """Decode many columns in one projection. Books beyond the literal limit go
-    through a join with their (driver-made, hence bounded) table."""
-    small = {c: b for c, b in books.items() if c in df.columns and len(b) <= LITERAL_MAP_LIMIT}
-    large = {c: b for c, b in books.items() if c in df.columns and len(b) > LITERAL_MAP_LIMIT}
-    order = df.columns
-    out = df.select(*[
-        lookup(F.col(f"`{c}`"), small[c], missing).alias(c) if c in small else F.col(f"`{c}`")
+    """Decode many columns in one projection. Books stand in the code and are
+    literal whatever their length; a book read from data is joined (``lookup_table``)."""
+    return df.select(*[
+        lookup(F.col(f"`{c}`"), books[c], missing).alias(c) if books.get(c) else F.col(f"`{c}`")
         for c in df.columns])
-    for column, book in large.items():
-        table = df.sparkSession.createDataFrame(list(book.items()), "code string, label string")
-        out = lookup_table(out, column, table, "code", "label", column, missing)
-    return out.select(*[F.col(f"`{c}`") for c in order])
 
 
 def not_equal_or_null(col: Column, value) -> Column:

@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 
 from cleartab.functions.text import full_match, try_integer
 
-NESTING = 4
-"""Levels of arrays inside arrays that are searched; ``deeper_than`` tells
-whether a value holds more."""
-
-
 def json_text(col: Column, key: str) -> Column:
     return F.get_json_object(col, f"$.{key}")
 
@@ -30,42 +25,57 @@ _MAPS = "array<map<string,string>>"
 _SCALAR = 'null|true|false|-?[0-9][0-9.eE+-]*|".*"'
 
 
-def _elements(text: Column) -> Column:
-    """The elements of a JSON array as texts; null when it is no array."""
-    return F.from_json(text, "array<string>")
+def _depth(text: Column) -> Column:
+    """How deep brackets are nested, those inside quoted strings left out."""
+    bare = F.regexp_replace(text, r'"(?:[^"\\\\]|\\\\.)*+"', "")
+    brackets = F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(s: Column, c: Column) -> Column:
+        now = s["now"] + F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(s["most"], now).alias("most"))
+
+    return F.reduce(brackets, start, step, lambda s: s["most"])
 
 
-def _inner(elements: Column) -> Column:
-    """The elements of all arrays among the elements."""
-    nested = F.filter(elements, lambda e: e.startswith("["))
-    none = F.array().cast("array<string>")
-    return F.flatten(F.transform(nested, lambda e: F.coalesce(_elements(e), none)))
+def _typed(value: Column, kind: str) -> Column:
+    return F.try_variant_get(value, "$", kind)
 
 
-def _as_maps(elements: Column) -> Column:
-    objects = F.filter(elements, lambda e: e.startswith("{"))
-    return F.transform(objects, lambda e: F.from_json(e, "map<string,string>"))
+def _inner(values: Column) -> Column:
+    """What the arrays and objects among the values hold, one level down."""
+    none = F.array().cast("array<variant>")
+    return F.flatten(F.transform(values, lambda v: F.coalesce(
+        _typed(v, "array<variant>"), F.map_values(_typed(v, "map<string,variant>")), none)))
 
 
-def json_objects(col: Column, nesting: int = NESTING) -> Column:
-    """All objects of a JSON array that may hold arrays, as maps of texts: outer
-    objects first, then level by level. A bare object counts as an array of one,
-    any other scalar as none; text that is no JSON gives null.
+def _as_maps(values: Column) -> Column:
+    return F.filter(F.transform(values, lambda v: _typed(v, "map<string,string>")), lambda m: m.isNotNull())
 
-    A flat array of objects, by far the usual case, is parsed in one go; only
-    the others are taken apart.
+
+def json_objects(col: Column) -> Column:
+    """All objects of a JSON value, however deep, as maps of texts: outer objects
+    first, then level by level through arrays and objects. A bare object counts
+    as an array of one, any other scalar as none; text that is no JSON gives null.
+
+    A flat array of objects, by far the usual case, is parsed in one go. Only
+    values that may hold more are parsed into variants, once, and walked as many
+    levels as their brackets nest.
     """
     text = F.trim(col)
     array = F.when(text.startswith("["), text).when(
         text.startswith("{"), F.concat(F.lit("["), text, F.lit("]")))
-    start = F.struct(_elements(array).alias("level"), F.array().cast(_MAPS).alias("found"))
-    mixed = F.reduce(
-        F.sequence(F.lit(1), F.lit(nesting)), start,
+    tail = F.substring(array, 2, 2147483647)
+    # An array in the array, or something opened inside an object. A bracket in a string costs time, no more.
+    nested = tail.contains("[") | tail.rlike(r"\{[^}]*\{")
+    start = F.struct(F.from_json(array, "array<variant>").alias("level"), F.array().cast(_MAPS).alias("found"))
+    walked = F.reduce(
+        F.sequence(F.lit(1), F.greatest(_depth(array), F.lit(1))), start,
         lambda s, _: F.struct(_inner(s["level"]).alias("level"),
                               F.concat(s["found"], _as_maps(s["level"])).alias("found")),
         lambda s: s["found"])
     scalar = F.when(full_match(text, _SCALAR), F.array().cast(_MAPS))
-    return F.coalesce(F.from_json(array, _MAPS), mixed, scalar)
+    return F.coalesce(F.when(~nested, F.from_json(array, _MAPS)), walked, scalar)
 
 
 def values_of(objects: Column, key: str) -> Column:
@@ -79,17 +89,9 @@ def integers_of(objects: Column, key: str) -> Column:
     return F.transform(values_of(objects, key), lambda x: try_integer(x, "int"))
 
 
-def json_values(col: Column, key: str, nesting: int = NESTING) -> Column:
-    return values_of(json_objects(col, nesting), key)
-
-
-def json_integers(col: Column, key: str, nesting: int = NESTING) -> Column:
-    return integers_of(json_objects(col, nesting), key)
+def json_values(col: Column, key: str) -> Column:
+    return values_of(json_objects(col), key)
 
 
-def deeper_than(col: Column, nesting: int = NESTING) -> Column:
-    """True when arrays are nested beyond the searched levels."""
-    level = _elements(F.trim(col))
-    for _ in range(nesting - 1):
-        level = _inner(level)
-    return F.coalesce(F.exists(level, lambda e: e.startswith("[")), F.lit(False))
+def json_integers(col: Column, key: str) -> Column:
+    return integers_of(json_objects(col), key)

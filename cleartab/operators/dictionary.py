@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cleartab.functions import text
-from cleartab.functions.codes import decode, lookup
 from cleartab.operators.columns import ensure_columns
 from cleartab.operators.ordered import forward_fill
 
@@ -20,12 +19,6 @@ CAT_CODE = "Código da categoria"
 CAT_TEXT = "Descrição da categoria"
 NO_CATEGORY = "-"
 
-OPTION_LIMIT = 256
-"""Answer options decoded by a constant map; longer lists are joined."""
-
-VARIABLE_LIMIT = 20_000
-"""Columns a survey table may have; more cannot be one table's schema."""
-
 
 def _filled(col: Column) -> Column:
     return F.coalesce(text.strip(col) != "", F.lit(False))
@@ -83,32 +76,27 @@ def output_names(columns: Sequence[str], names: Mapping[str, str]) -> list[str]:
     return out
 
 
-def apply_dictionary(df: DataFrame, names: Mapping[str, str],
-                     labels: Mapping[str, Mapping[str, str]]) -> DataFrame:
+def apply_dictionary(df: DataFrame, names: Mapping[str, str], categories: DataFrame) -> DataFrame:
     """Recode every listed column (unknown codes stay) and rename all columns.
 
-    All recodes form one projection; the width of the survey bounds it.
+    ``categories(var_code, cat_code, label)`` stays a table: it is folded into one
+    value, a map of maps, that all recodes of the projection share. Its size is
+    that of the questionnaire, not of the data.
     """
-    kept = {c: labels[c] for c in df.columns if labels.get(c)}
-    literal = {c for c, book in kept.items() if len(book) <= OPTION_LIMIT}
-    recoded = df.select(*[
-        F.coalesce(lookup(text.normal_code(F.col(f"`{c}`")), kept[c]), F.col(f"`{c}`")).alias(c)
-        if c in literal else F.col(f"`{c}`") for c in df.columns])
-    recoded = decode(recoded, {c: b for c, b in kept.items() if c not in literal})
-    return recoded.toDF(*output_names(df.columns, names))
+    books = (categories.groupBy("var_code")
+             .agg(F.map_from_entries(F.collect_list(F.struct("cat_code", "label"))).alias("book"))
+             .agg(F.map_from_entries(F.collect_list(F.struct("var_code", "book"))).alias("books")))
+    book = books.scalar()
 
+    def recoded(column: str) -> Column:
+        value = F.col(f"`{column}`")
+        label = F.try_element_at(F.try_element_at(book, F.lit(column)), text.normal_code(value))
+        return F.coalesce(label, value).alias(column)
 
-def collect_dictionary(variables: DataFrame, categories: DataFrame) -> tuple[dict, dict]:
-    """The dictionary of one survey on the driver, where it becomes a schema.
+    out = df.select(*[recoded(c) if c in names else F.col(f"`{c}`") for c in df.columns])
+    return out.toDF(*output_names(df.columns, names))
 
-    It holds one entry per column or answer option; the limit refuses anything
-    that cannot be a dictionary.
-    """
-    rows = variables.select("var_code", "var_name").limit(VARIABLE_LIMIT + 1).collect()
-    options = categories.limit(20 * VARIABLE_LIMIT + 1).collect()
-    if len(rows) > VARIABLE_LIMIT or len(options) > 20 * VARIABLE_LIMIT:
-        raise ValueError("too many entries for a survey dictionary")
-    labels: dict[str, dict[str, str]] = {}
-    for option in options:
-        labels.setdefault(option.var_code, {})[option.cat_code] = option.label
-    return {r.var_code: r.var_name for r in rows}, labels
+
+def collect_names(variables: DataFrame) -> dict[str, str]:
+    """Names by variable code. They become the schema, so the driver needs them."""
+    return {r.var_code: r.var_name for r in variables.select("var_code", "var_name").collect()}

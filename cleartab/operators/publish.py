@@ -52,12 +52,8 @@ def replace_by_source(published: DataFrame, batch: DataFrame, files: Iterable[st
     united by name. File names are compared without case; a file of the batch
     that yields no rows still loses its old ones."""
     names = sorted({f.upper() for f in files})
-    source = F.upper(LINEAGE)
-    if len(names) <= 1000:
-        kept = published.filter(~F.coalesce(source.isin(names), F.lit(False)))
-    else:
-        gone = published.sparkSession.createDataFrame([(n,) for n in names], "__f string")
-        kept = published.join(gone, source == F.col("__f"), "left_anti")
+    gone = published.sparkSession.createDataFrame([(n,) for n in names], "__f string")
+    kept = published.join(gone, F.upper(LINEAGE) == F.col("__f"), "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
 

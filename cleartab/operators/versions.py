@@ -3,22 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cleartab.functions import lists
-from cleartab.functions.codes import literal_map
 
-NAME_LIMIT = 4096
-"""Learned names up to this many are applied as one constant map."""
+
+def _tie_break(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """128 bits that differ where the other columns do; maps are compared as text."""
+    others = [F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in t else F.col(f"`{c}`")
+              for c, t in df.dtypes if c not in keys]
+    # Which columns are null is hashed as well: a hash alone passes over nulls.
+    absent = [F.col(f"`{c}`").isNull() for c in df.columns if c not in keys]
+    if not others:
+        return []
+    return [F.xxhash64(*others, *absent).desc(), F.xxhash64(F.lit(1), *others, *absent).desc()]
 
 
 def latest_version(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                    scanned: bool = False) -> DataFrame:
-    """One row per key: the first under ``order``, then by all other columns, so a
-    tie never depends on how the data is split.
+    """One row per key: the first under ``order``, then by hashes of all other
+    columns, so a tie never depends on how the data is split and the sort carries
+    two numbers, not the row's texts.
 
     Rows with a null key are separate records and all stay; collapsing them would
     lose rows and put them all into one task. The rank limit is applied before
@@ -29,8 +36,7 @@ def latest_version(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     is read straight from files, whose row order is fixed: the rows are then
     numbered instead, and text sources are read and parsed only once.
     """
-    rest = [F.col(f"`{c}`").desc() for c, t in df.dtypes
-            if c not in keys and not t.startswith("map")]
+    rest = _tie_break(df, keys)
     unknown = F.lit(False)
     for key in keys:
         unknown = unknown | F.col(key).isNull()
@@ -66,41 +72,16 @@ def pairs_from_lists(df: DataFrame, codes: Column, names: Column) -> DataFrame:
                                     ("code", "name")))
 
 
-@dataclass
-class Names:
-    """Learned names in the form their number allows: a constant map, or a table."""
-
-    table: DataFrame
-    entries: dict | None
-
-    @classmethod
-    def of(cls, table: DataFrame, limit: int = NAME_LIMIT) -> Names:
-        """``table(code, name)`` with one row per code. At most ``limit + 1`` rows
-        are fetched; beyond the limit the table is joined instead."""
-        rows = table.select("code", "name").limit(limit + 1).collect()
-        small = len(rows) <= limit
-        return cls(table, {r[0]: r[1] for r in rows if r[1] is not None} if small else None)
-
-    def column(self) -> Column:
-        """The map as a column; without entries every lookup is null."""
-        return literal_map(self.entries) if self.entries else F.create_map().cast("map<int,string>")
-
-
-def name_lists(df: DataFrame, key: str, codes: str, names: Names, prefix: str,
-               into: str) -> DataFrame:
+def name_lists(df: DataFrame, key: str, codes: str, names: DataFrame, prefix: str, into: str) -> DataFrame:
     """Replace a list of codes by their joined names, in the list's order.
 
-    With few names this is a projection. With many, the codes are exploded,
-    joined by code and put together again; ``key`` must identify the row.
+    ``names(code, name)`` is a table of any size: the codes are exploded, joined
+    by code (Spark decides on a broadcast, a frequent code is split at run time)
+    and put together again; ``key`` must identify the row.
     """
-    if names.entries is not None:
-        text = lists.join_list(lists.named(F.col(codes), names.column(), prefix))
-        return df.withColumn(into, text)
     items = df.select(key, F.posexplode(codes).alias("__pos", "__code"))
-    decoded = (items.join(names.table.select(F.col("code").alias("__code"), "name"),
-                          "__code", "left")
-               .withColumn("name", F.coalesce("name", F.concat(F.lit(prefix),
-                                                               F.col("__code").cast("string")))))
+    decoded = (items.join(names.select(F.col("code").alias("__code"), "name"), "__code", "left")
+               .withColumn("name", F.coalesce("name", F.concat(F.lit(prefix), F.col("__code").cast("string")))))
     # One list per row of the input, no longer than the list it came from.
     joined = (decoded.groupBy(key)
               .agg(F.sort_array(F.collect_list(F.struct("__pos", "name"))).alias("__l"))

@@ -41,10 +41,9 @@ def learn_subject_names(documents: DataFrame) -> DataFrame:
         documents, F.col("__codes"), F.col("__labels")))
 
 
-def project(documents: DataFrame, names: versions.Names, last_year: int) -> DataFrame:
-    """The published columns of documents ``with_subjects``. The date is computed
-    once and used by all columns that need it. With more names than a constant map may
-    hold, ``documents`` must carry a unique ``__row``."""
+def project(documents: DataFrame, names: DataFrame, last_year: int) -> DataFrame:
+    """The published columns of documents ``with_subjects``, which carry a unique
+    ``__row``. The date is computed once and used by all columns that need it."""
     staged = documents.select(
         "*",
         jsonfields.unquote(F.col("dataAjuizamento")).alias("__raw_date"),
@@ -98,12 +97,10 @@ def build(raw: DataFrame, last_year: int, area: Staging, scanned: bool = True) -
     are used twice, so they are staged once as Parquet; learning the names then
     reads only the two lists."""
     documents = area.table(with_subjects(latest_documents(raw, scanned)), "documents")
-    names = versions.Names.of(learn_subject_names(documents))
-    if names.entries is None:
-        # File and position identify a staged row, also after a task is repeated.
-        documents = documents.withColumn("__row", F.concat_ws(
-            ":", "_metadata.file_name", F.col("_metadata.row_index").cast("string")))
-    return project(documents, names, last_year)
+    # File and position identify a staged row, also after a task is repeated.
+    rows = documents.withColumn("__row", F.concat_ws(
+        ":", "_metadata.file_name", F.col("_metadata.row_index").cast("string")))
+    return project(rows, learn_subject_names(documents), last_year)
 
 
 def run(spark: SparkSession, source: str, target: str, last_year: int) -> int:

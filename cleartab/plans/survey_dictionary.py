@@ -23,8 +23,8 @@ def recode(data: DataFrame, sheet: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(table, unlisted)``: the recoded table, and the columns the dictionary does
     not name (kept as they are)."""
     variables, categories = dictionary.read_dictionary(sheet)
-    names, labels = dictionary.collect_dictionary(variables, categories)
-    return (dictionary.apply_dictionary(data, names, labels),
+    names = dictionary.collect_names(variables)
+    return (dictionary.apply_dictionary(data, names, categories),
             columns.unlisted_columns(data, list(names)))
 
 

@@ -51,9 +51,9 @@ def flagship(spark, folder):
         "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey")
     parts = table(spark, folder, "part").select("p_partkey", "p_size", "p_name")
     latest = versions.latest_version(lines, ["l_orderkey", "l_linenumber"],
-                                     [F.col("l_shipdate").desc()])
-    names = versions.Names.of(versions.learn_names(parts.select(
-        F.col("p_size").alias("code"), F.when(F.col("p_size") <= 40, F.col("p_name")).alias("name"))))
+                                     [F.col("l_shipdate").desc(), F.col("l_partkey").desc()])
+    names = versions.learn_names(parts.select(
+        F.col("p_size").alias("code"), F.when(F.col("p_size") <= 40, F.col("p_name")).alias("name")))
     firsts = (latest.join(parts.drop("p_name"), F.col("l_partkey") == F.col("p_partkey"))
               .groupBy("l_orderkey", F.col("p_size").alias("code"))
               .agg(F.min("l_linenumber").alias("pos")))
@@ -297,11 +297,14 @@ def learn_dictionary(spark, folder):
     return versions.learn_names(pairs)
 
 
-_PROPS = """(SELECT event_id, CASE k % 6
+_PROPS = """(SELECT event_id, CASE k % 9
     WHEN 0 THEN '[{"codigo":' || k || ',"nome":"n' || k || '"},[{"codigo":"' || (k + 1) || '"}],{"codigo":null},{"nome":"x"},{"codigo":"x"}]'
     WHEN 1 THEN '{"codigo":' || k || ',"nome":"bare"}'
     WHEN 2 THEN '[[[{"codigo":' || k || '}],{"codigo":7}],{"codigo":5.6}]'
-    WHEN 3 THEN '[]' WHEN 4 THEN 'null' END AS subjects
+    WHEN 3 THEN '[]' WHEN 4 THEN 'null'
+    WHEN 5 THEN '[[[[[{"codigo":' || k || '}]]]],{"codigo":1}]'
+    WHEN 6 THEN '[[[[[[[{"codigo":' || k || '}],{"codigo":2}]]]]]]'
+    WHEN 7 THEN '[{"codigo":' || k || ',"nome":"[{","filho":{"codigo":3,"neto":[{"codigo":4}]}},{"codigo":5}]' END AS subjects
   FROM (SELECT event_id, json_extract_string(props, '$.k')::INTEGER AS k FROM events))"""
 
 
@@ -312,15 +315,21 @@ FROM (SELECT event_id, list_transform(json_extract(subjects, '$..codigo'),
              lambda c: TRY_CAST(c AS INTEGER)) AS codes FROM {_PROPS})
 """)
 def json_nested_codes(spark, folder):
-    k = jsonfields.json_integer(F.col("props"), "k")
+    rows = table(spark, folder, "events").select("event_id", jsonfields.json_integer(F.col("props"), "k").alias("k"))
+    k = F.col("k")
     t = k.cast("string")
     many = F.concat(F.lit('[{"codigo":'), t, F.lit(',"nome":"n'), t, F.lit('"},[{"codigo":"'),
                     (k + 1).cast("string"), F.lit('"}],{"codigo":null},{"nome":"x"},{"codigo":"x"}]'))
     deep = F.concat(F.lit('[[[{"codigo":'), t, F.lit('}],{"codigo":7}],{"codigo":5.6}]'))
-    subjects = (F.when(k % 6 == 0, many)
-                .when(k % 6 == 1, F.concat(F.lit('{"codigo":'), t, F.lit(',"nome":"bare"}')))
-                .when(k % 6 == 2, deep).when(k % 6 == 3, "[]").when(k % 6 == 4, "null"))
-    rows = table(spark, folder, "events").select("event_id", subjects.alias("s"))
+    child = F.concat(F.lit('[{"codigo":'), t, F.lit(
+        ',"nome":"[{","filho":{"codigo":3,"neto":[{"codigo":4}]}},{"codigo":5}]'))
+    subjects = (F.when(k % 9 == 0, many)
+                .when(k % 9 == 1, F.concat(F.lit('{"codigo":'), t, F.lit(',"nome":"bare"}')))
+                .when(k % 9 == 2, deep).when(k % 9 == 3, "[]").when(k % 9 == 4, "null")
+                .when(k % 9 == 5, F.concat(F.lit('[[[[[{"codigo":'), t, F.lit('}]]]],{"codigo":1}]')))
+                .when(k % 9 == 6, F.concat(F.lit('[[[[[[[{"codigo":'), t, F.lit('}],{"codigo":2}]]]]]]')))
+                .when(k % 9 == 7, child))
+    rows = rows.select("event_id", subjects.alias("s"))
     c = F.col("codes")
     return rows.select("event_id", jsonfields.json_integers(F.col("s"), "codigo").alias("codes")).select(
         "event_id", lists.list_size(c).cast("bigint").alias("n_codes"),

@@ -65,7 +65,10 @@ def test_json_values(values):
         ' [{"codigo": 12.6}] ']) == [
         [1, None, None, 2], [3, 2, 1], [5], [], [], [], None, None, None, [], [2], [13]]
     assert values(lambda c: jsonfields.json_values(c, "nome"), ['[{"nome":"a \\"b\\" ç"},{"codigo":1}]']) == [['a "b" ç']]
-    assert values(lambda c: jsonfields.deeper_than(c, 2), ['[[{"codigo":1}]]', '[[[{"codigo":1}]]]', "null"]) == [False, True, False]
+    assert values(integers, [
+        "[" * 9 + '{"codigo":1}' + "]" * 9, '[{"codigo":1,"filho":{"codigo":2}}]', '[[[[[[[{"codigo":9}]],{"codigo":8}]]]]]',
+        '{"b":[{"codigo":3},{"codigo":{"codigo":4}}],"codigo":7}', '[{"a":"[{\\"codigo\\":4}]"}]', '{"codigo":5,"n":"[x {"}']) == [
+        [1], [1, 2], [8, 9], [7, 3, None, 4], [], [5]]
     assert values(lambda c: jsonfields.json_integer(c, "k"), ['{"k":"3550308.0"}', '{"k":3550308}', '{"k":null}', "x", None]) == [
         3550308, 3550308, None, None, None]
 
@@ -111,7 +114,7 @@ def test_lookup_rules(values):
     assert values(lambda c: codes.lookup(c, book, "default", "-"), ["1", "2", None]) == ["A", "-", "-"]
 
 
-def test_large_book_is_joined(spark):
+def test_large_book(spark):
     book = {str(i): f"label {i}" for i in range(200)}
     df = spark.createDataFrame([("7", "x"), ("999", "y"), (None, "z")], "code string, other string")
     got = {r.other: r.code for r in codes.decode(df, {"code": book}).collect()}
