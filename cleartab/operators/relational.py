@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -44,8 +44,22 @@ def not_in_codes(df: DataFrame, column: str, codes: DataFrame, code: str = "code
     return df.join(keys, F.col(column) == F.col("__code"), "left_anti")
 
 
+def nested_counts(df: DataFrame, selections: Mapping[str, Column]) -> DataFrame:
+    """``(subset, n, n_outside)`` of selections that should each lie in the next:
+    rows selected, and those of them that the next one lacks. One pass, one row per
+    task in the shuffle."""
+    names = list(selections)
+    marked = df.select(*[F.coalesce(selections[n], F.lit(False)).alias(n) for n in names])
+    sums = marked.agg(*[F.struct(
+        F.lit(n).alias("subset"), F.count_if(n).alias("n"),
+        F.count_if(F.col(n) & ~F.col(wider)).alias("n_outside")).alias(n)
+        for n, wider in zip(names, [*names[1:], names[-1]])])
+    return sums.select(F.inline(F.array(*names)))
+
+
 def subset_violations(narrow: DataFrame, wide: DataFrame, key: str) -> DataFrame:
-    """Keys of the narrow selection that the wide one lacks (must be empty)."""
+    """Keys of the narrow table that the wide one lacks (must be empty); for selections
+    of one table see ``nested_counts``."""
     return narrow.select(key).join(wide.select(key), key, "left_anti")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
@@ -9,6 +10,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cleartab.session import Staging
+
 # Rows from which a slice is split further, and the first year of
 # the second time column.
 MONTH_SPLIT = 10_000
@@ -60,29 +63,44 @@ def slice_counts(df: DataFrame, column: str, prefixes: Sequence[str]) -> DataFra
         "slice", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
-def slice_plan(df: DataFrame, year: Column, month: Column, split: int = MONTH_SPLIT,
-               total: Column | None = None) -> DataFrame:
+def slice_plan(df: DataFrame, year: Column, month: Column, area: Staging, split: int = MONTH_SPLIT,
+               total: int | None = None, years: tuple[int, int] | None = None) -> DataFrame:
     """Year slices, and month slices for the years with ``split`` rows or more.
 
-    One pass counts by year and month; all later steps see those few counts.
-    Empty slices vanish. When the dated rows are fewer than half of all rows
-    (or of ``total``), the counts are not trusted and every year stays whole;
-    so do the years of a table with fewer than ``split`` rows.
+    One pass counts by year and month; the few counts are staged and all later
+    steps see only those. Empty slices vanish, as long as the counts can be
+    trusted. When the dated rows are fewer than half of all rows (or of the
+    declared ``total``), they cannot: every year of ``years`` (else of the dated
+    range) is kept whole, empty ones too. A table with fewer than ``split`` rows
+    is not cut: its years stay whole, all of ``years`` where they are given.
+    Where the months of a year are fewer than half of it, all twelve are kept.
     """
-    counts = df.groupBy(year.alias("y"), month.alias("m")).agg(F.count(F.lit(1)).alias("n"))
-    dated = counts.filter(F.col("y").isNotNull())
-    sums = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_all"),
-        F.coalesce(F.sum(F.when(F.col("y").isNotNull(), F.col("n"))), F.lit(0)).alias("n_dated"))
-    declared = F.col("n_all") if total is None else total
-    trusted = sums.select(((F.col("n_dated") * 2 >= declared) & (declared >= split)).alias("t"))
-    by_year = dated.groupBy("y").agg(F.sum("n").alias("n_year"))
-    # Few rows on both sides: at most twelve per year.
-    joined = dated.join(by_year, "y").withColumn("t", trusted.scalar())
-    monthly = F.col("t") & (F.col("n_year") >= split) & F.col("m").isNotNull()
-    key = F.when(monthly, F.concat(F.col("y").cast("string"), F.lpad(F.col("m").cast("string"), 2, "0"))
-                 ).otherwise(F.col("y").cast("string"))
-    return joined.groupBy(key.alias("slice")).agg(F.sum("n").alias("n"))
+    spark = df.sparkSession
+    counts = area.table(df.groupBy(year.cast("int").alias("y"), month.cast("int").alias("m"))
+                        .agg(F.count(F.lit(1)).alias("n")), f"counts-{uuid.uuid4().hex}")
+    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                      F.coalesce(F.sum(F.when(F.col("y").isNotNull(), F.col("n"))), F.lit(0)).alias("dated"),
+                      F.min("y").alias("low"), F.max("y").alias("high")).first()
+    declared = sums.n if total is None else total
+    by_year = counts.filter("y is not null").groupBy("y").agg(
+        F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("m").isNotNull(), F.col("n"))), F.lit(0)).alias("in_months"))
+    named = F.col("y").cast("string")
+    if sums.dated * 2 < declared or declared < split and years:
+        first, last = years or (sums.low, sums.high)
+        if first is None:
+            return spark.createDataFrame([], "slice string, n bigint")
+        every = spark.range(first, last + 1).select(F.col("id").cast("int").alias("y"))
+        return every.join(by_year, "y", "left").select(named.alias("slice"), F.coalesce("n", F.lit(0)).alias("n"))
+    if declared < split:
+        return by_year.select(named.alias("slice"), "n")
+    monthly = F.col("n") >= split
+    twelve = F.explode(F.sequence(F.lit(1), F.lit(12)))
+    months = by_year.filter(monthly).withColumn("m", twelve).select("y", "m", (F.col("in_months") * 2 < F.col("n")).alias("all"))
+    months = (months.join(counts.filter("y is not null and m is not null"), ["y", "m"], "left")
+              .filter(F.col("all") | F.col("n").isNotNull())
+              .select(F.concat(named, F.lpad(F.col("m").cast("string"), 2, "0")).alias("slice"),
+                      F.coalesce("n", F.lit(0)).alias("n")))
+    return by_year.filter(~monthly).select(named.alias("slice"), "n").unionByName(months)
 
 
 def residual_slices(rows: DataFrame, second: Column, split: int = RESIDUAL_SPLIT,

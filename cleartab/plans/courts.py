@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,9 +11,9 @@ from cleartab.codebooks import courts as book
 from cleartab.functions import codes, dates, jsonfields, lists
 from cleartab.functions.text import try_integer
 from cleartab.operators import slices, versions
-from cleartab.operators.publish import publish
+from cleartab.operators.publish import isolated, publish
 from cleartab.session import Staging
-from cleartab.sources.text import read_ndjson
+from cleartab.sources.text import BAD_LINE, read_ndjson
 
 
 def in_subset(raw: DataFrame, subset: str) -> DataFrame:
@@ -104,5 +106,15 @@ def build(raw: DataFrame, last_year: int, area: Staging, scanned: bool = True) -
 
 
 def run(spark: SparkSession, source: str, target: str, last_year: int) -> int:
+    """One subset. Lines that are no JSON are set aside in ``<target>__bad_lines``;
+    the source is parsed once."""
     with Staging(spark) as area:
-        return publish(build(read_ndjson(spark, source, book.FIELDS), last_year, area), target)
+        raw = area.table(read_ndjson(spark, source, book.FIELDS, bad_lines=True), "raw")
+        publish(raw.filter(F.col(BAD_LINE).isNotNull()).select(BAD_LINE), f"{target}__bad_lines")
+        good = raw.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
+        return publish(build(good, last_year, area), target)
+
+
+def run_subsets(spark: SparkSession, jobs: Mapping[str, tuple[str, str]], last_year: int) -> DataFrame:
+    """Every subset with its own source and target; one that fails does not stop the others."""
+    return isolated(spark, jobs, lambda subset: run(spark, *jobs[subset], last_year))

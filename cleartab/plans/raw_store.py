@@ -21,14 +21,16 @@ def chosen(raw: DataFrame, subset: str, area: Staging) -> DataFrame:
     return area.table(rows, f"chosen-{subset}")
 
 
-def planned_slices(documents: DataFrame, last_year: int,
-                   split: int = slices.MONTH_SPLIT) -> DataFrame:
-    """Year and month slices by the parsed date."""
+def planned_slices(documents: DataFrame, last_year: int, area: Staging, split: int = slices.MONTH_SPLIT,
+                   total: int | None = None) -> DataFrame:
+    """Year and month slices by the parsed date. ``total`` is what the source
+    declares; with it, years that cannot be trusted to be empty are kept."""
     date = dates.within_years(
         dates.date_three_formats(jsonfields.unquote(F.col("dataAjuizamento"))),
         book.FIRST_YEAR, last_year)
     dated = documents.select(date.alias("d"))
-    return slices.slice_plan(dated, F.year("d"), F.month("d"), split)
+    years = None if total is None else (book.FIRST_YEAR, last_year)
+    return slices.slice_plan(dated, F.year("d"), F.month("d"), area, split, total, years)
 
 
 def residual_documents(documents: DataFrame, covered: list[str],

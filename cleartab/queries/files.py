@@ -58,14 +58,25 @@ def scan_fixed_width(spark, folder):
 
 @query("scan_delimited", """
 SELECT p_partkey::VARCHAR AS p_partkey, 'say "' || p_name || '"; ok' AS p_name, p_brand,
-       CASE WHEN p_size <= 10 THEN NULL ELSE p_size::VARCHAR END AS p_size FROM part
+       CASE WHEN p_size <= 10 THEN NULL ELSE p_size::VARCHAR END AS p_size, false AS bad FROM part
+UNION ALL SELECT p_partkey::VARCHAR, p_name, NULL, NULL, false FROM part
+UNION ALL SELECT '3', 'x', '4', 'EXTRA', true
 """)
 def scan_delimited(spark, folder):
+    """Files of two column orders, one of them without some columns, and a line with one cell too many."""
     rows = table(spark, folder, "part").selectExpr(
         "p_partkey", """'say "' || p_name || '"; ok' AS p_name""", "p_brand",
         "CASE WHEN p_size <= 5 THEN 'NA' WHEN p_size > 10 THEN CAST(p_size AS STRING) END AS p_size")
     path = written(rows, "parts", "csv", sep=";", header=True, escape='"')
-    return scans.read_delimited(spark, path)
+    table(spark, folder, "part").select("p_name", "p_partkey").write.mode("append").csv(path, sep=";", header=True)
+    broken = spark.createDataFrame([("p_partkey;p_brand;p_name;p_size",), ("3;x;4;EXTRA;MORE",)], "value string")
+    broken.coalesce(1).write.mode("append").text(path)
+    read = scans.read_delimited(spark, path, bad_lines=True)
+    cells = F.split(scans.BAD_LINE, ";")
+    bad = F.col(scans.BAD_LINE).isNotNull()
+    return read.select(
+        "p_partkey", F.when(bad, cells[1]).otherwise(F.col("p_name")).alias("p_name"),
+        F.when(bad, cells[2]).otherwise(F.col("p_brand")).alias("p_brand"), "p_size", bad.alias("bad"))
 
 
 @query("scan_ndjson", """
@@ -198,21 +209,28 @@ def catalog_files(spark, folder):
 @query("stream_latest", """
 SELECT 'u' || user_id AS id, event_type AS kind, strftime(ts, '%Y-%m-%d %H:%M:%S') AS seen, event_id::VARCHAR AS event
 FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, '%Y-%m-%d %H:%M:%S') DESC, event_id::VARCHAR DESC) = 1
+UNION ALL SELECT '{"id":"b","seen"', 'bad line', NULL, '3'
 """)
 def stream_latest(spark, folder):
-    """Two arrivals of files, each taken in once; the store then gives the latest
-    version over both."""
+    """Three arrivals of files, each taken in once, the last under a new checkpoint and each with a broken
+    line; the store gives the latest version over all, and the broken lines are counted."""
     fields = ["id", "seen", "event", "kind"]
     rows = table(spark, folder, "events").select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("id"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("seen"), F.col("event_id").cast("string").alias("event"),
         F.col("event_type").alias("kind"))
-    path, store, checkpoint = (staging_path(spark, n) for n in ("arrivals", "store", "progress"))
+    first, second, store = (staging_path(spark, n) for n in ("arrivals", "later", "store"))
     order = [F.col("seen").desc(), F.col("event").desc()]
-    for part in ("kind IN ('view', 'click')", "kind NOT IN ('view', 'click')"):
+    one, two = (staging_path(spark, n) for n in ("progress", "new_progress"))
+    for part, path, checkpoint in (("kind = 'view'", first, one), ("kind = 'click'", first, one),
+                                   ("kind NOT IN ('view', 'click')", second, two)):
         sinks.append_ndjson(rows.filter(part), path)
+        spark.range(1).selectExpr("""'{"id":"b","seen"' AS value""").write.mode("append").text(path)
         stream.ingest(spark, path, store, checkpoint, fields, ["id"], order)
-    return stream.current(spark, store, fields, ["id"], order)
+    bad = stream.bad_lines(spark, store).groupBy(F.col(stream.BAD_LINE).alias("id")).agg(F.count("*").alias("n"))
+    return stream.current(spark, store, fields, ["id"], order).unionByName(
+        bad.select("id", F.lit("bad line").alias("kind"), F.lit(None).cast("string").alias("seen"),
+                   F.col("n").cast("string").alias("event")))
 
 
 # ---- jobs --------------------------------------------------------------------
@@ -479,7 +497,7 @@ def job_raw_store(spark, folder):
     units = raw_store.completeness(documents, declared).withColumnsRenamed({"tribunal": "key"}).withColumn("kind", F.lit("unit"))
     rest = (raw_store.residual_documents(documents, ["2020"], split=100).groupBy(F.col("slice").alias("key"))
             .agg(F.count(F.lit(1)).alias("n_loaded")).withColumns({"kind": F.lit("residual")}))
-    plan = (raw_store.planned_slices(documents, 2026, split=400)
+    plan = (raw_store.planned_slices(documents, 2026, Staging(spark), split=400)
             .select(F.col("slice").alias("key"), F.col("n").alias("n_loaded"), F.lit("slice").alias("kind")))
     more = rest.unionByName(plan).withColumns({"n_declared": zero, "diff": zero, "complete": F.lit(True)})
     return units.filter("n_loaded > 0").unionByName(more)

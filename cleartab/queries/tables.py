@@ -8,6 +8,7 @@ from cleartab import LINEAGE
 from cleartab.functions import text
 from cleartab.operators import columns, ingest, ordered, publish, relational, slices
 from cleartab.queries import query, table
+from cleartab.session import Staging
 from cleartab.sources.listing import table_counts
 
 def _year():
@@ -145,7 +146,7 @@ _PLAN = """SELECT CASE WHEN n_year >= {split} THEN strftime(o_orderdate, '%Y%m')
 
 
 def _plan(spark, folder, split):
-    return slices.slice_plan(table(spark, folder, "orders"), _year(), F.month("o_orderdate"), split)
+    return slices.slice_plan(table(spark, folder, "orders"), _year(), F.month("o_orderdate"), Staging(spark), split)
 
 
 @query("slice_plan", _PLAN.format(split=2250))
@@ -153,6 +154,32 @@ def slice_plan(spark, folder):
     return _plan(spark, folder, 2250)
 
 
+@query("slice_plan_untrusted", """
+SELECT 'years' AS kind, y::VARCHAR AS slice, count(o_orderkey) AS n
+FROM range(1990, 2001) AS years(y) LEFT JOIN orders ON year(o_orderdate) = y AND o_orderkey % 5 < 2 GROUP BY y
+UNION ALL
+SELECT 'months', slice, n FROM (
+  SELECT strftime(o_orderdate, '%Y') AS slice, count(*) AS n FROM orders WHERE year(o_orderdate) <> 1995 GROUP BY 1
+  UNION ALL SELECT '1995' || lpad(m::VARCHAR, 2, '0'), count(o_orderkey) FROM range(1, 13) AS months(m)
+  LEFT JOIN orders ON year(o_orderdate) = 1995 AND month(o_orderdate) = m AND m = 3 GROUP BY m)
+""")
+def slice_plan_untrusted(spark, folder):
+    """Counts that cannot be trusted: most rows without a year, then a year with most rows without a month.
+    All years of the range, and all months of that year, are kept."""
+    orders, area = table(spark, folder, "orders"), Staging(spark)
+    vague = F.when(F.col("o_orderkey") % 5 < 2, _year())
+    years = slices.slice_plan(orders, vague, F.month("o_orderdate"), area, 1, years=(1990, 2000))
+    first = orders.filter("year(o_orderdate) = 1995").count()
+    others = orders.filter("year(o_orderdate) <> 1995").groupBy(_year()).count().agg(F.max("count")).first()[0]
+    month = F.when((_year() != 1995) | (F.month("o_orderdate") == 3), F.month("o_orderdate"))
+    # Only 1995 reaches the split: its rows are tripled.
+    tripled = orders.withColumn("_times", F.explode(F.sequence(F.lit(1), F.when(_year() == 1995, 3).otherwise(1))))
+    months = slices.slice_plan(tripled, _year(), month, area, max(others, first) + 1)
+    months = months.withColumn("n", F.when(F.col("slice").startswith("1995"), F.col("n") / 3).otherwise(F.col("n")).cast("bigint"))
+    return years.select(F.lit("years").alias("kind"), "slice", "n").unionByName(
+        months.select(F.lit("months").alias("kind"), "slice", "n"))
+
+
 @query("slice_drift", f"SELECT slice FROM ({_PLAN.format(split=2300)}) EXCEPT SELECT slice FROM ({_PLAN.format(split=2250)})")
 def slice_drift(spark, folder):
     return slices.plan_drift(_plan(spark, folder, 2300), _plan(spark, folder, 2250))
@@ -325,14 +352,7 @@ UNION ALL SELECT 'widest', count(*) FILTER (widest), 0 FROM sel
 def nested_subsets(spark, folder):
     rows = table(spark, folder, "documents").select("doc_id", F.transform(F.split("text", " "), F.length).alias("c"))
     picks = {"narrow": [29], "wide": [29, 27, 24], "widest": [29, 27, 24, 23, 22]}
-    chosen = {name: rows.filter(slices.selected(F.col("c"), codes, [35])) for name, codes in picks.items()}
-    order, out = list(picks), None
-    for name, wider in zip(order, [*order[1:], order[-1]]):
-        outside = relational.subset_violations(chosen[name], chosen[wider], "doc_id").agg(F.count(F.lit(1)).alias("n"))
-        one = (chosen[name].agg(F.count(F.lit(1)).alias("n"))
-               .select(F.lit(name).alias("subset"), "n", outside.scalar().alias("n_outside")))
-        out = one if out is None else out.unionAll(one)
-    return out
+    return relational.nested_counts(rows, {n: slices.selected(F.col("c"), codes, [35]) for n, codes in picks.items()})
 
 
 @query("run_summary", """

@@ -8,6 +8,7 @@ from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cleartab import LINEAGE
 from cleartab.functions.text import strip
@@ -70,16 +71,50 @@ def read_fixed_width(spark: SparkSession, path: str | Sequence[str],
     return slice_lines(named, "value", spans, [LINEAGE])
 
 
+BAD_LINE = "_bad_line"
+
+
+def _by_header(spark: SparkSession, path: str | Sequence[str]) -> list[list[str]]:
+    """The files, grouped by their first line. One file is not looked into."""
+    lines = spark.read.text(path if isinstance(path, str) else list(path))
+    files = lines.inputFiles()
+    if len(files) < 2:
+        return [[f] for f in files]
+    first = (lines.select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+             .filter(F.col("_metadata.file_block_start") == 0)
+             .groupBy("file").agg(F.min_by("value", "at").alias("header")))
+    groups: dict[str, list[str]] = {}
+    for row in first.orderBy("file").collect():  # one row per input file
+        groups.setdefault(row.header, []).append(row.file)
+    return list(groups.values())
+
+
 def read_delimited(spark: SparkSession, path: str | Sequence[str], separator: str = ";",
-                   encoding: str = "UTF-8", multiline: bool = False) -> DataFrame:
+                   encoding: str = "UTF-8", multiline: bool = False, bad_lines: bool = False) -> DataFrame:
     """Header, all text, no inference. A byte-order mark is dropped by the reader.
-    Multi-line values make a file unsplittable, so they are an option."""
-    rows = (spark.read.option("sep", separator).option("header", True)
-            .option("encoding", encoding).option("escape", '"')
-            .option("multiLine", multiline).csv(path if isinstance(path, str) else list(path)))
-    return rows.select(*[
-        F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`")).alias(c)
-        for c in rows.columns])
+    Multi-line values make a file unsplittable, so they are an option.
+
+    Files are read under their own header and united by name. A line with fewer
+    cells than the header is filled with nulls. A line with more stops the read;
+    with ``bad_lines`` it is kept instead, marked by its cells in ``_bad_line``.
+    """
+    def one_layout(files: list[str]) -> DataFrame:
+        reader = (spark.read.option("sep", separator).option("header", True)
+                  .option("encoding", encoding).option("escape", '"').option("multiLine", multiline))
+        columns = reader.csv(files[0]).columns
+        # One cell more than the header has shows a line that is too long.
+        schema = StructType([StructField(c, StringType()) for c in [*columns, "__surplus"]])
+        rows = reader.schema(schema).csv(files)
+        line = F.concat_ws(separator, *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in rows.columns])
+        long = F.col("__surplus").isNotNull()
+        cells = [F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`")).alias(c) for c in columns]
+        if bad_lines:
+            return rows.select(*cells, F.when(long, line).alias(BAD_LINE))
+        stop = F.raise_error(F.concat(F.lit("more cells than the header names: "), line)).cast("string")
+        return rows.select(F.when(long, stop).otherwise(cells[0]).alias(columns[0]), *cells[1:])
+
+    parts = [one_layout(files) for files in _by_header(spark, path)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_ndjson(spark: SparkSession, path: str | Sequence[str], fields: Sequence[str],
@@ -93,9 +128,9 @@ def read_ndjson(spark: SparkSession, path: str | Sequence[str], fields: Sequence
     schema = ", ".join(f"`{f}` string" for f in fields)
     reader = spark.read.option("mode", "FAILFAST")
     if bad_lines:
-        schema += ", _bad_line string"
+        schema += f", {BAD_LINE} string"
         reader = (spark.read.option("mode", "PERMISSIVE")
-                  .option("columnNameOfCorruptRecord", "_bad_line"))
+                  .option("columnNameOfCorruptRecord", BAD_LINE))
     return reader.schema(schema).json(path if isinstance(path, str) else list(path))
 
 

@@ -2,34 +2,46 @@
 
 Each micro-batch is reduced to the latest version of its own documents and
 appended; the latest version over all batches is taken when the store is read.
-The cost of a batch thus follows the batch and not the store.
+The cost of a batch thus follows the batch and not the store. Lines that are no
+JSON are kept beside the documents, as text.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cleartab.operators.versions import latest_version
 
+RUN = "_run"
 BATCH = "_batch"
+BAD_LINE = "_bad_line"
 
 
 def ingest(spark: SparkSession, source: str, store: str, checkpoint: str, fields: Sequence[str],
            keys: Sequence[str], order: Sequence[Column]) -> None:
     """Take in all files not seen before and stop.
 
-    A batch owns its folder and overwrites it, so a batch repeated after a
-    failure leaves no second copy.
+    A batch owns a folder named after its checkpoint and number and overwrites
+    it: a batch repeated after a failure leaves no second copy, and a new
+    checkpoint, whose numbers start again, never touches what an older one wrote.
     """
-    schema = ", ".join(f"`{f}` string" for f in fields)
+    schema = ", ".join([*(f"`{f}` string" for f in fields), f"`{BAD_LINE}` string"])
+    run = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def write(batch: DataFrame, number: int) -> None:
-        (latest_version(batch, keys, order, scanned=True).write.mode("overwrite")
-         .parquet(f"{store}/{BATCH}={number}"))
-
-    query = (spark.readStream.schema(schema).json(source)
+        good = batch.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
+        place = f"{RUN}={run}/{BATCH}={number}"
+        (latest_version(good, keys, order, scanned=True).write.mode("overwrite")
+         .parquet(f"{store}/documents/{place}"))
+        (batch.filter(F.col(BAD_LINE).isNotNull()).select(BAD_LINE).write.mode("overwrite")
+         .parquet(f"{store}/bad_lines/{place}"))
+
+    query = (spark.readStream.schema(schema).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", BAD_LINE).json(source)
              .writeStream.foreachBatch(write)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
@@ -39,6 +51,11 @@ def ingest(spark: SparkSession, source: str, store: str, checkpoint: str, fields
 def current(spark: SparkSession, store: str, fields: Sequence[str], keys: Sequence[str],
             order: Sequence[Column]) -> DataFrame:
     """The latest version of every document in the store."""
-    schema = ", ".join([*(f"`{f}` string" for f in fields), f"{BATCH} bigint"])
-    rows = spark.read.schema(schema).parquet(store).drop(BATCH)
+    schema = ", ".join([*(f"`{f}` string" for f in fields), f"{RUN} string, {BATCH} bigint"])
+    rows = spark.read.schema(schema).parquet(f"{store}/documents").drop(RUN, BATCH)
     return latest_version(rows, keys, order)
+
+
+def bad_lines(spark: SparkSession, store: str) -> DataFrame:
+    """Lines that were no JSON, with the run and batch that met them."""
+    return spark.read.schema(f"{BAD_LINE} string, {RUN} string, {BATCH} bigint").parquet(f"{store}/bad_lines")

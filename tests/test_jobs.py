@@ -264,10 +264,33 @@ def test_ndjson_bad_lines(spark, tmp_path):
         text.read_ndjson(spark, str(tmp_path), ["id"]).collect()
 
 
+def test_delimited_surplus_stops(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A;B\n1;2\n3\n")
+    (tmp_path / "b.csv").write_text("B;A\n5;6\n")
+    rows = text.read_delimited(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in rows.select("A", "B").fillna("-").collect()) == [("1", "2"), ("3", "-"), ("6", "5")]
+    (tmp_path / "c.csv").write_text("A;B\n3;4;EXTRA\n")
+    with pytest.raises(Exception, match="more cells"):
+        text.read_delimited(spark, str(tmp_path)).collect()
+
+
+def test_court_subsets(spark, tmp_path):
+    """Broken lines are set aside, and a subset that fails leaves the others alone."""
+    import json
+    (tmp_path / "a.ndjson").write_text("\n".join(json.dumps(c) for c in CASES) + '\n{"id":\n')
+    jobs = {"one": (str(tmp_path / "a.ndjson"), str(tmp_path / "one")), "two": (str(tmp_path / "none"), str(tmp_path / "two"))}
+    status = {r.unit: r for r in courts.run_subsets(spark, jobs, 2026).collect()}
+    assert (status["one"].status, status["one"].n_rows, status["two"].status) == ("processed", 5, "failed")
+    assert [r[0] for r in spark.read.parquet(str(tmp_path / "one__bad_lines")).collect()] == ['{"id":']
+
+
 def test_latest_version_keeps_null_ids(spark):
     df = spark.createDataFrame([("a", "1", "x"), ("a", "1", "y"), (None, "1", "p"), (None, "1", "p")], "id string, at string, v string")
-    got = sorted((r.id or "", r.v) for r in versions.latest_version(df, ["id"], [F.col("at").desc()]).collect())
-    assert got == [("", "p"), ("", "p"), ("a", "y")]
+    runs = [sorted((r.id or "", r.v) for r in versions.latest_version(rows, ["id"], [F.col("at").desc()]).collect())
+            for rows in (df, df.repartition(3, "v"), df.orderBy(F.desc("v")).coalesce(1))]
+    assert runs[0] in ([("", "p"), ("", "p"), ("a", v)] for v in "xy") and runs[1:] == runs[:1] * 2  # a tie has one winner
+    nested = df.withColumn("s", F.struct(F.create_map("v", "at").alias("m")))
+    assert versions.latest_version(nested, ["id"], [F.col("at").desc()]).count() == 3
 
 
 def test_latest_version_in_one_pass(spark, tmp_path):

@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cleartab.operators import ordered, slices
+from cleartab.operators import ordered, relational, slices, versions
+from cleartab.session import Staging
 
 
 @pytest.mark.parametrize("stretch", [1, 3, 7, 1000])
@@ -45,9 +46,34 @@ def test_slices_and_residual_cover_all(spark):
 
 
 def test_untrusted_counts_keep_years_whole(spark):
-    df = spark.createDataFrame([(2020, 1)] * 10 + [(None, None)] * 15, "y int, m int")
-    plan = {r.slice: r.n for r in slices.slice_plan(df, F.col("y"), F.col("m"), 5).collect()}
-    assert plan == {"2020": 10}
+    def plan(rows, *args, **kwargs):
+        df = spark.createDataFrame(rows, "y int, m int")
+        with Staging(spark) as area:
+            return {r.slice: r.n for r in slices.slice_plan(df, F.col("y"), F.col("m"), area, *args, **kwargs).collect()}
+
+    undated = [(2020, 1)] * 10 + [(None, None)] * 15
+    assert plan(undated, 5) == {"2020": 10}
+    assert plan(undated, 5, years=(2019, 2021)) == {"2019": 0, "2020": 10, "2021": 0}
+    dated = [(2020, 1)] * 10 + [(2022, 3)] * 2
+    assert plan(dated, 5) == {"202001": 10, "2022": 2}
+    assert plan(dated, 5, total=100, years=(2020, 2022)) == {"2020": 10, "2021": 0, "2022": 2}
+    assert plan(dated, 100, years=(2020, 2022)) == {"2020": 10, "2021": 0, "2022": 2}
+    assert plan([(2020, None)] * 10 + [(2020, 2)], 5) == {f"2020{m:02d}": int(m == 2) for m in range(1, 13)}
+    assert plan([], 5) == {}
+
+
+def scans(df):
+    """File scans of the plan that ran."""
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString().count("Scan parquet")
+
+
+def test_one_pass(spark, tmp_path):
+    spark.range(50).selectExpr("id", "id % 5 AS k", "string(id) AS t").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    assert scans(versions.latest_version(rows, ["k"], [F.col("id").desc()], scanned=True)) == 1
+    assert scans(relational.nested_counts(rows, {"a": F.col("k") == 1, "b": F.col("k") < 3})) == 1
+    assert relational.subset_violations(rows.filter("k < 2"), rows.filter("k < 1"), "id").count() == 10
 
 
 def test_reconcile(spark):
