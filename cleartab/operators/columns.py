@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 
 def ensure_columns(df: DataFrame, expected: Sequence[str], dtype: str = "string") -> DataFrame:
-    """Add the expected columns an older layout lacks, as typed nulls."""
-    present = set(df.columns)
-    missing = [c for c in dict.fromkeys(expected) if c not in present]
+    """Add the expected columns an older layout lacks, as typed nulls. Names are
+    compared as Spark resolves them, without case."""
+    present = {c.lower() for c in df.columns}
+    missing = [c for c in dict.fromkeys(expected) if c.lower() not in present]
     return df.select("*", *[F.lit(None).cast(dtype).alias(c) for c in missing])
 
 
@@ -35,7 +36,7 @@ def drop(df: DataFrame, *columns: str) -> DataFrame:
 def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """The frame itself, or an empty one of the same schema when a required column
     is missing."""
-    return df if set(required) <= set(df.columns) else df.limit(0)
+    return df if {c.lower() for c in required} <= {c.lower() for c in df.columns} else df.limit(0)
 
 
 def unlisted_columns(df: DataFrame, listed: Sequence[str]) -> DataFrame:

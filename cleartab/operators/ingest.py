@@ -110,9 +110,12 @@ def listing_diff(source: DataFrame, copy: DataFrame, ignore: Sequence[str] = ())
 
 
 def read_manifest(spark, path: str) -> DataFrame:
-    """The manifest table, names in upper case; an absent one is empty."""
+    """The manifest table, names in upper case; an absent one is empty. A swap that
+    stopped half-way is undone first, or its entries would be lost."""
+    from cleartab.operators.publish import recover
     from cleartab.sources.listing import exists
 
+    recover(spark, path)
     if not exists(spark, path):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
     rows = spark.read.schema(MANIFEST_SCHEMA).parquet(path)

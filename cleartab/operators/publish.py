@@ -6,11 +6,11 @@ import uuid
 from collections.abc import Callable, Iterable, Mapping
 from urllib.parse import unquote
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cleartab import LINEAGE
+from cleartab.session import Staging
 from cleartab.sources import listing
 
 
@@ -27,9 +27,10 @@ def append_ndjson(df: DataFrame, path: str) -> None:
 
 
 def publish_swapped(df: DataFrame, path: str) -> int:
-    """Overwrite a table the plan itself reads: write beside it, then rename. An
-    interrupted swap is undone by ``recover`` before the next one."""
+    """Overwrite a table the plan itself reads: write beside it, then rename. A
+    swap that was interrupted before is undone first."""
     spark = df.sparkSession
+    recover(spark, path)
     staged, old = f"{path}__new-{uuid.uuid4().hex}", f"{path}__old"
     rows = publish(df, staged)
     if listing.exists(spark, path):
@@ -63,28 +64,27 @@ def publish_replacing(batch: DataFrame, path: str, files: Iterable[str]) -> int:
 
     The table is partitioned by source file, so only the partitions of the batch
     are written; nothing already published is read or rewritten, however large.
-    The batch is written beside the table first and its partitions then take the
-    place of the old ones. A run that stops half-way is repaired by running it
-    again, as the manifest comes last.
+    The batch is staged once and checked; its partitions then replace the old
+    ones in the commit of one write, and only after that do the partitions go
+    whose files have no rows any more or another spelling. Rows are rebalanced by
+    file: small files do not multiply, a large one is split.
     """
     spark = batch.sparkSession
     wanted = {f.upper() for f in files}
-    staged = f"{path}__new-{uuid.uuid4().hex}"
-    batch.write.partitionBy(LINEAGE).parquet(staged)
-    written = children_by_source(spark, staged)
-    stray = sorted(s for s in written if s.upper() not in wanted)
-    if stray:
-        listing.delete(spark, staged)
-        raise ValueError(f"rows of files outside the batch: {stray[:5]}")
-    rows = spark.read.schema(batch.schema).parquet(staged).count() if written else 0
+    with Staging(spark) as area:
+        rows = area.table(batch, "batch")
+        held = {r[0]: r[1] for r in rows.groupBy(LINEAGE).agg(F.count("*")).collect()}  # one row per file of the batch
+        stray = sorted(s for s in held if (s or "").upper() not in wanted)
+        if stray:
+            raise ValueError(f"rows of files outside the batch: {stray[:5]}")
+        listing.make_folder(spark, path)
+        if held:
+            (rows.hint("rebalance", LINEAGE).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(LINEAGE).parquet(path))
     for source, folder in children_by_source(spark, path).items():
-        if source.upper() in wanted:
+        if source.upper() in wanted and source not in held:
             listing.delete(spark, f"{path}/{folder}")
-    listing.make_folder(spark, path)
-    for folder in written.values():
-        listing.move(spark, f"{staged}/{folder}", f"{path}/{folder}")
-    listing.delete(spark, staged)
-    return rows
+    return sum(held.values())
 
 
 def children_by_source(spark: SparkSession, path: str) -> dict[str, str]:
@@ -108,17 +108,15 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
 def multi_output(decoded: DataFrame, outputs: Mapping[str, tuple[Column, Callable]],
                  sink: Callable[[DataFrame, str], int]) -> dict[str, int]:
     """Several tables from one scan: ``outputs`` maps a name to a row condition and
-    a projection. Rows that no output wants are dropped before the rest is kept
+    a projection. Rows that no output wants are dropped before the rest is staged
     for the writes, so what is held is the size of the outputs."""
     wanted = F.lit(False)
     for condition, _ in outputs.values():
         wanted = wanted | F.coalesce(condition, F.lit(False))
-    kept = decoded.filter(wanted).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with Staging(decoded.sparkSession) as area:
+        kept = area.table(decoded.filter(wanted), "kept")
         return {name: sink(project(kept.filter(condition)), name)
                 for name, (condition, project) in outputs.items()}
-    finally:
-        kept.unpersist()
 
 
 def isolated(spark: SparkSession, units: Iterable[str], work: Callable[[str], int]) -> DataFrame:

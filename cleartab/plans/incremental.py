@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +11,12 @@ from pyspark.sql import functions as F
 from cleartab import LINEAGE
 from cleartab.functions.text import uniform_text
 from cleartab.operators import ingest, publish
+from cleartab.session import Staging
+from cleartab.sources import listing
 from cleartab.sources.dbf import dbf_status, read_dbf
 from cleartab.sources.text import read_parquet_union
 
-FILE_LIMIT = 100_000
-"""Input files of one run; each is one entry of a listing held by the driver."""
+STATUS = "name string, size_bytes bigint, status string, n_records bigint, error string"
 
 
 def choose_files(files: DataFrame, manifest: DataFrame, prefix: str,
@@ -25,16 +27,13 @@ def choose_files(files: DataFrame, manifest: DataFrame, prefix: str,
     return ingest.not_in_manifest(ingest.unique_names(mine), manifest)
 
 
-def from_dbf(spark: SparkSession, chosen: DataFrame,
-             columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def from_dbf(spark: SparkSession, chosen: DataFrame, columns: Sequence[str] | None = None,
+             area: Staging | None = None) -> tuple[DataFrame, DataFrame]:
     """``(rows, status)``: rows of the readable files only; the status names the
-    others, which are neither replaced nor marked as done."""
-    status = dbf_status(chosen).limit(FILE_LIMIT + 1)
-    found = status.collect()
-    if len(found) > FILE_LIMIT:
-        raise ValueError(f"more than {FILE_LIMIT} input files in one run")
-    good = [(r.path, r.size_bytes) for r in found if r.status == "ok"]
-    status = spark.createDataFrame(found, status.schema)
+    others, which are neither replaced nor marked as done. The status is staged,
+    so every file is checked once; the driver gets the paths to read."""
+    status = (area or Staging(spark)).table(dbf_status(chosen), f"status-{uuid.uuid4().hex}")
+    good = [(r.path, r.size_bytes) for r in status.filter("status = 'ok'").select("path", "size_bytes").collect()]
     if not good:
         raise ValueError("no readable input file")
     return read_dbf(spark, good, columns), status
@@ -59,3 +58,28 @@ def run(rows: DataFrame, status: DataFrame, select: Callable, project: Callable,
     manifest = ingest.read_manifest(spark, manifest_path)
     publish.write_manifest(ingest.updated_manifest(manifest, done), manifest_path)
     return written
+
+
+def job(spark: SparkSession, source: str, pattern: tuple[str, str], columns: Sequence[str], select: Callable,
+        project: Callable, target: str, manifest_path: str) -> DataFrame:
+    """List, check, read, select, project, replace by file, and mark as done.
+
+    Returns ``(name, size_bytes, status, n_records, error)`` of the new or changed
+    files. A file that cannot be read is reported, keeps its published rows and
+    is tried again next time. Without new files nothing is touched.
+    """
+    manifest = ingest.read_manifest(spark, manifest_path)
+    chosen = choose_files(listing.list_files(spark, source), manifest, *pattern)
+    with Staging(spark) as area:
+        chosen = area.table(chosen, "chosen")
+        if chosen.isEmpty():
+            return spark.createDataFrame([], STATUS)
+        try:
+            rows, status = from_dbf(spark, chosen, columns, area)
+            run(rows, status, select, project, target, manifest_path)
+        except ValueError as error:
+            if "no readable input file" not in str(error):
+                raise
+            status = dbf_status(chosen)
+        names = [c.split()[0] for c in STATUS.split(", ")]
+        return spark.createDataFrame(status.select(*names).collect(), STATUS)  # one row per new file

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cleartab import LINEAGE
 from cleartab.codebooks import mortality as book
 from cleartab.functions.codes import lookup, split_code
-from cleartab.operators.columns import require_columns
+from cleartab.operators.columns import ensure_columns, require_columns
+from cleartab.plans import incremental
 
-SOURCE_PREFIX, SOURCE_EXTENSION = "DOEXT", "DBC"
+SOURCE_PREFIX, SOURCE_EXTENSION = "DOEXT", "DBF"
 INPUT_COLUMNS = ["SEXO", "CAUSABAS", "DTNASC", "DTOBITO", "DTCADASTRO", "HORAOBITO", "RACACOR",
                  "ESTCIV", "CODMUNRES", "CODMUNOCOR", "LOCOCOR", "CIRCOBITO", "OBITOGRAV",
                  "OBITOPUERP"]
@@ -19,9 +20,7 @@ INPUT_COLUMNS = ["SEXO", "CAUSABAS", "DTNASC", "DTOBITO", "DTCADASTRO", "HORAOBI
 def select_records(rows: DataFrame) -> DataFrame:
     """Women, and a cause in the assault group; nothing when a needed column is
     missing."""
-    rows = require_columns(rows, ["SEXO", "CAUSABAS"])
-    if not {"SEXO", "CAUSABAS"} <= set(rows.columns):
-        return rows
+    rows = ensure_columns(require_columns(rows, ["SEXO", "CAUSABAS"]), [*INPUT_COLUMNS, LINEAGE])
     return rows.filter((F.col("SEXO") == "2") & F.col("CAUSABAS").isin(book.assault_codes()))
 
 
@@ -50,3 +49,9 @@ def project(rows: DataFrame) -> DataFrame:
         lookup(F.col("OBITOPUERP"), book.PUERPERIUM).alias("PUERPERIO"),
         F.col(LINEAGE),
     )
+
+
+def run(spark: SparkSession, source: str, target: str, manifest: str) -> DataFrame:
+    """The whole job over a folder of files; see ``incremental.job``."""
+    return incremental.job(spark, source, (SOURCE_PREFIX, SOURCE_EXTENSION), INPUT_COLUMNS,
+                           select_records, project, target, manifest)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cleartab import LINEAGE
@@ -10,8 +10,9 @@ from cleartab.codebooks import notifications as book
 from cleartab.functions import codes, dates, lists
 from cleartab.functions.codes import lookup
 from cleartab.operators.columns import ensure_columns, require_columns
+from cleartab.plans import incremental
 
-SOURCE_PREFIX, SOURCE_EXTENSION = "VIOLBR", "DBC"
+SOURCE_PREFIX, SOURCE_EXTENSION = "VIOLBR", "DBF"
 
 # Input columns; older layouts lack some of them.
 INPUT_COLUMNS = [
@@ -34,7 +35,7 @@ def select_records(rows: DataFrame) -> DataFrame:
     for column, dropped in (("LES_AUTOP", "1"), ("NDUPLIC", "2"), ("NDUPLIC_N", "2")):
         if column in rows.columns:
             rows = rows.filter(codes.not_equal_or_null(F.col(column), dropped))
-    return ensure_columns(rows, INPUT_COLUMNS)
+    return ensure_columns(rows, [*INPUT_COLUMNS, LINEAGE])
 
 
 def project(rows: DataFrame) -> DataFrame:
@@ -96,3 +97,9 @@ def project(rows: DataFrame) -> DataFrame:
         lists.marked_labels(book.RELATIONSHIP).alias("VINCULOS_AGRESSOR"),
     )
     return decoded.withColumn("QTD_VINCULOS_AGRESSOR", F.size("VINCULOS_AGRESSOR").cast("bigint"))
+
+
+def run(spark: SparkSession, source: str, target: str, manifest: str) -> DataFrame:
+    """The whole job over a folder of files; see ``incremental.job``."""
+    return incremental.job(spark, source, (SOURCE_PREFIX, SOURCE_EXTENSION), INPUT_COLUMNS,
+                           select_records, project, target, manifest)

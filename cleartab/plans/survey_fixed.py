@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from cleartab.codebooks import survey as book
 from cleartab.functions import lists, text
 from cleartab.functions.codes import decode, flag
-from cleartab.operators import columns, publish
+from cleartab.operators import columns, ingest, publish
+from cleartab.sources import listing
 from cleartab.sources.text import read_fixed_width
 
 # Names of the published tables.
@@ -60,12 +61,42 @@ def table_2019(raw: DataFrame, strict_labels: bool = False,
     return rows.withColumnRenamed("__partner", "parceiro_intimo")
 
 
-def run_2013(spark: SparkSession, source: str, folder: str) -> dict[str, int]:
-    raw = read_fixed_width(spark, source, book.SPANS_2013)
-    return publish.multi_output(decoded(raw, book.BOOKS_2013), outputs_2013(),
-                                lambda df, name: publish.publish(df, f"{folder}/{name}"))
+def _new_files(spark: SparkSession, source: str, manifest_path: str | None) -> DataFrame | None:
+    """``(name, size_bytes)`` of the input, or None where the manifest knows it all."""
+    if manifest_path is None:
+        return listing.list_files(spark, source).select("name", "size_bytes")
+    files = listing.list_files(spark, source).select("name", "size_bytes")
+    new = ingest.not_in_manifest(files, ingest.read_manifest(spark, manifest_path))
+    return None if new.isEmpty() else files
+
 
+def _done(spark: SparkSession, files: DataFrame, manifest_path: str | None) -> None:
+    if manifest_path is not None:
+        manifest = ingest.read_manifest(spark, manifest_path)
+        publish.write_manifest(ingest.updated_manifest(manifest, files), manifest_path)
 
-def run_2019(spark: SparkSession, source: str, folder: str, strict_labels: bool = False) -> int:
+
+def run_2013(spark: SparkSession, source: str, folder: str, manifest_path: str | None = None,
+             blank_age_as_null: bool = False) -> dict[str, int]:
+    """Rows per table; nothing is read or written, and the result is empty, where the
+    manifest knows all input files with their sizes. The manifest is written last."""
+    files = _new_files(spark, source, manifest_path)
+    if files is None:
+        return {}
+    raw = read_fixed_width(spark, source, book.SPANS_2013)
+    counts = publish.multi_output(decoded(raw, book.BOOKS_2013, blank_age_as_null), outputs_2013(),
+                                  lambda df, name: publish.publish(df, f"{folder}/{name}"))
+    _done(spark, files, manifest_path)
+    return counts
+
+
+def run_2019(spark: SparkSession, source: str, folder: str, strict_labels: bool = False,
+             manifest_path: str | None = None, blank_age_as_null: bool = False) -> int | None:
+    """Rows of the table; None where the manifest knows all input files."""
+    files = _new_files(spark, source, manifest_path)
+    if files is None:
+        return None
     raw = read_fixed_width(spark, source, book.SPANS_2019)
-    return publish.publish(table_2019(raw, strict_labels), f"{folder}/{TABLE_2019}")
+    n = publish.publish(table_2019(raw, strict_labels, blank_age_as_null), f"{folder}/{TABLE_2019}")
+    _done(spark, files, manifest_path)
+    return n

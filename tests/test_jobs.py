@@ -56,11 +56,7 @@ def test_mortality_from_files(spark, tmp_path):
     write(source / "readme.dbf", b"not a source")
 
     def run():
-        files = listing.list_files(spark, str(source))
-        chosen = incremental.choose_files(files, ingest.read_manifest(spark, manifest), "DOEXT")
-        rows, status = incremental.from_dbf(spark, chosen, mortality.INPUT_COLUMNS)
-        incremental.run(rows, status, mortality.select_records, mortality.project, target, manifest)
-        return {r.name: r.status for r in status.collect()}
+        return {r.name: r.status for r in mortality.run(spark, str(source), target, manifest).collect()}
 
     assert run() == {"DOEXT96.dbf": "ok", "DOEXT05.dbf": "ok", "DOEXT2023.dbf": "ok"}
     out = publish.read_published(spark, target)
@@ -76,13 +72,43 @@ def test_mortality_from_files(spark, tmp_path):
     assert {r[0] for r in publish.read_published(spark, target).select(LINEAGE).collect()} == {"DOEXT05.dbf", "DOEXT2023.dbf"}
     done = {r.source_file: r.size_bytes for r in ingest.read_manifest(spark, manifest).collect()}
     assert set(done) == {"DOEXT96.DBF", "DOEXT05.DBF", "DOEXT2023.DBF"} and done["DOEXT05.DBF"] > 6
+    assert run() == {"DOEXT05.dbf": "failed"}  # tried again, nothing else touched
+    os.rename(manifest, f"{manifest}__old")  # a swap that stopped between its renames
+    assert run() == {"DOEXT05.dbf": "failed"}
+    files = listing.list_files(spark, str(source))
+    chosen = incremental.choose_files(files, ingest.read_manifest(spark, manifest), "DOEXT")
     with pytest.raises(ValueError, match="no readable"):
-        run()
+        incremental.from_dbf(spark, chosen, mortality.INPUT_COLUMNS)
+
+
+def test_notifications_from_files(spark, tmp_path):
+    fields = [("CS_SEXO", "C", 1), ("DT_NOTIFIC", "D", 8), ("REL_CONJ", "C", 1)]
+    write(tmp_path / "in" / "VIOLBR09.dbf", dbf_bytes([["F", "20090102", "1"], ["M", "20090102", "1"]], fields))
+    target, manifest = str(tmp_path / "out"), str(tmp_path / "manifest")
+    for want in ([("VIOLBR09.dbf", "ok", 2)], []):
+        status = notifications.run(spark, str(tmp_path / "in"), target, manifest)
+        assert [(r.name, r.status, r.n_records) for r in status.collect()] == want
+    rows = publish.read_published(spark, target).collect()
+    assert len(rows) == 1 and str(rows[0].DT_NOTIFICACAO) == "2009-01-02" and rows[0][LINEAGE] == "VIOLBR09.dbf"
+
+
+def test_survey_manifest(spark, tmp_path):
+    from cleartab.codebooks import survey as survey_book
+    from cleartab.plans import survey_fixed
+    width = max(end for _, end in survey_book.SPANS_2019.values())
+    (tmp_path / "pns.txt").write_text("1" * width + "\n")
+    args = (spark, str(tmp_path / "pns.txt"), str(tmp_path / "out"))
+    manifest = str(tmp_path / "manifest")
+    assert survey_fixed.run_2019(*args, manifest_path=manifest) is not None
+    assert survey_fixed.run_2019(*args, manifest_path=manifest) is None
+    (tmp_path / "pns.txt").write_text("1" * width + "\n" + "2" * width + "\n")
+    assert survey_fixed.run_2019(*args, manifest_path=manifest) is not None
 
 
 def test_missing_column_gives_empty(spark):
     df = spark.createDataFrame([("x", "f.dbf")], f"OTHER string, {LINEAGE} string")
-    assert mortality.select_records(df).count() == 0
+    out = mortality.project(mortality.select_records(df))
+    assert out.count() == 0 and len(out.columns) == 18
     out = notifications.project(notifications.select_records(df))
     assert out.count() == 0 and len(out.columns) == 47
 
