@@ -14,12 +14,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STRETCH = 1 << 16
-"""Width of a stretch in units of the order column."""
+STRETCH_ROWS = 1 << 16
+"""Rows that a stretch should span when all rows are one group."""
 
 
-def _stretched(df: DataFrame, order: str, stretch: int) -> DataFrame:
-    return df.withColumn("__stretch", F.floor(F.col(order) / F.lit(stretch)))
+def _stretched(df: DataFrame, order: str, stretch: float | None) -> DataFrame:
+    """Number of the stretch of each row. Without a width it is taken from the data:
+    the range of the order column over the stretches its rows make."""
+    if stretch is not None:
+        return df.withColumn("__stretch", F.floor(F.col(order) / F.lit(stretch)))
+    span = F.max(order).cast("double") - F.min(order).cast("double") + 1
+    width = df.agg(F.coalesce(span / F.greatest(F.ceil(F.count(order) / F.lit(STRETCH_ROWS)), F.lit(1)),
+                              F.lit(1.0)).alias("width")).scalar()
+    return df.withColumn("__stretch", F.floor(F.col(order).cast("double") / width))
 
 
 def _earlier(groups: Sequence[str]):
@@ -41,7 +48,7 @@ def _opened_by(rows: DataFrame, carries: DataFrame) -> DataFrame:
 
 
 def forward_fill(df: DataFrame, groups: Sequence[str], order: str, value: Column, reset: Column,
-                 into: str, stretch: int = STRETCH) -> DataFrame:
+                 into: str, stretch: float | None = None) -> DataFrame:
     """Last non-null text value in order; a reset row clears it for the rows from
     there on until the next value."""
     cleared = F.struct(F.lit(None).cast("string").alias("v"))
@@ -61,7 +68,7 @@ def forward_fill(df: DataFrame, groups: Sequence[str], order: str, value: Column
 
 
 def occurrence_number(df: DataFrame, groups: Sequence[str], order: str, into: str,
-                      stretch: int = STRETCH) -> DataFrame:
+                      stretch: float | None = None) -> DataFrame:
     """1, 2, 3 ... within each group by the order column."""
     keyed = _stretched(df, order, stretch)
     counts = keyed.groupBy(*groups, "__stretch").agg(F.count(F.lit(1)).alias("__n"))

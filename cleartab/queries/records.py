@@ -375,7 +375,7 @@ def forward_fill(spark, folder):
     rows = table(spark, folder, "conversations")
     long = F.length("text") > 700
     value = F.when((F.col("role") == "user") & ~long, F.concat(F.lit("U"), F.col("turn").cast("string")))
-    return ordered.forward_fill(rows, ["conv_id"], "turn", value, long, "current", stretch=4).select(
+    return ordered.forward_fill(rows, ["conv_id"], "turn", value, long, "current").select(
         "conv_id", "turn", "current")
 
 
@@ -384,7 +384,7 @@ SELECT p_partkey, p_name, row_number() OVER (PARTITION BY p_name ORDER BY p_part
 """)
 def name_occurrence(spark, folder):
     rows = table(spark, folder, "part").select("p_partkey", "p_name")
-    return ordered.occurrence_number(rows, ["p_name"], "p_partkey", "occurrence", stretch=512)
+    return ordered.occurrence_number(rows, ["p_name"], "p_partkey", "occurrence")
 
 
 @query("distinct_entities", """

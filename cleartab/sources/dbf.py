@@ -23,7 +23,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from cleartab import LINEAGE
 from cleartab.functions.text import NULL_TEXTS
-from cleartab.sources.listing import open_binary
+from cleartab.sources.listing import UnreachableStorage, open_binary
 
 SPLIT_BYTES = 128 << 20
 BATCH_BYTES = 8 << 20
@@ -189,6 +189,8 @@ def _status(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if head.offset + head.records * head.length > size:
                     raise EOFError("shorter than its header says")
                 rows.append((path, name, size, "ok", head.records, None))
+            except UnreachableStorage:
+                raise
             except Exception as error:  # one bad file must not stop the others
                 rows.append((path, name, size, "failed", None, f"{type(error).__name__}: {error}"))
         yield pd.DataFrame(rows, columns=["path", "name", "size_bytes", "status", "n_records",

@@ -44,15 +44,27 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
 
+class UnreachableStorage(Exception):
+    """No file system for a scheme. This is the set-up's fault and stops the job; a file that cannot be read does not."""
+
+
+# Schemes of the cluster's file systems under the names that a task's own reader knows.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfss", "abfs": "abfs", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs"}
+
+
 def open_binary(path: str):
     """Open a file inside a task: local paths directly, others through Arrow's
-    file systems."""
+    file systems, with the credentials of the executor's environment."""
     local = local_path(path)
     if local is not None:
         return open(local, "rb")
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(path)
+    scheme, _, rest = path.partition("://")
+    try:
+        system, inner = fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
+    except Exception as error:
+        raise UnreachableStorage(f"tasks cannot open {scheme}:// ({error}); copy the files to a store they can") from error
     return system.open_input_file(inner)
 
 
@@ -82,6 +94,8 @@ def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 with open_binary(path) as handle:
                     meta = pq.ParquetFile(handle).metadata
                 rows.append((path, meta.num_rows, meta.num_columns, None))
+            except UnreachableStorage:
+                raise
             except Exception as error:  # an unreadable file is a result, not a failure
                 rows.append((path, None, None, f"{type(error).__name__}: {error}"))
         yield pd.DataFrame(rows, columns=["path", "n_rows", "n_columns", "error"]).astype(

@@ -14,7 +14,7 @@ from cleartab.plans import survey_dictionary, survey_fixed
 from cleartab.queries.dbf_files import dbf_bytes
 from cleartab.session import Staging
 from cleartab.sources import listing, text
-from cleartab.sources.dbf import read_dbf
+from cleartab.sources.dbf import dbf_status, read_dbf
 
 DEATH_FIELDS = [("SEXO", "C", 1), ("CAUSABAS", "C", 4), ("RACACOR", "N", 2), ("DTOBITO", "D", 8), ("IDADE", "N", 6)]
 
@@ -81,6 +81,13 @@ def test_mortality_from_files(spark, tmp_path):
         incremental.from_dbf(spark, chosen, mortality.INPUT_COLUMNS)
 
 
+def test_unreachable_storage_is_no_bad_file(spark):
+    files = spark.createDataFrame([("wasbs://c@a.example/x.dbf", "x.dbf", 1)], "path string, name string, size_bytes bigint")
+    for check in (dbf_status, listing.parquet_footers):
+        with pytest.raises(Exception, match="tasks cannot open wasbs"):
+            check(files).collect()
+
+
 def test_notifications_from_files(spark, tmp_path):
     fields = [("CS_SEXO", "C", 1), ("DT_NOTIFIC", "D", 8), ("REL_CONJ", "C", 1)]
     write(tmp_path / "in" / "VIOLBR09.dbf", dbf_bytes([["F", "20090102", "1"], ["M", "20090102", "1"]], fields))

@@ -9,9 +9,9 @@ from cleartab.operators import ordered, relational, slices, versions
 from cleartab.session import Staging
 
 
-@pytest.mark.parametrize("stretch", [1, 3, 7, 1000])
+@pytest.mark.parametrize("stretch", [1, 3, 7, 1000, None])
 def test_forward_fill_and_occurrence(spark, stretch):
-    rng = random.Random(stretch)
+    rng = random.Random(stretch or 0)
     rows, want, counts = [], {}, {}
     for group in ("hot", "cold", None):
         current, n = None, 0
