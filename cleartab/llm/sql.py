@@ -1,5 +1,7 @@
 """SQL that the queries must agree with, where SQL can say it."""
 
+from cleartab.llm.secret_ledger import BASE, RULES
+
 _DRAW = "((('0x' || substr(md5({0}), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0"
 
 _OP5 = """
@@ -24,4 +26,45 @@ r AS (SELECT d.*, t.source_size, t.target,
 SELECT doc_id, size, source_size, target, ((floor(k * e + u) - floor((k - 1) * e + u)) * size)::BIGINT AS taken FROM r
 """.format(draw=_DRAW.format("concat_ws('/', 'mix', coalesce(d.source, ''))"))
 
-ORACLES = {"op5_systematic_mix": _OP5}
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _op1() -> str:
+    """Matches and the pieces between them, numbered; running lengths place them."""
+    kinds = " UNION ALL ".join(
+        f"SELECT doc_id, '{r.kind}' AS kind, {i} AS o, {r.least} AS least, "
+        f"regexp_extract_all(t, {_quoted(r.pattern)}, 0) AS whole, regexp_extract_all(t, {_quoted(r.pattern)}, {r.group}) AS part, "
+        f"string_split_regex(t, {_quoted(r.pattern)}) AS between FROM d" for i, r in enumerate(RULES))
+    base = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({kinds}),
+one AS (SELECT doc_id, kind, o, least, unnest(whole) AS whole, unnest(part) AS part, unnest(between[1:len(whole)]) AS gap,
+               unnest(range(len(whole))) AS i FROM found WHERE len(whole) > 0),
+placed AS (SELECT *, sum(length(gap) + length(whole)) OVER (PARTITION BY doc_id, o ORDER BY i) AS stop FROM one),
+span AS (SELECT doc_id, kind, o, stop - length(whole) AS start, stop FROM placed WHERE length(part) >= least),
+said AS (SELECT doc_id, {base}, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) AS spans,
+                string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) FILTER (o < {len(BASE)}) AS base FROM span GROUP BY doc_id)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN said USING (doc_id)
+"""
+
+
+_OP8 = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS g FROM w WHERE len(w) > 0),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+                    GROUP BY ALL) JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 100 * common >= 90 * (p.n + q.n - common)),
+r AS (SELECT doc_id AS id, doc_id AS c FROM documents UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.c)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(c) AS component_id
+FROM documents LEFT JOIN n USING (doc_id) JOIN r ON r.id = doc_id GROUP BY doc_id
+"""
+
+ORACLES = {"op1_secret_ledger": _op1(), "op5_systematic_mix": _OP5, "op8_prefix_tree_join": _OP8}
