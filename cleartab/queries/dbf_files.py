@@ -7,43 +7,79 @@ import struct
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cleartab.session import local_path
 
+Fields = list[tuple[str, str, int]]
 
-def dbf_bytes(rows: list[list[str]], fields: list[tuple[str, str, int]],
-              deleted: set[int] = frozenset()) -> bytes:
-    """A DBF file: header, field descriptors, fixed-length records."""
+
+def header(n: int, fields: Fields) -> bytes:
+    """File header and field descriptors."""
     length = 1 + sum(size for _, _, size in fields)
-    offset = 32 + 32 * len(fields) + 1
-    out = [struct.pack("<BBBBIHH20x", 3, 24, 1, 1, len(rows), offset, length)]
+    out = [struct.pack("<BBBBIHH20x", 3, 24, 1, 1, n, 32 + 32 * len(fields) + 1, length)]
     for name, kind, size in fields:
         out.append(struct.pack("<11sc4xBB14x", name.encode("latin-1"), kind.encode(), size, 0))
-    out.append(b"\r")
+    return b"".join(out) + b"\r"
+
+
+def records(rows: list[list[str]], fields: Fields, deleted: set[int] = frozenset()) -> bytes:
+    """Fixed-length records."""
+    out = []
     for at, row in enumerate(rows):
         out.append(b"*" if at in deleted else b" ")
         out += [v.encode("latin-1")[:size].ljust(size) for v, (_, _, size) in zip(row, fields)]
-    return b"".join(out) + b"\x1a"
+    return b"".join(out)
+
+
+def dbf_bytes(rows: list[list[str]], fields: Fields, deleted: set[int] = frozenset()) -> bytes:
+    """A whole small file."""
+    return header(len(rows), fields) + records(rows, fields, deleted) + b"\x1a"
+
 
+def put_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file, through the session's file systems."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(data))
+    out.close()
 
-def write_dbf(df: DataFrame, folder: str, fields: list[tuple[str, str, int]]) -> DataFrame:
-    """One file per partition; returns their ``(path, name, size_bytes)``."""
+
+def write_dbf(df: DataFrame, folder: str, fields: Fields, file: Column) -> list[tuple[str, str, int]]:
+    """One file per value of ``file``; returns ``(path, name, size)`` of each.
+
+    Records go out batch by batch; the number of records is put into the header
+    at the end. The folder must be one that all tasks share and can open.
+    """
     target = local_path(folder)
     if target is None:
-        raise ValueError("test files are written to a local or mounted folder")
+        raise ValueError("test files are written to a mounted folder")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [[("" if v is None else str(v)) for v in r]
-                for batch in batches for r in batch.itertuples(index=False)]
         os.makedirs(target, exist_ok=True)
-        name = f"DOEXT{TaskContext.get().partitionId():04d}.dbf"
-        data = dbf_bytes(rows, fields)
-        with open(f"{target}/{name}", "wb") as handle:
-            handle.write(data)
-        yield pd.DataFrame([(f"{target}/{name}", name, len(data))],
-                           columns=["path", "name", "size_bytes"])
-
-    return df.select(*[f[0] for f in fields]).mapInPandas(
-        write, "path string, name string, size_bytes bigint")
+        done, name, n, handle = [], None, 0, None
+
+        def close():
+            handle.write(b"\x1a")
+            done.append((f"{target}/{name}", name, handle.tell()))
+            handle.seek(0)
+            handle.write(header(n, fields))
+            handle.close()
+
+        for batch in batches:
+            for key, rows in batch.groupby("__file", sort=False):
+                if key != name:
+                    if handle:
+                        close()
+                    name, n, handle = key, 0, open(f"{target}/{key}", "wb")
+                    handle.write(header(0, fields))
+                texts = [["" if v is None else str(v) for v in r] for r in rows.drop(columns="__file").itertuples(index=False)]
+                handle.write(records(texts, fields))
+                n += len(texts)
+        if handle:
+            close()
+        yield pd.DataFrame(done, columns=["path", "name", "size_bytes"])
+
+    rows = df.select(*[f[0] for f in fields], file.alias("__file")).repartition("__file").sortWithinPartitions("__file")
+    return [tuple(r) for r in rows.mapInPandas(write, "path string, name string, size_bytes bigint").collect()]

@@ -19,7 +19,7 @@ from cleartab.operators import publish as sinks
 from cleartab.plans import (catalog, courts, geography, incremental, mortality, notifications,
                             raw_store, survey_dictionary, survey_fixed)
 from cleartab.queries import query, table
-from cleartab.queries.dbf_files import write_dbf
+from cleartab.queries.dbf_files import put_bytes, write_dbf
 from cleartab.queries.values import CALENDAR
 from cleartab.session import Staging, staging_path
 from cleartab.sources import text as scans
@@ -124,8 +124,10 @@ def scan_dbf(spark, folder):
         "ELSE CAST(floor(abs(c_acctbal)) AS STRING) || '.5' END AS BALANCE",
         "CASE WHEN c_nationkey = 7 THEN '00000000' ELSE '20200228' END AS DAY",
         "CASE WHEN c_nationkey < 8 THEN 'T' WHEN c_nationkey < 16 THEN 'n' ELSE '?' END AS FLAG")
-    files = write_dbf(rows.repartition(3), staging_path(spark, "dbf"), _DBF).collect()  # three files
-    read = read_dbf(spark, [(f.path, f.size_bytes) for f in files], split=20_000)
+    # A file for every hundred thousand customers, three at least.
+    number = F.concat(F.lit("DOEXT"), F.pmod(F.xxhash64("ID"), F.lit(max(3, rows.count() // 100_000))).cast("string"), F.lit(".dbf"))
+    files = write_dbf(rows, staging_path(spark, "dbf"), _DBF, number)
+    read = read_dbf(spark, [(path, size) for path, _, size in files], split=20_000)
     return read.select(*[f[0] for f in _DBF], F.col(LINEAGE).startswith("DOEXT").alias("from_file"))
 
 
@@ -255,7 +257,7 @@ def _label(book: dict, column: str, name: str) -> str:
     return f"{sql_map(book)}[{column}] AS {name}"
 
 
-@query("job_mortality", f"""
+_DEATHS_DECODED = f"""
 SELECT DTNASC AS DT_NASCIMENTO, DTOBITO AS DT_OBITO, DTCADASTRO AS DT_CADASTRO_OBITO, HORAOBITO AS HORA_OBITO,
   {_label(death_book.SEX, 'SEXO', 'SEXO')}, {_label(death_book.RACE, 'RACACOR', 'RACA_COR')},
   {_label(death_book.MARITAL_STATUS, 'ESTCIV', 'EST_CIVIL')}, CODMUNRES AS COD_MUNICIPIO_RESID, CODMUNOCOR AS COD_MUNICIPIO_OBITO,
@@ -267,7 +269,10 @@ SELECT DTNASC AS DT_NASCIMENTO, DTOBITO AS DT_OBITO, DTCADASTRO AS DT_CADASTRO_O
   {_label(death_book.PUERPERIUM, 'OBITOPUERP', 'PUERPERIO')}, _ARQUIVO_ORIGEM
 FROM (SELECT {_DEATH_SQL} FROM orders) WHERE SEXO = '2' AND (
   regexp_full_match(CAUSABAS, '(X8[5-9]|X9[0-9]|Y0[0-589])[0-9]?') OR regexp_full_match(CAUSABAS, 'Y06[01289]?|Y07[012389]?'))
-""")
+"""
+
+
+@query("job_mortality", _DEATHS_DECODED)
 def job_mortality(spark, folder):
     rows = table(spark, folder, "orders").selectExpr(*[f"{e} AS `{c}`" for c, e in DEATHS.items()])
     raw = incremental.from_parquet(spark, [written(rows, "deaths")])
@@ -277,6 +282,31 @@ def job_mortality(spark, folder):
     return sinks.read_published(spark, path)
 
 
+@query("job_mortality_files", f"""
+SELECT * REPLACE (replace(_ARQUIVO_ORIGEM, '.dbc', '.dbf') AS _ARQUIVO_ORIGEM)
+FROM ({_DEATHS_DECODED}) WHERE _ARQUIVO_ORIGEM <> 'DOEXT1996.dbc'
+""")
+def job_mortality_files(spark, folder):
+    """From DBF files to the published table, twice: before the second run one file has men only, which takes its
+    rows away, and one is broken, which leaves them."""
+    rows = table(spark, folder, "orders").selectExpr(*[f"{e} AS `{c}`" for c, e in DEATHS.items()])
+    source, target, manifest = (staging_path(spark, n) for n in ("deaths", "published", "manifest"))
+    fields = [(c, "C", 16) for c in DEATHS if c != LINEAGE]
+    write_dbf(rows, source, fields, F.replace(F.col(LINEAGE), F.lit(".dbc"), F.lit(".dbf")))
+    _expect(mortality.run(spark, source, target, manifest), {"ok"})
+    men = rows.filter(f"{LINEAGE} = 'DOEXT1996.dbc' AND CAST(CODMUNRES AS BIGINT) % 2 = 0").withColumn("SEXO", F.lit("1"))
+    write_dbf(men, source, fields, F.lit("DOEXT1996.dbf"))
+    put_bytes(spark, f"{source}/DOEXT1995.dbf", b"broken")
+    _expect(mortality.run(spark, source, target, manifest), {"ok", "failed"})
+    return sinks.read_published(spark, target)
+
+
+def _expect(status: DataFrame, states: set[str]) -> None:
+    found = {r.status for r in status.select("status").distinct().collect()}
+    if found != states:
+        raise ValueError(f"files came out as {found}, not {states}")
+
+
 def _answers() -> dict[str, str]:
     """Form input: every column cycles through its answers with its own step."""
     out = {}
@@ -321,9 +351,10 @@ def _group(name: str, columns: list[str]) -> list[tuple[str, str]]:
 
 
 # One row per form and ticked or answered box; lists and signs are then joins with what a box stands for.
-_FORMS = f"""
+def _forms(form: str) -> str:
+    return f"""
 WITH {CALENDAR},
-form AS MATERIALIZED (SELECT row_number() OVER () AS r, {_FORM_SQL} FROM orders),
+form AS MATERIALIZED (SELECT row_number() OVER () AS r, {form} FROM orders),
 chosen AS MATERIALIZED (SELECT * FROM form WHERE CS_SEXO = 'F' AND LES_AUTOP IS DISTINCT FROM '1'
   AND NDUPLIC IS DISTINCT FROM '2' AND NDUPLIC_N IS DISTINCT FROM '2'),
 box AS MATERIALIZED (SELECT r, item, mark FROM (SELECT r, {", ".join(_BOXES)} FROM chosen)
@@ -345,7 +376,7 @@ def _listed(name: str) -> str:
     return f"(SELECT labels FROM listed WHERE listed.r = f.r AND list = '{name}') AS {name}"
 
 
-@query("job_notifications", f"""{_FORMS}
+_FORMS_DECODED = f"""
 SELECT notified AS DT_NOTIFICACAO, TRY_CAST(NU_ANO AS INTEGER) AS ANO_NOTIFICACAO, occurred AS DT_OCORRENCIA,
   HORA_OCOR AS HORA_OCORRENCIA, occurred <= notified AS DATAS_CONSISTENTES, SG_UF_NOT AS UF_NOTIFICACAO,
   ID_MUNICIP AS COD_MUNICIPIO_NOTIFIC, {_label(_B.NOTIFYING_UNIT, 'TP_UNI_EXT', 'UNIDADE_NOTIFICADORA')},
@@ -370,7 +401,10 @@ SELECT notified AS DT_NOTIFICACAO, TRY_CAST(NU_ANO AS INTEGER) AS ANO_NOTIFICACA
   CIRC_LESAO AS CID_CIRCUNSTANCIA_LESAO, closed AS DT_ENCERRAMENTO, _ARQUIVO_ORIGEM,
   {_listed('VINCULOS_AGRESSOR')}, coalesce((SELECT n FROM listed WHERE listed.r = f.r AND list = 'VINCULOS_AGRESSOR'), 0) AS QTD_VINCULOS_AGRESSOR
 FROM f LEFT JOIN signed USING (r)
-""")
+"""
+
+
+@query("job_notifications", _forms(_FORM_SQL) + _FORMS_DECODED)
 def job_notifications(spark, folder):
     rows = table(spark, folder, "orders").selectExpr(
         *[f"{e} AS `{c}`" for c, e in FORM.items() if c not in _ABSENT],
@@ -379,6 +413,32 @@ def job_notifications(spark, folder):
     return out.select(*[lists.join_list(F.col(c)).alias(c) if t.startswith("array") else F.col(c) for c, t in out.dtypes])
 
 
+# In files a column has at most ten characters; those with longer names are absent.
+_IN_FILES = [c for c in FORM if len(c) <= 10 and c not in _ABSENT]
+_FORM_FILE = "'VIOLBR' || CAST(ascii(o_orderstatus) AS STRING) || '.dbf'"
+_FILE_SQL = ", ".join([*(f'{e if c in _IN_FILES else "NULL::VARCHAR"} AS "{c}"' for c, e in FORM.items()),
+                       f"{_FORM_FILE} AS _ARQUIVO_ORIGEM"])
+
+
+@query("job_notifications_files", f"""
+SELECT * FROM ({_forms(_FILE_SQL)}{_FORMS_DECODED}) WHERE _ARQUIVO_ORIGEM <> 'VIOLBR80.dbf'
+""")
+def job_notifications_files(spark, folder):
+    """As for deaths: files, two runs, one file with men only and one broken in between."""
+    rows = table(spark, folder, "orders").selectExpr(*[f"{e} AS `{c}`" for c, e in FORM.items()], "o_orderstatus", _K)
+    source, target, manifest = (staging_path(spark, n) for n in ("forms", "published", "manifest"))
+    fields = [(c, "C", 16) for c in _IN_FILES]
+    name = F.expr(_FORM_FILE)
+    write_dbf(rows, source, fields, name)
+    _expect(notifications.run(spark, source, target, manifest), {"ok"})
+    men = rows.filter(f"o_orderstatus = 'P' AND {_K} % 2 = 0").withColumn("CS_SEXO", F.lit("M"))
+    write_dbf(men, source, fields, name)
+    put_bytes(spark, f"{source}/VIOLBR70.dbf", b"broken")
+    _expect(notifications.run(spark, source, target, manifest), {"ok", "failed"})
+    out = sinks.read_published(spark, target)
+    return out.select(*[lists.join_list(F.col(c)).alias(c) if t.startswith("array") else F.col(c) for c, t in out.dtypes])
+
+
 # One document per order; two orders share an id as its two versions.
 DOCUMENTS = {
     "id": f"CASE WHEN {_K} % 17 = 0 THEN NULL ELSE 'D' || CAST(CAST(floor({_K} / 2) AS BIGINT) AS STRING) END",
