@@ -93,25 +93,26 @@ def neighbours(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, bloc
 
 
 def _successors(docs: DataFrame, staging: Staging) -> DataFrame:
-    """One row per id: the next lower id (after the least the greatest), how much of it the edit of the
-    greater one takes, and which of the id's texts stands for it (the one of least hash)."""
-    ids = docs.groupBy("doc_id").agg(F.min("text_hash").alias("stands"), F.max("n_chars").alias("n_chars"))
+    """One row per key, which stands for an id, null included: the key of the next lower id (after the least the
+    greatest), the key whose next this one is and how much of the text that one takes, and which of the id's texts
+    stands for it (the one of least hash)."""
+    ids = docs.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("stands"),
+                                  F.max("n_chars").alias("n_chars"))
     cut = in_stretches(ids, [F.col("doc_id")], staging, "ids")
-    edges = cut.groupBy("_part").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
-                                     F.max_by("n_chars", "doc_id").alias("n_high"),
-                                     F.min_by("n_chars", "doc_id").alias("n_low"))
-    whole = Window.partitionBy()
-    order = Window.orderBy("_part")
+    place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")
+    edges = cut.groupBy("_part").agg(F.min_by("key", place).alias("low"), F.max_by("key", place).alias("high"),
+                                     F.min_by("n_chars", place).alias("n_low"))
+    whole, order = Window.partitionBy(), Window.orderBy("_part")
     edges = edges.select("_part",
-                         F.coalesce(F.lag("high").over(order), F.max("high").over(whole)).alias("before"),
-                         F.coalesce(F.lead("n_low").over(order),
-                                    F.min_by("n_low", "low").over(whole)).alias("n_after"))
+                         F.coalesce(F.lag("high").over(order), F.max_by("high", "_part").over(whole)).alias("before"),
+                         F.coalesce(F.lead("low").over(order), F.min_by("low", "_part").over(whole)).alias("after"),
+                         F.coalesce(F.lead("n_low").over(order), F.min_by("n_low", "_part").over(whole)).alias("n_after"))
     inside = Window.partitionBy("_part").orderBy("doc_id")
-    rows = cut.withColumn("_prev", F.lag("doc_id").over(inside)).withColumn("_succ", F.lead("n_chars").over(inside))
-    rows = rows.withColumn("_last", F.lead("doc_id").over(inside).isNull())
+    rows = cut.select("_part", "key", "stands", F.lag("key").over(inside).alias("down"),
+                      F.lead("key").over(inside).alias("up"), F.lead("n_chars").over(inside).alias("n_up"))
     return rows.join(edges, "_part").select(
-        "doc_id", "stands", F.coalesce("_prev", "before").alias("next_id"),
-        F.floor(F.when(F.col("_last"), F.col("n_after")).otherwise(F.col("_succ")) / 2).cast("int").alias("lent"))
+        "key", "stands", F.coalesce("down", "before").alias("next_key"), F.coalesce("up", "after").alias("borrower"),
+        F.floor(F.coalesce("n_up", "n_after") / 2).cast("int").alias("lent"))
 
 
 def compare(spark: SparkSession, docs: DataFrame, staging: Staging) -> DataFrame:
@@ -124,37 +125,35 @@ def compare(spark: SparkSession, docs: DataFrame, staging: Staging) -> DataFrame
     words. A lone document is next to itself. An empty table gives no rows;
     other columns are not read. Likeness is the share of equal bits.
     """
-    rows = keep_only(docs, "doc_id", "text").select(F.col("doc_id"), whole_text(docs).alias("text"))
-    hashed = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.length("text").alias("n_chars"))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    rows = keep_only(docs, "doc_id", "text").select(key.alias("key"), "doc_id", whole_text(docs).alias("text"))
+    hashed = rows.select("key", "doc_id", F.xxhash64("text").alias("text_hash"), F.length("text").alias("n_chars"))
     order = staging.table(_successors(hashed, staging), "order")
-    # Ids are shifted to a key without null.
-    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
-    order = order.select(key("doc_id").alias("key"), "stands", key("next_id").alias("next_key"), "lent")
-    placed = rows.withColumn("key", key("doc_id")).join(order, "key")
-    back = order.select(F.col("next_key").alias("key"), F.col("key").alias("to"))
-    stands = F.xxhash64("text") == F.col("stands")
-    lent = placed.filter(stands).select("key", F.expr("substring(text, 1, lent)").alias("part"))
-    lent = lent.join(back, "key").groupBy("to").agg(F.first("part").alias("part"))
-    both = placed.join(lent, placed["key"] == lent["to"])
+    # Both uses of the placed texts read key and text alone, joined by the key alone: the texts are shuffled once.
+    placed = rows.select("key", "text").join(order, "key")
+    stands = F.xxhash64("text").bitwiseXOR(F.col("stands")) == 0
+    lent = (placed.filter(stands).select("borrower", F.expr("substring(text, 1, lent)").alias("part"))
+            .groupBy("borrower").agg(F.first("part").alias("part")))
+    both = placed.drop("borrower").join(lent, F.col("key") == F.col("borrower"))
     n = F.length("text")
     edited = F.concat(F.expr("substring(text, 1, length(text) - int(floor(length(text) / 2)))"),
                       F.expr("substring(part, 1, int(floor(length(text) / 2)))"))
-    both = both.select("doc_id", "key", "next_key", stands.alias("stands"), n.cast("long").alias("n_chars"), "text",
+    both = both.select("key", "next_key", stands.alias("stands"), n.cast("long").alias("n_chars"), "text",
                        edited.alias("edited")).withColumn("row", F.monotonically_increasing_id())
-    two = both.select("doc_id", "key", "next_key", "stands", "n_chars", "row",
+    two = both.select("key", "next_key", "stands", "n_chars", "row",
                       F.sha2("edited", 256).alias("edited_sha256"),
                       F.inline(F.array(F.struct(F.lit(0).alias("which"), F.col("text")),
                                        F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))))
-    names = ["doc_id", "key", "next_key", "stands", "n_chars", "row", "edited_sha256"]
+    names = ["key", "next_key", "stands", "n_chars", "row", "edited_sha256"]
     prints = fingerprints(two, [*names, "which"])
     wide = prints.groupBy(*names).agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("fingerprint"),
                                       F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited"))
     wide = staging.table(wide, "prints")
-    nexts = wide.filter("stands").groupBy("key").agg(F.first("fingerprint").alias("next_print")).select(
-        F.col("key").alias("next_key"), "next_print")
+    nexts = wide.filter("stands").groupBy(F.col("key").alias("that")).agg(F.first("fingerprint").alias("next_print"))
     like = lambda a, b: (F.lit(64) - distance(F.col(a), F.col(b))) / F.lit(64.0)
-    return wide.join(nexts, "next_key").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited", like("fingerprint", "edited").alias("near_edited"),
+    return wide.join(nexts, F.col("next_key") == F.col("that")).select(
+        F.col("key").try_cast("bigint").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited",
+        like("fingerprint", "edited").alias("near_edited"),
         like("fingerprint", "next_print").alias("near_next"))
 
 

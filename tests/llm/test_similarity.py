@@ -185,6 +185,9 @@ def test_simhash_odd(spark, odd, staging):
     assert by[1]["fingerprint"] == by[4]["fingerprint"] and by[2]["fingerprint"] == by[3]["fingerprint"] == 0
     assert by[None]["edited_sha256"] == hashlib.sha256(
         ("a text without id"[:9] + "A line that is long enough\n"[:8]).encode()).hexdigest()
+    prose = {r["doc_id"]: r["text"] for r in odd.collect()}[1]
+    half = len(prose) // 2  # the least known id is followed by the null one
+    assert by[1]["edited_sha256"] == hashlib.sha256((prose[:len(prose) - half] + "a text without id").encode()).hexdigest()
     assert simhash.compare(spark, odd.limit(0), Staging(spark)).count() == 0
     one = simhash.compare(spark, odd.filter("doc_id = 1"), Staging(spark)).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
