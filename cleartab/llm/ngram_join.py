@@ -66,10 +66,14 @@ def digest(grams: np.ndarray) -> tuple[int, int]:
 
 
 def bounds(percent: int, upto: int) -> list[int]:
-    """First sizes of the size classes. A class spans four steps of the least ratio between linked sizes."""
-    out = [1]
+    """First sizes of the size classes. A class spans four steps of the least ratio between linked sizes, below 90 % one.
+
+    Wide classes need fewer keys. Below 90 % they would leave so many segments of their smaller sets
+    empty that empty segments become keys, which all sets of a class share.
+    """
+    out, steps = [1], 4 if percent >= 90 else 1
     while out[-1] <= upto:
-        out.append(max(out[-1] + 1, int(out[-1] * (100 / percent) ** 4)))
+        out.append(max(out[-1] + 1, int(out[-1] * (100 / percent) ** steps)))
     return out
 
 

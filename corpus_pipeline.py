@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from cleartab.llm import language, lexical_packing, line_dedup, mixing, ngram_join
 from cleartab.session import Staging
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+"""Texts are near copies when their sets of word 5-grams have a Jaccard similarity of 0.8 or more."""
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents whose language is recognised stay."""
@@ -27,8 +30,8 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) ->
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of linked ones stays."""
-    return ngram_join.representatives(docs, Staging(spark))
+    """One document of each group of near copies stays; see ``NEAR_PERCENT``, op8's own threshold is another."""
+    return ngram_join.representatives(docs, Staging(spark), NEAR_PERCENT, NEAR_WORDS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 import subprocess
 import sys
 from pathlib import Path
@@ -6,6 +7,7 @@ import corpus_pipeline
 from cleartab.llm import queries, sql
 from cleartab.session import Staging
 from tests.compare import connect, differences
+from tests.llm.test_similarity import edited, groups, word_set
 
 
 def test_stages(spark, folder):
@@ -21,6 +23,28 @@ def test_stages(spark, folder):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "line_dedup", "ngram_join", "mixing", "packing"]
 
 
+def test_near_copies(spark, make):
+    """The stage keeps one of each group at five words and 0.8, as brute force has them."""
+    rng, docs = random.Random(5), {}
+    for size in (6, 14, 40, 150, 400):
+        for _ in range(4):
+            base = [f"w{rng.randrange(5000)}" for _ in range(size)]
+            for k in (0, 1, 2, 4, 6, 8):
+                docs[len(docs)] = edited(rng, base, k * size // 150 + (k > 0))
+            cut = rng.randrange(1, 2 + size // 8)
+            docs[len(docs)] = " ".join(base[:size // 2] + base[size // 2 + cut:])
+
+    def roots(n, percent):
+        sets = {i: word_set(t, n) for i, t in docs.items()}
+        near = [(a, b) for a in docs for b in docs if a < b
+                and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+        return set(groups(near, docs).values())
+
+    kept = corpus_pipeline.join_near_copies(spark, make(*docs.items()), "")
+    assert {r["doc_id"] for r in kept.collect()} == roots(5, 80)
+    assert len(roots(5, 80)) < len(roots(3, 90)) - 5
+
+
 def test_pipeline_empty_and_odd(spark, odd, tmp_path):
     for name, df in (("odd", odd), ("none", odd.limit(0))):
         df.write.parquet(str(tmp_path / name / "documents.parquet"))
