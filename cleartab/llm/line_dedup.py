@@ -3,13 +3,16 @@
 Equal lines meet by a hash of their content. For the rest, a one-permutation
 MinHash of character shingles is cut into bands; lines that share a band are
 tied to the least and the greatest line of that band, and each tie is checked
-by the exact Jaccard similarity of the shingle sets. Checked ties are joined
-into components, and of each component one line stays: the first by document
-and place.
+by the exact Jaccard similarity of the shingle sets. In bands whose lines are
+not one component then, all lines are compared. Checked ties are joined into
+components, and of each component one line stays: the first by document and
+place.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +20,7 @@ from pyspark.sql import types as T
 
 from cleartab.llm.common import documents
 from cleartab.llm.graph import components
-from cleartab.llm.trie import mixed
+from cleartab.llm.trie import mixed, spanning
 from cleartab.session import Staging
 
 SHINGLE = 8
@@ -25,6 +28,8 @@ LEAST_CHARACTERS = 16
 """Shorter lines (after trimming) are left alone: too little text to call a repeat."""
 BANDS, ROWS = 10, 5
 PERCENT = 80
+BLOCK = 128
+"""Lines of one band that a task compares with another such block at a time."""
 CHUNK = 1_000_000
 """Characters whose shingles are held at once, at least one line."""
 
@@ -151,6 +156,61 @@ def _checked(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
+def _unsettled(members: DataFrame, joined: DataFrame, staging: Staging, block: int = BLOCK) -> DataFrame:
+    """(key, i, j, own, node): the lines of every band that is not one component, once per pair of blocks.
+
+    Three lines are all checked against the least and the greatest. Of bands with the same lines one
+    stands for all. A component of more than a block has blocks of its own, which are not compared
+    with each other.
+    """
+    at = members.join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    at = staging.table(at, "banded")
+    print_of = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in (0, 1)]
+    sizes = at.groupBy("key", "component").agg(F.count("*").alias("n"), *print_of)
+    big = F.col("n") > block
+    lumps = sizes.groupBy("key", big.alias("big"), F.when(big, F.col("component")).otherwise(0).alias("id")).agg(
+        F.sum("n").alias("n"), F.count("*").alias("parts"), *[F.bit_xor(h).alias(h) for h in ("h0", "h1")])
+    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.col("n") / block).cast("int") - 1),
+                         lambda b: F.struct(F.col("big"), F.col("id"), b.alias("block")))
+    bands = lumps.groupBy("key").agg(
+        F.sum("n").alias("n"), F.sum("parts").alias("parts"), *[F.bit_xor(h).alias(h) for h in ("h0", "h1")],
+        F.array_sort(F.flatten(F.collect_list(blocks))).alias("blocks"))
+    bands = bands.filter("parts > 1 and n > 3").dropDuplicates(["n", "h0", "h1"]).select("key", "blocks")
+    rows = at.join(staging.table(bands, "bands"), "key")
+    apart = F.exists("blocks", lambda b: b["big"] & (b["id"] == F.col("component")))
+    rows = rows.withColumn("lump", F.struct(apart.alias("big"), F.when(apart, F.col("component")).otherwise(0).alias("id")))
+    same = lambda b: (b["big"] == F.col("lump.big")) & (b["id"] == F.col("lump.id"))
+    count = F.size(F.filter("blocks", same))
+    own = F.array_position("blocks", F.struct(F.col("lump.big").alias("big"), F.col("lump.id").alias("id"),
+                                              F.pmod(F.xxhash64("node"), count).cast("int").alias("block"))) - 1
+    rows = rows.withColumn("own", own.cast("int")).select("key", "node", "own", "lump", F.posexplode("blocks").alias("other", "b"))
+    rows = rows.filter(~(F.col("b.big") & same(F.col("b"))))
+    return rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node")
+
+
+def _compared(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that connect all similar lines of each pair of blocks; ``rows`` as from ``_unsettled``, with ``line``."""
+    def run(batches):
+        import pyarrow as pa
+
+        def rows_of():
+            for batch in batches:
+                yield from zip(*[batch.column(k).to_pylist() for k in range(6)])
+
+        sets = lambda side: [np.unique(shingles([r[5]])[0]) for r in side]
+        for (_, i, j), group in itertools.groupby(rows_of(), key=lambda r: r[:3]):
+            group = list(group)
+            left = [r for r in group if r[3] == i]
+            right = left if i == j else [r for r in group if r[3] == j]
+            found = spanning(sets(left), None if i == j else sets(right), percent)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([left[x][4] for x, _ in found], pa.int64()),
+                                                  pa.array([right[y][4] for _, y in found], pa.int64())], ["a", "b"])
+
+    return (rows.select("key", "i", "j", "own", "node", "line").repartition("key", "i", "j")
+            .sortWithinPartitions("key", "i", "j").mapInArrow(run, "a bigint, b bigint"))
+
+
 def repeats(docs: DataFrame, staging: Staging, percent: int = PERCENT) -> DataFrame:
     """(doc_id, places) of the documents with lines to remove; ``places`` holds struct(place, node)."""
     lines = staging.table(_lines(docs), "lines")
@@ -160,14 +220,18 @@ def repeats(docs: DataFrame, staging: Staging, percent: int = PERCENT) -> DataFr
     ties = staging.table(ties.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                          .distinct(), "ties")
     nodes = ties.select(F.col("a").alias("node")).unionByName(ties.select(F.col("b").alias("node"))).distinct()
-    at = lines.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    at = staging.table(lines.join(nodes, "node").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")), "at")
     wanted = at.groupBy("doc_id").agg(F.collect_list("node").alias("nodes"))
     held = docs.select("doc_id", "text").join(wanted, "doc_id").select("text", "nodes")
     texts = staging.table(_texts(held).dropDuplicates(["node"]), "texts")
     pairs = (ties.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a")
              .join(texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b"))
     links = staging.table(_checked(pairs, percent), "links")
-    joined = components(links, staging, "line_components")
+    members = at.select(F.explode("keys").alias("key"), "node")
+    rest = _unsettled(members, components(links, staging, "tied_components"), staging)
+    more = staging.table(_compared(rest.join(texts, "node"), percent), "more_links")
+    joined = components(links.unionByName(more), staging, "line_components")
     # Only lines that occur twice or lie in a component can be repeats.
     first = lines.groupBy("node").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
     first = first.join(joined, "node", "left").filter("n > 1 or component is not null")

@@ -233,6 +233,22 @@ def test_lines(spark, make):
         assert lines[-1] in rows[d]["text"].split("\n")
 
 
+@pytest.mark.parametrize("block", [3, 128])
+def test_lines_around_one(spark, make, monkeypatch, block):
+    """Variants that are like the common line but not like each other all go, whatever their hashes."""
+    monkeypatch.setattr(line_dedup._unsettled, "__defaults__", (block,))
+    rng, docs = random.Random(11), {}
+    line = "".join(rng.choice("abcdefghijklmnop") for _ in range(200))
+    for d in range(101):
+        text = list(line)
+        for k in rng.sample(range(200), 2 * (d > 0)):
+            text[k] = rng.choice("uvwxyz")
+        docs[d] = "".join(text)
+    want = brute_lines(docs)
+    rows = line_dedup.dedup(make(*docs.items()), Staging(spark)).collect()
+    assert len(want) == 100 and sum(r["n_dropped"] for r in rows) >= 97
+
+
 def test_banding_recall():
     """Lines at the threshold and above meet in some band nearly always."""
     rng = random.Random(4)
