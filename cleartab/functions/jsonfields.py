@@ -25,17 +25,26 @@ _MAPS = "array<map<string,string>>"
 _SCALAR = 'null|true|false|-?[0-9][0-9.eE+-]*|".*"'
 
 
+_FLAT = r'(?s)\[\s*+(?:\{(?:[^"{}\[\]]++|"(?:[^"\\]++|\\.)*+")*+\}[\s,]*+)*+\]\s*+'
+"""An array of objects that hold scalars only. Strings are passed over whole, so brackets in them count for nothing."""
+_MARKS = r'(?s)\\.|["\[\]{}]'
+"""What moves the automaton: an escape with the character it escapes, a quote, a bracket."""
+
+
 def _depth(text: Column) -> Column:
-    """How deep brackets are nested, those inside quoted strings left out."""
-    bare = F.regexp_replace(text, r'"(?:[^"\\\\]|\\\\.)*+"', "")
-    brackets = F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), "")
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    """How deep brackets are nested, by an automaton over the marks of the text.
+
+    Its state is whether a string is open, and the depth now and at most. A quote
+    opens or closes a string, an escaped character never does; brackets count
+    outside strings only.
+    """
+    start = F.struct(F.lit(False).alias("quoted"), F.lit(0).alias("now"), F.lit(0).alias("most"))
 
-    def step(s: Column, c: Column) -> Column:
-        now = s["now"] + F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0)
-        return F.struct(now.alias("now"), F.greatest(s["most"], now).alias("most"))
+    def step(s: Column, mark: Column) -> Column:
+        now = s["now"] + F.when(s["quoted"], 0).when(mark.isin("[", "{"), 1).when(mark.isin("]", "}"), -1).otherwise(0)
+        return F.struct((s["quoted"] != (mark == '"')).alias("quoted"), now.alias("now"), F.greatest(s["most"], now).alias("most"))
 
-    return F.reduce(brackets, start, step, lambda s: s["most"])
+    return F.reduce(F.regexp_extract_all(text, F.lit(_MARKS), F.lit(0)), start, step, lambda s: s["most"])
 
 
 def _typed(value: Column, kind: str) -> Column:
@@ -65,9 +74,6 @@ def json_objects(col: Column) -> Column:
     text = F.trim(col)
     array = F.when(text.startswith("["), text).when(
         text.startswith("{"), F.concat(F.lit("["), text, F.lit("]")))
-    tail = F.substring(array, 2, 2147483647)
-    # An array in the array, or something opened inside an object. A bracket in a string costs time, no more.
-    nested = tail.contains("[") | tail.rlike(r"\{[^}]*\{")
     start = F.struct(F.from_json(array, "array<variant>").alias("level"), F.array().cast(_MAPS).alias("found"))
     walked = F.reduce(
         F.sequence(F.lit(1), F.greatest(_depth(array), F.lit(1))), start,
@@ -75,7 +81,7 @@ def json_objects(col: Column) -> Column:
                               F.concat(s["found"], _as_maps(s["level"])).alias("found")),
         lambda s: s["found"])
     scalar = F.when(full_match(text, _SCALAR), F.array().cast(_MAPS))
-    return F.coalesce(F.when(~nested, F.from_json(array, _MAPS)), walked, scalar)
+    return F.coalesce(F.when(full_match(array, _FLAT), F.from_json(array, _MAPS)), walked, scalar)
 
 
 def values_of(objects: Column, key: str) -> Column:

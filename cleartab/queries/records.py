@@ -337,6 +337,30 @@ def json_nested_codes(spark, folder):
         F.array_join(F.transform(c, lambda x: F.coalesce(x.cast("string"), F.lit("-"))), ",").alias("code_text"))
 
 
+@query("json_nested_escapes", r"""
+WITH d AS (SELECT event_id, CASE k % 5
+    WHEN 0 THEN '[{"nome":"' || kind || '\\","filho":[[[{"codigo":' || k || '}]]]}]'
+    WHEN 1 THEN '[{"nome":"}","f":{"codigo":' || k || '}}]'
+    WHEN 2 THEN '[{"codigo":' || k || ',"nome":"a}b","f":{"codigo":2}},{"nome":"\"]{","codigo":3}]'
+    WHEN 3 THEN '[{"nome":"[{\\\"","codigo":' || k || '},[{"codigo":4,"nome":"\\"}]]'
+    ELSE '[{"nome":"' || kind || ' { \" [","codigo":' || k || '}]' END AS subjects
+  FROM (SELECT event_id, event_type AS kind, json_extract_string(props, '$.k')::INTEGER AS k FROM events))
+SELECT event_id, array_to_string(list_transform(json_extract(subjects, '$..codigo'), lambda c: c::VARCHAR), ',') AS code_text,
+       array_to_string(json_extract_string(subjects, '$..nome'), '|') AS name_text FROM d
+""")
+def json_nested_escapes(spark, folder):
+    rows = table(spark, folder, "events").select(
+        "event_id", F.col("event_type").alias("kind"), jsonfields.json_integer(F.col("props"), "k").alias("k"))
+    forms = [r'[{"nome":"#kind\\","filho":[[[{"codigo":#k}]]]}]', '[{"nome":"}","f":{"codigo":#k}}]',
+             r'[{"codigo":#k,"nome":"a}b","f":{"codigo":2}},{"nome":"\"]{","codigo":3}]',
+             r'[{"nome":"[{\\\"","codigo":#k},[{"codigo":4,"nome":"\\"}]]', r'[{"nome":"#kind { \" [","codigo":#k}]']
+    form = F.element_at(F.array(*[F.lit(f) for f in forms]), (F.col("k") % 5 + 1).cast("int"))
+    told = F.replace(F.replace(form, F.lit("#kind"), F.col("kind")), F.lit("#k"), F.col("k").cast("string"))
+    found = rows.select("event_id", jsonfields.json_objects(told).alias("o"))
+    return found.select("event_id", F.array_join(jsonfields.integers_of(F.col("o"), "codigo"), ",").alias("code_text"),
+                        F.array_join(jsonfields.values_of(F.col("o"), "nome"), "|").alias("name_text"))
+
+
 @query("json_path_num", """
 SELECT event_id, TRY_CAST(json_extract_string(doc, '$.k') AS BIGINT) AS k
 FROM (SELECT event_id, CASE event_type WHEN 'click' THEN replace(props, '}', '.6}')

@@ -1,6 +1,8 @@
 """Golden rows of the column rules."""
 
 import datetime as dt
+import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -73,6 +75,46 @@ def test_json_values(values):
         3550308, 3550308, None, None, None]
 
 
+def test_json_brackets_in_strings(values):
+    def integers(c):
+        return jsonfields.json_integers(c, "codigo")
+    assert values(integers, [
+        '[{"nome":"a\\\\","filho":[[[{"codigo":1}]]]}]', '[{"nome":"}","f":{"codigo":2}}]',
+        '[{"codigo":1,"nome":"a}b","f":{"codigo":2}}]', '[{"nome":"\\"}{","codigo":3},{"nome":"]\\\\\\""},{"codigo":4}]',
+        '[{"codigo":"}"},{"nome":"{[","codigo":5}]', '[{"a\\"{":{"codigo":6}}]', '{"nome":"x\\\\","f":[[{"codigo":7}]]}']) == [
+        [1], [2], [1, 2], [3, 4], [None, 5], [6], [7]]
+
+
+def test_json_random(values):
+    """Nested values with escapes and brackets in every string, against a walk in Python."""
+    draw = random.Random(7)
+
+    def name():
+        return "".join(draw.choice(['"', "\\", "{", "}", "[", "]", "a", "é", "\n", "/", ","]) for _ in range(draw.randrange(5)))
+
+    def value(depth):
+        kind = draw.randrange(6 if depth else 3)
+        if kind < 3:
+            return [draw.randrange(100), name(), None][kind]
+        if kind == 3:
+            return [value(depth - 1) for _ in range(draw.randrange(4))]
+        keys = [k for k in {name(): 0, "codigo": 1, name() + "x": 2} if k != "codigo" or draw.random() < 0.8]
+        return {k: draw.randrange(100) if k == "codigo" and draw.random() < 0.8 else value(depth - 1) for k in keys}
+
+    def codes(root):
+        level, found = [root] if isinstance(root, dict) else root, []
+        while level:
+            found += [x["codigo"] for x in level if isinstance(x, dict) and "codigo" in x]
+            level = [y for x in level if isinstance(x, (dict, list))
+                     for y in (x if isinstance(x, list) else [x[k] for k in sorted(x)])]
+        return [x if isinstance(x, int) else None for x in found]
+
+    roots = [[value(5) for _ in range(draw.randrange(4))] for _ in range(300)]
+    roots = [r for r in roots if not any(isinstance(x, str) and x.strip().isdigit() for x in r)]
+    texts = [json.dumps(r, ensure_ascii=draw.random() < 0.5) for r in roots]
+    assert values(lambda c: jsonfields.json_integers(c, "codigo"), texts) == [codes(r) for r in roots]
+
+
 def test_lists(spark):
     df = spark.createDataFrame([([1, None, 5],), ([],), ([None],), (None,)], "c array<int>")
     got = df.select(lists.has_any(F.col("c"), [5]), lists.distinct_sorted_text(F.col("c")), lists.list_size(F.col("c"))).collect()
