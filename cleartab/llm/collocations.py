@@ -30,7 +30,7 @@ BITS = 26
 """A set of keys takes 2^BITS bits (8 MB), however many keys there are."""
 SHARES = (0.25, 1.0)
 """Words expanded by the end of each turn: the rarest, that together make this share of all frequent occurrences."""
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 """Bytes tokenized together."""
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
