@@ -25,7 +25,7 @@ LOW, HIGH, WHOLE = 80, 100, 100
 """A negative scores between LOW / WHOLE and HIGH / WHOLE of its positive."""
 ROWS, ANCHORS, TOGETHER, PAIRS = 4096, 4096, 64, 1 << 15
 """Rows and anchors of a block, anchors searched and pairs scored together; they bound the memory of a task."""
-STRIP = 8
+STRIP = 16
 SHARES = (0.7, 0.5, 0.35, 0.2)
 """Thresholds for positives, as shares of the largest product of norms in a block; after the last, none."""
 STEPS = (95, 90, 85, LOW)
@@ -48,6 +48,7 @@ class StripIndex:
 
     def search(self, a: np.ndarray, threshold: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """All (anchor, row, score) with a score at or above the anchor's threshold, some anchors at a time."""
+        a = np.pad(a, ((0, 0), (0, self.x.shape[1] - a.shape[1])))
         for i in range(0, len(a), TOGETHER):
             yield self._together(a[i:i + TOGETHER], threshold[i:i + TOGETHER], i)
 
@@ -62,8 +63,14 @@ class StripIndex:
         for s in reversed(range(self.strips)):
             rows = lists[s][live[lists[s]]]
             part = slice(s * STRIP, (s + 1) * STRIP)
-            partial[:, rows] += exact[:, part] @ self.exact[rows, part].T
-            live[rows] = (partial[:, rows] + norms[:, s, None] * self.before[None, rows, s] >= slack[:, None]).any(0)
+            if len(rows) == len(self.x):
+                partial += exact[:, part] @ self.exact[:, part].T
+            else:
+                partial[:, rows] += exact[:, part] @ self.exact[rows, part].T
+            if s:
+                # By row: the norms that remain lift no anchor to its threshold.
+                needed = slack[:, None] - (partial if len(rows) == len(self.x) else partial[:, rows])
+                live[rows] = (needed <= np.multiply.outer(norms[:, s], self.before[rows, s])).any(0)
         # Rows in no list are out, and so are rows that were dropped on the way.
         live &= self.before[:, -1] >= (slack / whole).min()
         rows = np.flatnonzero(live)
@@ -143,40 +150,66 @@ def block_positives(rows: pa.Table, anchors: pa.Table) -> Iterator[tuple[np.ndar
 def block_negatives(rows: pa.Table, anchors: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Within a block, the first NEGATIVES rows of each window: (window, row, score) positions.
 
-    A window is one anchor and positive; anchors have the column ``positive_score``.
+    A window is a positive of an anchor, in the order of the column ``positives``.
+    An anchor is searched with the lowest threshold of its windows that are not
+    full yet.
     """
     x, a = _pair(rows, anchors)
-    ids, labels = rows["vec_id"].to_numpy(), rows["label"].to_numpy()
-    anchor_labels, upper = anchors["label"].to_numpy(), anchors["positive_score"].to_numpy()
+    ids, labels, own = rows["vec_id"].to_numpy(), rows["label"].to_numpy(), anchors["label"].to_numpy()
+    counts, upper = windows_of(anchors)
+    first = np.concatenate([[0], np.cumsum(counts)])
     lower = -(-LOW * upper // WHOLE)
     index = StripIndex(x)
-    todo = np.flatnonzero(lower * WHOLE <= HIGH * upper)
-    for step in STEPS if len(todo) else ():
-        floor = np.maximum(lower[todo], -(-step * upper[todo] // WHOLE))
-        parts = []
-        for i, j, score in index.search(a[todo], floor.astype(np.float64)):
-            fits = (anchor_labels[todo[i]] != labels[j]) & (WHOLE * score <= HIGH * upper[todo[i]])
-            parts.append(_best(i[fits], j[fits], score[fits], ids, NEGATIVES))
-        i, j, score = (np.concatenate(p) for p in zip(*parts))
-        full = np.bincount(i, minlength=len(todo)) >= NEGATIVES
-        if step == STEPS[-1]:
-            full[:] = True
-        keep = full[i]
-        yield todo[i[keep]], j[keep], score[keep]
-        todo = todo[~full]
+    open_ = lower * WHOLE <= HIGH * upper
+    of = np.repeat(np.arange(len(counts)), counts)
+    for step in STEPS:
+        todo = np.unique(of[open_])
         if not len(todo):
             break
-
-
-def _task(search: Callable, columns: dict[str, str]) -> Callable:
-    """A cogroup function that gives the named columns of the anchors, then row id and score."""
-    def run(rows: pa.Table, anchors: pa.Table) -> pa.Table:
-        parts = list(search(rows, anchors)) if len(rows) and len(anchors) else []
-        i, j, score = (np.concatenate(p) if parts else np.empty(0, np.int64) for p in (zip(*parts) if parts else [()] * 3))
-        took = {name: anchors[source].combine_chunks().take(pa.array(i, pa.int64())) for name, source in columns.items()}
-        return pa.table({**took, "row_id": rows["vec_id"].combine_chunks().take(pa.array(j, pa.int64())),
-                         "score": pa.array(score, pa.int64())})
-    return run
+        floor = np.where(open_, np.maximum(lower, -(-step * upper // WHOLE)), np.iinfo(np.int64).max)
+        least = np.minimum.reduceat(floor, first[todo]) if len(todo) else floor
+        for i, j, score in index.search(a[todo], least.astype(np.float64)):
+            i = todo[i]
+            fits = own[i] != labels[j]
+            i, j, score = i[fits], j[fits], score[fits]
+            order = np.lexsort((ids[j], -score, i))
+            i, j, score = i[order], j[order], score[order]
+            at, starts = np.unique(i, return_index=True)
+            for anchor, low, high in zip(at, starts, np.append(starts[1:], len(i))):
+                falling = -score[low:high]
+                for w in range(first[anchor], first[anchor + 1]):
+                    if open_[w]:
+                        begin = np.searchsorted(falling, -(HIGH * upper[w] // WHOLE))
+                        end = min(np.searchsorted(falling, -floor[w], "right"), begin + NEGATIVES)
+                        if end - begin == NEGATIVES or step == STEPS[-1]:
+                            open_[w] = False
+                            taken = slice(low + begin, low + max(begin, end))
+                            yield np.full(max(0, end - begin), w), j[taken], score[taken]
+
+
+def windows_of(anchors: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of each anchor, and their positives' scores one after the other."""
+    lists = anchors["positives"].combine_chunks()
+    return np.diff(lists.offsets.to_numpy()), lists.flatten().field("score").to_numpy()
+
+
+def _found(parts: list, rows: pa.Table) -> tuple[pa.Array, dict[str, pa.Array]]:
+    i, j, score = (np.concatenate(p) for p in zip(*parts)) if parts else (np.empty(0, np.int64),) * 3
+    return pa.array(i, pa.int64()), {"row_id": rows["vec_id"].combine_chunks().take(pa.array(j, pa.int64())),
+                                     "score": pa.array(score, pa.int64())}
+
+
+def positives_task(rows: pa.Table, anchors: pa.Table) -> pa.Table:
+    at, found = _found(list(block_positives(rows, anchors)) if len(rows) and len(anchors) else [], rows)
+    return pa.table({"anchor_id": anchors["vec_id"].combine_chunks().take(at), **found})
+
+
+def negatives_task(rows: pa.Table, anchors: pa.Table) -> pa.Table:
+    at, found = _found(list(block_negatives(rows, anchors)) if len(rows) and len(anchors) else [], rows)
+    windows = anchors["positives"].combine_chunks()
+    owner = pa.array(np.repeat(anchors["vec_id"].to_numpy(), windows_of(anchors)[0]))
+    return pa.table({"anchor_id": owner.take(at), "positive_id": windows.flatten().field("id").take(at),
+                     "positive_score": windows.flatten().field("score").take(at), **found})
 
 
 def prepared(embeddings: DataFrame) -> DataFrame:
@@ -195,15 +228,14 @@ def prepared(embeddings: DataFrame) -> DataFrame:
     return one.groupBy("vec_id").agg(F.min(F.struct("label", "vec")).alias("row")).select("vec_id", "row.*")
 
 
-def _met(rows: DataFrame, queries: DataFrame, n_rows: int, n_queries: int, search: Callable,
-         columns: dict[str, str], schema: str) -> DataFrame:
-    """Every block of queries meets every block of rows once."""
-    by_row, by_query = -(-max(n_rows, 1) // ROWS), -(-max(n_queries, 1) // ANCHORS)
+def _met(rows: DataFrame, anchors: DataFrame, n_rows: int, n_anchors: int, task: Callable, schema: str) -> DataFrame:
+    """Every block of anchors meets every block of rows once."""
+    by_row, by_anchor = -(-max(n_rows, 1) // ROWS), -(-max(n_anchors, 1) // ANCHORS)
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     block = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
-    left = rows.select("*", block(by_row, 1).alias("_row"), each(by_query).alias("_query"))
-    right = queries.select("*", block(by_query, 2).alias("_query"), each(by_row).alias("_row"))
-    return left.groupBy("_row", "_query").cogroup(right.groupBy("_row", "_query")).applyInArrow(_task(search, columns), schema)
+    left = rows.select("*", block(by_row, 1).alias("_row"), each(by_anchor).alias("_anchor"))
+    right = anchors.select("*", block(by_anchor, 2).alias("_anchor"), each(by_row).alias("_row"))
+    return left.groupBy("_row", "_anchor").cogroup(right.groupBy("_row", "_anchor")).applyInArrow(task, schema)
 
 
 def mine(rows: DataFrame, anchors: DataFrame, staging: Staging) -> DataFrame:
@@ -215,14 +247,12 @@ def mine(rows: DataFrame, anchors: DataFrame, staging: Staging) -> DataFrame:
     """
     rows, anchors = staging.table(rows, "rows"), staging.table(anchors, "anchors")
     n_rows, n_anchors = rows.count(), anchors.count()
-    near = _met(rows, anchors, n_rows, n_anchors, block_positives, {"anchor_id": "vec_id"},
-                "anchor_id long, row_id long, score long")
+    near = _met(rows, anchors, n_rows, n_anchors, positives_task, "anchor_id long, row_id long, score long")
     best = Window.partitionBy("anchor_id").orderBy(F.desc("score"), "row_id")
-    positives = staging.table(near.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= POSITIVES).select(
-        "anchor_id", F.col("row_id").alias("positive_id"), F.col("score").alias("positive_score")), "positives")
+    positives = near.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= POSITIVES).groupBy("anchor_id").agg(
+        F.sort_array(F.collect_list(F.struct("n", F.col("row_id").alias("id"), "score"))).alias("positives"))
     windows = staging.table(anchors.join(positives, F.col("vec_id") == F.col("anchor_id")).drop("anchor_id"), "windows")
-    far = _met(rows, windows, n_rows, POSITIVES * n_anchors, block_negatives,
-               {"anchor_id": "vec_id", "positive_id": "positive_id", "positive_score": "positive_score"},
+    far = _met(rows, windows, n_rows, n_anchors, negatives_task,
                "anchor_id long, positive_id long, positive_score long, row_id long, score long")
     best = Window.partitionBy("anchor_id", "positive_id").orderBy(F.desc("score"), "row_id")
     return far.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= NEGATIVES).select(
