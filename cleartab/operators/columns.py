@@ -43,3 +43,15 @@ def unlisted_columns(df: DataFrame, listed: Sequence[str]) -> DataFrame:
     """Report of the columns a dictionary does not name."""
     names = sorted(set(df.columns) - set(listed))
     return df.sparkSession.createDataFrame([(n,) for n in names], "column_name string")
+
+
+def keep_listed(df: DataFrame, listed: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows with the listed columns only, and of the columns left out how much
+    they hold: ``(column_name, n_rows, n_filled)``, one pass and one row per task."""
+    names = sorted(set(df.columns) - set(listed))
+    kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c in set(listed)])
+    if not names:
+        return kept, df.sparkSession.createDataFrame([], "column_name string, n_rows bigint, n_filled bigint")
+    counts = df.agg(*[F.struct(F.lit(n).alias("column_name"), F.count(F.lit(1)).alias("n_rows"),
+                               F.count(F.col(f"`{n}`")).alias("n_filled")).alias(f"c{i}") for i, n in enumerate(names)])
+    return kept, counts.select(F.inline(F.array(*[f"c{i}" for i in range(len(names))])))

@@ -110,16 +110,22 @@ def listing_diff(source: DataFrame, copy: DataFrame, ignore: Sequence[str] = ())
 
 
 def read_manifest(spark, path: str) -> DataFrame:
-    """The manifest table, names in upper case; an absent one is empty. A swap that
-    stopped half-way is undone first, or its entries would be lost."""
+    """The newest manifest, names in upper case; an absent one is empty. One written
+    as a plain table, or left in the middle of a swap, by an earlier version is
+    read as well."""
+    from cleartab.operators import snapshots
     from cleartab.operators.publish import recover
     from cleartab.sources.listing import exists
 
     recover(spark, path)
-    if not exists(spark, path):
+    at, _ = snapshots.state(spark, path)
+    if at >= 0:
+        rows = snapshots.read(spark, path, at)
+    elif exists(spark, path):
+        rows = spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+    else:
         return spark.createDataFrame([], MANIFEST_SCHEMA)
-    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(path)
-    return rows.select(F.upper("source_file").alias("source_file"), "size_bytes")
+    return rows.select(F.upper("source_file").alias("source_file"), F.col("size_bytes").cast("bigint").alias("size_bytes"))
 
 
 def updated_manifest(manifest: DataFrame, done: DataFrame) -> DataFrame:

@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cleartab import LINEAGE
+from cleartab.operators import snapshots
+from cleartab.operators.ordered import numbered
 from cleartab.session import Staging
 from cleartab.sources import listing
 
 
 def publish(df: DataFrame, path: str, rows_per_file: int = 0) -> int:
-    """Write a table and return the rows found in it. An empty table is written
-    with its schema. The number of files follows the partitions of the plan,
-    which adaptive execution sizes; ``rows_per_file`` caps a file."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    """Write a table and return its rows, counted by the tasks that write them: one
+    job, and nothing is read again. An empty table is written with its schema. The
+    number of files follows the partitions of the plan, which adaptive execution
+    sizes; ``rows_per_file`` caps a file."""
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+    counted.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
+    return seen.get["n_rows"]
 
 
 def append_ndjson(df: DataFrame, path: str) -> None:
@@ -101,8 +109,10 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
-    """The last step of a job: only published files may be marked as done."""
-    publish_swapped(manifest.coalesce(1), path)
+    """The last step of a job: only published files may be marked as done. The
+    manifest is a table of snapshots, so a reader finds the old or the new one, and
+    of two jobs that started from the same manifest the later one fails."""
+    snapshots.overwrite(manifest, path)
 
 
 def multi_output(decoded: DataFrame, outputs: Mapping[str, tuple[Column, Callable]],
@@ -119,15 +129,46 @@ def multi_output(decoded: DataFrame, outputs: Mapping[str, tuple[Column, Callabl
                 for name, (condition, project) in outputs.items()}
 
 
-def isolated(spark: SparkSession, units: Iterable[str], work: Callable[[str], int]) -> DataFrame:
-    """Run one Spark job per unit, recording a failure and going on:
-    ``(unit, status, n_rows, error)``."""
-    rows = []
-    for unit in units:
+def isolated(spark: SparkSession, units: Iterable[str], work: Callable[[str], int], parallel: int = 8,
+             seconds: float | None = None, wanted: Callable[[str], bool] = lambda unit: True) -> DataFrame:
+    """Run the Spark jobs of several units, recording a failure and going on:
+    ``(unit, status, n_rows, error)`` in the order given.
+
+    Up to ``parallel`` units run at once, each in a job group and a fair-scheduler
+    pool of its own (``session.build`` sets fair scheduling), so a slow one does
+    not hold up the others. A unit that takes longer than ``seconds``, or that
+    ``wanted`` gives up, has its jobs cancelled and is recorded as such.
+    """
+    units, context, run = list(units), spark.sparkContext, uuid.uuid4().hex
+    begun: dict[str, float] = {}
+    cancelled: dict[str, str] = {}
+
+    def one(unit: str) -> tuple:
+        context.setLocalProperty("spark.scheduler.pool", f"{run}-{unit}")
+        context.setJobGroup(f"{run}-{unit}", unit, interruptOnCancel=True)
+        begun[unit] = time.monotonic()
         try:
-            rows.append((unit, "processed", work(unit), None))
+            if not wanted(unit):
+                return unit, "cancelled", None, "not wanted any more"
+            return unit, "processed", work(unit), None
         except Exception as error:  # recorded, and the other units still run
-            rows.append((unit, "failed", None, f"{type(error).__name__}: {error}"))
+            if unit in cancelled:
+                return unit, "cancelled", None, cancelled[unit]
+            return unit, "failed", None, f"{type(error).__name__}: {error}"
+
+    with ThreadPoolExecutor(max(1, min(parallel, len(units)))) as pool:
+        running = {pool.submit(inheritable_thread_target(spark)(one), unit): unit for unit in units}
+        waiting = set(running)
+        while waiting:
+            _, waiting = wait(waiting, timeout=0.2, return_when=FIRST_COMPLETED)
+            for unit in [running[f] for f in waiting if running[f] in begun]:
+                if seconds is not None and time.monotonic() - begun[unit] > seconds:
+                    cancelled.setdefault(unit, f"took more than {seconds:g} seconds")
+                elif not wanted(unit):
+                    cancelled.setdefault(unit, "not wanted any more")
+                if unit in cancelled:  # again for jobs that began since
+                    context.cancelJobGroup(f"{run}-{unit}")
+        rows = [f.result() for f in running]
     return spark.createDataFrame(rows, "unit string, status string, n_rows bigint, error string")
 
 
@@ -142,12 +183,28 @@ CATALOG_COLUMNS = ["arquivo", "diretorio", "fontes_relacionadas", "num_registros
 UNMAPPED = "(não mapeado)"
 
 
-def write_catalog(catalog: DataFrame, path: str) -> None:
-    """CSV in file order with a byte-order mark. Sorting is by range over the
-    tasks; a small catalog ends up in one file through adaptive coalescing."""
-    first, *rest = CATALOG_COLUMNS
-    ordered = catalog.orderBy(first).select(F.col(first).alias("\ufeff" + first), *rest)
-    ordered.write.mode("overwrite").option("header", True).csv(path)
+def write_catalog(catalog: DataFrame, path: str, rows_per_file: int = 0) -> None:
+    """CSV lines in file order, over as many part files as it takes: read in the
+    order of their names, they are one CSV with a byte-order mark and one header.
+
+    Every line knows its number in the whole, from the counts of the sorted
+    partitions before it, so only the line with number 0 is the header.
+    """
+    first = CATALOG_COLUMNS[0]
+    with Staging(catalog.sparkSession) as area:
+        rows = numbered(catalog.select(*CATALOG_COLUMNS), [F.col(first)], "__n", area)
+        lines = rows.select("__n", F.to_csv(F.struct(*CATALOG_COLUMNS)).alias("value"))
+        head = catalog.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("__n"),
+                                                    F.lit("\ufeff" + ",".join(CATALOG_COLUMNS)).alias("value"))
+        (lines.unionAll(head).orderBy("__n").select("value").write.mode("overwrite")
+         .option("maxRecordsPerFile", rows_per_file).text(path))
+
+
+def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """The published catalog, all columns as text."""
+    lines = spark.read.text(path).filter(~F.ltrim("value", F.lit("\ufeff")).startswith(f"{CATALOG_COLUMNS[0]},"))
+    schema = ", ".join(f"{c} string" for c in CATALOG_COLUMNS)
+    return lines.select(F.from_csv("value", schema).alias("r")).select("r.*")
 
 
 def names_by_folder(sources: DataFrame) -> DataFrame:

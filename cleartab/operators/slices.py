@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import heapq
+import json
 import uuid
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cleartab.functions.search import at_or_below
 from cleartab.session import Staging
 
 # Rows from which a slice is split further, and the first year of
@@ -33,11 +34,38 @@ def in_slice(col: Column, prefix: str) -> Column:
     return (col >= low) & (col < high)
 
 
+def segments(prefixes: Sequence[str]) -> tuple[list[str], list[str | None]]:
+    """Ascending bounds of all slices, and which slice holds from each bound to the
+    next: of slices that overlap, the first listed; null between slices."""
+    spans = [(*bounds(p), i) for i, p in enumerate(prefixes)]
+    spans = [(low, high, i) for low, high, i in spans if low < high]
+    cuts = sorted({x for low, high, _ in spans for x in (low, high)})
+    starting = sorted(spans)
+    held, holders, at = [], [], 0
+    for cut in cuts:
+        while at < len(starting) and starting[at][0] <= cut:
+            heapq.heappush(held, (starting[at][2], starting[at][1]))
+            at += 1
+        while held and held[0][1] <= cut:
+            heapq.heappop(held)
+        holders.append(prefixes[held[0][0]] if held else None)
+    return cuts, holders
+
+
+def slice_of(col: Column, prefixes: Sequence[str]) -> Column:
+    """The slice that holds a value, null for none. The bounds are one sorted array
+    that is halved for each row, however many slices there are."""
+    cuts, holders = segments(prefixes)
+    if not cuts:
+        return F.lit(None).cast("string")
+    texts = lambda x: F.from_json(F.lit(json.dumps(x)), "array<string>")  # noqa: E731  one literal, folded once
+    at = at_or_below(texts(cuts), col)
+    return F.when(at > 0, F.get(texts(holders), at - 1))
+
+
 def residual(col: Column, covered: Sequence[str]) -> Column:
     """True for values in none of the covered slices, nulls included."""
-    if not covered:
-        return F.lit(True)
-    return ~F.coalesce(reduce(or_, [in_slice(col, p) for p in covered]), F.lit(False))
+    return slice_of(col, covered).isNull()
 
 
 def selected(codes: Column, wanted: Sequence[int], excluded: Sequence[int]) -> Column:
@@ -55,8 +83,7 @@ def selected(codes: Column, wanted: Sequence[int], excluded: Sequence[int]) -> C
 def slice_counts(df: DataFrame, column: str, prefixes: Sequence[str]) -> DataFrame:
     """Rows per slice. The slice is computed on the row and counted before the
     shuffle; a row in no slice is not counted and empty slices are kept as 0."""
-    key = F.coalesce(*[F.when(in_slice(F.col(column), p), F.lit(p)) for p in prefixes])
-    counts = (df.select(key.alias("slice")).filter(F.col("slice").isNotNull())
+    counts = (df.select(slice_of(F.col(column), prefixes).alias("slice")).filter(F.col("slice").isNotNull())
               .groupBy("slice").agg(F.count(F.lit(1)).alias("n")))
     listed = df.sparkSession.createDataFrame([(p,) for p in prefixes], "slice string")
     return listed.join(counts, "slice", "left").select(

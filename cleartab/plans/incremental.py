@@ -16,6 +16,10 @@ from cleartab.sources import listing
 from cleartab.sources.dbf import dbf_status, read_dbf
 from cleartab.sources.text import read_parquet_union
 
+class NoReadableInput(ValueError):
+    """None of the chosen files can be read."""
+
+
 STATUS = "name string, size_bytes bigint, status string, n_records bigint, error string"
 
 
@@ -35,7 +39,7 @@ def from_dbf(spark: SparkSession, chosen: DataFrame, columns: Sequence[str] | No
     status = (area or Staging(spark)).table(dbf_status(chosen), f"status-{uuid.uuid4().hex}")
     good = [(r.path, r.size_bytes) for r in status.filter("status = 'ok'").select("path", "size_bytes").collect()]
     if not good:
-        raise ValueError("no readable input file")
+        raise NoReadableInput("no readable input file")
     return read_dbf(spark, good, columns), status
 
 
@@ -47,14 +51,39 @@ def from_parquet(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return uniform_text(rows.drop(LINEAGE).withColumnRenamed("__f", LINEAGE))
 
 
-def run(rows: DataFrame, status: DataFrame, select: Callable, project: Callable,
-        target: str, manifest_path: str) -> int:
-    """Publish the batch, then mark its files as done."""
+PLACEHOLDER = "__ORIGEM__"
+
+
+def sql_hook(text: str, **values) -> Callable[[DataFrame], DataFrame]:
+    """A row filter or projection as SQL text, for ``select`` and ``project`` of a job.
+
+    ``__ORIGEM__`` stands for the rows the hook is applied to, which are handed to
+    ``spark.sql`` as an argument; ``:name`` markers take the given values.
+    """
+    if PLACEHOLDER not in text:
+        raise ValueError(f"the text of a hook reads from {PLACEHOLDER}")
+    query = text.replace("{", "{{").replace("}", "}}").replace(PLACEHOLDER, "{origem}")
+
+    def hook(rows: DataFrame) -> DataFrame:
+        return rows.sparkSession.sql(query, args=values or None, origem=rows)
+
+    return hook
+
+
+def run(rows: DataFrame, status: DataFrame, select: Callable | str, project: Callable | str,
+        target: str, manifest_path: str, replace: Callable = publish.publish_replacing) -> int:
+    """Publish the batch, then mark its files as done. The names of the new files,
+    one for each, pass through the driver.
+
+    ``select`` and ``project`` are functions or SQL texts (see ``sql_hook``);
+    ``replace`` is the sink, ``snapshots.replace_sources`` where readers go on
+    during the change.
+    """
     spark = rows.sparkSession
+    select, project = (sql_hook(h) if isinstance(h, str) else h for h in (select, project))
     done = status.filter("status = 'ok'").select("name", "size_bytes")
     files = [r[0] for r in done.select("name").collect()]
-    written = publish.publish_replacing(
-        rows.transform(select).transform(project), target, files)
+    written = replace(rows.transform(select).transform(project), target, files)
     manifest = ingest.read_manifest(spark, manifest_path)
     publish.write_manifest(ingest.updated_manifest(manifest, done), manifest_path)
     return written
@@ -77,9 +106,7 @@ def job(spark: SparkSession, source: str, pattern: tuple[str, str], columns: Seq
         try:
             rows, status = from_dbf(spark, chosen, columns, area)
             run(rows, status, select, project, target, manifest_path)
-        except ValueError as error:
-            if "no readable input file" not in str(error):
-                raise
+        except NoReadableInput:
             status = dbf_status(chosen)
         names = [c.split()[0] for c in STATUS.split(", ")]
         return spark.createDataFrame(status.select(*names).collect(), STATUS)  # one row per new file

@@ -31,4 +31,4 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def load() -> None:
     """Import all modules that register queries."""
-    from cleartab.queries import files, operations, records, tables, values  # noqa: F401
+    from cleartab.queries import files, mechanisms, operations, records, tables, values  # noqa: F401

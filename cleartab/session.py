@@ -26,6 +26,8 @@ def build(app: str = "cleartab", master: str | None = None, **conf: str) -> Spar
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
+        # Units that run side by side share the executors instead of queueing.
+        "spark.scheduler.mode": "FAIR",
         # Projections of some hundred expressions compile to methods the JVM will
         # not optimise; past this size the interpreted projection is faster.
         "spark.sql.codegen.hugeMethodLimit": "8000",

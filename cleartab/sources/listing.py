@@ -44,6 +44,25 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
 
+def plain(spark: SparkSession, uri: str) -> str:
+    """The path of an encoded URI, as readers take it."""
+    jvm = spark._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
+
+
+def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str | None:
+    """First line of a text file, unpacked if its name says that it is packed; no more than a buffer is read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target, fs = _hadoop(spark, path)
+    stream = fs.open(target)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
+        reader = jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, encoding)
+        return jvm.java.io.BufferedReader(reader).readLine()
+    finally:
+        stream.close()
+
+
 class UnreachableStorage(Exception):
     """No file system for a scheme. This is the set-up's fault and stops the job; a file that cannot be read does not."""
 

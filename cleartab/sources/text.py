@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from cleartab import LINEAGE
 from cleartab.functions.text import strip
+from cleartab.sources.listing import first_line, plain
 
 # Field texts that a tabular text reader takes as missing.
 MISSING_TEXTS = [
@@ -74,18 +77,17 @@ def read_fixed_width(spark: SparkSession, path: str | Sequence[str],
 BAD_LINE = "_bad_line"
 
 
-def _by_header(spark: SparkSession, path: str | Sequence[str]) -> list[list[str]]:
-    """The files, grouped by their first line. One file is not looked into."""
-    lines = spark.read.text(path if isinstance(path, str) else list(path))
-    files = lines.inputFiles()
+def _by_header(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8") -> list[list[str]]:
+    """The files, grouped by their first line, of which only the first bytes are
+    read, several files at a time. One file is not looked into."""
+    files = [plain(spark, f) for f in spark.read.text(path if isinstance(path, str) else list(path)).inputFiles()]
     if len(files) < 2:
         return [[f] for f in files]
-    first = (lines.select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
-             .filter(F.col("_metadata.file_block_start") == 0)
-             .groupBy("file").agg(F.min_by("value", "at").alias("header")))
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda f: first_line(spark, f, encoding), files))
     groups: dict[str, list[str]] = {}
-    for row in first.orderBy("file").collect():  # one row per input file
-        groups.setdefault(row.header, []).append(row.file)
+    for header, file in sorted(zip(headers, files), key=lambda x: x[1]):
+        groups.setdefault(header or "", []).append(file)
     return list(groups.values())
 
 
@@ -113,22 +115,56 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], separator: st
         stop = F.raise_error(F.concat(F.lit("more cells than the header names: "), line)).cast("string")
         return rows.select(F.when(long, stop).otherwise(cells[0]).alias(columns[0]), *cells[1:])
 
-    parts = [one_layout(files) for files in _by_header(spark, path)]
+    parts = [one_layout(files) for files in _by_header(spark, path, encoding)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_ndjson(spark: SparkSession, path: str | Sequence[str], fields: Sequence[str],
-                bad_lines: bool = False) -> DataFrame:
+# Texts of scalar types in a found schema, and the column type each becomes. All others (mixed types, objects,
+# lists, whole numbers past 64 bits, nothing but nulls) stay text.
+_SCALARS = {"BIGINT": "bigint", "DOUBLE": "double", "BOOLEAN": "boolean"}
+
+
+def ndjson_fields(spark: SparkSession, path: str | Sequence[str], typed: bool = False) -> dict[str, str]:
+    """Fields of the objects in line-JSON files, by name, with their column type.
+
+    Every line is parsed once and the shapes are merged as aggregates, so a field
+    that one line in a billion has is found. All columns are text; ``typed`` gives
+    those their type whose values are all whole numbers, numbers or truth values.
+    Lines that are no object are passed over.
+    """
+    lines = spark.read.text(path if isinstance(path, str) else list(path)).select(F.try_parse_json("value").alias("v"))
+    shape = F.schema_of_variant_agg(F.when(F.schema_of_variant("v").startswith("OBJECT<"), F.col("v")))
+    found = lines.agg(shape.alias("s")).first().s
+    if not (found or "").startswith("OBJECT<"):
+        return {}
+    # A back-quoted name is left alone, whatever it holds.
+    ddl = re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], found)
+    fields = DataType.fromDDL(ddl).fields
+
+    def kind(dtype: DataType) -> str:
+        name = dtype.simpleString().upper()
+        if name.startswith("DECIMAL") and not name.endswith(",0)"):
+            return "double"
+        return _SCALARS.get(name, "string")
+
+    return {f.name: kind(f.dataType) if typed else "string" for f in fields}
+
+
+def read_ndjson(spark: SparkSession, path: str | Sequence[str], fields: Sequence[str] | None = None,
+                bad_lines: bool = False, typed: bool = False) -> DataFrame:
     """Line JSON with every field as text: nested values arrive as raw JSON,
     numbers as digits, absent fields as null. Files need not share a layout.
 
+    Without ``fields`` the columns are those of all objects in all files, united by
+    name in alphabetical order (see ``ndjson_fields``, also for ``typed``).
     ``bad_lines`` adds ``_bad_line`` with the text of lines that are no JSON;
     otherwise such a line stops the read.
     """
-    schema = ", ".join(f"`{f}` string" for f in fields)
+    kinds = ndjson_fields(spark, path, typed) if fields is None else dict.fromkeys(fields, "string")
+    schema = ", ".join("`{}` {}".format(f.replace("`", "``"), kind) for f, kind in kinds.items())
     reader = spark.read.option("mode", "FAILFAST")
     if bad_lines:
-        schema += f", {BAD_LINE} string"
+        schema += f"{', ' if schema else ''}{BAD_LINE} string"
         reader = (spark.read.option("mode", "PERMISSIVE")
                   .option("columnNameOfCorruptRecord", BAD_LINE))
     return reader.schema(schema).json(path if isinstance(path, str) else list(path))
