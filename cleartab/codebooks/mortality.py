@@ -66,7 +66,10 @@ ICD_AGGRESSOR = {
     "0": "Esposo ou companheiro", "1": "Pais", "2": "Conhecido ou amigo",
     "3": "Autoridades oficiais", "8": "Outra pessoa especificada", "9": "Pessoa não especificada",
 }
-BY_AGGRESSOR = {"Y06": "01289", "Y07": "012389"}
+BY_AGGRESSOR = {
+    "Y06": ["0", "1", "2", "8", "9"],
+    "Y07": ["0", "1", "2", "3", "8", "9"],
+}
 """Categories whose fourth character is the aggressor, with the valid characters."""
 
 

@@ -51,24 +51,36 @@ NOTIFYING_UNIT = {
     "5": "UNIDADE DE SAUDE INDIGENA",
     "6": "CENTRO ESPECIALIZADO DE ATENDIMENTO A MULHER", "7": "OUTROS",
 }
-_PLACE = {
-    "1": "RESIDENCIA", "2": "HABITACAO COLETIVA", "3": "ESCOLA",
-    "4": "LOCAL DE PRATICA ESPORTIVA", "5": "BAR OU SIMILAR", "6": "VIA PUBLICA",
-    "7": "COMERCIO/SERVICOS", "8": "INDUSTRIAS/CONSTRUCAO", "9": "OUTRO",
+PLACE = {
+    "1": "RESIDENCIA", "01": "RESIDENCIA",
+    "2": "HABITACAO COLETIVA", "02": "HABITACAO COLETIVA",
+    "3": "ESCOLA", "03": "ESCOLA",
+    "4": "LOCAL DE PRATICA ESPORTIVA", "04": "LOCAL DE PRATICA ESPORTIVA",
+    "5": "BAR OU SIMILAR", "05": "BAR OU SIMILAR",
+    "6": "VIA PUBLICA", "06": "VIA PUBLICA",
+    "7": "COMERCIO/SERVICOS", "07": "COMERCIO/SERVICOS",
+    "8": "INDUSTRIAS/CONSTRUCAO", "08": "INDUSTRIAS/CONSTRUCAO",
+    "9": "OUTRO", "09": "OUTRO",
+    "99": "IGNORADO",
 }
-_MOTIVE = {
-    "1": "SEXISMO", "2": "HOMOFOBIA/LESBOFOBIA/BIFOBIA/TRANSFOBIA", "3": "RACISMO",
-    "4": "INTOLERANCIA RELIGIOSA", "5": "XENOFOBIA", "6": "CONFLITO GERACIONAL",
-    "7": "SITUACAO DE RUA", "8": "DEFICIENCIA", "9": "OUTROS",
+MOTIVE = {
+    "1": "SEXISMO", "01": "SEXISMO",
+    "2": "HOMOFOBIA/LESBOFOBIA/BIFOBIA/TRANSFOBIA", "02": "HOMOFOBIA/LESBOFOBIA/BIFOBIA/TRANSFOBIA",
+    "3": "RACISMO", "03": "RACISMO",
+    "4": "INTOLERANCIA RELIGIOSA", "04": "INTOLERANCIA RELIGIOSA",
+    "5": "XENOFOBIA", "05": "XENOFOBIA",
+    "6": "CONFLITO GERACIONAL", "06": "CONFLITO GERACIONAL",
+    "7": "SITUACAO DE RUA", "07": "SITUACAO DE RUA",
+    "8": "DEFICIENCIA", "08": "DEFICIENCIA",
+    "9": "OUTROS", "09": "OUTROS",
+    "88": "NAO SE APLICA", "99": "IGNORADO",
 }
+SEXISM = ["1", "01"]
 
-
-def _either_width(book: dict[str, str]) -> dict[str, str]:
-    return book | {f"0{code}": label for code, label in book.items()}
-
-
-PLACE = _either_width(_PLACE) | {"99": "IGNORADO"}
-MOTIVE = _either_width(_MOTIVE) | {"88": "NAO SE APLICA", "99": "IGNORADO"}
+KEPT = {"CS_SEXO": "F"}
+"""Records of the job have this value."""
+DROPPED = {"LES_AUTOP": "1", "NDUPLIC": "2", "NDUPLIC_N": "2"}
+"""Records with one of these values are left out; an unknown answer is none of them."""
 
 RELATIONSHIP = {
     "REL_PAI": "PAI", "REL_MAE": "MAE", "REL_PAD": "PADRASTO", "REL_MAD": "MADRASTA",

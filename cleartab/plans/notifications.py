@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cleartab import LINEAGE
 from cleartab.codebooks import notifications as book
 from cleartab.functions import codes, dates, lists
-from cleartab.functions.codes import lookup
 from cleartab.operators.columns import ensure_columns, require_columns
 from cleartab.plans import incremental
 
@@ -28,74 +30,85 @@ INPUT_COLUMNS = [
 
 
 def select_records(rows: DataFrame) -> DataFrame:
-    """Women, not self-inflicted, not marked as a duplicate. Unknown answers stay."""
-    rows = require_columns(rows, ["CS_SEXO"])
-    if "CS_SEXO" in rows.columns:
-        rows = rows.filter(F.col("CS_SEXO") == "F")
-    for column, dropped in (("LES_AUTOP", "1"), ("NDUPLIC", "2"), ("NDUPLIC_N", "2")):
-        if column in rows.columns:
-            rows = rows.filter(codes.not_equal_or_null(F.col(column), dropped))
-    return ensure_columns(rows, [*INPUT_COLUMNS, LINEAGE])
+    """Records that have the kept values and none of the dropped ones, all columns
+    of the form present. Without a column of a kept value there are none."""
+    whole = ensure_columns(require_columns(rows, list(book.KEPT)), [*INPUT_COLUMNS, LINEAGE])
+    kept = [F.col(c) == value for c, value in book.KEPT.items()]
+    return whole.filter(reduce(and_, kept + [codes.not_equal_or_null(F.col(c), v) for c, v in book.DROPPED.items()]))
+
+
+def _label(column: str, labels: dict[str, str]) -> Column:
+    return codes.lookup(F.col(column), labels)
+
+
+def _day(column: str) -> Column:
+    return dates.date_two_formats(F.col(column))
+
+
+def _whole(column: str) -> Column:
+    return F.col(column).try_cast("int")
+
+
+def _gender() -> Column:
+    """Sexual violence, sexism or an intimate partner; unknown when none of these was answered."""
+    signs = (F.col("VIOL_SEXU") == "1") | F.col("VIOL_MOTIV").isin(book.SEXISM) | codes.any_marked(book.INTIMATE_PARTNER)
+    return codes.three_state(signs, codes.answered(["VIOL_SEXU", *book.INTIMATE_PARTNER]))
+
+
+# One rule per published column: its name (fixed, as is the order), how it is made, and of what.
+RULES: list[tuple] = [
+    ("DT_NOTIFICACAO", _day, "DT_NOTIFIC"),
+    ("ANO_NOTIFICACAO", _whole, "NU_ANO"),
+    ("DT_OCORRENCIA", _day, "DT_OCOR"),
+    ("HORA_OCORRENCIA", F.col, "HORA_OCOR"),
+    ("DATAS_CONSISTENTES", lambda a, b: dates.dates_consistent(_day(a), _day(b)), "DT_OCOR", "DT_NOTIFIC"),
+    ("UF_NOTIFICACAO", F.col, "SG_UF_NOT"),
+    ("COD_MUNICIPIO_NOTIFIC", F.col, "ID_MUNICIP"),
+    ("UNIDADE_NOTIFICADORA", _label, "TP_UNI_EXT", book.NOTIFYING_UNIT),
+    ("IDADE_ANOS", lambda c: codes.age_in_years(F.col(c)), "NU_IDADE_N"),
+    ("IDADE_CODIGO_ORIGEM", F.col, "NU_IDADE_N"),
+    ("MARCA_DUPLICIDADE_ORIGEM", F.coalesce, "NDUPLIC", "NDUPLIC_N"),
+    ("ANO_NASCIMENTO", _whole, "ANO_NASC"),
+    ("SEXO", _label, "CS_SEXO", book.SEX),
+    ("RACA_COR", _label, "CS_RACA", book.RACE),
+    ("ESCOLARIDADE", _label, "CS_ESCOL_N", book.SCHOOLING),
+    ("GESTANTE", _label, "CS_GESTANT", book.PREGNANT),
+    ("SITUACAO_CONJUGAL", _label, "SIT_CONJUG", book.MARITAL_STATUS),
+    ("ORIENTACAO_SEXUAL", _label, "ORIENT_SEX", book.ORIENTATION),
+    ("IDENTIDADE_GENERO", _label, "IDENT_GEN", book.GENDER_IDENTITY),
+    ("UF_RESIDENCIA", F.col, "SG_UF"),
+    ("COD_MUNICIPIO_RESID", F.col, "ID_MN_RESI"),
+    ("ZONA_RESIDENCIA", _label, "ZONA", book.ZONE),
+    ("UF_OCORRENCIA", F.col, "SG_UF_OCOR"),
+    ("COD_MUNICIPIO_OCOR", F.col, "ID_MN_OCOR"),
+    ("ZONA_OCORRENCIA", _label, "ZONA_OCOR", book.ZONE),
+    ("LOCAL_OCORRENCIA", _label, "LOCAL_OCOR", book.PLACE),
+    ("VIOLENCIA_DE_REPETICAO", _label, "OUT_VEZES", book.YES_NO),
+    ("LESAO_AUTOPROVOCADA", _label, "LES_AUTOP", book.YES_NO_NA),
+    ("VIOLENCIA_MOTIVADA_POR", _label, "VIOL_MOTIV", book.MOTIVE),
+    ("TIPOS_VIOLENCIA", lists.marked_labels, book.VIOLENCE_TYPE),
+    ("MEIOS_AGRESSAO", lists.marked_labels, book.MEANS),
+    ("TIPOS_VIOLENCIA_SEXUAL", lists.marked_labels, book.SEXUAL_TYPE),
+    ("DEFICIENCIAS", lists.marked_labels, book.DISABILITY),
+    ("ENCAMINHAMENTOS", lists.marked_labels, book.REFERRAL),
+    ("AGRESSOR_PARCEIRO_INTIMO", lambda names: codes.flag(codes.any_marked(names)), book.INTIMATE_PARTNER),
+    ("AGRESSOR_FAMILIAR", lambda names: codes.flag(codes.any_marked(names)), book.FAMILY),
+    ("INDICIO_VIOLENCIA_GENERO", _gender),
+    ("NUMERO_ENVOLVIDOS", _label, "NUM_ENVOLV", book.NUMBER_INVOLVED),
+    ("SEXO_AGRESSOR", _label, "AUTOR_SEXO", book.AGGRESSOR_SEX),
+    ("CICLO_VIDA_AGRESSOR", lambda a, b: codes.lookup(F.coalesce(a, b), book.AGGRESSOR_LIFE_STAGE), "CICL_VID", "CICL_VID_AUTOR"),
+    ("AGRESSOR_SUSPEITA_ALCOOL", _label, "AUTOR_ALCO", book.YES_NO),
+    ("VIOLENCIA_RELACIONADA_TRABALHO", _label, "REL_TRAB", book.YES_NO),
+    ("CID_CIRCUNSTANCIA_LESAO", F.col, "CIRC_LESAO"),
+    ("DT_ENCERRAMENTO", _day, "DT_ENCERRA"),
+    (LINEAGE, F.col, LINEAGE),
+    ("VINCULOS_AGRESSOR", lists.marked_labels, book.RELATIONSHIP),
+]
 
 
 def project(rows: DataFrame) -> DataFrame:
-    """The published columns: an allow-list, so that no identifier can slip in when
-    the source adds columns."""
-    notified = dates.date_two_formats(F.col("DT_NOTIFIC"))
-    occurred = dates.date_two_formats(F.col("DT_OCOR"))
-    partner = codes.any_marked(book.INTIMATE_PARTNER)
-    gender = codes.three_state(
-        (F.col("VIOL_SEXU") == "1") | F.col("VIOL_MOTIV").isin("1", "01") | partner,
-        codes.answered(["VIOL_SEXU", *book.INTIMATE_PARTNER]))
-    stage = F.coalesce("CICL_VID", "CICL_VID_AUTOR")
-    decoded = rows.select(
-        notified.alias("DT_NOTIFICACAO"),
-        F.col("NU_ANO").try_cast("int").alias("ANO_NOTIFICACAO"),
-        occurred.alias("DT_OCORRENCIA"),
-        F.col("HORA_OCOR").alias("HORA_OCORRENCIA"),
-        dates.dates_consistent(occurred, notified).alias("DATAS_CONSISTENTES"),
-        F.col("SG_UF_NOT").alias("UF_NOTIFICACAO"),
-        F.col("ID_MUNICIP").alias("COD_MUNICIPIO_NOTIFIC"),
-        lookup(F.col("TP_UNI_EXT"), book.NOTIFYING_UNIT).alias("UNIDADE_NOTIFICADORA"),
-        codes.age_in_years(F.col("NU_IDADE_N")).alias("IDADE_ANOS"),
-        F.col("NU_IDADE_N").alias("IDADE_CODIGO_ORIGEM"),
-        F.coalesce("NDUPLIC", "NDUPLIC_N").alias("MARCA_DUPLICIDADE_ORIGEM"),
-        F.col("ANO_NASC").try_cast("int").alias("ANO_NASCIMENTO"),
-        lookup(F.col("CS_SEXO"), book.SEX).alias("SEXO"),
-        lookup(F.col("CS_RACA"), book.RACE).alias("RACA_COR"),
-        lookup(F.col("CS_ESCOL_N"), book.SCHOOLING).alias("ESCOLARIDADE"),
-        lookup(F.col("CS_GESTANT"), book.PREGNANT).alias("GESTANTE"),
-        lookup(F.col("SIT_CONJUG"), book.MARITAL_STATUS).alias("SITUACAO_CONJUGAL"),
-        lookup(F.col("ORIENT_SEX"), book.ORIENTATION).alias("ORIENTACAO_SEXUAL"),
-        lookup(F.col("IDENT_GEN"), book.GENDER_IDENTITY).alias("IDENTIDADE_GENERO"),
-        F.col("SG_UF").alias("UF_RESIDENCIA"),
-        F.col("ID_MN_RESI").alias("COD_MUNICIPIO_RESID"),
-        lookup(F.col("ZONA"), book.ZONE).alias("ZONA_RESIDENCIA"),
-        F.col("SG_UF_OCOR").alias("UF_OCORRENCIA"),
-        F.col("ID_MN_OCOR").alias("COD_MUNICIPIO_OCOR"),
-        lookup(F.col("ZONA_OCOR"), book.ZONE).alias("ZONA_OCORRENCIA"),
-        lookup(F.col("LOCAL_OCOR"), book.PLACE).alias("LOCAL_OCORRENCIA"),
-        lookup(F.col("OUT_VEZES"), book.YES_NO).alias("VIOLENCIA_DE_REPETICAO"),
-        lookup(F.col("LES_AUTOP"), book.YES_NO_NA).alias("LESAO_AUTOPROVOCADA"),
-        lookup(F.col("VIOL_MOTIV"), book.MOTIVE).alias("VIOLENCIA_MOTIVADA_POR"),
-        lists.marked_labels(book.VIOLENCE_TYPE).alias("TIPOS_VIOLENCIA"),
-        lists.marked_labels(book.MEANS).alias("MEIOS_AGRESSAO"),
-        lists.marked_labels(book.SEXUAL_TYPE).alias("TIPOS_VIOLENCIA_SEXUAL"),
-        lists.marked_labels(book.DISABILITY).alias("DEFICIENCIAS"),
-        lists.marked_labels(book.REFERRAL).alias("ENCAMINHAMENTOS"),
-        codes.flag(partner).alias("AGRESSOR_PARCEIRO_INTIMO"),
-        codes.flag(codes.any_marked(book.FAMILY)).alias("AGRESSOR_FAMILIAR"),
-        gender.alias("INDICIO_VIOLENCIA_GENERO"),
-        lookup(F.col("NUM_ENVOLV"), book.NUMBER_INVOLVED).alias("NUMERO_ENVOLVIDOS"),
-        lookup(F.col("AUTOR_SEXO"), book.AGGRESSOR_SEX).alias("SEXO_AGRESSOR"),
-        lookup(stage, book.AGGRESSOR_LIFE_STAGE).alias("CICLO_VIDA_AGRESSOR"),
-        lookup(F.col("AUTOR_ALCO"), book.YES_NO).alias("AGRESSOR_SUSPEITA_ALCOOL"),
-        lookup(F.col("REL_TRAB"), book.YES_NO).alias("VIOLENCIA_RELACIONADA_TRABALHO"),
-        F.col("CIRC_LESAO").alias("CID_CIRCUNSTANCIA_LESAO"),
-        dates.date_two_formats(F.col("DT_ENCERRA")).alias("DT_ENCERRAMENTO"),
-        F.col(LINEAGE),
-        lists.marked_labels(book.RELATIONSHIP).alias("VINCULOS_AGRESSOR"),
-    )
+    """The columns that have a rule, and how many relationships are marked."""
+    decoded = rows.select(*[make(*parts).alias(name) for name, make, *parts in RULES])
     return decoded.withColumn("QTD_VINCULOS_AGRESSOR", F.size("VINCULOS_AGRESSOR").cast("bigint"))
 
 

@@ -283,11 +283,9 @@ def parallel_unnest(spark, folder):
 
 
 @query("learn_dictionary", """
-SELECT code, min(name) AS name FROM (
-  SELECT unnest(list_transform(words, lambda w: length(w)::INTEGER)) AS code, unnest(words) AS name
-  FROM (SELECT string_split(text, ' ') AS words FROM documents)
-  WHERE len(words) = len(list_filter(words, lambda w: w <> '')))
-WHERE code IS NOT NULL GROUP BY code
+WITH w AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents),
+uneven AS (SELECT DISTINCT doc_id FROM w WHERE word = '')
+SELECT length(word)::INTEGER AS code, min(word) AS name FROM w ANTI JOIN uneven USING (doc_id) GROUP BY length(word)
 """)
 def learn_dictionary(spark, folder):
     words = F.split("text", " ")
@@ -309,10 +307,13 @@ _PROPS = """(SELECT event_id, CASE k % 9
 
 
 @query("json_nested_codes", f"""
-SELECT event_id, len(codes) AS n_codes, len(codes) > 3 AS many,
-       array_to_string(list_transform(codes, lambda c: coalesce(c::VARCHAR, '-')), ',') AS code_text
-FROM (SELECT event_id, list_transform(json_extract(subjects, '$..codigo'),
-             lambda c: TRY_CAST(c AS INTEGER)) AS codes FROM {_PROPS})
+WITH p AS {_PROPS},
+node AS (SELECT p.event_id, coalesce(TRY_CAST(t.atom AS INTEGER)::VARCHAR, '-') AS code, t.id, len(regexp_extract_all(t.fullkey, '[.\\[]')) AS depth
+         FROM p, json_tree(p.subjects) t WHERE t.key = 'codigo'),
+told AS (SELECT event_id, count(*) AS n, string_agg(code, ',' ORDER BY depth, id) AS codes FROM node GROUP BY event_id)
+SELECT p.event_id, CASE WHEN subjects IS NOT NULL THEN coalesce(n, 0) END AS n_codes,
+       CASE WHEN subjects IS NOT NULL THEN coalesce(n, 0) > 3 END AS many, CASE WHEN subjects IS NOT NULL THEN coalesce(codes, '') END AS code_text
+FROM p LEFT JOIN told USING (event_id)
 """)
 def json_nested_codes(spark, folder):
     rows = table(spark, folder, "events").select("event_id", jsonfields.json_integer(F.col("props"), "k").alias("k"))

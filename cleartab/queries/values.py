@@ -138,11 +138,11 @@ def timestamp_text(spark, folder):
 
 
 @query("age_code", """
-SELECT c_custkey, CASE WHEN regexp_full_match(code, '[1-4][0-9]{3}') THEN
-         CASE WHEN code[1] <> '4' THEN 0 WHEN substr(code, 2)::INTEGER <= 120 THEN substr(code, 2)::INTEGER END
-       END AS age
+WITH valid AS (SELECT u::VARCHAR || lpad(v::VARCHAR, 3, '0') AS code, CASE WHEN u = 4 THEN v ELSE 0 END::INTEGER AS age
+               FROM range(1, 5) units(u), range(1000) ages(v) WHERE u < 4 OR v <= 120)
+SELECT c_custkey, age
 FROM (SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 'A025' WHEN c_custkey % 13 = 0 THEN '402'
-             ELSE (c_custkey % 6)::VARCHAR || lpad((c_custkey % 150)::VARCHAR, 3, '0') END AS code FROM customer)
+             ELSE (c_custkey % 6)::VARCHAR || lpad((c_custkey % 150)::VARCHAR, 3, '0') END AS code FROM customer) LEFT JOIN valid USING (code)
 """)
 def age_code(spark, folder):
     key = F.col("c_custkey")

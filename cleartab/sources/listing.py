@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from cleartab.session import local_path
 
@@ -103,30 +103,49 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
         F.col("modificationTime").alias("modified"))
 
 
-def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            try:
-                with open_binary(path) as handle:
-                    meta = pq.ParquetFile(handle).metadata
-                rows.append((path, meta.num_rows, meta.num_columns, None))
-            except UnreachableStorage:
-                raise
-            except Exception as error:  # an unreadable file is a result, not a failure
-                rows.append((path, None, None, f"{type(error).__name__}: {error}"))
-        yield pd.DataFrame(rows, columns=["path", "n_rows", "n_columns", "error"]).astype(
-            {"n_rows": "Int64", "n_columns": "Int64"})
-
-
-def parquet_footers(files: DataFrame) -> DataFrame:
-    """Rows and leaf columns of each Parquet file from its footer alone; nulls and
-    the error where it cannot be read. Files are spread over the tasks."""
-    spread = files.select("path").repartition(F.col("path"))
-    return spread.mapInPandas(
-        _footers, "path string, n_rows bigint, n_columns bigint, error string")
+def leaf_columns(kind: DataType) -> int:
+    """Columns that a file stores for a type: one for each scalar inside it."""
+    if isinstance(kind, StructType):
+        return sum(leaf_columns(f.dataType) for f in kind.fields)
+    if isinstance(kind, ArrayType):
+        return leaf_columns(kind.elementType)
+    if isinstance(kind, MapType):
+        return leaf_columns(kind.keyType) + leaf_columns(kind.valueType)
+    return 1
+
+
+def parquet_footers(files: DataFrame, at_once: int = 16) -> DataFrame:
+    """``(path, n_rows, n_columns, error)``: rows and leaf columns of each Parquet
+    file; nulls and the error where it cannot be read.
+
+    Spark reads the schema of each file from its footer, ``at_once`` files side by
+    side, and then counts all rows in one job that reads no column. The paths pass
+    through the driver, as a catalog has one line per file.
+    """
+    spark = files.sparkSession
+    paths = [r.path for r in files.select("path").collect()]
+
+    def shape(path: str) -> tuple:
+        try:
+            uri = _hadoop(spark, path)[0].toUri().toString()
+        except Exception as error:
+            raise UnreachableStorage(f"tasks cannot open {path.partition(':')[0]}:// ({error})") from error
+        try:
+            return path, uri, leaf_columns(spark.read.parquet(path).schema), None
+        except Exception as error:  # an unreadable file is a result, not a failure
+            return path, uri, None, f"{type(error).__name__}: {error}"
+
+    with ThreadPoolExecutor(at_once) as pool:
+        shapes = list(pool.map(shape, paths))
+    found = spark.createDataFrame(shapes, "path string, __uri string, n_columns bigint, error string")
+    good = [path for path, _, n, _ in shapes if n is not None]
+    if not good:
+        return found.select("path", F.lit(None).cast("bigint").alias("n_rows"), "n_columns", "error")
+    file = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("__file")
+    counts = spark.read.parquet(*good).groupBy(file).agg(F.count(F.lit(1)).alias("n"))
+    own = F.regexp_replace("__uri", "^file:/+", "file:/")
+    rows = F.when(F.col("error").isNull(), F.coalesce("n", F.lit(0)))
+    return found.join(counts, own == F.col("__file"), "left").select("path", rows.cast("bigint").alias("n_rows"), "n_columns", "error")
 
 
 def table_counts(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
