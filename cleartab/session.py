@@ -76,12 +76,23 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, name: str) -> None:
+        """Delete a table that nothing will read any more."""
+        self._delete(f"{self.root}/{name}")
+
+    def _delete(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
+    def close(self) -> None:
+        """Delete all tables."""
+        self._delete(self.root)
+
     def __enter__(self) -> Staging:
         return self
 
     def __exit__(self, *_) -> None:
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+        self.close()
 
 
 def local_path(path: str) -> str | None:
