@@ -22,12 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cleartab.llm.bitmap import Bitmap
 from cleartab.llm.common import keep_only, whole_text
 from cleartab.session import Staging
 
 LONGEST, LEAST, TOP, SCALE = 5, 100, 2000, 1000
-BITS = 26
-"""A set of keys takes 2^BITS bits (8 MB), however many keys there are."""
 SHARES = (0.25, 1.0)
 """Words expanded by the end of each turn: the rarest, that together make this share of all frequent occurrences."""
 BLOCK = 4 << 20
@@ -97,28 +96,6 @@ class Words:
         return b" ".join(self.text[s:e] for s, e in zip(self.starts[at:at + k], self.ends[at:at + k]))
 
 
-class Bitmap:
-    """A set of keys in 2^BITS bits; never misses a key."""
-
-    def __init__(self, bits: np.ndarray | None = None):
-        self.bits = np.zeros(1 << (BITS - 6), np.uint64) if bits is None else bits
-
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        slot = keys >> np.uint64(64 - BITS)
-        return (self.bits[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-    @classmethod
-    def of(cls, keys: DataFrame) -> Bitmap:
-        """Of the column ``key``. At most 2^(BITS - 6) rows come to the driver, whatever the number of keys."""
-        slot = F.shiftrightunsigned("key", 64 - BITS)
-        bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
-        rows = (keys.select(slot.alias("slot")).select(F.shiftright("slot", 6).alias("word"), bit.alias("bit"))
-                .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
-        out = cls()
-        out.bits[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-        return out
-
-
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
     """Texts of a language put together, cut only where a piece ends."""
     held, size = {}, 0

@@ -35,7 +35,7 @@ def components(edges: DataFrame, staging: Staging, name: str) -> DataFrame:
     ``edges`` has two whole-number columns a, b in any order; loops and repeats
     do no harm. Rounds go on until nothing changes, which takes about the
     logarithm of the longest path; each round is written, so lost executors
-    cost at most one.
+    cost at most one, and the round before it is deleted.
     """
     now = staging.table(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                         .distinct(), f"{name}_0")
@@ -46,6 +46,7 @@ def components(edges: DataFrame, staging: Staging, name: str) -> DataFrame:
         turn += 1
         now = staging.table(_stars(_stars(now, True), False), f"{name}_{turn}")
         after = mark(now)
+        staging.drop(f"{name}_{turn - 1}")
         if after == before:
             break
         before = after

@@ -1,12 +1,15 @@
 """Removal of repeated and nearly repeated lines across documents.
 
-Equal lines meet by a hash of their content. For the rest, a one-permutation
-MinHash of character shingles is cut into bands; lines that share a band are
-tied to the least and the greatest line of that band, and each tie is checked
-by the exact Jaccard similarity of the shingle sets. In bands whose lines are
-not one component then, all lines are compared. Checked ties are joined into
-components, and of each component one line stays: the first by document and
-place.
+Equal lines meet by a hash of their content, whatever their length. For the rest, a
+one-permutation MinHash of character shingles is cut into bands; lines that share a
+band are tied to the least and the greatest line of that band, and each tie is
+checked by the exact Jaccard similarity of the shingle sets. In bands whose lines
+are not one component then, all lines are compared. Checked ties are joined into
+components, and of each component one line stays: the first by document and place.
+
+Two lines are compared by shingles of ``LONG`` characters when both are long, else
+by shingles of ``SHORT``, in which one changed character weighs less; a line shorter
+than that is one shingle. A long line that may have short partners has bands for both.
 """
 
 from __future__ import annotations
@@ -18,15 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cleartab.llm.bitmap import Bitmap
 from cleartab.llm.common import documents
 from cleartab.llm.graph import components
-from cleartab.llm.trie import mixed, spanning
+from cleartab.llm.trie import Sets, linked, mixed
 from cleartab.session import Staging
 
-SHINGLE = 8
-LEAST_CHARACTERS = 16
-"""Shorter lines (after trimming) are left alone: too little text to call a repeat."""
-BANDS, ROWS = 10, 5
+LONG, SHORT = 8, 4
+LONG_LINE = 80
+"""Characters from which on a line is long."""
+LEAST_FUZZY = 5
+"""Shorter lines repeat exactly or not at all: one edit takes any of them below the threshold."""
+BANDS, ROWS = 8, 4
 PERCENT = 80
 BLOCK = 128
 """Lines of one band that a task compares with another such block at a time."""
@@ -40,33 +46,43 @@ def normal(line: str) -> str:
 
 
 def eligible(text: str | None) -> list[tuple[int, str]]:
-    """(place, normal form) of the lines that take part."""
-    return [(i, n) for i, line in enumerate((text or "").split("\n")) if len(n := normal(line)) >= LEAST_CHARACTERS]
+    """(place, normal form) of the lines that take part: all but blank ones."""
+    return [(i, n) for i, line in enumerate((text or "").split("\n")) if (n := normal(line))]
 
 
 def mark(line: str) -> int:
     import xxhash
 
-    return xxhash.xxh3_64_intdigest(line.encode()) - (1 << 63)
+    return xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every character shingle and the number of its line; lines have ``SHINGLE`` characters at least."""
-    codes = np.frombuffer("".join(lines).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+def widths(line: str, percent: int = PERCENT) -> list[int]:
+    """Lengths of the shingles by which a line may be compared with another."""
+    n = len(line)
+    if n < LONG_LINE:
+        return [SHORT] if n >= LEAST_FUZZY else []
+    # Sets of linked lines differ in size by the threshold at most, and so, but for repeated shingles, do lines.
+    return [LONG, SHORT] if n * percent <= LONG_LINE * 100 + 100 * SHORT else [LONG]
+
+
+def shingles(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every character shingle and the number of its line; a line shorter than a shingle is one."""
+    lines = [x if len(x) >= width else x + "\0" * (width - len(x)) for x in lines]
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     lengths = np.array([len(x) for x in lines])
     line = np.repeat(np.arange(len(lines)), lengths)
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))
-    h = np.zeros(len(codes) - SHINGLE + 1, dtype=np.uint64)
-    for k in range(SHINGLE):
+    h = np.zeros(len(codes) - width + 1, dtype=np.uint64)
+    for k in range(width):
         h = h * np.uint64(0x100000001B3) + codes[k:len(h) + k]
-    inside = left[:len(h)] >= SHINGLE
+    inside = left[:len(h)] >= width
     return mixed(h[inside]), line[:len(h)][inside]
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
+def band_keys(lines: list[str], width: int) -> np.ndarray:
     """A row of band keys per line. Empty bins borrow from the next filled one, marked by the distance."""
     k = BANDS * ROWS
-    h, line = shingles(lines)
+    h, line = shingles(lines, width)
     empty = np.uint64(1 << 32)
     least = np.full(len(lines) * k, empty, dtype=np.uint64)
     slot = line * k + (((h >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)).astype(np.int64)
@@ -77,12 +93,45 @@ def band_keys(lines: list[str]) -> np.ndarray:
     place = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :k]
     away = (place - np.arange(k)).astype(np.uint64)
     filled = np.take_along_axis(least, place % k, axis=1) + (away << np.uint64(33))
-    keys = np.zeros((len(lines), BANDS), dtype=np.uint64)
+    keys = np.full((len(lines), BANDS), width, dtype=np.uint64)
     for r in range(ROWS):
         keys = mixed(keys * np.uint64(31) + filled[:, r::ROWS])
     return mixed(keys + np.arange(BANDS, dtype=np.uint64)).astype(np.int64)
 
 
+def all_keys(lines: list[str]) -> list[np.ndarray]:
+    """Band keys of every line, of each width by which it may be compared."""
+    of = [widths(x) for x in lines]
+    parts: list[list[np.ndarray]] = [[] for _ in lines]
+    for width in (LONG, SHORT):
+        at = [i for i, w in enumerate(of) if width in w]
+        if at:
+            for i, keys in zip(at, band_keys([lines[i] for i in at], width)):
+                parts[i].append(keys)
+    return [np.concatenate(p) if p else np.empty(0, np.int64) for p in parts]
+
+
+class ShingleSets:
+    """Shingle sets of lines, each made once."""
+
+    def __init__(self):
+        self.made: dict[tuple[int, str], np.ndarray] = {}
+
+    def of(self, line: str, width: int) -> np.ndarray:
+        key = (width, line)
+        if key not in self.made:
+            self.made[key] = np.unique(shingles([line], width)[0])
+        return self.made[key]
+
+    def alike(self, x: str, y: str, percent: int) -> bool:
+        width = LONG if min(len(x), len(y)) >= LONG_LINE else SHORT
+        a, b = self.of(x, width), self.of(y, width)
+        if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+            return False
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        return 100 * common >= percent * (len(a) + len(b) - common)
+
+
 def in_chunks(lines: list[tuple]) -> list[list[tuple]]:
     """Cut so that a chunk has about ``CHUNK`` characters; the last entry of each item is the line."""
     out, held = [[]], 0
@@ -96,7 +145,7 @@ def in_chunks(lines: list[tuple]) -> list[list[tuple]]:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, node, keys) of every line that takes part."""
+    """(doc_id, place, node, keys) of every line; ``keys`` only where a line is first met in a chunk."""
     def run(batches):
         import pyarrow as pa
 
@@ -107,35 +156,49 @@ def _lines(docs: DataFrame) -> DataFrame:
                 if not chunk:
                     continue
                 ids, places, lines = zip(*chunk)
-                keys = band_keys(list(lines))
-                offsets = np.arange(len(lines) + 1, dtype=np.int32) * BANDS
+                nodes = {line: mark(line) for line in lines}
+                keys = dict(zip(nodes, all_keys(list(nodes))))
+                own = [keys.pop(line, ()) for line in lines]
+                offsets = np.cumsum([0, *map(len, own)]).astype(np.int32)
+                flat = np.concatenate([np.empty(0, np.int64), *[k for k in own if len(k)]])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(places, pa.int32()),
-                     pa.array([mark(x) for x in lines], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))],
+                     pa.array([nodes[x] for x in lines], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
                     ["doc_id", "place", "node", "keys"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, place int, node bigint, keys array<bigint>")
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    """(node, line) of the wanted lines; ``docs`` has (text, nodes)."""
+def _shared(lines: DataFrame, keys) -> DataFrame:
+    """(key, node) of the keys in a bitmap, out of the lists of keys of the lines."""
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            nodes, lines = [], []
-            for text, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
-                wanted = set(wanted)
-                for _, line in eligible(text.as_py()):
-                    if (node := mark(line)) in wanted:
-                        wanted.discard(node)
-                        nodes.append(node)
-                        lines.append(line)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(lines, pa.string())],
+            lists = batch.column(1)
+            flat = lists.flatten().to_numpy()
+            owner = np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
+            there = keys.value.has(flat.view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(flat[there]), pa.array(owner[there])], ["key", "node"])
+
+    return lines.filter(F.size("keys") > 0).select("node", "keys").mapInArrow(run, "key bigint, node bigint")
+
+
+def _texts(docs: DataFrame, nodes) -> DataFrame:
+    """(node, line) of the lines in a bitmap, by content: which row holds a line is of no account."""
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            lines = {line for text in batch.column(0) for _, line in eligible(text.as_py())}
+            lines = np.array(list(lines), dtype=object)
+            marks = np.array([mark(x) for x in lines], dtype=np.int64)
+            there = nodes.value.has(marks.view(np.uint64)) if len(marks) else np.empty(0, bool)
+            yield pa.RecordBatch.from_arrays([pa.array(marks[there], pa.int64()), pa.array(lines[there].tolist(), pa.string())],
                                              ["node", "line"])
 
-    return docs.mapInArrow(run, "node bigint, line string")
+    return docs.select("text").mapInArrow(run, "node bigint, line string")
 
 
 def _checked(pairs: DataFrame, percent: int) -> DataFrame:
@@ -144,13 +207,12 @@ def _checked(pairs: DataFrame, percent: int) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            good, last, second = [], None, None
-            for x, y in zip(batch.column(2), batch.column(3)):
-                if y != last:  # partners of one line come together
-                    last, second = y, np.unique(shingles([y.as_py()])[0])
-                first = np.unique(shingles([x.as_py()])[0])
-                common = len(np.intersect1d(first, second, assume_unique=True))
-                good.append(100 * common >= percent * (len(first) + len(second) - common))
+            sets, held, good = ShingleSets(), 0, []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                held += len(x) + len(y)
+                if held > 8 * CHUNK:
+                    sets, held = ShingleSets(), 0
+                good.append(sets.alike(x, y, percent))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return pairs.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
@@ -197,12 +259,24 @@ def _compared(rows: DataFrame, percent: int) -> DataFrame:
             for batch in batches:
                 yield from zip(*[batch.column(k).to_pylist() for k in range(6)])
 
-        sets = lambda side: [np.unique(shingles([r[5]])[0]) for r in side]
+        def connecting(left, right):
+            """Links that connect all that is linked: long lines by long shingles, others by short ones."""
+            sides = [left] if right is None else [left, right]
+            joined, shift = Sets(sum(map(len, sides))), 0 if right is None else len(left)
+            for width in (LONG, SHORT):
+                of = [[(i, r) for i, r in enumerate(side) if width in widths(r[5], percent)] for side in sides]
+                sets = [[np.unique(shingles([r[5]], width)[0]) for _, r in side] for side in of]
+                if all(sets):
+                    for x, y in linked(sets[0], None if right is None else sets[1], percent):
+                        (i, p), (j, q) = of[0][x], of[-1][y]
+                        if (width == LONG or min(len(p[5]), len(q[5])) < LONG_LINE) and joined.join(i, j + shift):
+                            yield i, j
+
         for (_, i, j), group in itertools.groupby(rows_of(), key=lambda r: r[:3]):
             group = list(group)
             left = [r for r in group if r[3] == i]
             right = left if i == j else [r for r in group if r[3] == j]
-            found = spanning(sets(left), None if i == j else sets(right), percent)
+            found = list(connecting(left, None if i == j else right))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([left[x][4] for x, _ in found], pa.int64()),
                                                   pa.array([right[y][4] for _, y in found], pa.int64())], ["a", "b"])
@@ -213,33 +287,33 @@ def _compared(rows: DataFrame, percent: int) -> DataFrame:
 
 def repeats(docs: DataFrame, staging: Staging, percent: int = PERCENT) -> DataFrame:
     """(doc_id, places) of the documents with lines to remove; ``places`` holds struct(place, node)."""
+    share = docs.sparkSession.sparkContext.broadcast
     lines = staging.table(_lines(docs), "lines")
+    # Nearly all keys occur once. The others go into a bitmap, so only theirs are shuffled again.
     rows = lines.select(F.explode("keys").alias("key"), "node")
     shared = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
-    ties = rows.join(shared, "key").select(F.explode(F.array("least", "most")).alias("b"), F.col("node").alias("a"))
+    shared = staging.table(shared, "shared")
+    members = staging.table(_shared(lines, share(Bitmap.of(shared))).distinct(), "members")
+    ties = members.join(shared, "key").select(F.explode(F.array("least", "most")).alias("b"), F.col("node").alias("a"))
     ties = staging.table(ties.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                          .distinct(), "ties")
-    nodes = ties.select(F.col("a").alias("node")).unionByName(ties.select(F.col("b").alias("node"))).distinct()
-    at = staging.table(lines.join(nodes, "node").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")), "at")
-    wanted = at.groupBy("doc_id").agg(F.collect_list("node").alias("nodes"))
-    held = docs.select("doc_id", "text").join(wanted, "doc_id").select("text", "nodes")
-    texts = staging.table(_texts(held).dropDuplicates(["node"]), "texts")
+    nodes = ties.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    marks = share(Bitmap.of(nodes.select(F.col("node").alias("key"))))
+    texts = staging.table(_texts(docs, marks).join(nodes, "node", "left_semi").dropDuplicates(["node"]), "texts")
     pairs = (ties.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a")
              .join(texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b"))
     links = staging.table(_checked(pairs, percent), "links")
-    members = at.select(F.explode("keys").alias("key"), "node")
-    rest = _unsettled(members, components(links, staging, "tied_components"), staging)
+    rest = _unsettled(members.join(shared, "key", "left_semi"), components(links, staging, "tied_components"), staging)
     more = staging.table(_compared(rest.join(texts, "node"), percent), "more_links")
     joined = components(links.unionByName(more), staging, "line_components")
     # Only lines that occur twice or lie in a component can be repeats.
-    first = lines.groupBy("node").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
+    first = lines.groupBy("node").agg(F.min(F.struct("doc_id", "place", "node")).alias("first"), F.count("*").alias("n"))
     first = first.join(joined, "node", "left").filter("n > 1 or component is not null")
     first = staging.table(first.select("node", "first", F.coalesce("component", "node").alias("component")), "first")
     keep = first.groupBy("component").agg(F.min("first").alias("keep"))
     keep = first.select("node", "component").join(keep, "component").select("node", "keep")
     dropped = lines.select("doc_id", "place", "node").join(keep, "node").filter(
-        ~F.struct("doc_id", "place").eqNullSafe(F.col("keep")))
+        ~F.struct("doc_id", "place", "node").eqNullSafe(F.col("keep")))
     return dropped.groupBy("doc_id").agg(F.collect_set(F.struct("place", "node")).alias("places"))
 
 
@@ -247,9 +321,9 @@ def dedup(docs: DataFrame, staging: Staging, percent: int = PERCENT) -> DataFram
     """The documents with repeated lines taken out, all columns kept, plus ``n_lines`` and ``n_dropped``.
 
     A null text stays null and has no lines. Where the table has ``n_chars`` it
-    follows the new text. Blank and short lines stay. Ties go to the lowest
-    (doc_id, place). Rows repeated under one id keep and lose the same lines. A
-    null id is an id. An empty table gives no rows.
+    follows the new text. Blank lines stay. Ties go to the lowest
+    (doc_id, place), then to a hash of the line. Rows repeated under one id keep and
+    lose the same lines. A null id is an id. An empty table gives no rows.
     """
     gone = repeats(docs, staging, percent).select(F.col("doc_id").alias("_id"), F.col("places").alias("_places"))
     rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left").drop("_id")

@@ -196,13 +196,18 @@ def test_simhash_odd(spark, odd, staging):
 def brute_lines(docs, percent=80):
     """Exact components over all lines that take part; the first of each stays."""
     places = [(d, i, n) for d in sorted(docs) for i, n in line_dedup.eligible(docs[d])]
-    sets = {n: {n[k:k + 8] for k in range(len(n) - 7)} for _, _, n in places}
-    where = defaultdict(set)
-    for n, s in sets.items():
-        for g in s:
-            where[g].add(n)
-    near = {(a, b) for ns in where.values() for a in ns for b in ns if a < b}
-    links = [(a, b) for a, b in near if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    lines, links, sets = {n for _, _, n in places}, [], {}
+    for width in (4, 8):
+        sets[width] = {n: {n[k:k + width] for k in range(max(1, len(n) - width + 1))} for n in lines}
+        where = defaultdict(set)
+        for n, s in sets[width].items():
+            for g in s:
+                where[g].add(n)
+        near = {(a, b) for ns in where.values() for a in ns for b in ns if a < b}
+        near = [(a, b) for a, b in near if (min(len(a), len(b)) >= 80) == (width == 8)]
+        links += [(a, b) for a, b in near
+                  if 100 * len(sets[width][a] & sets[width][b]) >= percent * len(sets[width][a] | sets[width][b])]
+    sets = dict.fromkeys(lines)
     of, seen, gone = groups(links, sets), set(), defaultdict(set)
     for d, i, n in places:
         if of[n] in seen:
@@ -221,7 +226,7 @@ def test_lines(spark, make):
             for _ in range(rng.choice([0, 0, 1, 1, 2])):
                 line[rng.randrange(len(line))] = rng.choice("xyz")
             lines.append("".join(line))
-        docs[d] = "\n".join(lines + ["short", "", f"unique {rng.random()} {rng.random()}"])
+        docs[d] = "\n".join(lines + ["short", "", f"{rng.random()} unique {rng.random()}"])
     want = brute_lines(docs)
     rows = {r["doc_id"]: r for r in line_dedup.dedup(make(*docs.items()), Staging(spark)).collect()}
     dropped = {d: rows[d]["n_dropped"] for d in docs}
@@ -229,7 +234,7 @@ def test_lines(spark, make):
     for d, text in docs.items():  # never more than the exact components say
         lines = text.split("\n")
         assert dropped[d] <= len(want[d]) or not want[d] and not dropped[d]
-        assert rows[d]["n_lines"] == len(lines) and "short" in rows[d]["text"].split("\n")
+        assert rows[d]["n_lines"] == len(lines) and ("short" in rows[d]["text"].split("\n")) == (d == 0)
         assert lines[-1] in rows[d]["text"].split("\n")
 
 
@@ -261,12 +266,36 @@ def test_banding_recall():
         b = "".join(b)
         sets = [{x[k:k + 8] for k in range(len(x) - 7)} for x in (a, b)]
         if len(sets[0] & sets[1]) >= 0.8 * len(sets[0] | sets[1]):
-            keys = line_dedup.band_keys([a, b])
+            keys = line_dedup.band_keys([a, b], 8)
             trials += 1
             hits += bool(set(keys[0]) & set(keys[1]))
     assert trials > 100 and hits / trials > 0.97
 
 
+def test_recall_over_documents(spark, folder):
+    """All lines of the smallest documents, each also with one edit, from 5 characters on: links found, against brute force."""
+    rng, docs = random.Random(8), {}
+    for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(60).collect():
+        lines = [x for x in (r["text"] or "").split("\n")][:25]
+        docs[2 * r["doc_id"]] = "\n".join(lines)
+        cut = [x[:rng.randrange(5, 120)] for x in lines]
+        docs[2 * r["doc_id"] + 1] = "\n".join(c for x in cut for c in (x, x[:len(x) // 2] + rng.choice("qz") + x[len(x) // 2 + 1:], x + "!"))
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    want = sum(len(p) for p in brute_lines(docs).values())
+    got = sum(r["n_dropped"] for r in line_dedup.dedup(frame, Staging(spark)).collect())
+    assert 0.95 * want <= got <= want and want > 500
+
+
+def test_lines_without_ids(spark, make):
+    """Links between rows whose id is null, and through them, are found by content."""
+    base = "the quick brown fox jumps over the lazy dog and runs away from it as fast as it can "
+    texts = [base + "again", base + "again.", base + "again!", "short", "short"]
+    rows = line_dedup.dedup(make(*[(None, t) for t in texts]), Staging(spark)).collect()
+    assert sum(r["text"] == "" for r in rows) == sum(r["n_dropped"] for r in rows) == 2
+    mixed = line_dedup.dedup(make((1, texts[0]), (None, texts[1]), (2, texts[2])), Staging(spark)).collect()
+    assert sum(r["n_dropped"] for r in mixed) == 2
+
+
 def test_lines_odd(spark, odd, make, staging):
     rows = line_dedup.dedup(odd, staging)
     assert rows.columns == [*odd.columns, "n_lines", "n_dropped"] and rows.count() == odd.count()
