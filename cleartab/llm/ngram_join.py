@@ -1,13 +1,13 @@
 """Jaccard join of word n-gram sets with prefix trees.
 
-The n-grams of a set are hashed; the hashes are the global order. Two sets over
-the threshold differ in few n-grams, so if the hash range is cut into more
-segments than that, some segment is the same in both. Ordered from any of its
-segments on, a set is a path in a prefix tree; the sets that share a whole first
-segment hang below one node of it. Only (node, set) pairs travel. Sets below
-common nodes form candidate clusters, and these are joined exactly, in blocks of
-bounded size, by walking the prefix tree of one block with the sets of another.
-Equal sets count once throughout.
+The n-grams of a set are hashed; the hashes are the global order, in which every
+set is a path. Two sets over the threshold lack few of each other's n-grams, so they
+share several within a prefix of their paths. N-grams that lie in the prefix of one
+set only are found by counting and left out; a set that keeps too few of its prefix
+has no partner and leaves as a whole. The others meet by the first n-grams they keep
+and form candidate clusters, and these are joined exactly, in blocks of bounded size,
+by walking the prefix tree of one block with the sets of another: shared paths once,
+and no further where what remains is too short. Equal sets count once throughout.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cleartab.llm.bitmap import Bitmap
 from cleartab.llm.common import documents, keep_only
 from cleartab.llm.graph import components
 from cleartab.llm.trie import mixed, spanning
@@ -65,50 +66,33 @@ def digest(grams: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
-def bounds(percent: int, upto: int) -> list[int]:
-    """First sizes of the size classes. A class spans four steps of the least ratio between linked sizes, below 90 % one.
+def lacking(n: int, percent: int) -> int:
+    """N-grams of a set of n that no linked set need have."""
+    return n - -(-percent * n // 100)
 
-    Wide classes need fewer keys. Below 90 % they would leave so many segments of their smaller sets
-    empty that empty segments become keys, which all sets of a class share.
+
+def depth(n: int, percent: int) -> int:
+    """N-grams that two linked sets, both of at least n, share within their prefixes. It grows with n."""
+    return max(1, n * (100 - percent) // 200)
+
+
+def prefix(grams: np.ndarray, percent: int) -> np.ndarray:
+    """The first n-grams of a set, which hold the first ``depth`` that it shares with any linked set.
+
+    Of the n-grams in front of the j-th shared one, at most ``lacking`` are not shared.
     """
-    out, steps = [1], 4 if percent >= 90 else 1
-    while out[-1] <= upto:
-        out.append(max(out[-1] + 1, int(out[-1] * (100 / percent) ** steps)))
-    return out
+    n = len(grams)
+    return grams[:lacking(n, percent) + depth(n, percent)] if n else grams
 
 
-def segment_keys(grams: np.ndarray, percent: int) -> list[int]:
-    """One key per segment of the set in each size class in which it may have partners.
+def kept_keys(n: int, kept: np.ndarray, percent: int) -> np.ndarray:
+    """The n-grams by which a set of n meets its partners; ``kept`` are those of its prefix that another prefix has.
 
-    Sets of at most S members differ in at most d = 2 S (100 - percent) / (100 + percent)
-    n-grams when linked. Of d + 1 + spare segments at least 1 + spare are the same. A set
-    with at most ``spare`` empty segments leaves those out: a same segment that is not empty
-    remains. A set with more keeps them all.
+    A linked set has ``least`` of the percentage or more of n members, so at least ``depth`` of that
+    many are shared. Fewer kept, no partner; else the first shared one has ``depth`` - 1 behind it.
     """
-    n, keys = len(grams), []
-    edges = bounds(percent, n)
-    own = len(edges) - 2
-    reach = n * 100 // percent
-    for size_class in (own, own + 1):
-        edges = edges if size_class + 1 < len(edges) else bounds(percent, edges[-1])
-        if size_class > own and reach < edges[size_class]:
-            break
-        largest = edges[size_class + 1] - 1
-        d = 2 * largest * (100 - percent) // (100 + percent)
-        if d == 0:
-            continue  # linked sets of this class are equal
-        spare = d // 8
-        m = d + 1 + spare
-        cuts = np.searchsorted(grams, (np.arange(1, m, dtype=np.float64) * (2.0 ** 64 / m)).astype(np.uint64))
-        cuts = np.concatenate(([0], cuts, [n]))
-        sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(mixed(grams ^ np.uint64(0xA5A5A5A5)))))
-        parts = sums[cuts[1:]] - sums[cuts[:-1]]
-        filled = cuts[1:] > cuts[:-1]
-        if np.count_nonzero(~filled) > spare:
-            filled[:] = True
-        salt = np.uint64(size_class << 32) + np.flatnonzero(filled).astype(np.uint64)
-        keys.append(mixed(parts[filled] + mixed(salt + np.uint64(1))).astype(np.int64))
-    return np.concatenate(keys).tolist() if keys else []
+    least = depth(-(-percent * n // 100), percent)
+    return kept[:max(0, len(kept) - least + 1)]
 
 
 def candidate_clusters(rows: DataFrame, staging: Staging, name: str) -> DataFrame:
@@ -158,45 +142,68 @@ def links(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
-    """Size, digest and segment keys of every text."""
+    """Size, digest and prefix of every text; ``docs`` has (doc_id, text, content)."""
     def run(batches):
         import pyarrow as pa
 
         shingles = shingler(n)
         for batch in batches:
-            rows = []
+            sizes, nodes, checks, prefixes = [], [], [], []
             for text in batch.column(1):
                 grams = shingles(text.as_py())
-                rows.append((len(grams), *digest(grams), segment_keys(grams, percent)))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+                node, check = digest(grams)
+                sizes.append(len(grams))
+                nodes.append(node)
+                checks.append(check)
+                prefixes.append(prefix(grams, percent).view(np.int64))
+            offsets = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
+            flat = np.concatenate([np.empty(0, np.int64), *prefixes])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, k) for c, k in zip(zip(*rows), kinds)]] if rows else
-                [batch.column(0), *[pa.array([], k) for k in kinds]], ["doc_id", "n_shingles", "node", "check", "keys"])
+                [batch.column(0), batch.column(2), *[pa.array(c, pa.int64()) for c in (sizes, nodes, checks)],
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                ["doc_id", "content", "n_shingles", "node", "check", "keys"])
+
+    return docs.select("doc_id", "text", "content").mapInArrow(
+        run, "doc_id bigint, content bigint, n_shingles bigint, node bigint, check bigint, keys array<bigint>")
+
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, node bigint, check bigint, keys array<bigint>")
+def _met(classes: DataFrame, seen, percent: int) -> DataFrame:
+    """(key, node) by which sets may meet; ``classes`` has (node, n_shingles, keys)."""
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            lists = batch.column(2)
+            flat, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            there = seen.value.has(flat.view(np.uint64))
+            keys = [kept_keys(n, flat[low:high][there[low:high]], percent)
+                    for n, low, high in zip(batch.column(1).to_pylist(), offsets[:-1], offsets[1:])]
+            owner = np.repeat(batch.column(0).to_numpy(), [len(k) for k in keys])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *keys])), pa.array(owner, pa.int64())],
+                                             ["key", "node"])
+
+    return classes.select("node", "n_shingles", "keys").mapInArrow(run, "key bigint, node bigint")
 
 
-def _grams(docs: DataFrame, n: int) -> DataFrame:
+def _grams(texts: DataFrame, n: int) -> DataFrame:
+    """(node, cluster, grams) of the sets of the texts; ``texts`` has (text, node, check, cluster)."""
     def run(batches):
         import pyarrow as pa
 
         shingles = shingler(n)
         for batch in batches:
-            keep, nodes, checks, grams = [], [], [], []
-            for at, text in enumerate(batch.column(1)):
+            keep, grams = [], []
+            for at, text in enumerate(batch.column(0)):
                 found = shingles(text.as_py())
-                node, check = digest(found)
-                # Another row with the same id but another text is not the one that was asked for.
-                if (node, check) == (batch.column(2)[at].as_py(), batch.column(3)[at].as_py()):
+                # Another text with the same hash is not the one that was asked for.
+                if digest(found) == (batch.column(1)[at].as_py(), batch.column(2)[at].as_py()):
                     keep.append(at)
-                    nodes.append(node)
                     grams.append(found.astype("<u8").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), batch.column(4).take(pa.array(keep, pa.int64())),
-                 pa.array(grams, pa.binary())], ["node", "cluster", "grams"])
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(at), batch.column(3).take(at), pa.array(grams, pa.binary())],
+                                             ["node", "cluster", "grams"])
 
-    return docs.mapInArrow(run, "node bigint, cluster bigint, grams binary")
+    return texts.select("text", "node", "check", "cluster").mapInArrow(run, "node bigint, cluster bigint, grams binary")
 
 
 def join(docs: DataFrame, staging: Staging, percent: int = PERCENT, n: int = WORDS) -> DataFrame:
@@ -204,24 +211,28 @@ def join(docs: DataFrame, staging: Staging, percent: int = PERCENT, n: int = WOR
 
     A null text is empty; empty sets are linked with nothing, their component is
     their own id. Repeated rows are linked by their equal texts. A null id never
-    names a component unless all its members have none. An empty table gives no
-    rows; other columns are not read.
+    names a component unless all its members have none, but links through rows
+    without an id count. An empty table gives no rows; other columns are not read.
     """
-    docs = keep_only(docs, "doc_id", "text")
+    docs = keep_only(docs, "doc_id", "text").withColumn("content", F.xxhash64("text"))
     signed = staging.table(_signed(docs, percent, n), "signed")
     # One row per different set; the digest's second half tells apart the few that share the first.
     classes = staging.table(signed.filter("n_shingles > 0").groupBy("node", "check").agg(
-        F.min("doc_id").alias("doc_id"), F.min_by("keys", "doc_id").alias("keys")), "classes")
-    rows = classes.filter(F.size("keys") > 0).select(F.explode("keys").alias("key"), "node")
+        F.min("content").alias("content"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")), "classes")
+    twice = (classes.select(F.explode("keys").alias("key"), "node").groupBy("key")
+             .agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most"))
+    seen = docs.sparkSession.sparkContext.broadcast(Bitmap.of(twice.select("key")))
+    rows = staging.table(_met(classes, seen, percent), "met")
     clusters = staging.table(candidate_clusters(rows, staging, "candidates"), "clusters")
-    wanted = classes.select("node", "check", "doc_id").join(clusters, "node")
-    texts = docs.join(wanted, "doc_id").select("doc_id", "text", "node", "check", "cluster")
-    sets = _grams(texts, n).dropDuplicates(["node"])
+    wanted = classes.select("node", "check", "content").join(clusters, "node")
+    sets = _grams(docs.select("text", "content").join(wanted, "content"), n).dropDuplicates(["node"])
     found = staging.table(links(blocked(sets, clusters), percent), "links")
     joined = components(found, staging, "components")
     member = signed.select("doc_id", "n_shingles", "node").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     member = staging.table(member.drop("node"), "members")
+    for name in ("classes", "met", "clusters", "links", "signed"):
+        staging.drop(name)
     least = member.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     filled = member.filter("n_shingles > 0").join(least, "component").select("doc_id", "n_shingles", "component_id")
     empty = member.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

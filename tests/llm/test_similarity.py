@@ -81,6 +81,17 @@ def test_join_around_the_threshold(spark, make, monkeypatch, block):
     assert got == brute_join(docs)
 
 
+def test_join_without_ids(spark, make):
+    """Links through a row whose id is null count."""
+    base = [f"w{i}" for i in range(60)]
+    a, b, c = base, base[:-2] + ["x", "y"], ["p", "q"] + base[2:-2] + ["x", "y"]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.join(
+        make((3, " ".join(a)), (None, " ".join(b)), (5, " ".join(c)), (9, "other words here")), Staging(spark)).collect()}
+    near = lambda p, q: 100 * len(word_set(" ".join(p)) & word_set(" ".join(q))) >= 90 * len(word_set(" ".join(p)) | word_set(" ".join(q)))  # noqa: E731,E501
+    assert near(a, b) and near(b, c) and not near(a, c)
+    assert got == {3: 3, None: 3, 5: 3, 9: 9}
+
+
 def test_join_odd(spark, odd, make, staging):
     rows = ngram_join.join(odd, staging).collect()
     assert len(rows) == odd.count()
@@ -109,19 +120,35 @@ def test_trie_finds_all_links():
             assert set(trie.linked(left, right, percent)) == want
 
 
-def test_segment_keys_lose_no_link():
+@pytest.mark.parametrize("percent", [80, 90])
+def test_prefixes_lose_no_link(percent):
+    """Linked sets, down to the threshold, always meet: by their prefixes alone, and in a crowd."""
     rng = np.random.default_rng(8)
+    crowd = []
     for size in (*range(1, 60), 100, 250, 1000):
         a = np.unique(rng.integers(0, 2 ** 63, size).astype(np.uint64) * np.uint64(2))
         b = a
         while len(b):
-            other = np.unique(np.concatenate([b[1:] if rng.random() < 0.5 else b,
-                                              rng.integers(0, 2 ** 63, 1).astype(np.uint64)]))
+            crowd.append(b)
+            other = np.unique(np.concatenate([b[1:] if rng.random() < 0.5 else b[:-1] if rng.random() < 0.3 else b,
+                                              rng.integers(0, 2 ** 63, rng.integers(0, 2)).astype(np.uint64)]))
             common = len(np.intersect1d(a, other))
-            if 100 * common < 90 * (len(a) + len(other) - common):
+            if 100 * common < percent * (len(a) + len(other) - common):
                 break
             b = other
-            assert set(ngram_join.segment_keys(a, 90)) & set(ngram_join.segment_keys(b, 90))
+            kept = [np.intersect1d(x, np.intersect1d(*[ngram_join.prefix(y, percent) for y in (a, b)])) for x in (a, b)]
+            assert set(ngram_join.kept_keys(len(a), kept[0], percent)) & set(ngram_join.kept_keys(len(b), kept[1], percent))
+    counts = defaultdict(int)
+    for x in crowd:
+        for g in ngram_join.prefix(x, percent).tolist():
+            counts[g] += 1
+    met = [set(ngram_join.kept_keys(len(x), np.array([g for g in ngram_join.prefix(x, percent).tolist() if counts[g] > 1]), percent))
+           for x in crowd]
+    for i in range(len(crowd)):
+        for j in range(i):
+            common = len(np.intersect1d(crowd[i], crowd[j]))
+            if 100 * common >= percent * (len(crowd[i]) + len(crowd[j]) - common):
+                assert met[i] & met[j]
 
 
 def brute_simhash(terms):
