@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +62,23 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/cleartab/{uuid.uuid4().hex}/{name}"
 
 
+_areas: ContextVar[list | None] = ContextVar("areas", default=None)
+
+
+@contextmanager
+def swept() -> Iterator[None]:
+    """Deletes, at its end, all staged tables of the areas made inside: for the
+    step of a job whose result has been written by then."""
+    token = _areas.set([])
+    try:
+        yield
+    finally:
+        areas = _areas.get()
+        _areas.reset(token)
+        for area in areas:
+            area.close()
+
+
 class Staging:
     """Tables written once in the shared folder and read back.
 
@@ -70,6 +90,8 @@ class Staging:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = staging_path(spark, "tables")
+        if (made := _areas.get()) is not None:
+            made.append(self)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cleartab.llm import language, lexical_packing, line_dedup, mixing, ngram_join
-from cleartab.session import Staging
+from cleartab.session import Staging, swept
 
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 """Texts are near copies when their sets of word 5-grams have a Jaccard similarity of 0.8 or more."""
@@ -56,9 +56,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole pipeline over the documents of a folder."""
-    staging = Staging(spark)
+    """The whole pipeline over the documents of a folder. What a stage has staged goes when its output is
+    written, and its input when the next one's is."""
+    staging, before = Staging(spark), None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staging.table(stage(spark, docs, sf_dir), name)
+        with swept():
+            docs = staging.table(stage(spark, docs, sf_dir), name)
+        if before:
+            staging.drop(before)
+        before = name
     return docs
