@@ -36,6 +36,8 @@ BANDS, ROWS = 8, 4
 PERCENT = 80
 BLOCK = 128
 """Lines of one band that a task compares with another such block at a time."""
+STAGED = ("lines", "shared", "members", "ties", "texts", "links", "banded", "bands", "more_links", "first")
+"""Tables that are deleted when the places to remove are known."""
 CHUNK = 1_000_000
 """Characters whose shingles are held at once, at least one line."""
 
@@ -325,7 +327,10 @@ def dedup(docs: DataFrame, staging: Staging, percent: int = PERCENT) -> DataFram
     (doc_id, place), then to a hash of the line. Rows repeated under one id keep and
     lose the same lines. A null id is an id. An empty table gives no rows.
     """
-    gone = repeats(docs, staging, percent).select(F.col("doc_id").alias("_id"), F.col("places").alias("_places"))
+    gone = staging.table(repeats(docs, staging, percent).select(
+        F.col("doc_id").alias("_id"), F.col("places").alias("_places")), "gone")
+    for name in STAGED:
+        staging.drop(name)
     rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left").drop("_id")
     names = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()),
