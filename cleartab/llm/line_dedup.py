@@ -32,12 +32,14 @@ LONG_LINE = 80
 """Characters from which on a line is long."""
 LEAST_FUZZY = 5
 """Shorter lines repeat exactly or not at all: one edit takes any of them below the threshold."""
-BANDS, ROWS = 8, 4
+BANDS, ROWS = 10, 5
 PERCENT = 80
 BLOCK = 128
 """Lines of one band that a task compares with another such block at a time."""
 STAGED = ("lines", "shared", "members", "ties", "texts", "links", "banded", "bands", "more_links", "first")
 """Tables that are deleted when the places to remove are known."""
+FEW = 400
+"""Up to so many pairs of lines are compared one by one, without a prefix tree."""
 CHUNK = 1_000_000
 """Characters whose shingles are held at once, at least one line."""
 
@@ -101,37 +103,65 @@ def band_keys(lines: list[str], width: int) -> np.ndarray:
     return mixed(keys + np.arange(BANDS, dtype=np.uint64)).astype(np.int64)
 
 
-def all_keys(lines: list[str]) -> list[np.ndarray]:
-    """Band keys of every line, of each width by which it may be compared."""
+def all_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys of all lines, one after the other, of each width by which they may be compared, and how many each has."""
     of = [widths(x) for x in lines]
-    parts: list[list[np.ndarray]] = [[] for _ in lines]
+    counts = np.array([len(w) * BANDS for w in of], dtype=np.int64)
+    first = np.cumsum(counts) - counts
+    flat = np.empty(int(counts.sum()), np.int64)
     for width in (LONG, SHORT):
-        at = [i for i, w in enumerate(of) if width in w]
-        if at:
-            for i, keys in zip(at, band_keys([lines[i] for i in at], width)):
-                parts[i].append(keys)
-    return [np.concatenate(p) if p else np.empty(0, np.int64) for p in parts]
+        at = np.array([i for i, w in enumerate(of) if width in w], dtype=np.int64)
+        if len(at):
+            second = BANDS * np.array([of[i][0] != width for i in at])
+            flat[(first[at] + second)[:, None] + np.arange(BANDS)] = band_keys([lines[i] for i in at], width)
+    return flat, counts
 
 
 class ShingleSets:
-    """Shingle sets of lines, each made once."""
+    """Shingle sets of lines, each made once, and their exact comparison.
 
-    def __init__(self):
-        self.made: dict[tuple[int, str], np.ndarray] = {}
+    A table of flags over the low bits of the shingles of one line counts, for
+    another line, at least what both share; most pairs fail by that already.
+    """
+
+    FLAGS = 1 << 20
+
+    def __init__(self, percent: int):
+        self.percent, self.made = percent, {}
+        self.flags, self.flagged = np.zeros(self.FLAGS, bool), None
+
+    def load(self, lines: list[str]) -> None:
+        """Make the sets of many lines in one go."""
+        for width in (LONG, SHORT):
+            new = [x for x in dict.fromkeys(lines) if width in widths(x, self.percent) and (width, x) not in self.made]
+            if new:
+                h, line = shingles(new, width)
+                cuts = np.searchsorted(line, np.arange(len(new) + 1))
+                for x, low, high in zip(new, cuts[:-1], cuts[1:]):
+                    self._keep(x, width, h[low:high])
 
-    def of(self, line: str, width: int) -> np.ndarray:
-        key = (width, line)
-        if key not in self.made:
-            self.made[key] = np.unique(shingles([line], width)[0])
-        return self.made[key]
+    def _keep(self, line: str, width: int, found: np.ndarray):
+        whole = np.unique(found)
+        self.made[width, line] = whole, (whole & np.uint64(self.FLAGS - 1)).astype(np.int64)
+        return self.made[width, line]
 
-    def alike(self, x: str, y: str, percent: int) -> bool:
+    def of(self, line: str, width: int):
+        return self.made.get((width, line)) or self._keep(line, width, shingles([line], width)[0])
+
+    def alike(self, x: str, y: str) -> bool:
         width = LONG if min(len(x), len(y)) >= LONG_LINE else SHORT
-        a, b = self.of(x, width), self.of(y, width)
-        if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        (a, low), (b, other) = self.of(x, width), self.of(y, width)
+        needed = -(-self.percent * (len(a) + len(b)) // (100 + self.percent))
+        if min(len(a), len(b)) < needed:
+            return False
+        if self.flagged is not other:
+            if self.flagged is not None:
+                self.flags[self.flagged] = False
+            self.flags[other] = True
+            self.flagged = other
+        if np.count_nonzero(self.flags[low]) < needed:
             return False
-        common = len(np.intersect1d(a, b, assume_unique=True))
-        return 100 * common >= percent * (len(a) + len(b) - common)
+        return len(np.intersect1d(a, b, assume_unique=True)) >= needed
 
 
 def in_chunks(lines: list[tuple]) -> list[list[tuple]]:
@@ -159,10 +189,10 @@ def _lines(docs: DataFrame) -> DataFrame:
                     continue
                 ids, places, lines = zip(*chunk)
                 nodes = {line: mark(line) for line in lines}
-                keys = dict(zip(nodes, all_keys(list(nodes))))
-                own = [keys.pop(line, ()) for line in lines]
-                offsets = np.cumsum([0, *map(len, own)]).astype(np.int32)
-                flat = np.concatenate([np.empty(0, np.int64), *[k for k in own if len(k)]])
+                flat, counts = all_keys(list(nodes))
+                seen, own = set(), np.zeros(len(lines) + 1, np.int64)
+                own[[i + 1 for i, x in enumerate(lines) if not (x in seen or seen.add(x))]] = counts
+                offsets = np.cumsum(own).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(places, pa.int32()),
                      pa.array([nodes[x] for x in lines], pa.int64()),
@@ -209,12 +239,16 @@ def _checked(pairs: DataFrame, percent: int) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            sets, held, good = ShingleSets(), 0, []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                held += len(x) + len(y)
-                if held > 8 * CHUNK:
-                    sets, held = ShingleSets(), 0
-                good.append(sets.alike(x, y, percent))
+            pairs, good, start = list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())), [], 0
+            while start < len(pairs):
+                held, end = 0, start
+                while end < len(pairs) and (end == start or held < 8 * CHUNK):
+                    held += sum(map(len, pairs[end]))
+                    end += 1
+                sets = ShingleSets(percent)
+                sets.load([x for pair in pairs[start:end] for x in pair])
+                good += [sets.alike(x, y) for x, y in pairs[start:end]]
+                start = end
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return pairs.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
@@ -265,6 +299,14 @@ def _compared(rows: DataFrame, percent: int) -> DataFrame:
             """Links that connect all that is linked: long lines by long shingles, others by short ones."""
             sides = [left] if right is None else [left, right]
             joined, shift = Sets(sum(map(len, sides))), 0 if right is None else len(left)
+            if len(sides[0]) * len(sides[-1]) <= FEW:
+                few = ShingleSets(percent)
+                few.load([r[5] for side in sides for r in side])
+                for i, p in enumerate(left):
+                    for j, q in enumerate(left[:i] if right is None else right):
+                        if few.alike(q[5], p[5]) and joined.join(i, j + shift):
+                            yield i, j
+                return
             for width in (LONG, SHORT):
                 of = [[(i, r) for i, r in enumerate(side) if width in widths(r[5], percent)] for side in sides]
                 sets = [[np.unique(shingles([r[5]], width)[0]) for _, r in side] for side in of]
