@@ -1,13 +1,16 @@
 """Jaccard join of word n-gram sets with prefix trees.
 
-The n-grams of a set are hashed; the hashes are the global order, in which every
-set is a path. Two sets over the threshold lack few of each other's n-grams, so they
-share several within a prefix of their paths. N-grams that lie in the prefix of one
-set only are found by counting and left out; a set that keeps too few of its prefix
-has no partner and leaves as a whole. The others meet by the first n-grams they keep
-and form candidate clusters, and these are joined exactly, in blocks of bounded size,
-by walking the prefix tree of one block with the sets of another: shared paths once,
-and no further where what remains is too short. Equal sets count once throughout.
+The n-grams of a set are hashed; the hashes are the global order, in which every set
+is a path. Two sets over the threshold lack few of each other's n-grams, so they share
+several within a prefix of their paths. N-grams that lie in the prefix of one set only
+are found by counting; a set that keeps too few of its prefix has no partner and
+leaves as a whole. Of the others, linked ones also agree in some whole segment of the
+hash range, if it is cut into more segments than n-grams may differ: ordered from any
+of its segments on, a set is a path again, and sets with a common first segment hang
+below one node. Sets below common nodes form candidate clusters, and these are joined
+exactly, in blocks of bounded size, by walking the prefix tree of one block with the
+sets of another: shared paths once, and no further where what remains is too short.
+Equal sets count once throughout.
 """
 
 from __future__ import annotations
@@ -85,14 +88,58 @@ def prefix(grams: np.ndarray, percent: int) -> np.ndarray:
     return grams[:lacking(n, percent) + depth(n, percent)] if n else grams
 
 
-def kept_keys(n: int, kept: np.ndarray, percent: int) -> np.ndarray:
-    """The n-grams by which a set of n meets its partners; ``kept`` are those of its prefix that another prefix has.
+def may_be_linked(n: int, kept: int, percent: int) -> bool:
+    """Whether a set of n may have partners if other prefixes have ``kept`` n-grams of its own.
 
-    A linked set has ``least`` of the percentage or more of n members, so at least ``depth`` of that
-    many are shared. Fewer kept, no partner; else the first shared one has ``depth`` - 1 behind it.
+    A linked set has the percentage of n members or more, so both prefixes share ``depth`` of that many.
     """
-    least = depth(-(-percent * n // 100), percent)
-    return kept[:max(0, len(kept) - least + 1)]
+    return kept >= depth(-(-percent * n // 100), percent)
+
+
+def bounds(percent: int, upto: int) -> list[int]:
+    """First sizes of the size classes. A class spans four steps of the least ratio between linked sizes, below 90 % one.
+
+    Wide classes need fewer keys. Below 90 % they would leave so many segments of their smaller sets
+    empty that empty segments become keys, which all sets of a class share.
+    """
+    out, steps = [1], 4 if percent >= 90 else 1
+    while out[-1] <= upto:
+        out.append(max(out[-1] + 1, int(out[-1] * (100 / percent) ** steps)))
+    return out
+
+
+def segment_keys(grams: np.ndarray, percent: int) -> list[int]:
+    """One key per segment of the set in each size class in which it may have partners.
+
+    Sets of at most S members differ in at most d = 2 S (100 - percent) / (100 + percent)
+    n-grams when linked. Of d + 1 + spare segments at least 1 + spare are the same. A set
+    with at most ``spare`` empty segments leaves those out: a same segment that is not empty
+    remains. A set with more keeps them all.
+    """
+    n, keys = len(grams), []
+    edges = bounds(percent, n)
+    own = len(edges) - 2
+    reach = n * 100 // percent
+    for size_class in (own, own + 1):
+        edges = edges if size_class + 1 < len(edges) else bounds(percent, edges[-1])
+        if size_class > own and reach < edges[size_class]:
+            break
+        largest = edges[size_class + 1] - 1
+        d = 2 * largest * (100 - percent) // (100 + percent)
+        if d == 0:
+            continue  # linked sets of this class are equal
+        spare = d // 8
+        m = d + 1 + spare
+        cuts = np.searchsorted(grams, (np.arange(1, m, dtype=np.float64) * (2.0 ** 64 / m)).astype(np.uint64))
+        cuts = np.concatenate(([0], cuts, [n]))
+        sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(mixed(grams ^ np.uint64(0xA5A5A5A5)))))
+        parts = sums[cuts[1:]] - sums[cuts[:-1]]
+        filled = cuts[1:] > cuts[:-1]
+        if np.count_nonzero(~filled) > spare:
+            filled[:] = True
+        salt = np.uint64(size_class << 32) + np.flatnonzero(filled).astype(np.uint64)
+        keys.append(mixed(parts[filled] + mixed(salt + np.uint64(1))).astype(np.int64))
+    return np.concatenate(keys).tolist() if keys else []
 
 
 def candidate_clusters(rows: DataFrame, staging: Staging, name: str) -> DataFrame:
@@ -167,43 +214,43 @@ def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
         run, "doc_id bigint, content bigint, n_shingles bigint, node bigint, check bigint, keys array<bigint>")
 
 
-def _met(classes: DataFrame, seen, percent: int) -> DataFrame:
-    """(key, node) by which sets may meet; ``classes`` has (node, n_shingles, keys)."""
+def _partnered(signed: DataFrame, seen, percent: int) -> DataFrame:
+    """(node, check, content) of the sets that may have partners; ``signed`` as from ``_signed``."""
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            lists = batch.column(2)
+            lists = batch.column(4)
             flat, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            there = seen.value.has(flat.view(np.uint64))
-            keys = [kept_keys(n, flat[low:high][there[low:high]], percent)
-                    for n, low, high in zip(batch.column(1).to_pylist(), offsets[:-1], offsets[1:])]
-            owner = np.repeat(batch.column(0).to_numpy(), [len(k) for k in keys])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *keys])), pa.array(owner, pa.int64())],
-                                             ["key", "node"])
+            kept = np.concatenate([[0], np.cumsum(seen.value.has(flat.view(np.uint64)))])
+            kept = kept[offsets[1:]] - kept[offsets[:-1]]
+            there = [may_be_linked(n, k, percent) for n, k in zip(batch.column(3).to_pylist(), kept.tolist())]
+            yield batch.select(["node", "check", "content"]).filter(pa.array(there, pa.bool_()))
 
-    return classes.select("node", "n_shingles", "keys").mapInArrow(run, "key bigint, node bigint")
+    return (signed.filter("n_shingles > 0").select("node", "check", "content", "n_shingles", "keys")
+            .mapInArrow(run, "node bigint, check bigint, content bigint"))
 
 
-def _grams(texts: DataFrame, n: int) -> DataFrame:
-    """(node, cluster, grams) of the sets of the texts; ``texts`` has (text, node, check, cluster)."""
+def _grams(texts: DataFrame, percent: int, n: int) -> DataFrame:
+    """(node, grams, keys) of the sets of the texts; ``texts`` has (text, node, check)."""
     def run(batches):
         import pyarrow as pa
 
         shingles = shingler(n)
         for batch in batches:
-            keep, grams = [], []
+            keep, grams, keys = [], [], []
             for at, text in enumerate(batch.column(0)):
                 found = shingles(text.as_py())
                 # Another text with the same hash is not the one that was asked for.
                 if digest(found) == (batch.column(1)[at].as_py(), batch.column(2)[at].as_py()):
                     keep.append(at)
                     grams.append(found.astype("<u8").tobytes())
-            at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(1).take(at), batch.column(3).take(at), pa.array(grams, pa.binary())],
-                                             ["node", "cluster", "grams"])
+                    keys.append(segment_keys(found, percent))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1).take(pa.array(keep, pa.int64())), pa.array(grams, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                ["node", "grams", "keys"])
 
-    return texts.select("text", "node", "check", "cluster").mapInArrow(run, "node bigint, cluster bigint, grams binary")
+    return texts.select("text", "node", "check").mapInArrow(run, "node bigint, grams binary, keys array<bigint>")
 
 
 def join(docs: DataFrame, staging: Staging, percent: int = PERCENT, n: int = WORDS) -> DataFrame:
@@ -216,22 +263,22 @@ def join(docs: DataFrame, staging: Staging, percent: int = PERCENT, n: int = WOR
     """
     docs = keep_only(docs, "doc_id", "text").withColumn("content", F.xxhash64("text"))
     signed = staging.table(_signed(docs, percent, n), "signed")
-    # One row per different set; the digest's second half tells apart the few that share the first.
-    classes = staging.table(signed.filter("n_shingles > 0").groupBy("node", "check").agg(
-        F.min("content").alias("content"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")), "classes")
-    twice = (classes.select(F.explode("keys").alias("key"), "node").groupBy("key")
+    twice = (signed.select(F.explode("keys").alias("key"), "node").groupBy("key")
              .agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most"))
     seen = docs.sparkSession.sparkContext.broadcast(Bitmap.of(twice.select("key")))
-    rows = staging.table(_met(classes, seen, percent), "met")
+    # One row per different set; the digest's second half tells apart the few that share the first.
+    classes = staging.table(_partnered(signed, seen, percent).groupBy("node", "check").agg(F.min("content").alias("content")), "classes")
+    texts = docs.select("text", "content").join(classes, "content")
+    sets = staging.table(_grams(texts, percent, n).dropDuplicates(["node"]), "sets")
+    rows = sets.select(F.explode("keys").alias("key"), "node")
     clusters = staging.table(candidate_clusters(rows, staging, "candidates"), "clusters")
-    wanted = classes.select("node", "check", "content").join(clusters, "node")
-    sets = _grams(docs.select("text", "content").join(wanted, "content"), n).dropDuplicates(["node"])
+    sets = sets.select("node", "grams").join(clusters, "node")
     found = staging.table(links(blocked(sets, clusters), percent), "links")
     joined = components(found, staging, "components")
     member = signed.select("doc_id", "n_shingles", "node").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     member = staging.table(member.drop("node"), "members")
-    for name in ("classes", "met", "clusters", "links", "signed"):
+    for name in ("classes", "sets", "clusters", "links", "signed"):
         staging.drop(name)
     least = member.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     filled = member.filter("n_shingles > 0").join(least, "component").select("doc_id", "n_shingles", "component_id")

@@ -121,34 +121,23 @@ def test_trie_finds_all_links():
 
 
 @pytest.mark.parametrize("percent", [80, 90])
-def test_prefixes_lose_no_link(percent):
-    """Linked sets, down to the threshold, always meet: by their prefixes alone, and in a crowd."""
+def test_prefixes_and_segments_lose_no_link(percent):
+    """Linked sets, down to the threshold, keep enough of their prefixes by each other alone, and share a segment."""
     rng = np.random.default_rng(8)
-    crowd = []
     for size in (*range(1, 60), 100, 250, 1000):
         a = np.unique(rng.integers(0, 2 ** 63, size).astype(np.uint64) * np.uint64(2))
         b = a
         while len(b):
-            crowd.append(b)
             other = np.unique(np.concatenate([b[1:] if rng.random() < 0.5 else b[:-1] if rng.random() < 0.3 else b,
                                               rng.integers(0, 2 ** 63, rng.integers(0, 2)).astype(np.uint64)]))
             common = len(np.intersect1d(a, other))
             if 100 * common < percent * (len(a) + len(other) - common):
                 break
             b = other
-            kept = [np.intersect1d(x, np.intersect1d(*[ngram_join.prefix(y, percent) for y in (a, b)])) for x in (a, b)]
-            assert set(ngram_join.kept_keys(len(a), kept[0], percent)) & set(ngram_join.kept_keys(len(b), kept[1], percent))
-    counts = defaultdict(int)
-    for x in crowd:
-        for g in ngram_join.prefix(x, percent).tolist():
-            counts[g] += 1
-    met = [set(ngram_join.kept_keys(len(x), np.array([g for g in ngram_join.prefix(x, percent).tolist() if counts[g] > 1]), percent))
-           for x in crowd]
-    for i in range(len(crowd)):
-        for j in range(i):
-            common = len(np.intersect1d(crowd[i], crowd[j]))
-            if 100 * common >= percent * (len(crowd[i]) + len(crowd[j]) - common):
-                assert met[i] & met[j]
+            both = len(np.intersect1d(ngram_join.prefix(a, percent), ngram_join.prefix(b, percent)))
+            assert ngram_join.may_be_linked(len(a), both, percent) and ngram_join.may_be_linked(len(b), both, percent)
+            if len(a) != len(b) or (a != b).any():
+                assert set(ngram_join.segment_keys(a, percent)) & set(ngram_join.segment_keys(b, percent))
 
 
 def brute_simhash(terms):
