@@ -25,7 +25,8 @@ def latest_version(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                    scanned: bool = False) -> DataFrame:
     """One row per key: the first under ``order``, then by hashes of all other
     columns, so a tie never depends on how the data is split and the sort carries
-    two numbers, not the row's texts.
+    two numbers, not the row's texts. The rows that tie for the first place of a key
+    are the only ones hashed; both steps share one shuffle.
 
     Rows with a null key are separate records and all stay; collapsing them would
     lose rows and put them all into one task. The rank limit is applied before
@@ -42,8 +43,11 @@ def latest_version(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
         unknown = unknown | F.col(key).isNull()
 
     def first(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-        window = Window.partitionBy(*by).orderBy(*order, *rest)
-        return rows.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
+        # Rows that tie on the order come through the first limit together; only these are hashed.
+        same = Window.partitionBy(*by).orderBy(*order)
+        tied = rows.withColumn("__rank", F.rank().over(same)).filter("__rank = 1")
+        one = Window.partitionBy(*by).orderBy(*(rest or order))
+        return tied.withColumn("__rank", F.row_number().over(one)).filter("__rank = 1").drop("__rank")
 
     if scanned:
         number = F.when(unknown, F.monotonically_increasing_id()).otherwise(F.lit(-1))
