@@ -4,6 +4,12 @@ Each line is described by a few shares and counts. The field scores a label for
 each line and for each pair of neighbouring labels; Viterbi decoding finds the
 best sequence, and the share of a text's word characters that lie in content
 lines decides whether it is kept.
+
+Labels are given for documents only. Those of lines are learnt from them: a first
+field without pairs says how a line looks that stands in good or in bad documents;
+where it contradicts a document's label clearly, the line gets the other one. The
+field proper is fitted on pieces of documents and on compositions of pieces of both
+kinds, in which labels change from one line to the next.
 """
 
 from __future__ import annotations
@@ -19,8 +25,10 @@ from cleartab.llm.common import documents, keep_only
 
 SAMPLE_DOCUMENTS = 2_000
 """Expected bound of the labelled sample that the field is fitted on."""
-SAMPLE_CHARACTERS = 20_000
-"""Only texts up to this length are in that sample."""
+PIECE_LINES, PIECES = 64, 8
+"""A text of the sample gives up to PIECES pieces of up to PIECE_LINES lines, spread over all of it."""
+TRUST = 2.0
+"""Log odds by which the label of a document speaks for each of its lines."""
 LEAST_SHARE = 0.5
 STEPS = 150
 
@@ -32,7 +40,8 @@ _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _DIGITS = bytes(range(48, 58))
 _HIGH = bytes(range(128, 256))
-FEATURES = 11
+FEATURES = 12
+_SYMBOL_BYTES = SYMBOLS.encode()
 SCHEMA = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
           "n_repeat_words bigint, base_failed boolean, kept boolean, content_share double")
 
@@ -73,6 +82,7 @@ def line_features(line: str, repeated: bool) -> tuple[list[float], int]:
         sum(map(operator.eq, words, words[1:])) / n,
         float(repeated),
         float(line.rstrip(BLANK)[-1:] in ".!?"),
+        sum(not w.strip(_SYMBOL_BYTES) for w in words) / n if symbols else 0.0,
     ], chars
 
 
@@ -91,46 +101,39 @@ def described(text: str) -> tuple[list[list[float]], list[int], int]:
     return rows, chars, again
 
 
-def fitted(sequences: list[np.ndarray], labels: list[int], steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
+def fitted(sequences: list[np.ndarray], labels: list[np.ndarray], steps: int = STEPS, chained: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Emission weights (of content against boilerplate) and label-pair weights of most likelihood.
 
     Full-batch gradient ascent with a small quadratic penalty; expectations by
-    forward and backward passes over all sequences at once.
+    forward and backward passes over all sequences of about one length at once.
+    Without ``chained`` the pair weights stay 0.
     """
-    longest = max(map(len, sequences))
-    x = np.zeros((len(sequences), longest, FEATURES))
-    mask = np.zeros((len(sequences), longest), dtype=bool)
+    batches = []
+    by_length: dict[int, list[int]] = {}
     for i, rows in enumerate(sequences):
-        x[i, :len(rows)], mask[i, :len(rows)] = rows, True
-    y = np.array(labels)
-    both = mask[:, 1:]
+        by_length.setdefault(len(rows).bit_length(), []).append(i)
+    for at in by_length.values():
+        longest = max(len(sequences[i]) for i in at)
+        x, y = np.zeros((len(at), longest, FEATURES)), np.zeros((len(at), longest))
+        mask = np.zeros((len(at), longest), dtype=bool)
+        for k, i in enumerate(at):
+            n = len(sequences[i])
+            x[k, :n], y[k, :n], mask[k, :n] = sequences[i], labels[i], True
+        batches.append((x, y, mask))
     seen_pairs = np.zeros((2, 2))
-    for label in (0, 1):
-        seen_pairs[label, label] = both[y == label].sum()
+    for _, y, mask in batches:
+        for a in (0, 1):
+            for b in (0, 1):
+                seen_pairs[a, b] += (mask[:, 1:] & (y[:, :-1] == a) & (y[:, 1:] == b)).sum()
     weights, pairs = np.zeros(FEATURES), np.zeros((2, 2))
     moments = [np.zeros(FEATURES), np.zeros(FEATURES), np.zeros((2, 2)), np.zeros((2, 2))]
-    total = mask.sum()
+    total = sum(mask.sum() for _, _, mask in batches)
     for step in range(1, steps + 1):
-        emit = np.zeros((len(x), longest, 2))
-        emit[:, :, 1] = x @ weights
-        forward, backward = np.zeros_like(emit), np.zeros_like(emit)
-        forward[:, 0] = emit[:, 0]
-        for t in range(1, longest):
-            moved = np.logaddexp(forward[:, t - 1, :1] + pairs[0], forward[:, t - 1, 1:] + pairs[1]) + emit[:, t]
-            forward[:, t] = np.where(mask[:, t, None], moved, forward[:, t - 1])
-        for t in range(longest - 2, -1, -1):
-            after = emit[:, t + 1] + backward[:, t + 1]
-            moved = np.logaddexp(after[:, :1] + pairs[:, 0], after[:, 1:] + pairs[:, 1])
-            backward[:, t] = np.where(mask[:, t + 1, None], moved, backward[:, t + 1])
-        norm = np.logaddexp(forward[:, -1, 0], forward[:, -1, 1])
-        content = np.exp(forward[:, :, 1] + backward[:, :, 1] - norm[:, None]) * mask
-        gradient = ((y[:, None] * mask - content)[:, :, None] * x).sum(axis=(0, 1)) / total - 1e-3 * weights
-        expected = np.zeros((2, 2))
-        for a in (0, 1):
-            for b in (0, 1):
-                pair = forward[:, :-1, a] + pairs[a, b] + emit[:, 1:, b] + backward[:, 1:, b] - norm[:, None]
-                expected[a, b] = np.exp(np.where(both, pair, -np.inf)).sum()
-        pair_gradient = (seen_pairs - expected) / total - 1e-3 * pairs
+        gradient, expected = -1e-3 * weights, np.zeros((2, 2))
+        for x, y, mask in batches:
+            g, e = _expectations(x, y, mask, weights, pairs)
+            gradient, expected = gradient + g / total, expected + e
+        pair_gradient = (seen_pairs - expected) / total - 1e-3 * pairs if chained else np.zeros((2, 2))
         for value, g, m, v in ((weights, gradient, moments[0], moments[1]), (pairs, pair_gradient, moments[2], moments[3])):
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
@@ -138,6 +141,69 @@ def fitted(sequences: list[np.ndarray], labels: list[int], steps: int = STEPS) -
     return weights, pairs
 
 
+def _expectations(x, y, mask, weights, pairs) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient of the emission weights, and the label pairs that the field expects."""
+    longest, both = x.shape[1], mask[:, 1:]
+    emit = np.zeros((len(x), longest, 2))
+    emit[:, :, 1] = x @ weights
+    forward, backward = np.zeros_like(emit), np.zeros_like(emit)
+    forward[:, 0] = emit[:, 0]
+    for t in range(1, longest):
+        moved = np.logaddexp(forward[:, t - 1, :1] + pairs[0], forward[:, t - 1, 1:] + pairs[1]) + emit[:, t]
+        forward[:, t] = np.where(mask[:, t, None], moved, forward[:, t - 1])
+    for t in range(longest - 2, -1, -1):
+        after = emit[:, t + 1] + backward[:, t + 1]
+        moved = np.logaddexp(after[:, :1] + pairs[:, 0], after[:, 1:] + pairs[:, 1])
+        backward[:, t] = np.where(mask[:, t + 1, None], moved, backward[:, t + 1])
+    norm = np.logaddexp(forward[:, -1, 0], forward[:, -1, 1])
+    content = np.exp(forward[:, :, 1] + backward[:, :, 1] - norm[:, None]) * mask
+    expected = np.zeros((2, 2))
+    for a in (0, 1):
+        for b in (0, 1):
+            pair = forward[:, :-1, a] + pairs[a, b] + emit[:, 1:, b] + backward[:, 1:, b] - norm[:, None]
+            expected[a, b] = np.exp(np.where(both, pair, -np.inf)).sum()
+    return (((y * mask) - content)[:, :, None] * x).sum(axis=(0, 1)), expected
+
+
+def line_labels(sequences: list[np.ndarray], kinds: list[int]) -> list[np.ndarray]:
+    """A label for each line: its document's, unless the line clearly looks like those of the other kind.
+
+    The first field weighs both kinds of lines alike, whatever their numbers.
+    """
+    weights, _ = fitted(sequences, [np.full(len(s), k) for s, k in zip(sequences, kinds)], chained=False)
+    return [(s @ weights + TRUST * (2 * k - 1) > 0).astype(int) for s, k in zip(sequences, kinds)]
+
+
+def composed(sequences: list[np.ndarray], labels: list[np.ndarray], kinds: list[int], seed: int = 1) -> tuple[list, list]:
+    """The sequences, and as many again in which stretches of both kinds follow each other."""
+    draw = np.random.default_rng(seed)
+    sides = [[i for i, k in enumerate(kinds) if k == kind] for kind in (0, 1)]
+    more, told = [], []
+    for _ in range(len(sequences)):
+        parts, side = [], int(draw.integers(2))
+        for _ in range(int(draw.integers(2, 4))):
+            i = sides[side][draw.integers(len(sides[side]))]
+            low = int(draw.integers(len(sequences[i])))
+            parts.append((i, low, int(draw.integers(low + 1, len(sequences[i]) + 1))))
+            side = 1 - side
+        more.append(np.concatenate([sequences[i][low:high] for i, low, high in parts]))
+        told.append(np.concatenate([labels[i][low:high] for i, low, high in parts]))
+    return sequences + more, labels + told
+
+
+def learnt(sequences: list[np.ndarray], kinds: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The field, from pieces of documents and the labels of these."""
+    return fitted(*composed(sequences, line_labels(sequences, kinds), kinds))
+
+
+def pieces(rows: list[list[float]]) -> list[list[list[float]]]:
+    """Up to PIECES runs of up to PIECE_LINES lines, evenly spread."""
+    starts = range(0, len(rows), PIECE_LINES)
+    if len(starts) > PIECES:
+        starts = [int(i * (len(rows) - PIECE_LINES) / (PIECES - 1)) for i in range(PIECES)]
+    return [rows[i:i + PIECE_LINES] for i in starts]
+
+
 def decoded(rows: np.ndarray, weights: np.ndarray, pairs: np.ndarray) -> list[int]:
     """The best label sequence, 1 for content; ties go to content."""
     emit = (rows @ weights).tolist()
@@ -157,7 +223,7 @@ def decoded(rows: np.ndarray, weights: np.ndarray, pairs: np.ndarray) -> list[in
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
-    """The field, from a sample by hash of labelled documents; each line takes the label of its document.
+    """The field, from a sample by hash of labelled documents, texts of any length.
 
     Null labels and texts are left out; several labels of one document count as
     the best of them. None where one of the two labels is missing.
@@ -168,23 +234,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray] | N
         return None
     cut = int(min(1.0, SAMPLE_DOCUMENTS / total) * 2 ** 32)
     chosen = marked.filter(F.crc32(F.concat(F.lit("fit/"), F.col("doc_id").cast("string")).cast("binary")) < cut)
-    texts = keep_only(docs, "doc_id", "text").filter(
-        (F.length("text") <= SAMPLE_CHARACTERS) & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    texts = keep_only(docs, "doc_id", "text").filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            rows = [np.ravel(described(text.as_py())[0]).tolist() for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, pa.list_(pa.float64()))],
-                                             ["doc_id", "quality", "rows"])
+            found = [(i, q, np.ravel(piece).tolist()) for i, text, q in zip(*[batch.column(k).to_pylist() for k in range(3)])
+                     for piece in pieces(described(text)[0])]
+            columns = list(zip(*found)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
+                                              pa.array(columns[2], pa.list_(pa.float64()))], ["doc_id", "quality", "rows"])
 
-    # The sample is bounded by SAMPLE_DOCUMENTS, whatever the size of the tables.
+    # The sample is bounded by SAMPLE_DOCUMENTS, PIECES and PIECE_LINES, whatever the size of the tables.
     found = (texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("quality").cast("long"))
              .mapInArrow(run, "doc_id bigint, quality bigint, rows array<double>").orderBy("doc_id", "rows").collect())
     sequences = [np.reshape(r["rows"], (-1, FEATURES)) for r in found]
     kinds = [int(r["quality"] > 0) for r in found]
-    return fitted(sequences, kinds) if len(set(kinds)) == 2 else None
+    return learnt(sequences, kinds) if len(set(kinds)) == 2 else None
 
 
 def judge(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:

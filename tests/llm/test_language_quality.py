@@ -1,4 +1,5 @@
 import itertools
+import os
 import math
 import re
 import zlib
@@ -108,11 +109,59 @@ def test_field_learns():
         x = rng.uniform(0, 0.3, size=(int(rng.integers(1, 9)), line_quality.FEATURES))
         x[:, 0], x[:, 2] = 1, x[:, 2] + (0.6 if k % 2 else 0)
         rows.append(x)
-    weights, pairs = line_quality.fitted(rows, [1 - k % 2 for k in range(60)])
+    weights, pairs = line_quality.fitted(rows, [np.full(len(x), 1 - k % 2) for k, x in enumerate(rows)])
     assert all(set(line_quality.decoded(x, weights, pairs)) == {1 - k % 2} for k, x in enumerate(rows))
     assert pairs[0, 0] + pairs[1, 1] > pairs[0, 1] + pairs[1, 0]
 
 
+@pytest.fixture(scope="module")
+def labelled(spark):
+    """Texts with their labels: those the field is fitted on, and those held out."""
+    folder = "/root/testdata/sf0.01"
+    if not os.path.exists(f"{folder}/labels.parquet"):
+        pytest.skip("no test tables")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rows = docs.join(labels, "doc_id").filter("text is not null").select("doc_id", "text", "quality").collect()
+    held = [(r["text"], int(r["quality"] > 0)) for r in rows if r["doc_id"] % 3 == 0 and r["text"].strip()]
+    model = line_quality.fit(docs, labels.filter("doc_id % 3 <> 0"))
+    return model, held
+
+
+def share(text, model):
+    rows, chars, _ = line_quality.described(text)
+    return sum(c for c, label in zip(chars, line_quality.decoded(np.array(rows), *model)) if label) / sum(chars)
+
+
+def test_lines_of_composed_documents(labelled):
+    """Good text before, after and around a bad block, from held-out documents: lines of both kinds get their own label."""
+    model, held = labelled
+    draw, right = np.random.default_rng(1), []
+    sides = [[[x for x in t.split("\n") if x.strip(line_quality.BLANK)][:8] for t, q in held if q == k] for k in (0, 1)]
+    for _ in range(150):
+        good, bad, more = (sides[k][draw.integers(len(sides[k]))] for k in (1, 0, 1))
+        for parts in ((good, bad), (bad, good), (good, bad, more)):
+            truth = [int(p is not bad) for p in parts for _ in p]
+            rows = line_quality.described("\n".join(x for p in parts for x in p))[0]
+            right += [a == b for a, b in zip(line_quality.decoded(np.array(rows), *model), truth)]
+    assert np.mean(right) >= 0.9
+
+
+def test_whole_documents_and_mixtures(labelled):
+    """Held-out documents get their label, and a share strictly between 0 and 1 is no exception among mixtures."""
+    model, held = labelled
+    assert np.mean([(share(t, model) >= 0.5) == bool(q) for t, q in held]) >= 0.95
+    good = next(t for t, q in held if q and t.count("\n") > 8)
+    junk = "\n".join(f"BUY!!! NOW!!! ### $$$ {i} %%% ***" for i in range(30))
+    assert 0 < share(good + "\n" + junk, model) < 1 and 0 < share(junk + "\n" + good, model) < 1
+
+
+def test_pieces_cover_long_texts():
+    rows = [[float(i)] for i in range(5000)]
+    parts = line_quality.pieces(rows)
+    assert len(parts) == line_quality.PIECES and parts[0][0] == [0.0] and parts[-1][-1] == [4999.0]
+    assert line_quality.pieces(rows[:100]) == [rows[:64], rows[64:100]]
+
+
 def test_quality_odd(spark, odd):
     labels = spark.createDataFrame([(1, 1, 0), (1, None, 0), (None, 0, 0), (10, 0, 0), (4, 1, 1)],
                                    "doc_id long, quality int, toxic int")
