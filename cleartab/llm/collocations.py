@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from cleartab.llm.bitmap import Bitmap
 from cleartab.llm.common import keep_only, whole_text
+from cleartab.llm.hashes import ODD, powers
 from cleartab.session import Staging
 
 LONGEST, LEAST, TOP, SCALE = 5, 100, 2000, 1000
@@ -38,18 +39,7 @@ _BREAK = re.compile(rb"[.,;:!?\n\x0b\x0c\r]")
 _KIND = np.zeros(256, np.uint8)
 _KIND[list(b" \t")] = 1
 _KIND[list(_BREAKS)] = 2
-_ODD, _MORE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-_POWERS = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2^64."""
-    if len(_POWERS.get("up", ())) < n:
-        for name, base in (("up", _ODD), ("down", pow(_ODD, -1, 1 << 64))):
-            row = np.full(n, base, np.uint64)
-            row[0] = 1
-            _POWERS[name] = np.multiply.accumulate(row)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+_MORE = 0xD6E8FEB86659FD93
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -74,7 +64,7 @@ class Words:
         self.starts, self.ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.starts]
         if len(self.starts):
-            up, down = _powers(len(raw))
+            up, down = powers(len(raw))
             sums = np.add.reduceat(np.where(word, raw, 0).astype(np.uint64) * up, self.starts)
             length = (self.ends - self.starts).astype(np.uint64)
             self.hash = _mix(sums * down[self.starts] + length * np.uint64(_MORE))
@@ -85,7 +75,7 @@ class Words:
         for k in range(1, LONGEST):
             last = self.keys[-1]
             n = max(0, len(self.hash) - k)
-            self.keys.append(_mix(last[:n] * np.uint64(_ODD) + self.hash[k:]))
+            self.keys.append(_mix(last[:n] * np.uint64(ODD) + self.hash[k:]))
 
     def whole(self, at: np.ndarray, k: int) -> np.ndarray:
         """Of the given places, those where k words follow within the piece."""

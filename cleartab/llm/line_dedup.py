@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from cleartab.llm.bitmap import Bitmap
 from cleartab.llm.common import documents
 from cleartab.llm.graph import components
+from cleartab.llm.hashes import powers
 from cleartab.llm.trie import Sets, linked, mixed
 from cleartab.session import Staging
 
@@ -34,13 +35,13 @@ LEAST_FUZZY = 5
 """Shorter lines repeat exactly or not at all: one edit takes any of them below the threshold."""
 BANDS, ROWS = 10, 5
 PERCENT = 80
-BLOCK = 128
+BLOCK = 256
 """Lines of one band that a task compares with another such block at a time."""
 STAGED = ("lines", "shared", "members", "ties", "texts", "links", "banded", "bands", "more_links", "first")
 """Tables that are deleted when the places to remove are known."""
 FEW = 400
 """Up to so many pairs of lines are compared one by one, without a prefix tree."""
-CHUNK = 1_000_000
+CHUNK = 500_000
 """Characters whose shingles are held at once, at least one line."""
 
 
@@ -70,17 +71,22 @@ def widths(line: str, percent: int = PERCENT) -> list[int]:
 
 
 def shingles(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every character shingle and the number of its line; a line shorter than a shingle is one."""
+    """Hash of every character shingle and the number of its line; a line shorter than a shingle is one.
+
+    Running sums of code times power, taken back to the start of the shingle, hash all of them in one pass.
+    """
     lines = [x if len(x) >= width else x + "\0" * (width - len(x)) for x in lines]
-    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4")
     lengths = np.array([len(x) for x in lines])
-    line = np.repeat(np.arange(len(lines)), lengths)
-    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))
-    h = np.zeros(len(codes) - width + 1, dtype=np.uint64)
-    for k in range(width):
-        h = h * np.uint64(0x100000001B3) + codes[k:len(h) + k]
-    inside = left[:len(h)] >= width
-    return mixed(h[inside]), line[:len(h)][inside]
+    up, down = powers(len(codes))
+    sums = np.zeros(len(codes) + 1, dtype=np.uint64)
+    np.cumsum(codes * up, out=sums[1:])
+    h = (sums[width:] - sums[:len(sums) - width]) * down[:len(codes) - width + 1]
+    inside = np.ones(len(h), bool)
+    ends = np.cumsum(lengths)[:-1]
+    for k in range(1, width):  # shingles that reach into the next line
+        inside[ends[ends >= k] - k] = False
+    return mixed(h[inside]), np.repeat(np.arange(len(lines), dtype=np.int32), lengths - width + 1)
 
 
 def band_keys(lines: list[str], width: int) -> np.ndarray:
@@ -89,7 +95,7 @@ def band_keys(lines: list[str], width: int) -> np.ndarray:
     h, line = shingles(lines, width)
     empty = np.uint64(1 << 32)
     least = np.full(len(lines) * k, empty, dtype=np.uint64)
-    slot = line * k + (((h >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)).astype(np.int64)
+    slot = line.astype(np.int64) * k + (((h >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)).astype(np.int64)
     np.minimum.at(least, slot, h & np.uint64(0xFFFFFFFF))
     least = least.reshape(-1, k)
     place = np.where(least == empty, 4 * k, np.arange(k))
@@ -133,16 +139,16 @@ class ShingleSets:
     def load(self, lines: list[str]) -> None:
         """Make the sets of many lines in one go."""
         for width in (LONG, SHORT):
-            new = [x for x in dict.fromkeys(lines) if width in widths(x, self.percent) and (width, x) not in self.made]
-            if new:
-                h, line = shingles(new, width)
-                cuts = np.searchsorted(line, np.arange(len(new) + 1))
-                for x, low, high in zip(new, cuts[:-1], cuts[1:]):
+            new = [(x,) for x in dict.fromkeys(lines) if width in widths(x, self.percent) and (width, x) not in self.made]
+            for part in in_chunks(new) if new else ():
+                h, line = shingles([x for x, in part], width)
+                cuts = np.searchsorted(line, np.arange(len(part) + 1))
+                for (x,), low, high in zip(part, cuts[:-1], cuts[1:]):
                     self._keep(x, width, h[low:high])
 
     def _keep(self, line: str, width: int, found: np.ndarray):
         whole = np.unique(found)
-        self.made[width, line] = whole, (whole & np.uint64(self.FLAGS - 1)).astype(np.int64)
+        self.made[width, line] = whole, (whole & np.uint64(self.FLAGS - 1)).astype(np.int32)
         return self.made[width, line]
 
     def of(self, line: str, width: int):
@@ -242,7 +248,7 @@ def _checked(pairs: DataFrame, percent: int) -> DataFrame:
             pairs, good, start = list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())), [], 0
             while start < len(pairs):
                 held, end = 0, start
-                while end < len(pairs) and (end == start or held < 8 * CHUNK):
+                while end < len(pairs) and (end == start or held < 3 * CHUNK):
                     held += sum(map(len, pairs[end]))
                     end += 1
                 sets = ShingleSets(percent)
