@@ -142,16 +142,20 @@ def segment_keys(grams: np.ndarray, percent: int) -> list[int]:
     return np.concatenate(keys).tolist() if keys else []
 
 
-def candidate_clusters(rows: DataFrame, staging: Staging, name: str) -> DataFrame:
-    """(node, cluster) of the nodes that share a key with another; ``rows`` has (key, node).
+def candidate_clusters(signed: DataFrame, seen, percent: int, staging: Staging) -> DataFrame:
+    """(node, cluster) of the sets that may be linked with another of their cluster.
 
-    Each node is tied to the least one of each key: as many ties as rows, however large a key is.
+    Only keys that different sets have come to the second shuffle. There each set is tied to the least
+    one of each key: as many ties as rows, however many sets have a key.
     """
-    shared = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
-    ties = rows.join(shared.select("key", "least"), "key").filter("node <> least")
+    shared = staging.table(_segments(signed, seen, percent).groupBy("key").agg(
+        F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most"), "shared")
+    known = signed.sparkSession.sparkContext.broadcast(Bitmap.of(shared))
+    members = _segments(signed, seen, percent, known).distinct()
+    ties = members.join(shared.select("key", "least"), "key").filter("node <> least")
     edges = ties.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
-    found = components(edges, staging, name)
-    return found.select("node", F.col("component").alias("cluster"))
+    found = components(edges, staging, "candidates")
+    return staging.table(found.select("node", F.col("component").alias("cluster")), "clusters")
 
 
 def blocked(sets: DataFrame, clusters: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -188,69 +192,87 @@ def links(rows: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(run, "a bigint, b bigint"))
 
 
+def _lists(values: list[np.ndarray], kind):
+    import pyarrow as pa
+
+    offsets = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    flat = np.concatenate([np.empty(0, np.int32 if kind == pa.int32() else np.int64), *values])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
+
+
 def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
-    """Size, digest and prefix of every text; ``docs`` has (doc_id, text, content)."""
+    """Size, digest, prefix and segments of every text; ``docs`` has (doc_id, text, content).
+
+    Of the n-grams of a prefix the upper half will do, as they only tell what leaves.
+    """
     def run(batches):
         import pyarrow as pa
 
         shingles = shingler(n)
         for batch in batches:
-            sizes, nodes, checks, prefixes = [], [], [], []
+            sizes, nodes, checks, prefixes, segments = [], [], [], [], []
             for text in batch.column(1):
                 grams = shingles(text.as_py())
                 node, check = digest(grams)
                 sizes.append(len(grams))
                 nodes.append(node)
                 checks.append(check)
-                prefixes.append(prefix(grams, percent).view(np.int64))
-            offsets = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-            flat = np.concatenate([np.empty(0, np.int64), *prefixes])
+                prefixes.append((prefix(grams, percent) >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                segments.append(np.array(segment_keys(grams, percent), dtype=np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), *[pa.array(c, pa.int64()) for c in (sizes, nodes, checks)],
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                ["doc_id", "content", "n_shingles", "node", "check", "keys"])
+                 _lists(prefixes, pa.int32()), _lists(segments, pa.int64())],
+                ["doc_id", "content", "n_shingles", "node", "check", "prefix", "segments"])
 
     return docs.select("doc_id", "text", "content").mapInArrow(
-        run, "doc_id bigint, content bigint, n_shingles bigint, node bigint, check bigint, keys array<bigint>")
+        run, "doc_id bigint, content bigint, n_shingles bigint, node bigint, check bigint, prefix array<int>, segments array<bigint>")
 
 
-def _partnered(signed: DataFrame, seen, percent: int) -> DataFrame:
-    """(node, check, content) of the sets that may have partners; ``signed`` as from ``_signed``."""
+def _segments(signed: DataFrame, seen, percent: int, known=None) -> DataFrame:
+    """(key, node) of the segments of sets that may have partners, of the ``known`` ones where these are given."""
+    def parts(column):
+        flat, offsets = column.flatten().to_numpy(), column.offsets.to_numpy()
+        return flat, offsets - offsets[0]
+
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            lists = batch.column(4)
-            flat, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            kept = np.concatenate([[0], np.cumsum(seen.value.has(flat.view(np.uint64)))])
-            kept = kept[offsets[1:]] - kept[offsets[:-1]]
-            there = [may_be_linked(n, k, percent) for n, k in zip(batch.column(3).to_pylist(), kept.tolist())]
-            yield batch.select(["node", "check", "content"]).filter(pa.array(there, pa.bool_()))
-
-    return (signed.filter("n_shingles > 0").select("node", "check", "content", "n_shingles", "keys")
-            .mapInArrow(run, "node bigint, check bigint, content bigint"))
-
-
-def _grams(texts: DataFrame, percent: int, n: int) -> DataFrame:
-    """(node, grams, keys) of the sets of the texts; ``texts`` has (text, node, check)."""
+            flat, at = parts(batch.column(2))
+            there = seen.value.has(flat.view(np.uint32).astype(np.uint64) << np.uint64(32))
+            kept = np.concatenate([[0], np.cumsum(there)])
+            kept = kept[at[1:]] - kept[at[:-1]]
+            stays = np.array([may_be_linked(n, k, percent) for n, k in zip(batch.column(1).to_pylist(), kept.tolist())], dtype=bool)
+            keys, at = parts(batch.column(3))
+            stays = np.repeat(stays, np.diff(at))
+            if known is not None:
+                stays &= known.value.has(keys.view(np.uint64))
+            owner = np.repeat(batch.column(0).to_numpy(), np.diff(at))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[stays]), pa.array(owner[stays])], ["key", "node"])
+
+    return (signed.filter("n_shingles > 0").select("node", "n_shingles", "prefix", "segments")
+            .mapInArrow(run, "key bigint, node bigint"))
+
+
+def _grams(texts: DataFrame, n: int) -> DataFrame:
+    """(node, cluster, grams) of the sets of the texts; ``texts`` has (text, node, check, cluster)."""
     def run(batches):
         import pyarrow as pa
 
         shingles = shingler(n)
         for batch in batches:
-            keep, grams, keys = [], [], []
+            keep, grams = [], []
             for at, text in enumerate(batch.column(0)):
                 found = shingles(text.as_py())
                 # Another text with the same hash is not the one that was asked for.
                 if digest(found) == (batch.column(1)[at].as_py(), batch.column(2)[at].as_py()):
                     keep.append(at)
                     grams.append(found.astype("<u8").tobytes())
-                    keys.append(segment_keys(found, percent))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1).take(pa.array(keep, pa.int64())), pa.array(grams, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["node", "grams", "keys"])
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(at), batch.column(3).take(at), pa.array(grams, pa.binary())],
+                                             ["node", "cluster", "grams"])
 
-    return texts.select("text", "node", "check").mapInArrow(run, "node bigint, grams binary, keys array<bigint>")
+    return texts.select("text", "node", "check", "cluster").mapInArrow(run, "node bigint, cluster bigint, grams binary")
 
 
 def join(docs: DataFrame, staging: Staging, percent: int = PERCENT, n: int = WORDS) -> DataFrame:
@@ -263,22 +285,21 @@ def join(docs: DataFrame, staging: Staging, percent: int = PERCENT, n: int = WOR
     """
     docs = keep_only(docs, "doc_id", "text").withColumn("content", F.xxhash64("text"))
     signed = staging.table(_signed(docs, percent, n), "signed")
-    twice = (signed.select(F.explode("keys").alias("key"), "node").groupBy("key")
+    twice = (signed.select(F.explode("prefix").alias("gram"), "node").groupBy("gram")
              .agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most"))
-    seen = docs.sparkSession.sparkContext.broadcast(Bitmap.of(twice.select("key")))
-    # One row per different set; the digest's second half tells apart the few that share the first.
-    classes = staging.table(_partnered(signed, seen, percent).groupBy("node", "check").agg(F.min("content").alias("content")), "classes")
-    texts = docs.select("text", "content").join(classes, "content")
-    sets = staging.table(_grams(texts, percent, n).dropDuplicates(["node"]), "sets")
-    rows = sets.select(F.explode("keys").alias("key"), "node")
-    clusters = staging.table(candidate_clusters(rows, staging, "candidates"), "clusters")
-    sets = sets.select("node", "grams").join(clusters, "node")
+    seen = docs.sparkSession.sparkContext.broadcast(
+        Bitmap.of(twice.select(F.shiftleft(F.col("gram").cast("long"), 32).alias("key"))))
+    clusters = candidate_clusters(signed, seen, percent, staging)
+    # One text per different set; the digest's second half tells apart the few that share the first.
+    wanted = (signed.select("node", "check", "content").join(clusters, "node").groupBy("node", "check", "cluster")
+              .agg(F.min("content").alias("content")))
+    sets = _grams(docs.select("text", "content").join(wanted, "content"), n).dropDuplicates(["node"])
     found = staging.table(links(blocked(sets, clusters), percent), "links")
     joined = components(found, staging, "components")
     member = signed.select("doc_id", "n_shingles", "node").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     member = staging.table(member.drop("node"), "members")
-    for name in ("classes", "sets", "clusters", "links", "signed"):
+    for name in ("shared", "clusters", "links", "signed"):
         staging.drop(name)
     least = member.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     filled = member.filter("n_shingles > 0").join(least, "component").select("doc_id", "n_shingles", "component_id")
