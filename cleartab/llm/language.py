@@ -6,20 +6,23 @@ import math
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cleartab.llm.common import documents, keep_only, words
 from cleartab.session import Staging
 
-SAMPLE_DOCUMENTS = 20_000
-"""Expected bound of the labelled sample that the model is fitted on."""
-VOCABULARY = 60_000
-GRAMS = 40_000
+SAMPLE_DOCUMENTS = 5_000
+"""Expected bound, for each language, of the labelled sample that the model is fitted on."""
+VOCABULARY = 15_000
+GRAMS = 10_000
+"""Words, and n-grams of each length, that each language brings into the model: its commonest ones."""
 LONGEST = 4
 """Character n-grams go from this length down to single characters."""
 UNKNOWN = "und"
 LEAST_SCORE = 0.5
+LEAST_KNOWN = 0.2
+"""Share of a text's words that must be words of the model; the score alone tells languages apart, not language from noise."""
 
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double"
 
@@ -34,26 +37,31 @@ def _normal(text) -> Column:
 
 
 def _top(counts: DataFrame, name: str, most: int) -> list[tuple[str, dict[str, int]]]:
-    """The ``most`` commonest entries over all languages, with their count per language."""
-    rows = (counts.groupBy(name).agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"),
-                                     F.sum("n").alias("total"))
-            .orderBy(F.desc("total"), name).limit(most).collect())
+    """The ``most`` commonest entries of every language, ties by name, with their count in each language."""
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), name))
+    rows = (counts.withColumn("place", place).groupBy(name).agg(
+        F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.min("place").alias("place"))
+        .filter(F.col("place") <= most).orderBy(name).collect())
     return [(r[name], r["by"]) for r in rows]
 
 
 def fit(docs: DataFrame, staging: Staging) -> dict:
     """Log frequencies of words and character n-grams per language.
 
-    Only labelled rows whose checksum does not hold them out are used, of these
-    a sample by hash of about ``SAMPLE_DOCUMENTS``. Counting is done by Spark;
-    the driver gets at most ``VOCABULARY`` words and ``GRAMS`` n-grams per length.
+    Only labelled rows whose checksum does not hold them out are used, of each
+    language a sample by hash of about ``SAMPLE_DOCUMENTS``, so a rare one loses
+    nothing to a common one. Counting is done by Spark; the driver gets at most
+    ``VOCABULARY`` words and ``GRAMS`` n-grams per length for each language.
     """
     rows = keep_only(docs, "doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    total = rows.count()
-    if total > SAMPLE_DOCUMENTS:
-        cut = int(SAMPLE_DOCUMENTS / total * 2 ** 32)
-        rows = rows.filter(F.crc32(F.concat(F.lit("fit/"), F.col("doc_id").cast("string")).cast("binary")) < cut)
+    totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
+    draw = F.crc32(F.concat(F.lit("fit/"), F.col("doc_id").cast("string")).cast("binary"))
+    chosen = F.lit(True)
+    for lang, total in sorted(totals.items()):
+        if total > SAMPLE_DOCUMENTS:
+            chosen &= (F.col("lang") != lang) | (draw < int(SAMPLE_DOCUMENTS / total * 2 ** 32))
+    rows = rows.filter(chosen)
     counts = staging.table(rows.select("lang", F.explode(words(_normal(F.col("text")))).alias("word"))
                            .groupBy("lang", "word").agg(F.count("*").alias("n")), "word_counts")
     known, grams = _top(counts, "word", VOCABULARY), []
@@ -76,7 +84,7 @@ def fit(docs: DataFrame, staging: Staging) -> dict:
 
 
 def scorer(model: dict):
-    """A function from text to (language, score)."""
+    """A function from text to (language, score, share of known words)."""
     import regex
 
     languages, known, grams = model["languages"], model["words"], model["grams"]
@@ -103,16 +111,17 @@ def scorer(model: dict):
                 value = seen[word] = backed_off(word)
         return value
 
-    def score(text: str | None) -> tuple[str, float]:
+    def score(text: str | None) -> tuple[str, float, float]:
         counts = Counter(letters.sub(" ", text.lower()).split()) if text else Counter()
         if not any(c.isalpha() for word in counts for c in word) or not languages:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0.0
         table = np.array([of_word(word) for word in counts], dtype=np.float64)
         n = np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
         total = n @ table
         best = int(total.argmax())  # of equal ones the first by name
         spread = np.exp(np.maximum(total - total[best], -700.0))
-        return languages[best], float(1.0 / spread.sum())
+        share = float(n @ np.fromiter((word in known for word in counts), dtype=np.float64, count=len(counts)) / n.sum())
+        return languages[best], float(1.0 / spread.sum()), share
 
     return score
 
@@ -143,7 +152,8 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: dict, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows, all columns kept, whose language is recognised with at least this score; no shuffle."""
+    """The rows, all columns kept, whose language is recognised with at least this score, and of whose words at least
+    ``LEAST_KNOWN`` are known; no shuffle."""
     shared, names = docs.sparkSession.sparkContext.broadcast(model), docs.columns
 
     def run(batches):
@@ -153,7 +163,7 @@ def accepted(docs: DataFrame, model: dict, least: float = LEAST_SCORE) -> DataFr
         for batch in batches:
             texts = batch.column(names.index("text"))
             found = [score(text.as_py()) for text in texts]
-            yield batch.filter(pa.array([lang != UNKNOWN and s >= least for lang, s in found], pa.bool_()))
+            yield batch.filter(pa.array([lang != UNKNOWN and s >= least and k >= LEAST_KNOWN for lang, s, k in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

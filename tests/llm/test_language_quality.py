@@ -41,12 +41,55 @@ def test_backoff():
     assert score("car")[0] == "aa"                # by " ca", the longest known n-gram
     assert score("door")[0] == "bb"               # by " d" and "do"
     assert score("oxx")[0] == "bb"                # by "o"
-    label, value = score("cat dog")
+    label, value, known = score("cat dog")
+    assert known == 1.0 and score("cat door door car")[2] == 0.25
     assert label == "aa" and value == pytest.approx(0.5)  # a tie goes to the first name
     expected = 1 / (1 + math.exp(-8))
     assert score("cat")[1] == pytest.approx(expected)
     for text in (None, "", " 12 !! ", "3"):
-        assert score(text) == ("und", 0.0)
+        assert score(text) == ("und", 0.0, 0.0)
+
+
+def test_fit_is_a_recount(spark, make, monkeypatch):
+    """The model against counts in Python: words and n-grams of every language, the commonest of each, add-half logs."""
+    monkeypatch.setattr(language, "VOCABULARY", 4)
+    monkeypatch.setattr(language, "GRAMS", 7)
+    texts = [("aa", "Cat dog cat. bird-cat; dog fish"), ("aa", "cat 12 owl"), ("bb", "Hund Katze hund"), ("cc", "neko inu neko tori kame tori saru uma")]
+    rows = [(i, t, lang) for i, (lang, t) in enumerate(3 * texts) if zlib.crc32(str(i).encode()) % 4 != 2]
+    model = language.fit(make(*rows), Staging(spark))
+    languages = sorted({lang for _, _, lang in rows})
+    assert model["languages"] == languages
+    words = {lang: Counter() for lang in languages}
+    for _, text, lang in rows:
+        words[lang].update(re.sub(r"[^a-z]+", " ", text.lower()).split())
+
+    def expected(counts, most):
+        keep = {k for c in counts.values() for k, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:most]}
+        sums = {lang: sum(c[k] + 0.5 for k in keep) for lang, c in counts.items()}
+        return {k: [math.log((counts[lang][k] + 0.5) / sums[lang]) for lang in languages] for k in keep}
+
+    def same(got, want):
+        assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], atol=1e-5) for k in want)
+
+    same(model["words"], expected(words, 4))
+    for size in range(1, language.LONGEST + 1):
+        grams = {lang: Counter() for lang in languages}
+        for lang, c in words.items():
+            for word, n in c.items():
+                for i in range(len(word) + 3 - size):
+                    grams[lang][f" {word} "[i:i + size]] += n
+        same(model["grams"][size - 1], expected(grams, 7))
+
+
+def test_rare_language_and_noise(spark, make):
+    """A language of few documents keeps its words; of texts that no language of the model explains none stays."""
+    common = [(i, " ".join(f"word{chr(97 + k % 26)}{chr(97 + (i * k) % 26)}" for k in range(60)), "aa") for i in range(300)]
+    rare = [(1000 + i, "ni hao shijie zaijian pengyou", "zz") for i in range(8)]
+    docs = make(*common, *rare, (2000, "qqqxz vvvkj wwwpq zzzrt jjjhg", None), (2001, "12 34", None), (2002, None, None))
+    model = language.fit(docs, Staging(spark))
+    kept = {r["doc_id"]: r for r in language.accepted(docs, model).collect()}
+    assert set(kept) == {i for i, *_ in common + rare}
+    assert {r["lang_pred"] for r in language.predict(docs, model).filter("doc_id between 1000 and 1999").collect()} == {"zz"}
 
 
 def test_language_odd(spark, odd):
