@@ -138,5 +138,5 @@ def write_packed(docs: DataFrame, path: str) -> None:
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    """The packed matrix, positions as their checksum (they follow from cu_seqlens)."""
-    return pack(documents(spark, folder)).withColumn("positions_crc32", F.crc32("positions")).drop("positions")
+    """The packed matrix, whole: ids, cumulative lengths and positions, and a checksum of the positions."""
+    return pack(documents(spark, folder)).withColumn("positions_crc32", F.crc32("positions"))

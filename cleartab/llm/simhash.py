@@ -158,15 +158,21 @@ def compare(spark: SparkSession, docs: DataFrame, staging: Staging) -> DataFrame
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    """The comparison, and for every 50th id how many other documents lie within the radius."""
+    """The comparison, and the search: for every 50th id how many other documents lie within the radius, and which.
+
+    Documents of one fingerprint are a class, named by its least id; the found
+    ones are listed by their classes, so copies are not listed one by one.
+    """
     staging = Staging(spark)
     rows = staging.table(compare(spark, documents(spark, folder), staging), "compared")
-    held = rows.groupBy("fingerprint").agg(F.count("*").alias("n"))
+    held = staging.table(rows.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min("doc_id").alias("class_id")), "classes")
     asked = rows.filter(F.col("doc_id") % QUERY_EVERY == 0).select("fingerprint").distinct()
-    near = neighbours(asked, held.select("fingerprint")).join(held, "fingerprint")
-    near = near.groupBy("query_print").agg(F.sum("n").alias("n"))
-    found = rows.join(near, rows["fingerprint"] == near["query_print"], "left")
+    near = neighbours(asked, held.select("fingerprint")).join(held, "fingerprint").groupBy("query_print").agg(
+        F.sum("n").alias("within"), F.sort_array(F.collect_set("class_id")).alias("classes"))
+    told = held.join(near, held["fingerprint"] == near["query_print"], "left").select(
+        F.col("fingerprint").alias("print"), "class_id", "within", "classes")
+    found = rows.join(told, F.col("fingerprint") == F.col("print"))
     asks = F.col("doc_id") % QUERY_EVERY == 0
-    return found.select("doc_id", "n_chars", "edited_sha256", text_form(rows["fingerprint"]).alias("fingerprint"),
+    return found.select("doc_id", "n_chars", "edited_sha256", text_form(F.col("fingerprint")).alias("fingerprint"),
                         text_form(F.col("edited")).alias("edited_fingerprint"), "near_edited", "near_next",
-                        F.when(asks, F.col("n") - 1).alias("n_within"))
+                        F.when(asks, F.col("within") - 1).alias("n_within"), "class_id", F.when(asks, F.col("classes")).alias("near_classes"))

@@ -166,8 +166,10 @@ def test_simhash(spark, folder):
         assert r["near_edited"] == like(r["fingerprint"], r["edited_fingerprint"])
         assert r["near_next"] == like(r["fingerprint"], rows[following[d]]["fingerprint"])
         if d % simhash.QUERY_EVERY == 0:
-            near = sum(like(r["fingerprint"], x["fingerprint"]) >= 1 - 3 / 64 for x in rows.values())
-            assert r["n_within"] == near - 1
+            near = {i for i, x in rows.items() if like(r["fingerprint"], x["fingerprint"]) >= 1 - 3 / 64}
+            assert r["n_within"] == len(near) - 1
+            assert r["near_classes"] == sorted({rows[i]["class_id"] for i in near})
+        assert r["class_id"] == min(i for i, x in rows.items() if x["fingerprint"] == r["fingerprint"])
     mean = lambda c: sum(r[c] for r in rows.values()) / len(rows)
     assert mean("near_edited") > mean("near_next") + 0.08
     some = sorted(docs)[:40]
