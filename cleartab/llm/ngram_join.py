@@ -254,25 +254,26 @@ def _segments(signed: DataFrame, seen, percent: int, known=None) -> DataFrame:
             .mapInArrow(run, "key bigint, node bigint"))
 
 
-def _grams(texts: DataFrame, n: int) -> DataFrame:
-    """(node, cluster, grams) of the sets of the texts; ``texts`` has (text, node, check, cluster)."""
+def _grams(docs: DataFrame, n: int, wanted) -> DataFrame:
+    """(node, check, grams) of the texts whose content is in a bitmap, each set about once a task; texts are not
+    shuffled. ``docs`` has (text, content)."""
     def run(batches):
         import pyarrow as pa
 
-        shingles = shingler(n)
+        shingles, seen = shingler(n), set()
         for batch in batches:
-            keep, grams = [], []
-            for at, text in enumerate(batch.column(0)):
-                found = shingles(text.as_py())
-                # Another text with the same hash is not the one that was asked for.
-                if digest(found) == (batch.column(1)[at].as_py(), batch.column(2)[at].as_py()):
-                    keep.append(at)
-                    grams.append(found.astype("<u8").tobytes())
-            at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(1).take(at), batch.column(3).take(at), pa.array(grams, pa.binary())],
-                                             ["node", "cluster", "grams"])
+            rows = []
+            for at in np.flatnonzero(wanted.value.has(batch.column(1).to_numpy().view(np.uint64))).tolist():
+                found = shingles(batch.column(0)[at].as_py())
+                mark = digest(found)
+                if mark not in seen:
+                    seen.add(mark)
+                    rows.append((*mark, found.astype("<u8").tobytes()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 3, (pa.int64(), pa.int64(), pa.binary()))],
+                ["node", "check", "grams"])
 
-    return texts.select("text", "node", "check", "cluster").mapInArrow(run, "node bigint, cluster bigint, grams binary")
+    return docs.select("text", "content").mapInArrow(run, "node bigint, check bigint, grams binary")
 
 
 def join(docs: DataFrame, staging: Staging, percent: int = PERCENT, n: int = WORDS) -> DataFrame:
@@ -291,15 +292,17 @@ def join(docs: DataFrame, staging: Staging, percent: int = PERCENT, n: int = WOR
         Bitmap.of(twice.select(F.shiftleft(F.col("gram").cast("long"), 32).alias("key"))))
     clusters = candidate_clusters(signed, seen, percent, staging)
     # One text per different set; the digest's second half tells apart the few that share the first.
-    wanted = (signed.select("node", "check", "content").join(clusters, "node").groupBy("node", "check", "cluster")
-              .agg(F.min("content").alias("content")))
-    sets = _grams(docs.select("text", "content").join(wanted, "content"), n).dropDuplicates(["node"])
+    wanted = staging.table(signed.select("node", "check", "content").join(clusters, "node").groupBy("node", "check", "cluster")
+                           .agg(F.min("content").alias("content")), "wanted")
+    contents = docs.sparkSession.sparkContext.broadcast(Bitmap.of(wanted.select(F.col("content").alias("key"))))
+    sets = (_grams(docs, n, contents).join(wanted.select("node", "check", "cluster"), ["node", "check"])
+            .dropDuplicates(["node"]).select("node", "cluster", "grams"))
     found = staging.table(links(blocked(sets, clusters), percent), "links")
     joined = components(found, staging, "components")
     member = signed.select("doc_id", "n_shingles", "node").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     member = staging.table(member.drop("node"), "members")
-    for name in ("shared", "clusters", "links", "signed"):
+    for name in ("shared", "clusters", "wanted", "links", "signed"):
         staging.drop(name)
     least = member.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     filled = member.filter("n_shingles > 0").join(least, "component").select("doc_id", "n_shingles", "component_id")
