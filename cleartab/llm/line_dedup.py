@@ -373,13 +373,15 @@ def dedup(docs: DataFrame, staging: Staging, percent: int = PERCENT) -> DataFram
     A null text stays null and has no lines. Where the table has ``n_chars`` it
     follows the new text. Blank lines stay. Ties go to the lowest
     (doc_id, place), then to a hash of the line. Rows repeated under one id keep and
-    lose the same lines. A null id is an id. An empty table gives no rows.
+    lose the same lines. A null id is an id. Columns named like the added ones are
+    replaced. An empty table gives no rows.
     """
+    docs = docs.drop("n_lines", "n_dropped", "__gone_id", "__gone")
     gone = staging.table(repeats(docs, staging, percent).select(
-        F.col("doc_id").alias("_id"), F.col("places").alias("_places")), "gone")
+        F.col("doc_id").alias("__gone_id"), F.col("places").alias("__gone")), "gone")
     for name in STAGED:
         staging.drop(name)
-    rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left").drop("_id")
+    rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone_id"]), "left").drop("__gone_id")
     names = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()),
                            T.StructField("n_dropped", T.LongType())])

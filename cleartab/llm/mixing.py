@@ -73,14 +73,16 @@ def _marks() -> list[Column]:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, staging: Staging) -> DataFrame:
-    """The documents themselves, each as often as the mix takes it. Equal rows share out their copies."""
+    """The documents themselves, each as often as the mix takes it. Equal rows share out their copies. Columns may
+    have any names."""
     taken = sample(spark, docs, staging).groupBy("_a", "_b").agg(F.sum("copies").alias("_n"), F.count("*").alias("_k"))
-    marked = docs.select("*", *_marks())
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.select(F.struct(*names).alias("_row"), *_marks())
     turn = F.row_number().over(Window.partitionBy("_a", "_b").orderBy("_a"))
     rows = marked.join(taken.filter("_n > 0"), ["_a", "_b"]).withColumn("_turn", turn)
     rows = rows.withColumn("_copies", F.expr("_n div _k + int(_turn <= _n % _k)").cast("int"))
     repeat = F.explode(F.array_repeat(F.lit(0), F.col("_copies")))
-    return rows.withColumn("_copy", repeat).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.withColumn("_copy", repeat).select("_row.*")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -317,10 +317,9 @@ def representatives(docs: DataFrame, staging: Staging, percent: int = PERCENT, n
     """
     kept = join(docs, staging, percent, n).filter(F.col("doc_id") == F.col("component_id"))
     kept = kept.select(F.col("doc_id").alias("_kept")).distinct()
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    once = docs.filter("doc_id is not null").join(kept, F.col("doc_id") == F.col("_kept")).select(*names)
-    text = F.xxhash64("text")
-    once = once.withColumn("_text", text).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    once = (docs.filter("doc_id is not null").select(row, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text"))
+            .join(kept, F.col("_id") == F.col("_kept")).dropDuplicates(["_id", "_text"]).select("_row.*"))
     return once.unionByName(docs.filter("doc_id is null"))
 
 

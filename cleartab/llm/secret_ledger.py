@@ -138,12 +138,13 @@ def findings(versions: DataFrame, ledger: DataFrame, rules: list[Rule] = RULES)
     """Every path with the findings of its blob, by start, then rule order.
 
     A path without findings has an empty list. Repeated paths each keep their
-    row; further columns of the input stay; an empty table gives no rows.
+    row; further columns of the input stay, but for ``blob`` and ``findings``, which
+    are replaced; an empty table gives no rows.
     """
     lists = spans(ledger, rules).groupBy("blob").agg(F.sort_array(F.collect_list(
         F.struct("start", "order", "end", "kind"))).alias("findings"))
     none = F.array().cast("array<struct<start:bigint,order:int,end:bigint,kind:string>>")
-    return (blobs(versions).drop("text").join(lists, "blob", "left")
+    return (blobs(versions.drop("findings")).drop("text").join(lists, "blob", "left")
             .withColumn("findings", F.coalesce("findings", none)))
 
 

@@ -6,7 +6,9 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from cleartab.llm import graph, line_dedup, ngram_join, simhash, trie
+from pyspark.sql import functions as F
+
+from cleartab.llm import graph, line_dedup, mixing, ngram_join, secret_ledger, simhash, trie
 from cleartab.session import Staging
 
 
@@ -314,6 +316,31 @@ def test_lines_without_ids(spark, make):
     assert sum(r["n_dropped"] for r in mixed) == 2
 
 
+def test_clashing_names(spark, odd, staging):
+    """Columns that have the names the operators use inside."""
+    clash = odd
+    for name in ("n_lines", "n_dropped", "_places", "_id", "_kept", "_text", "_row", "_a", "_b", "_n", "_k", "_turn", "_copies",
+                 "_copy", "findings", "blob", "keys", "node", "_part", "_rank", "content", "grams"):
+        clash = clash.withColumn(name, F.lit(name))
+    clash = staging.table(clash, "clash")
+    rows = line_dedup.dedup(clash, Staging(spark))
+    assert rows.count() == odd.count() and rows.filter("_places = '_places' and n_dropped >= 0").count() == odd.count()
+    kept = ngram_join.representatives(clash, Staging(spark))
+    assert kept.columns == clash.columns and 0 < kept.count() < odd.count()
+    mix = mixing.mixed(spark, clash, Staging(spark))
+    assert mix.columns == clash.columns and mix.filter("_a <> '_a' or _row <> '_row'").count() == 0 < mix.count()
+    ledger = secret_ledger.update(spark, clash, f"{staging.root}/ledger")
+    assert secret_ledger.findings(clash, ledger).filter("size(findings) >= 0 and length(blob) = 64").count() == odd.count()
+
+
+def test_very_long_line(spark, make):
+    """A line longer than any chunk, a near copy of it, and the same as part of another text."""
+    line = " ".join(f"w{i * 7919 % 100003}" for i in range(150_000))
+    docs = {1: line, 2: line[:-3] + "xyz", 3: "other\n" + line.upper(), 4: "something else altogether here"}
+    rows = {r["doc_id"]: r for r in line_dedup.dedup(make(*docs.items()), Staging(spark)).collect()}
+    assert [rows[i]["n_dropped"] for i in (1, 2, 3, 4)] == [0, 1, 1, 0] and rows[3]["text"] == "other"
+
+
 def test_lines_odd(spark, odd, make, staging):
     rows = line_dedup.dedup(odd, staging)
     assert rows.columns == [*odd.columns, "n_lines", "n_dropped"] and rows.count() == odd.count()
