@@ -9,6 +9,7 @@ next is a running value over one summary row per stretch.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,7 +30,8 @@ def boundaries(df: DataFrame, order: str, rows: int = STRETCH_ROWS) -> Column:
     value moves no boundary, as ranks count and not distances."""
     value = F.col(order).cast("double")
     n = F.least(F.ceil(F.count(order) / F.lit(rows)), F.lit(QUANTILES)).cast("int")
-    sketch = F.approx_percentile(value, [i / QUANTILES for i in range(1, QUANTILES)], 8 * QUANTILES)
+    shares = F.from_json(F.lit(json.dumps([i / QUANTILES for i in range(1, QUANTILES)])), "array<double>")  # one literal
+    sketch = F.approx_percentile(value, shares, 8 * QUANTILES)
     cuts = F.transform(F.sequence(F.lit(1), F.col("n") - 1), lambda i: F.col("q")[(i * QUANTILES / F.col("n")).cast("int") - 1])
     return (df.agg(n.alias("n"), sketch.alias("q"))
             .select(F.when(F.col("n") > 1, F.array_distinct(cuts)).otherwise(F.array().cast("array<double>"))).scalar())
