@@ -41,8 +41,10 @@ STAGED = ("lines", "shared", "members", "ties", "texts", "links", "banded", "ban
 """Tables that are deleted when the places to remove are known."""
 FEW = 400
 """Up to so many pairs of lines are compared one by one, without a prefix tree."""
-CHUNK = 500_000
-"""Characters whose shingles are held at once, at least one line."""
+CHUNK = 60_000
+"""Characters hashed at once, at least one line: what stays in a core's cache."""
+HELD = 1_500_000
+"""Characters of lines whose shingle sets are kept for comparing."""
 
 
 def normal(line: str) -> str:
@@ -248,7 +250,7 @@ def _checked(pairs: DataFrame, percent: int) -> DataFrame:
             pairs, good, start = list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())), [], 0
             while start < len(pairs):
                 held, end = 0, start
-                while end < len(pairs) and (end == start or held < 3 * CHUNK):
+                while end < len(pairs) and (end == start or held < HELD):
                     held += sum(map(len, pairs[end]))
                     end += 1
                 sets = ShingleSets(percent)
