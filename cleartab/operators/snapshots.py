@@ -13,6 +13,7 @@ grows with their number and not with the rows.
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cleartab import LINEAGE
+from cleartab.session import local_path
 from cleartab.sources import listing
 
 LOG = "_log"
@@ -51,24 +53,49 @@ def state(spark: SparkSession, path: str, version: int | None = None) -> tuple[i
 
 def commit(spark: SparkSession, path: str, version: int, content: dict) -> int:
     """Put the entry of a version; raises Conflict if there is one. The entry is written whole beside its
-    place and then renamed, which fails where the name is taken."""
+    place and then moved there, which fails where the name is taken."""
+    text, place = json.dumps(content).encode(), _entry(path, version)
+    try:
+        if (local := local_path(place)) is not None:
+            _link(local, text)
+        else:
+            _rename(spark, place, text)
+    except FileExistsError as error:
+        raise Conflict(f"version {version} of {path} is taken") from error
+    return version
+
+
+def _link(place: str, text: bytes) -> None:
+    """On a mounted folder: a second name for the draft, which the file system gives once only."""
+    folder = os.path.dirname(place)
+    os.makedirs(folder, exist_ok=True)
+    draft = f"{folder}/.{uuid.uuid4().hex}"
+    try:
+        with open(draft, "xb") as out:
+            out.write(text)
+        os.link(draft, place)
+    finally:
+        os.unlink(draft)
+
+
+def _rename(spark: SparkSession, place: str, text: bytes) -> None:
+    """Elsewhere: the file system's rename without overwriting."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    place = jvm.org.apache.hadoop.fs.Path(_entry(path, version))
-    draft = jvm.org.apache.hadoop.fs.Path(f"{path}/{LOG}/.{uuid.uuid4().hex}")
-    fs = place.getFileSystem(conf)
+    target = jvm.org.apache.hadoop.fs.Path(place)
+    draft = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    fs = target.getFileSystem(conf)
     out = fs.create(draft, False)
-    out.write(bytearray(json.dumps(content).encode()))
+    out.write(bytearray(text))
     out.close()
     none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     none[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
     try:
-        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(draft), fs.makeQualified(place), none)
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(draft), fs.makeQualified(target), none)
     except Exception as error:
         fs.delete(draft, False)
-        if fs.exists(place):
-            raise Conflict(f"version {version} of {path} is taken") from error
+        if fs.exists(target):
+            raise FileExistsError(place) from error
         raise
-    return version
 
 
 def change(spark: SparkSession, path: str, edit: Callable[[dict], dict | None], tries: int = 20) -> int:

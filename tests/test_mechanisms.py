@@ -83,6 +83,9 @@ def test_snapshot_writers(spark, tmp_path):
     def add(i):
         snapshots.change(spark, path, lambda s: s | {"seen": sorted([*s.get("seen", []), i])})
 
+    snapshots._rename(spark, f"{path}/other.json", b"{}")
+    with pytest.raises(FileExistsError):
+        snapshots._rename(spark, f"{path}/other.json", b"{}")
     for work in ([threading.Thread(target=write) for _ in range(4)], [threading.Thread(target=add, args=(i,)) for i in range(4)]):
         for t in work:
             t.start()
