@@ -158,11 +158,10 @@ def candidate_clusters(signed: DataFrame, seen, percent: int, staging: Staging)
     return staging.table(found.select("node", F.col("component").alias("cluster")), "clusters")
 
 
-def blocked(sets: DataFrame, clusters: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Every set once per pair of blocks that its block is in. ``sets`` has (node, cluster, grams)."""
-    many = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+def blocked(sets: DataFrame) -> DataFrame:
+    """Every set once per pair of blocks that its block is in. ``sets`` has (node, cluster, blocks, grams)."""
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = sets.join(many, "cluster").withColumn("own", own)
+    rows = sets.withColumn("own", own)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                        "own", "node", "grams")
@@ -200,10 +199,11 @@ def _lists(values: list[np.ndarray], kind):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
-def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
+def _signed(docs: DataFrame, percent: int, n: int, pruned: bool) -> DataFrame:
     """Size, digest, prefix and segments of every text; ``docs`` has (doc_id, text, content).
 
-    Of the n-grams of a prefix the upper half will do, as they only tell what leaves.
+    Of the n-grams of a prefix the upper half will do, as they only tell what leaves;
+    without ``pruned`` prefixes stay empty.
     """
     def run(batches):
         import pyarrow as pa
@@ -217,7 +217,7 @@ def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
                 sizes.append(len(grams))
                 nodes.append(node)
                 checks.append(check)
-                prefixes.append((prefix(grams, percent) >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                prefixes.append(((prefix(grams, percent) if pruned else grams[:0]) >> np.uint64(32)).astype(np.uint32).view(np.int32))
                 segments.append(np.array(segment_keys(grams, percent), dtype=np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), *[pa.array(c, pa.int64()) for c in (sizes, nodes, checks)],
@@ -229,7 +229,8 @@ def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
 
 
 def _segments(signed: DataFrame, seen, percent: int, known=None) -> DataFrame:
-    """(key, node) of the segments of sets that may have partners, of the ``known`` ones where these are given."""
+    """(key, node) of the segments of sets that may have partners by the prefix n-grams ``seen`` twice (all sets
+    where these are not given), of the ``known`` segments where these are."""
     def parts(column):
         flat, offsets = column.flatten().to_numpy(), column.offsets.to_numpy()
         return flat, offsets - offsets[0]
@@ -239,10 +240,12 @@ def _segments(signed: DataFrame, seen, percent: int, known=None) -> DataFrame:
 
         for batch in batches:
             flat, at = parts(batch.column(2))
-            there = seen.value.has(flat.view(np.uint32).astype(np.uint64) << np.uint64(32))
-            kept = np.concatenate([[0], np.cumsum(there)])
-            kept = kept[at[1:]] - kept[at[:-1]]
-            stays = np.array([may_be_linked(n, k, percent) for n, k in zip(batch.column(1).to_pylist(), kept.tolist())], dtype=bool)
+            stays = np.ones(len(batch), bool)
+            if seen is not None:
+                there = seen.value.has(flat.view(np.uint32).astype(np.uint64) << np.uint64(32))
+                kept = np.concatenate([[0], np.cumsum(there)])
+                kept = kept[at[1:]] - kept[at[:-1]]
+                stays = np.array([may_be_linked(n, k, percent) for n, k in zip(batch.column(1).to_pylist(), kept.tolist())], dtype=bool)
             keys, at = parts(batch.column(3))
             stays = np.repeat(stays, np.diff(at))
             if known is not None:
@@ -276,28 +279,35 @@ def _grams(docs: DataFrame, n: int, wanted) -> DataFrame:
     return docs.select("text", "content").mapInArrow(run, "node bigint, check bigint, grams binary")
 
 
-def join(docs: DataFrame, staging: Staging, percent: int = PERCENT, n: int = WORDS) -> DataFrame:
+def join(docs: DataFrame, staging: Staging, percent: int = PERCENT, n: int = WORDS, pruned: bool = True) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: the least id reachable by links.
 
     A null text is empty; empty sets are linked with nothing, their component is
     their own id. Repeated rows are linked by their equal texts. A null id never
     names a component unless all its members have none, but links through rows
     without an id count. An empty table gives no rows; other columns are not read.
+
+    ``pruned`` lets sets without partners leave by their prefixes before segments
+    are paired. The result is the same; it pays where most n-grams occur once, as
+    those of five words do, and not with shorter ones, of which a growing corpus
+    repeats more and more.
     """
     docs = keep_only(docs, "doc_id", "text").withColumn("content", F.xxhash64("text"))
-    signed = staging.table(_signed(docs, percent, n), "signed")
+    signed, seen = staging.table(_signed(docs, percent, n, pruned), "signed"), None
+    share = docs.sparkSession.sparkContext.broadcast
     twice = (signed.select(F.explode("prefix").alias("gram"), "node").groupBy("gram")
              .agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most"))
-    seen = docs.sparkSession.sparkContext.broadcast(
-        Bitmap.of(twice.select(F.shiftleft(F.col("gram").cast("long"), 32).alias("key"))))
+    if pruned:
+        seen = share(Bitmap.of(twice.select(F.shiftleft(F.col("gram").cast("long"), 32).alias("key"))))
     clusters = candidate_clusters(signed, seen, percent, staging)
     # One text per different set; the digest's second half tells apart the few that share the first.
     wanted = staging.table(signed.select("node", "check", "content").join(clusters, "node").groupBy("node", "check", "cluster")
                            .agg(F.min("content").alias("content")), "wanted")
-    contents = docs.sparkSession.sparkContext.broadcast(Bitmap.of(wanted.select(F.col("content").alias("key"))))
-    sets = (_grams(docs, n, contents).join(wanted.select("node", "check", "cluster"), ["node", "check"])
-            .dropDuplicates(["node"]).select("node", "cluster", "grams"))
-    found = staging.table(links(blocked(sets, clusters), percent), "links")
+    contents = share(Bitmap.of(wanted.select(F.col("content").alias("key"))))
+    many = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = wanted.select("node", "check", "cluster").join(many, "cluster")
+    sets = _grams(docs, n, contents).join(placed, ["node", "check"]).dropDuplicates(["node", "check"])
+    found = staging.table(links(blocked(sets), percent), "links")
     joined = components(found, staging, "components")
     member = signed.select("doc_id", "n_shingles", "node").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
@@ -324,4 +334,4 @@ def representatives(docs: DataFrame, staging: Staging, percent: int = PERCENT, n
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    return join(documents(spark, folder), Staging(spark))
+    return join(documents(spark, folder), Staging(spark), pruned=False)

@@ -67,10 +67,10 @@ def edited(rng, words, n):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("block", [3, 128])
-def test_join_around_the_threshold(spark, make, monkeypatch, block):
+@pytest.mark.parametrize("block,pruned", [(3, True), (128, False)])
+def test_join_around_the_threshold(spark, make, monkeypatch, block, pruned):
     """Texts of all sizes with few edits, many of them near 90 %; hot groups cut into blocks."""
-    monkeypatch.setattr(ngram_join.blocked, "__defaults__", (block,))
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
     rng, docs = random.Random(9), {}
     for size in (1, 2, 3, 5, 9, 12, 14, 20, 31, 32, 60, 100, 150, 333, 800):
         base = [f"w{rng.randrange(5000)}" for _ in range(size)]
@@ -79,7 +79,7 @@ def test_join_around_the_threshold(spark, make, monkeypatch, block):
         docs[len(docs)] = " ".join(base + base[:2]).upper()
     docs |= {900: None, 901: "", 902: " \n", 903: docs[3]}
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"])
-           for r in ngram_join.join(make(*docs.items()), Staging(spark)).collect()}
+           for r in ngram_join.join(make(*docs.items()), Staging(spark), pruned=pruned).collect()}
     assert got == brute_join(docs)
 
 
