@@ -11,6 +11,7 @@ from cleartab.codebooks import survey
 from cleartab.operators import dictionary, ingest, publish, versions
 from cleartab.plans import catalog, courts, incremental, mortality, notifications, selection
 from cleartab.plans import survey_dictionary, survey_fixed
+from cleartab.queries import dbf_files
 from cleartab.queries.dbf_files import dbf_bytes
 from cleartab.session import Staging
 from cleartab.sources import listing, text
@@ -25,6 +26,27 @@ def write(path, data: bytes):
     return str(path), len(data)
 
 
+def test_dbf_files_of_many_tasks(spark, tmp_path, monkeypatch):
+    """Records of one file come from all tasks, without a shuffle; a shorter file replaces a longer one."""
+    monkeypatch.setattr(dbf_files, "HELD", 200, raising=False)
+    fields, folder = [("ID", "N", 6), ("KIND", "C", 3)], str(tmp_path / "forms")
+    rows = spark.range(0, 30_000, 1, 4).selectExpr("CAST(id AS STRING) AS ID", "IF(id % 7 = 0, NULL, 'k') AS KIND")
+    name = F.when(F.col("ID").cast("int") % 1000 == 3, "B.dbf").when(F.col("ID") != "5", "A.dbf")
+    for part, group in ((rows, "dbf-1"), (rows.filter("ID < '2'"), "dbf-2")):
+        spark.sparkContext.setJobGroup(group, "dbf")
+        files = dbf_files.write_dbf(part, folder, fields, name)
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getJobInfo(j).stageIds for j in sorted(tracker.getJobIdsForGroup(group))]
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(stages[0]) == 1 and tracker.getStageInfo(stages[0][0]).numTasks == 4
+        assert sorted(os.listdir(folder)) == ["A.dbf", "B.dbf"]
+        assert all(os.path.getsize(path) == size for path, _, size in files)
+        read = read_dbf(spark, [(path, size) for path, _, size in files], split=5_000)
+        want = part.select("ID", "KIND", name.alias(LINEAGE)).filter(F.col(LINEAGE).isNotNull())
+        assert read.exceptAll(want).isEmpty() and want.exceptAll(read).isEmpty()
+    assert dbf_files.write_dbf(rows.limit(0), folder, fields, name) == []
+
+
 def test_dbf_values_and_splits(spark, tmp_path):
     fields = [("C", "C", 6), ("N", "N", 6), ("F", "F", 6), ("D", "D", 8), ("L", "L", 1)]
     rows = [[" ã ", "7", "2.50", "20200228", "T"], ["", "12.0", "x", "00000000", "n"], ["nan", "12.5", "", "20201301", "Y"],
