@@ -77,20 +77,21 @@ def entity_bitmaps(df: DataFrame, by: str, entity: str) -> DataFrame:
     The entity is a number or a text. The last six digits of a text of digits are
     a place in a bitmap, what stands before them (and their number) its prefix;
     any other text is a prefix of its own. Nothing is hashed, so counts are exact.
-    Null entities are left out. A bucket holds 32,768 neighbouring numbers in 4 kB.
+    Null entities are left out. A bucket holds 64 neighbouring numbers in one long,
+    so an entity without neighbours takes no more than its own row.
     """
     text = F.col(entity).cast("string")
     digits = text.rlike(r"\A[0-9]+\z")
     head = F.when(digits, F.concat(F.length(text).cast("string"), F.lit(":"), F.substring(text, F.lit(1), F.length(text) - 6)))
     tail = F.when(digits, F.right(text, F.lit(6)).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-    rows = df.filter(F.col(entity).isNotNull()).select(
-        by, F.coalesce(head, F.concat(F.lit("t"), text)).alias("prefix"), F.bitmap_bucket_number(tail).alias("bucket"),
-        F.bitmap_bit_position(tail).alias("bit"))
-    return rows.groupBy(by, "prefix", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    rows = df.filter(F.col(entity).isNotNull()).select(by, F.coalesce(head, F.concat(F.lit("t"), text)).alias("prefix"), tail.alias("tail"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("tail") % 64).cast("int"))
+    return (rows.select(by, "prefix", F.shiftright("tail", 6).alias("bucket"), bit.alias("bit"))
+            .groupBy(by, "prefix", "bucket").agg(F.bit_or("bit").alias("bits")))
 
 
 def entities_in(bitmaps: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Distinct entities of the given groups, or of all: bitmaps of one bucket are
     united, then their bits are counted."""
-    united = bitmaps.groupBy(*by, "prefix", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-    return united.groupBy(*by).agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("n_entities"))
+    united = bitmaps.groupBy(*by, "prefix", "bucket").agg(F.bit_or("bits").alias("bits"))
+    return united.groupBy(*by).agg(F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).alias("n_entities"))

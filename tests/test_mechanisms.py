@@ -213,6 +213,17 @@ def test_bitmaps(spark):
     assert relational.entities_in(maps.limit(0)).first()[0] == 0
 
 
+def test_bitmaps_without_neighbours(spark):
+    """An entity alone in its bucket takes one long; neighbours share one, up to both ends of it."""
+    lone = spark.range(2_000).selectExpr("'a' AS g", "IF(id % 2 = 0, 'case ' || id, id || '00012345678901') AS e")
+    dense = spark.range(640).selectExpr("'b' AS g", "CAST(id + 1000000 AS STRING) AS e")
+    maps = relational.entity_bitmaps(lone.unionAll(dense).unionAll(dense), "g", "e")
+    sizes = maps.selectExpr("g", "length(CAST(bits AS STRING)) AS n").groupBy("g").agg(F.count("*").alias("rows"), F.max("n").alias("most"))
+    assert {r.g: (r["rows"], r["most"] <= 20) for r in sizes.collect()} == {"a": (2_000, True), "b": (10, True)}
+    assert {r.g: r.n_entities for r in relational.entities_in(maps, ["g"]).collect()} == {"a": 2_000, "b": 640}
+    assert relational.entities_in(maps).first()[0] == 2_640
+
+
 def test_found_fields(spark, tmp_path):
     """Fields of all lines, odd names and mixed types included; a line that is no object adds none."""
     lines = [{"a": 1, "b": "x", "c": {"d": 1}, "e f": True, "g`h": 1.5, "n": None, "OBJECT<": 1}, {"a": 2, "b": 3, "c": [1], "g`h": 2},
