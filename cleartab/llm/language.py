@@ -23,6 +23,8 @@ UNKNOWN = "und"
 LEAST_SCORE = 0.5
 LEAST_KNOWN = 0.2
 """Share of a text's words that must be words of the model; the score alone tells languages apart, not language from noise."""
+REMEMBERED = 200_000
+"""Words outside the model whose rows a task keeps."""
 
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double"
 
@@ -84,44 +86,109 @@ def fit(docs: DataFrame, staging: Staging) -> dict:
 
 
 def scorer(model: dict):
-    """A function from text to (language, score, share of known words)."""
+    """A function from text to (language, score, share of known words).
+
+    Words are numbers of rows of one table; those of the model come first. Words that
+    it lacks, and the words of every token between blanks, are remembered up to ``REMEMBERED``.
+    """
     import regex
 
-    languages, known, grams = model["languages"], model["words"], model["grams"]
-    letters, seen = regex.compile(r"[^\p{L}\p{M}]+"), {}
-    nothing = np.zeros(len(languages), dtype=np.float32)
-
-    def backed_off(word: str) -> np.ndarray:
-        """Mean over the word's n-grams of the longest length of which any is known."""
-        padded = f" {word} "
-        for size in range(min(len(grams), len(padded)), 0, -1):
-            found = [v for i in range(len(padded) - size + 1)
-                     if (v := grams[size - 1].get(padded[i:i + size])) is not None]
-            if found:
-                return np.mean(found, axis=0)
-        return nothing
-
-    def of_word(word: str) -> np.ndarray:
-        value = known.get(word)
-        if value is None:
-            value = seen.get(word)
-            if value is None:
-                if len(seen) >= 200_000:
-                    seen.clear()
-                value = seen[word] = backed_off(word)
-        return value
+    languages, known = model["languages"], list(model["words"])
+    letters, width = regex.compile(r"[^\p{L}\p{M}]+"), len(languages)
+
+    def rows(parts: dict) -> np.ndarray:
+        return np.array(list(parts.values()), dtype=np.float32).reshape(-1, width)
+
+    grams, values = [], [np.zeros((1, width), dtype=np.float32)]  # row 0 adds nothing
+    for each in model["grams"]:
+        start = sum(map(len, values))
+        grams.append({gram: start + i for i, gram in enumerate(each)})
+        values.append(rows(each))
+    values = np.concatenate(values)
+    table = rows(model["words"])
+    numbers, tokens = {}, {}
+    has_letter = [any(map(str.isalpha, word)) for word in known]
+
+    def backed_off(words: list[str]) -> np.ndarray:
+        """Of each word the mean over its n-grams of the longest length of which any is known."""
+        found = []
+        for word in words:
+            padded = f" {word} "
+            for size in range(min(len(grams), len(padded)), 0, -1):
+                get = grams[size - 1].get
+                if some := [v for i in range(len(padded) - size + 1) if (v := get(padded[i:i + size]))]:
+                    break
+            else:
+                some = []
+            found.append(some)
+        out = np.empty((len(words), width), dtype=np.float32)
+        lengths = np.array([len(some) for some in found])
+        order = np.argsort(lengths, kind="stable")
+        for part in np.array_split(order, -(-len(order) // 64)):  # words of like length together
+            most = max(1, int(lengths[part[-1]]))
+            at = np.zeros((len(part), most), dtype=np.int64)
+            for k, i in enumerate(part.tolist()):
+                at[k, :lengths[i]] = found[i]
+            total = np.zeros((len(part), width), dtype=np.float32)
+            for column in at.T:
+                total += values[column]
+            out[part] = total / np.maximum(lengths[part], 1)[:, None]
+        return out
+
+    def words_of(token: str) -> tuple[int, ...]:
+        out = []
+        for word in (token,) if token.isascii() and token.isalpha() else letters.sub(" ", token).split():
+            number = numbers.get(word)
+            if number is None:
+                number = numbers[word] = len(has_letter)
+                has_letter.append(any(map(str.isalpha, word)))
+                new.append(word)
+            out.append(number)
+        tokens[token] = out = tuple(out)
+        return out
+
+    new: list[str] = []
+    used = 0
+
+    def forget() -> None:
+        nonlocal used
+        numbers.clear()
+        tokens.clear()
+        numbers.update(zip(known, range(len(known))))
+        del has_letter[len(known):]
+        used = len(known)
+
+    def learn() -> None:
+        """Rows of the new words at the end of the table, which doubles when it is full."""
+        nonlocal table, used
+        if used + len(new) > len(table):
+            table = np.concatenate([table[:used], np.empty((used + len(new) + 1_000, width), dtype=np.float32)])
+        table[used:used + len(new)] = backed_off(new)
+        used += len(new)
+        new.clear()
+
+    forget()
 
     def score(text: str | None) -> tuple[str, float, float]:
-        counts = Counter(letters.sub(" ", text.lower()).split()) if text else Counter()
-        if not any(c.isalpha() for word in counts for c in word) or not languages:
+        if not text or not languages:
+            return UNKNOWN, 0.0, 0.0
+        if len(numbers) >= len(known) + REMEMBERED or len(tokens) >= 2 * REMEMBERED:
+            forget()
+        counts: dict[int, int] = {}
+        for token, times in Counter(text.lower().split()).items():
+            found = tokens.get(token)
+            for number in words_of(token) if found is None else found:
+                counts[number] = counts.get(number, 0) + times
+        if new:
+            learn()
+        if not any(has_letter[number] for number in counts):
             return UNKNOWN, 0.0, 0.0
-        table = np.array([of_word(word) for word in counts], dtype=np.float64)
+        at = np.fromiter(counts, dtype=np.int64, count=len(counts))
         n = np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
-        total = n @ table
+        total = n @ table[at].astype(np.float64)
         best = int(total.argmax())  # of equal ones the first by name
         spread = np.exp(np.maximum(total - total[best], -700.0))
-        share = float(n @ np.fromiter((word in known for word in counts), dtype=np.float64, count=len(counts)) / n.sum())
-        return languages[best], float(1.0 / spread.sum()), share
+        return languages[best], float(1.0 / spread.sum()), float(n[at < len(known)].sum() / n.sum())
 
     return score
 

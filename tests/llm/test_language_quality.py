@@ -1,7 +1,9 @@
 import itertools
 import os
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -213,3 +215,59 @@ def test_quality_odd(spark, odd):
     assert rows.count() == odd.count() and rows.filter("doc_id = 2").first()["base_failed"]
     assert line_quality.fit(odd, labels.limit(0)) is None and line_quality.fit(odd.limit(0), labels) is None
     assert line_quality.judge(odd.limit(0), model).count() == 0
+
+
+def plain_scorer(model):
+    """Word by word, without a table."""
+    import regex
+
+    letters, seen, nothing = regex.compile(r"[^\p{L}\p{M}]+"), {}, np.zeros(len(model["languages"]), dtype=np.float32)
+
+    def backed_off(word):
+        padded = f" {word} "
+        for size in range(min(len(model["grams"]), len(padded)), 0, -1):
+            grams = model["grams"][size - 1]
+            if found := [grams[g] for i in range(len(padded) - size + 1) if (g := padded[i:i + size]) in grams]:
+                return np.mean(found, axis=0)
+        return nothing
+
+    def of_word(word):
+        if word in model["words"]:
+            return model["words"][word]
+        if word not in seen:
+            seen[word] = backed_off(word)
+        return seen[word]
+
+    def score(text):
+        counts = Counter(letters.sub(" ", text.lower()).split()) if text else Counter()
+        if not any(c.isalpha() for word in counts for c in word):
+            return language.UNKNOWN, 0.0, 0.0
+        n = np.array(list(counts.values()), dtype=np.float64)
+        total = n @ np.array([of_word(word) for word in counts], dtype=np.float64)
+        known = n @ np.array([word in model["words"] for word in counts], dtype=np.float64)
+        return (model["languages"][int(total.argmax())], float(1 / np.exp(np.maximum(total - total.max(), -700)).sum()),
+                float(known / n.sum()))
+
+    return score
+
+
+def test_scorer_agrees_with_plain_method_in_less_time(monkeypatch):
+    draw, letters = random.Random(5), "abcdeféßд\u0301"
+    words = ["".join(draw.choices(letters, k=draw.randint(1, 14))) for _ in range(6_000)]
+    row = lambda: np.float32([draw.uniform(-9, 0) for _ in range(3)])
+    grams = [{w[:n]: row() for w in words[:900] if len(w) >= n and draw.random() < .8} for n in range(1, 5)]
+    model = {"languages": ["de", "en", "ru"], "words": {w: row() for w in words[:300]}, "grams": grams}
+    texts = [draw.choice([" ", ", ", "\u2003", "-"]).join(draw.choices(words, k=400)) for _ in range(150)]
+    texts += [None, "", "12 !?", "\u0301", "Z", "zzz 东京", "AB\x1cab"]
+    for remembered in (200_000, 50):
+        monkeypatch.setattr(language, "REMEMBERED", remembered, raising=False)
+        score, plain = language.scorer(model), plain_scorer(model)
+        assert [score(t) for t in texts] == [plain(t) for t in texts]
+    monkeypatch.undo()
+    spent = []
+    for make_scorer in (language.scorer, plain_scorer):
+        score, start = make_scorer(model), time.process_time()
+        for t in texts:
+            score(t)
+        spent.append(time.process_time() - start)
+    assert spent[0] < 0.8 * spent[1]
