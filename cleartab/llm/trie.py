@@ -9,9 +9,13 @@ import numpy as np
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of unsigned 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    out = x >> np.uint64(30)
+    out ^= x
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    out ^= out >> np.uint64(27)
+    out *= np.uint64(0x94D049BB133111EB)
+    out ^= out >> np.uint64(31)
+    return out
 
 
 def linked(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> Iterator[tuple[int, int]]:

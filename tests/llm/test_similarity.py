@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -348,3 +349,19 @@ def test_lines_odd(spark, odd, make, staging):
     assert by[2]["text"] is None and by[2]["n_lines"] == 0 and by[1]["n_dropped"] == 0 and by[7]["text"] == ""
     assert by[10]["n_dropped"] == 4 and by[10]["n_chars"] == len(by[10]["text"])
     assert line_dedup.dedup(odd.limit(0), Staging(spark)).count() == 0
+
+
+def test_shingle_sets_agree_with_unique_in_less_time():
+    """Sets of many lines made in chunks are those of each line by itself."""
+    draw = random.Random(8)
+    lines = ["".join(draw.choices("ab \u00e9\U0001f642", k=draw.choice([1, 4, 5, 9, 300, 700]))) for _ in range(3_000)] + ["x" * 70_000, ""]
+    spent = []
+    for width in (line_dedup.LONG, line_dedup.SHORT):
+        start = time.process_time()
+        sets = line_dedup.shingle_sets(lines, width)
+        middle = time.process_time()
+        plain = [np.unique(line_dedup.shingles([x], width)[0]) for x in lines]
+        spent.append((middle - start, time.process_time() - middle))
+        assert len(sets) == len(plain) and all(np.array_equal(a, b) for a, b in zip(sets, plain))
+    assert sum(a for a, _ in spent) < 0.8 * sum(b for _, b in spent)
+    assert line_dedup.shingle_sets([], 4) == []
