@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 import re
 import time
@@ -365,3 +366,58 @@ def test_shingle_sets_agree_with_unique_in_less_time():
         assert len(sets) == len(plain) and all(np.array_equal(a, b) for a, b in zip(sets, plain))
     assert sum(a for a, _ in spent) < 0.8 * sum(b for _, b in spent)
     assert line_dedup.shingle_sets([], 4) == []
+
+
+def plain_alike(x, y, percent=80):
+    width = 8 if min(len(x), len(y)) >= 80 else 4
+    a, b = ({z[k:k + width] for k in range(max(1, len(z) - width + 1))} for z in (x, y))
+    return 100 * len(a & b) >= percent * len(a | b)
+
+
+def variants(draw, n):
+    """Lines of 5 to 200 characters, some of few letters, each with a near copy."""
+    out = []
+    for _ in range(n):
+        line = "".join(draw.choices(draw.choice(["ab", "abcdefgh é\U0001f642"]), k=draw.choice([5, 9, 60, 79, 80, 81, 99, 104, 105, 200])))
+        at = draw.randrange(len(line))
+        out += [line, line[:at] + draw.choice(["", "z", "ab", line[at] * 3]) + line[at + 1:]]
+    return out
+
+
+def test_many_lines_compared_in_one_pass(monkeypatch):
+    """Pairs and small groups give what sets give, whatever the chunks, in less time than one pair after the other."""
+    draw = random.Random(12)
+    lines = [x + "zzzzz"[len(x):] for x in variants(draw, 400)] + ["ab" * 40_000, "ab" * 30]
+    pairs = [(lines[k], lines[k ^ 1]) for k in range(len(lines))] + [tuple(draw.sample(lines, 2)) for _ in range(400)]
+    want = [plain_alike(x, y) for x, y in pairs]
+    start = time.process_time()
+    assert line_dedup.alike(pairs, 80).tolist() == want and 300 < sum(want) < len(want)
+    middle = time.process_time()
+    assert [bool(line_dedup.alike([pair], 80)[0]) for pair in pairs] == want
+    assert middle - start < 0.5 * (time.process_time() - middle)
+    groups = [[x for x in lines[k:k + n]] for k, n in zip(range(0, 700, 9), itertools.cycle([1, 2, 4, 8, 30]))]
+    for cells in (7, line_dedup.CELLS):
+        monkeypatch.setattr(line_dedup, "CELLS", cells)
+        for group, got in zip(groups, line_dedup.near(groups, 80), strict=True):
+            assert got.tolist() == [[plain_alike(x, y) for y in group] for x in group]
+    assert line_dedup.alike([], 80).tolist() == line_dedup.near([], 80) == []
+
+
+@pytest.mark.parametrize("combined", [5, 1 << 20])
+def test_band_keys_are_shuffled_as_arrays(spark, make, monkeypatch, combined):
+    """Shared keys with their least and greatest lines, as by grouping single keys, which are no rows of any shuffle."""
+    monkeypatch.setattr(line_dedup, "COMBINED", combined)
+    draw, plans = random.Random(13), {}
+    docs = make(*[(i, "\n".join(draw.sample(variants(random.Random(i % 9), 8), 9) + ["x"])) for i in range(40)], (None, None))
+    table = Staging.table
+    monkeypatch.setattr(Staging, "table", lambda self, df, name: [
+        plans.setdefault(name, df._jdf.queryExecution().toString()), table(self, df, name)][1])
+    line_dedup.repeats(docs, Staging(spark)).collect()
+    assert "explode" not in plans["shared"].lower()
+    want = defaultdict(set)
+    for r in docs.collect():
+        for _, x in line_dedup.eligible(r["text"]):
+            for key in line_dedup.all_keys([x])[0].tolist():
+                want[key].add(line_dedup.mark(x))
+    got = {r["key"]: (r["least"], r["most"]) for r in line_dedup._met(line_dedup._lines(docs)).collect()}
+    assert got == {k: (min(v), max(v)) for k, v in want.items() if len(v) > 1} and len(got) > 50
