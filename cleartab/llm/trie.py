@@ -7,6 +7,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 
+CELLS = 64_000_000
+"""Entries of a table of n-grams by sets."""
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of unsigned 64-bit numbers."""
     out = x >> np.uint64(30)
@@ -29,17 +33,35 @@ def linked(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int)
     """
     others = left if right is None else right
     sizes = np.array([len(x) for x in others])
-    vocabulary = np.unique(np.concatenate(others)) if others else np.array([], dtype=np.uint64)
-    dense = len(others) * len(vocabulary) <= 64_000_000 and len(others) > 4
+    vocabulary, times = np.unique(np.concatenate(others), return_counts=True) if others else (np.array([], dtype=np.uint64),) * 2
+    # Of account is only what two different sets may share.
+    vocabulary = vocabulary[times > 1] if right is None else np.intersect1d(vocabulary, np.concatenate([vocabulary[:0], *left]))
+    if not len(vocabulary):
+        return
+    dense = len(others) > 4
+    if dense and len(others) * len(vocabulary) > CELLS:  # half of the others at a time
+        half = len(others) // 2
+        if right is not None:
+            yield from linked(left, right[:half], percent)
+            yield from ((i, half + j) for i, j in linked(left, right[half:], percent))
+        else:
+            yield from linked(left[:half], None, percent)
+            yield from ((half + i, half + j) for i, j in linked(left[half:], None, percent))
+            yield from ((i, half + j) for i, j in linked(left[:half], left[half:], percent))
+        return
+
+    def places(tokens: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(vocabulary, tokens), len(vocabulary) - 1)
+        return at[vocabulary[at] == tokens]
+
     if dense:
         has = np.zeros((len(vocabulary), len(others)), dtype=np.uint8)
         for j, x in enumerate(others):
-            has[np.searchsorted(vocabulary, x), j] = 1
+            has[places(x), j] = 1
 
     def common(tokens: np.ndarray, alive: np.ndarray) -> np.ndarray:
         if dense:
-            at = np.minimum(np.searchsorted(vocabulary, tokens), len(vocabulary) - 1)
-            return has[at[vocabulary[at] == tokens]][:, alive].sum(axis=0, dtype=np.int64)
+            return has[places(tokens)][:, alive].sum(axis=0, dtype=np.int64)
         out = np.empty(len(alive), dtype=np.int64)
         for k, j in enumerate(alive):
             at = np.minimum(np.searchsorted(others[j], tokens), len(others[j]) - 1)
@@ -50,7 +72,7 @@ def linked(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int)
         return -(-percent * (size + other) // (100 + percent))
 
     order = sorted(range(len(left)), key=lambda i: left[i].tolist())
-    if right is None and any(len(x) == 0 for x in left) or not len(vocabulary):
+    if right is None and any(len(x) == 0 for x in left):
         order = [i for i in order if len(left[i])]
     lengths = np.array([len(left[i]) for i in order])
     stack = [(0, len(order), 0, np.flatnonzero(sizes), np.zeros(np.count_nonzero(sizes), dtype=np.int64))] if order else []

@@ -85,6 +85,56 @@ def test_join_around_the_threshold(spark, make, monkeypatch, block, pruned):
     assert got == brute_join(docs)
 
 
+@pytest.mark.parametrize("often,cells", [(1, 200), (2, 64_000_000), (16, 200)])
+def test_join_in_two_rounds(spark, make, monkeypatch, often, cells):
+    """Large clusters of one component, of several and of near misses, by keys of few and of many sets."""
+    for name, value in (("BLOCK", 4), ("FEW", 2), ("OFTEN", often), ("HELD", 300)):
+        monkeypatch.setattr(ngram_join, name, value)
+    monkeypatch.setattr(trie, "CELLS", cells)
+    rng, docs = random.Random(5), {}
+    for size, most in ((80, 1), (150, 3), (150, 9), (40, 2), (60, 4), (12, 1)):
+        base = [f"w{rng.randrange(3000)}" for _ in range(size)]
+        for _ in range(25):
+            docs[len(docs)] = edited(rng, base, rng.randrange(0, 1 + most))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"])
+           for r in ngram_join.join(make(*docs.items()), Staging(spark)).collect()}
+    assert got == brute_join(docs)
+
+
+class Counted(Staging):
+    """Notes the rows of its tables."""
+
+    def table(self, df, name):
+        out = super().table(df, name)
+        self.rows = getattr(self, "rows", {}) | {name: out.count()}
+        return out
+
+
+@pytest.mark.parametrize("percent,n,pruned", [(90, 3, False), (80, 5, True)])
+def test_join_keeps_unlike_texts_apart(spark, make, percent, n, pruned):
+    """Texts that share a passage only are no candidates: clusters of them would grow with the corpus. Nor are repeats."""
+    rng = random.Random(7)
+    passage = [f"p{i}" for i in range(12)]
+    texts = [" ".join([f"w{rng.randrange(10 ** 9)}" for _ in range(rng.randrange(40, 90))] + passage) for _ in range(300)]
+    rows = [(i, t) for i, t in enumerate(texts + texts[:150] * 2)]
+    staging = Counted(spark)
+    got = ngram_join.join(make(*rows), staging, percent, n, pruned).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: texts.index(t) for i, t in rows}
+    assert staging.rows["clusters"] == 0
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_keys_of_unlike_sets_differ(percent):
+    """Empty segments are no keys."""
+    rng = np.random.default_rng(3)
+    seen = set()
+    for _ in range(1500):
+        grams = np.unique(rng.integers(0, 2 ** 63, int(rng.integers(3, 50))).astype(np.uint64) * np.uint64(2))
+        keys = set(ngram_join.segment_keys(grams, percent))
+        assert keys.isdisjoint(seen)
+        seen |= keys
+
+
 def test_join_without_ids(spark, make):
     """Links through a row whose id is null count."""
     base = [f"w{i}" for i in range(60)]
