@@ -97,7 +97,7 @@ def scorer(model: dict):
     letters, width = regex.compile(r"[^\p{L}\p{M}]+"), len(languages)
 
     def rows(parts: dict) -> np.ndarray:
-        return np.array(list(parts.values()), dtype=np.float32).reshape(-1, width)
+        return np.array(list(parts.values()), dtype=np.float32).reshape(len(parts), width)
 
     grams, values = [], [np.zeros((1, width), dtype=np.float32)]  # row 0 adds nothing
     for each in model["grams"]:
